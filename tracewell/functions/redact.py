@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tracewell import contracts as C
+from tracewell.functions.let import let
 
 # Absolute, protocol-relative or relative; no white space and none of the characters that only
 # prose, JSON and code hold; any query is a run of key=value pairs.
@@ -49,8 +50,8 @@ def redact_text(value: Column, fragments=C.SENSITIVE_FRAGMENTS, marker: str = C.
     """`key=value`, `key: value` and `"key":"value"` lose their values."""
     pattern = text_pattern(fragments)
     # Most texts name no sensitive key at all; a plain search skips the costlier replace.
-    suspect = value.rlike(sensitive_key_pattern(fragments))
-    return F.when(suspect, F.regexp_replace(value, pattern, f"$1{marker}")).otherwise(value)
+    key = sensitive_key_pattern(fragments)
+    return let(value, lambda v: F.when(v.rlike(key), F.regexp_replace(v, pattern, f"$1{marker}")).otherwise(v))
 
 
 def count_redactions(value: Column, fragments=C.SENSITIVE_FRAGMENTS) -> Column:
@@ -64,15 +65,20 @@ def _redact_pairs(pairs: Column, fragments, marker: str) -> Column:
 
 def redact_url(url: Column, fragments=C.SENSITIVE_FRAGMENTS, marker: str = C.REDACTED) -> Column:
     """Sensitive parameters of the query, and of a fragment shaped like one; nothing else moves."""
-    head = F.regexp_extract(url, r"(?s)^([^?#]*+)", 1)
-    query = F.regexp_extract(url, r"(?s)^[^?#]*+(\?[^#]*+)", 1)
-    fragment = F.regexp_extract(url, r"(?s)^[^#]*+(#.*+)", 1)
-    clean_fragment = F.when(
-        F.substr(fragment, F.lit(2)).rlike(QUERY_SHAPE), _redact_pairs(fragment, fragments, marker)
-    ).otherwise(fragment)
-    suspect = url.rlike(sensitive_key_pattern(fragments))
-    clean = F.concat(head, _redact_pairs(query, fragments, marker), clean_fragment)
-    return F.when(suspect, clean).otherwise(url)
+
+    def clean(u: Column) -> Column:
+        head = F.regexp_extract(u, r"(?s)^([^?#]*+)", 1)
+        query = F.regexp_extract(u, r"(?s)^[^?#]*+(\?[^#]*+)", 1)
+        fragment = let(
+            F.regexp_extract(u, r"(?s)^[^#]*+(#.*+)", 1),
+            lambda f: F.when(
+                F.substr(f, F.lit(2)).rlike(QUERY_SHAPE), _redact_pairs(f, fragments, marker)
+            ).otherwise(f),
+        )
+        rebuilt = F.concat(head, _redact_pairs(query, fragments, marker), fragment)
+        return F.when(u.rlike(sensitive_key_pattern(fragments)), rebuilt).otherwise(u)
+
+    return let(url, clean)
 
 
 def _redact_segments(path: Column, secrets: Column, marker: str) -> Column:
@@ -99,18 +105,24 @@ def redact_url_path(url: Column, secrets, marker: str = C.REDACTED) -> Column:
     values = _secrets_column(secrets)
     if values is None:
         return url
-    origin = F.regexp_extract(url, _URL_PARTS, 1)
-    path = F.regexp_extract(url, _URL_PARTS, 2)
-    query = F.regexp_extract(url, _URL_PARTS, 3)
-    fragment = F.substr(F.regexp_extract(url, _URL_PARTS, 4), F.lit(2))
-    route = F.regexp_extract(fragment, r"(?s)^([^?]*+)", 1)
-    rest = F.substr(fragment, F.length(route) + 1)
-    clean_fragment = F.when(
-        F.contains(url, F.lit("#")), F.concat(F.lit("#"), _redact_segments(route, values, marker), rest)
-    ).otherwise(F.lit(""))
-    clean = F.concat(origin, _redact_segments(path, values, marker), query, clean_fragment)
-    known = F.coalesce(F.size(values), F.lit(0)) > 0
-    return F.when(known & url.isNotNull(), clean).otherwise(url)
+
+    def route(fragment: Column) -> Column:
+        path = F.regexp_extract(fragment, r"(?s)^([^?]*+)", 1)
+        return let(
+            path,
+            lambda p: F.concat(
+                F.lit("#"), _redact_segments(p, values, marker), F.substr(fragment, F.length(p) + 1)
+            ),
+        )
+
+    def clean(u: Column) -> Column:
+        origin, path, query, fragment = (F.regexp_extract(u, _URL_PARTS, i) for i in range(1, 5))
+        clean_fragment = F.when(F.contains(u, F.lit("#")), route(F.substr(fragment, F.lit(2)))).otherwise(F.lit(""))
+        rebuilt = F.concat(origin, _redact_segments(path, values, marker), query, clean_fragment)
+        known = F.coalesce(F.size(values), F.lit(0)) > 0
+        return F.when(known & u.isNotNull(), rebuilt).otherwise(u)
+
+    return let(url, clean)
 
 
 _STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
@@ -179,7 +191,7 @@ def _redact_json_urls(text: Column, fragments, secrets: Column | None, marker: s
 
         return clean
 
-    return F.array_join(_bind(F.split(text, '"', -1), lambda p: F.transform(p, piece(p))), '"')
+    return F.array_join(let(F.split(text, '"', -1), lambda p: F.transform(p, piece(p))), '"')
 
 
 def _rewrite_json(text: Column, fragments, values: Column | None, max_depth: int, marker: str) -> Column:
@@ -232,9 +244,4 @@ def redact_variant(
         rewritten = F.parse_json(_rewrite_json(text, fragments, values, max_depth, marker))
         return F.when(_may_change(text, fragments, values, max_depth), rewritten).otherwise(value)
 
-    return _bind(F.to_json(value), clean)
-
-
-def _bind(value: Column, body) -> Column:
-    """Evaluate `value` once and use it in `body`."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return let(F.to_json(value), clean)

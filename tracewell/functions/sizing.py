@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracewell import contracts as C
+from tracewell.functions.let import let
 
 _JSON_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 _WHOLE_FLOAT = r"\.0(?=[,\]}]|$)"
@@ -22,7 +23,7 @@ def json_text(value: Column, dtype: T.DataType | None = None) -> Column:
     if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
         return F.to_json(value, options)
     wrapped = F.to_json(F.struct(value.alias("v")), options)
-    return F.substr(wrapped, F.lit(6), F.length(wrapped) - 6)
+    return let(wrapped, lambda w: F.substr(w, F.lit(6), F.length(w) - 6))
 
 
 def json_text_bytes(text: Column) -> Column:
@@ -32,15 +33,19 @@ def json_text_bytes(text: Column) -> Column:
     character as \\uXXXX units takes 6U - 5A bytes.  ASCII text (the usual case) needs no more
     than its length.
     """
-    units = (F.octet_length(F.encode(text, "UTF-16BE")) / 2).cast("bigint")
-    ascii_chars = F.length(F.regexp_replace(text, r"[^\x00-\x7F]++", ""))
-    plain = F.octet_length(text) == F.length(text)
-    base = F.when(plain, F.length(text).cast("bigint")).otherwise(units * 6 - ascii_chars * 5)
-    slashes = F.length(text) - F.length(F.replace(text, F.lit("/"), F.lit("")))
-    # A `.0` counts only outside strings, and is looked for only where one can be.
-    bare = F.regexp_replace(text, _JSON_STRING, "")
-    whole = F.when(text.rlike(_WHOLE_FLOAT), F.regexp_count(bare, F.lit(_WHOLE_FLOAT)) * 2).otherwise(0)
-    return (base + slashes - whole).cast("bigint")
+
+    def measure(t: Column) -> Column:
+        units = (F.octet_length(F.encode(t, "UTF-16BE")) / 2).cast("bigint")
+        ascii_chars = F.length(F.regexp_replace(t, r"[^\x00-\x7F]++", ""))
+        plain = F.octet_length(t) == F.length(t)
+        base = F.when(plain, F.length(t).cast("bigint")).otherwise(units * 6 - ascii_chars * 5)
+        slashes = F.length(t) - F.length(F.replace(t, F.lit("/"), F.lit("")))
+        # A `.0` counts only outside strings, and is looked for only where one can be.
+        bare = F.regexp_replace(t, _JSON_STRING, "")
+        whole = F.when(t.rlike(_WHOLE_FLOAT), F.regexp_count(bare, F.lit(_WHOLE_FLOAT)) * 2).otherwise(0)
+        return (base + slashes - whole).cast("bigint")
+
+    return let(text, measure)
 
 
 def json_bytes(value: Column, dtype: T.DataType | None = None) -> Column:
@@ -54,8 +59,11 @@ def truncation_marker(reason: str) -> Column:
 
 def cap_bytes(value: Column, limit: int, reason: str) -> Column:
     """A VARIANT over the limit is replaced whole: half a JSON document is none."""
-    over = json_text_bytes(F.to_json(value)) > limit
-    return F.when(over, truncation_marker(reason)).otherwise(value)
+
+    def capped(v: Column) -> Column:
+        return F.when(json_text_bytes(F.to_json(v)) > limit, truncation_marker(reason)).otherwise(v)
+
+    return let(value, capped)
 
 
 def utf16_length(text: Column) -> Column:

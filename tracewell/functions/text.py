@@ -6,14 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tracewell import contracts as C
+from tracewell.functions.let import let
 
 EVENT_NAME = r"^[a-z][a-z0-9_]*\z"
 
 
 def truncate_with_suffix(value: Column, limit: int, suffix: str = C.TRUNCATION_SUFFIX) -> Column:
     """At most `limit` characters, the suffix included."""
-    cut = F.concat(F.substring(value, 1, limit - len(suffix)), F.lit(suffix))
-    return F.when(F.length(value) > limit, cut).otherwise(value)
+
+    def cut(v: Column) -> Column:
+        return F.when(F.length(v) > limit, F.concat(F.substring(v, 1, limit - len(suffix)), F.lit(suffix))).otherwise(v)
+
+    return let(value, cut)
 
 
 def bound_file_path(path: Column, root: str | None = None, limit: int = C.MAX_FILE_PATH) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tracewell import contracts as C
 from tracewell.functions import redact, text
+from tracewell.functions.let import let
 
 
 def context_value(context: Column, key: str) -> Column:
@@ -86,8 +87,7 @@ def request_headers(context: Column) -> Column:
             ),
         )
 
-    headers = F.get(F.transform(F.array(kept), first_place), F.lit(0))
-    return F.when(F.size(headers) > 0, headers)
+    return let(let(kept, first_place), lambda headers: F.when(F.size(headers) > 0, headers))
 
 
 def mask_headers(
@@ -123,13 +123,21 @@ _ORIGIN = r"^([A-Za-z][A-Za-z0-9+.\-]*)://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:@\[
 def normalize_origin(value: Column) -> Column:
     """`scheme://host[:port]` in lower case without a default port; null when it is no origin."""
     pattern = "(?s)" + _ORIGIN
-    scheme = F.lower(F.regexp_extract(value, pattern, 1))
-    host = F.lower(F.regexp_extract(value, pattern, 2))
-    port = F.regexp_extract(value, pattern, 3).try_cast("int")
-    default = ((scheme == "http") & (port == 80)) | ((scheme == "https") & (port == 443))
-    shown = F.when(port.isNotNull() & ~F.coalesce(default, F.lit(False)), F.concat(F.lit(":"), port.cast("string")))
-    origin = F.concat(scheme, F.lit("://"), host, F.coalesce(shown, F.lit("")))
-    return F.when(value.rlike(pattern) & F.coalesce(port <= 65535, F.lit(True)), origin)
+    parts = F.struct(
+        F.lower(F.regexp_extract(value, pattern, 1)).alias("scheme"),
+        F.lower(F.regexp_extract(value, pattern, 2)).alias("host"),
+        F.regexp_extract(value, pattern, 3).try_cast("int").alias("port"),
+    )
+
+    def shown(p: Column) -> Column:
+        default = ((p["scheme"] == "http") & (p["port"] == 80)) | ((p["scheme"] == "https") & (p["port"] == 443))
+        port = F.when(
+            p["port"].isNotNull() & ~F.coalesce(default, F.lit(False)), F.concat(F.lit(":"), p["port"].cast("string"))
+        ).otherwise("")
+        origin = F.concat(p["scheme"], F.lit("://"), p["host"], port)
+        return F.when((p["scheme"] != "") & F.coalesce(p["port"] <= 65535, F.lit(True)), origin)
+
+    return let(parts, shown)
 
 
 def authority_of(origin: Column) -> Column:
@@ -149,23 +157,23 @@ def origin_allowed(context: Column, allowed: tuple[str, ...] | list[str] = ()) -
     It must name the request's own host, or an allowlist entry: a full origin (then the scheme
     counts) or a bare authority.
     """
-    source = F.coalesce(context_value(context, "HTTP_ORIGIN"), context_value(context, "HTTP_REFERER"))
-    origin = normalize_origin(source)
-    host = F.coalesce(context_value(context, "HTTP_HOST"), context_value(context, "SERVER_NAME"))
-    own = normalize_authority(host) == authority_of(origin)
-    listed = F.lit(False)
-    for entry in allowed:
-        if not entry:
-            continue
-        as_origin = normalize_origin(F.lit(entry))
-        listed = listed | F.coalesce(
-            F.when(as_origin.isNotNull(), as_origin == origin).otherwise(
-                normalize_authority(F.lit(entry)) == authority_of(origin)
-            ),
-            F.lit(False),
-        )
-    return (
-        F.when(source.isNull(), F.lit(True))
-        .when(origin.isNull(), F.lit(False))
-        .otherwise(F.coalesce(own, F.lit(False)) | listed)
+    asked = F.struct(
+        F.coalesce(context_value(context, "HTTP_ORIGIN"), context_value(context, "HTTP_REFERER")).alias("source"),
+        F.coalesce(context_value(context, "HTTP_HOST"), context_value(context, "SERVER_NAME")).alias("host"),
+    )
+    entries = [e for e in allowed if e]
+    origins = F.array_compact(F.array(*[normalize_origin(F.lit(e)) for e in entries]).cast("array<string>"))
+    authorities = F.array_compact(
+        F.array(
+            *[F.when(normalize_origin(F.lit(e)).isNull(), normalize_authority(F.lit(e))) for e in entries]
+        ).cast("array<string>")
     )
+
+    def judge(source: Column, host: Column, origin: Column) -> Column:
+        accepted = normalize_authority(host) == authority_of(origin)
+        accepted = F.coalesce(accepted, F.lit(False))
+        if entries:
+            accepted = accepted | F.array_contains(origins, origin) | F.array_contains(authorities, authority_of(origin))
+        return F.when(source.isNull(), F.lit(True)).when(origin.isNull(), F.lit(False)).otherwise(accepted)
+
+    return let(asked, lambda a: let(normalize_origin(a["source"]), lambda origin: judge(a["source"], a["host"], origin)))

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tracewell import contracts as C
 from tracewell import schemas
 from tracewell.functions import sizing, text
+from tracewell.functions.let import computed_once
 
 
 def wire_fields(df: DataFrame, record_type: str) -> list[T.StructField]:
@@ -74,7 +75,7 @@ def item_budget(
     )
     status = F.when(~over, "ok").when(F.col("bytes") <= max_item, "shrunk").otherwise("dropped")
     out = sized.withColumn("budget_status", status).select(*keep, "data", "bytes", "budget_status")
-    return out if dropped_too else out.where(F.col("budget_status") != "dropped")
+    return out if dropped_too else computed_once(out).where(F.col("budget_status") != "dropped")
 
 
 def budget_report(budgeted: DataFrame, keys=("type",)) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracewell import contracts as C
-from tracewell.functions import hashing, redact, sizing, text, url
+from tracewell.functions import hashing, redact, rules, sizing, text, url
+from tracewell.functions.let import let
 
 
 def _keep(df: DataFrame, keep, fields: list[Column]) -> DataFrame:
@@ -24,9 +25,8 @@ def empty_object() -> Column:
 
 def _free_shape(value: Column, secrets, fragments) -> Column:
     """Nested data as it may leave the host; anything but a list or an object becomes empty."""
-    clean = redact.redact_variant(value, fragments, secrets)
-    holds_members = F.substr(F.to_json(value), F.lit(1), F.lit(1)).isin("{", "[")
-    return F.when(F.coalesce(holds_members, F.lit(False)), clean).otherwise(empty_object())
+    nested = rules.variant_kind(value) == "array"
+    return F.when(nested, redact.redact_variant(value, fragments, secrets)).otherwise(empty_object())
 
 
 # --- events -----------------------------------------------------------------------------------
@@ -279,25 +279,29 @@ def normalize_framework(df: DataFrame) -> DataFrame:
 # --- browser errors ---------------------------------------------------------------------------
 
 
-def _member(value: Column, name: str) -> Column:
-    return F.try_variant_get(value, f"$['{name}']", "variant")
+_member = rules.variant_field
 
 
 def _string_member(value: Column, name: str) -> Column:
     """A member that is a string; any other kind counts as absent."""
-    member = _member(value, name)
-    return F.when(F.schema_of_variant(member) == "STRING", member.try_cast("string"))
+    return let(
+        _member(value, name), lambda m: F.when(rules.variant_kind(m) == "string", m.try_cast("string"))
+    )
 
 
 def _scalar_member(value: Column, name: str) -> Column:
     """A scalar member as the text it prints as, booleans as 1 and nothing."""
+
+    def shown(m: Column) -> Column:
+        kind = m["k"]
+        return (
+            F.when(kind == "boolean", F.when(m["v"].try_cast("boolean"), "1").otherwise(""))
+            .when(kind == "array", F.lit(None))
+            .otherwise(m["v"].try_cast("string"))
+        )
+
     member = _member(value, name)
-    kind = F.schema_of_variant(member)
-    return (
-        F.when(kind == "BOOLEAN", F.when(member.try_cast("boolean"), "1").otherwise(""))
-        .when(F.startswith(kind, F.lit("OBJECT")) | F.startswith(kind, F.lit("ARRAY")), F.lit(None))
-        .otherwise(member.try_cast("string"))
-    )
+    return let(F.struct(member.alias("v"), rules.variant_kind(member).alias("k")), shown)
 
 
 NUMERIC = r"^[ \t\n\r\x0B\f]*[+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?[ \t\n\r\x0B\f]*\z"
@@ -305,12 +309,14 @@ NUMERIC = r"^[ \t\n\r\x0B\f]*[+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?[ \t\n
 
 def _int_member(value: Column, name: str) -> Column:
     """A number, or a numeric string, cut to an integer; booleans do not count."""
+
+    def whole(m: Column) -> Column:
+        trimmed = F.regexp_replace(m["t"], r"[ \t\n\r\x0B\f]+", "")
+        number = F.coalesce(trimmed.try_cast("bigint"), trimmed.try_cast("double").try_cast("bigint"))
+        return F.when((m["k"] != "boolean") & m["t"].rlike(NUMERIC), number)
+
     member = _member(value, name)
-    as_text = member.try_cast("string")
-    usable = (F.schema_of_variant(member) != "BOOLEAN") & as_text.rlike(NUMERIC)
-    trimmed = F.regexp_replace(as_text, r"[ \t\n\r\x0B\f]+", "")
-    exact = trimmed.try_cast("bigint")
-    return F.when(usable, F.coalesce(exact, trimmed.try_cast("double").try_cast("bigint")))
+    return let(F.struct(member.try_cast("string").alias("t"), rules.variant_kind(member).alias("k")), whole)
 
 
 def browser_info(value: Column) -> Column:

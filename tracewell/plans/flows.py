@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewell import contracts as C
+from tracewell.functions.let import computed_once
 from tracewell.operators import batching, budget, filters, sessions, shape, spool, validate
 
 
 def event_items(raw: DataFrame, salt: str, keep=("event_id", "seq", "at"), secrets=None) -> DataFrame:
     """Named events to budgeted items: one pass, no shuffle."""
     named = filters.valid_event_names(raw, "name")
-    shaped = shape.shape_events(named, salt, keep=keep, secrets=secrets)
+    shaped = computed_once(shape.shape_events(named, salt, keep=keep, secrets=secrets))
     checked = validate.validate(shaped, "events").where(F.size("violations") == 0).drop("violations")
     return budget.item_budget(checked, "events", keep=keep)
 

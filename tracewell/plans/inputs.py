@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell.functions import hashing
+from tracewell.functions.let import computed_once
 
 SALT = "catalogue-salt"
 DATA_EPOCH = 1704067200  # 2024-01-01T00:00:00Z
@@ -53,7 +54,7 @@ def raw_events(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("HTTPS"), F.when(F.col("user_id") % 3 == 0, "off").otherwise("on"),
         F.lit("SERVER_PORT"), F.lit("80"),
     )
-    return e.select(
+    return computed_once(e.select(
         "event_id",
         F.col("event_id").alias("seq"),
         epoch(F.col("ts")).alias("at"),
@@ -63,7 +64,7 @@ def raw_events(spark: SparkSession, folder: str) -> DataFrame:
         "user_id",
         request.alias("request"),
         (F.col("user_id") % 10 == 0).alias("is_console"),
-    )
+    ))
 
 
 def hmac_sql(value: str, salt: str = SALT) -> str:
@@ -156,3 +157,130 @@ backlog AS (
 
 def salted_visit(value: Column) -> Column:
     return hashing.visit_hash(value, SALT)
+
+
+# --- errors -----------------------------------------------------------------------------------
+
+
+def raw_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """documents as errors: the text is the trace, the source the file."""
+    d = load(spark, folder, "documents", "doc_id")
+    number = F.col("doc_id").cast("string")
+    request = F.create_map(
+        F.lit("HTTP_HOST"), F.when(F.col("doc_id") % 4 == 0, "").otherwise(F.concat("source", F.lit(".example.com"))),
+        F.lit("SERVER_NAME"), F.lit("fallback.example.com"),
+        F.lit("REQUEST_URI"), F.concat(F.lit("/"), "lang", F.lit("/"), number, F.lit("?api_key="), number, F.lit("&page=2")),
+        F.lit("HTTPS"), F.when(F.col("doc_id") % 3 == 0, "OFF").when(F.col("doc_id") % 3 == 1, "on").otherwise(""),
+        F.lit("REQUEST_METHOD"), F.when(F.col("doc_id") % 2 == 0, "get").otherwise("Post"),
+        F.lit("HTTP_ACCEPT"), F.lit("text/html"),
+        F.lit("HTTP_REFERER"), F.concat(F.lit("https://a.example.com/x?token="), number, F.lit("&q=1")),
+        F.lit("HTTP_X_FORWARDED_FOR"), F.lit("10.0.0.1"),
+        F.lit("HTTP_COOKIE"), F.lit("sid=1"),
+        F.lit("CONTENT_TYPE"), F.lit("application/json"),
+    )
+    return computed_once(d.select(
+        "doc_id",
+        F.concat(F.lit("Failed with password=hunter"), number, F.lit(" for "), "source").alias("message"),
+        F.concat(F.lit("/srv/app/src/"), "source", F.lit("/"), "lang", F.lit(".php")).alias("file"),
+        (F.col("doc_id") % 40 + 1).alias("line"),
+        F.lit("RuntimeException").alias("type"),
+        F.lit("production").alias("environment"),
+        F.col("text").alias("trace"),
+        request.alias("request"),
+        F.array(F.lit("bin/run"), "lang", F.concat(F.lit("--token=t"), number)).alias("argv"),
+        (F.col("doc_id") % 5 == 0).alias("is_console"),
+        F.timestamp_seconds(F.lit(DATA_EPOCH) + F.col("doc_id")).alias("ts"),
+    ))
+
+
+# --- browser reports --------------------------------------------------------------------------
+
+
+def raw_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """error events as browser reports, on the page their user is on; some broken on purpose."""
+    e = load(spark, folder, "events", "event_id").where("event_type = 'error'")
+    pages = load(spark, folder, "pages").select("page_id", F.col("url").alias("page_url"))
+    joined = e.join(pages, F.col("user_id") == F.col("page_id"), "left")
+    number = F.col("event_id")
+    text_number = number.cast("string")
+    kind = number % 12
+    message = (
+        F.when(kind == 1, F.lit("   "))
+        .when(kind == 2, F.concat(F.lit("Loading CHUNK "), text_number, F.lit(" failed")))
+        .when(kind == 3, F.repeat(F.lit("m"), F.lit(2001)))
+        .otherwise(F.concat(F.lit("Boom {token: abc"), text_number, F.lit("} at step "), (number % 5).cast("string")))
+    )
+    crumb = F.struct(
+        F.lit("2024-01-01T00:00:00+00:00").alias("timestamp"),
+        F.when(kind == 4, F.lit(None)).otherwise(F.lit("navigation")).alias("category"),
+        F.lit("Page loaded").alias("message"),
+        F.struct(F.col("page_url").alias("url"), F.lit("Bearer x").alias("authorization")).alias("data"),
+    )
+    crumbs = F.transform(F.sequence(F.lit(1), (number % 25 + 1).cast("int")), lambda i: F.struct(
+        crumb["timestamp"].alias("timestamp"), crumb["category"].alias("category"),
+        F.concat(crumb["message"], F.lit(" "), i.cast("string")).alias("message"), crumb["data"].alias("data"),
+    ))
+    info = F.struct(
+        F.lit(1920).alias("screen_width"),
+        F.when(kind == 5, F.lit("wide")).otherwise(F.lit("1080")).alias("screen_height"),
+        F.lit("4g").alias("connection_type"),
+        F.lit("x").alias("smuggled"),
+    )
+    payload = F.struct(
+        message.alias("message"),
+        F.when(kind == 6, F.lit("x")).otherwise((number % 300).cast("string")).alias("line"),
+        F.lit(7).alias("column"),
+        F.concat(F.lit("at app.js api_key=k"), text_number).alias("stack"),
+        F.when(kind == 7, F.lit("TypeError")).alias("type"),
+        F.col("page_url").alias("url"),
+        crumbs.alias("breadcrumbs"),
+        F.struct(F.lit("s3cret").alias("password"), (number % 9).alias("step")).alias("context"),
+        info.alias("browser_info"),
+        F.lit(True).alias("unknown_key"),
+    )
+    request = F.map_filter(
+        F.create_map(
+            F.lit("HTTP_HOST"), F.lit("Shop.Example.com:443"),
+            F.lit("HTTP_ORIGIN"),
+            F.when(kind == 8, F.lit("https://evil.example.net"))
+            .when(kind == 9, F.lit("https://cdn.example.org:443/"))
+            .when(kind == 10, F.lit("//no-scheme.example.com"))
+            .when(kind == 11, F.lit(None))
+            .otherwise(F.lit("HTTPS://shop.example.com:443")),
+            F.lit("HTTP_REFERER"), F.when(kind == 11, F.lit(None)).otherwise(F.lit("https://shop.example.com/from?token=1")),
+            F.lit("HTTP_USER_AGENT"), F.lit("Mozilla/5.0"),
+        ),
+        lambda _, v: v.isNotNull(),
+    )
+    reports = joined.select(
+        F.col("event_id").alias("report_id"),
+        F.parse_json(F.to_json(payload)).alias("payload"),
+        request.alias("request"),
+        F.col("user_id"),
+        F.when(F.col("user_id") % 4 != 0, F.concat(F.lit("s"), F.col("user_id").cast("string"))).alias("session_id"),
+        F.col("ts").alias("received_at"),
+        (F.col("user_id") % 11 != 0).alias("enabled"),
+        (F.col("user_id") % 13 != 0).alias("feature_enabled"),
+    )
+    # As a stored table would: the payload is parsed once, not wherever it is read.
+    return computed_once(reports)
+
+
+ALLOWED_ORIGINS = ("https://cdn.example.org",)
+
+REPORTS_SQL = """
+reports AS (
+  SELECT event_id AS report_id, event_id % 12 AS kind, user_id, ts, url AS page_url,
+         CASE event_id % 12 WHEN 1 THEN '   ' WHEN 2 THEN 'Loading CHUNK ' || event_id || ' failed'
+           WHEN 3 THEN repeat('m', 2001) ELSE 'Boom {token: abc' || event_id || '} at step ' || (event_id % 5) END AS message,
+         event_id % 25 + 1 AS crumbs
+  FROM (SELECT * FROM events WHERE event_type = 'error') e LEFT JOIN pages ON user_id = page_id
+), judged AS (
+  SELECT *,
+    CASE WHEN user_id % 11 = 0 THEN 'disabled' WHEN user_id % 13 = 0 THEN 'feature_disabled'
+      WHEN kind IN (8, 10) THEN 'origin_rejected'
+      WHEN kind IN (1, 3, 4, 5, 6) OR (page_url IS NULL AND kind = 11) THEN 'invalid'
+      WHEN kind = 2 THEN 'ignored' ELSE 'received' END AS disposition
+  FROM reports
+)
+"""
