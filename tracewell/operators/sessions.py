@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import OrderedDict
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewell import contracts as C
@@ -81,7 +81,7 @@ def _replay(rows: DataFrame, cache: int, segment: int) -> DataFrame:
 
     def end_of(group: pd.DataFrame, started: pd.DataFrame) -> pd.DataFrame:
         if group.empty or started.empty:
-            return pd.DataFrame({"_session": [], "_segment": [], "_start": [], "_end": []})
+            return pd.DataFrame(columns=["_session", "_segment", "_start", "_end"], dtype=object)
         start = list(started["_start"].iloc[0])
         held = OrderedDict.fromkeys(start)
         _run_cache(group.sort_values("_seq")["_key"], held, cache)
@@ -91,13 +91,13 @@ def _replay(rows: DataFrame, cache: int, segment: int) -> DataFrame:
         )
 
     def run(starts: DataFrame) -> DataFrame:
-        grouped = cut.groupBy("_session", "_segment").cogroup(starts.groupBy("_session", "_segment"))
+        # Both sides come from the same rows; new names keep their columns apart.
+        named = starts.select(F.col("_session").alias("_of"), F.col("_segment").alias("_at"), "_start")
+        grouped = cut.groupBy("_session", "_segment").cogroup(named.groupBy("_of", "_at"))
         return grouped.applyInPandas(end_of, state).checkpoint()
 
     empty = F.array().cast("array<string>")
     states = run(cut.select("_session", "_segment").distinct().withColumn("_start", empty))
-    from pyspark.sql import Window
-
     w = Window.partitionBy("_session").orderBy("_segment")
     while True:
         linked = states.withColumn("_given", F.coalesce(F.lag("_end").over(w), empty))
@@ -110,7 +110,7 @@ def _replay(rows: DataFrame, cache: int, segment: int) -> DataFrame:
 
     def sent_of(group: pd.DataFrame, started: pd.DataFrame) -> pd.DataFrame:
         if group.empty or started.empty:
-            return pd.DataFrame({"_session": [], "_seq": []})
+            return pd.DataFrame(columns=["_session", "_seq"], dtype=object)
         group = group.sort_values("_seq")
         held = OrderedDict.fromkeys(started["_start"].iloc[0])
         return group[_run_cache(group["_key"], held, cache)][["_session", "_seq"]]

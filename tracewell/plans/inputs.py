@@ -29,7 +29,10 @@ def epoch(ts: Column) -> Column:
 
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
     """events: name, properties, user_id, ts, request, is_console, event_id, seq, at."""
-    e = load(spark, folder, "events", "event_id")
+    return events_as_raw(load(spark, folder, "events", "event_id"))
+
+
+def events_as_raw(e: DataFrame) -> DataFrame:
     number = F.col("event_id").cast("string")
     user = F.col("user_id").cast("string")
     properties = F.concat(
@@ -132,7 +135,10 @@ TYPE_SQL = (
 
 def backlog(spark: SparkSession, folder: str) -> DataFrame:
     """A spool of all four types: one envelope per event, its props as data."""
-    e = load(spark, folder, "events")
+    return events_as_backlog(load(spark, folder, "events"))
+
+
+def events_as_backlog(e: DataFrame) -> DataFrame:
     data = F.concat(F.lit('{"n":'), F.col("event_id").cast("string"), F.lit(',"p":'), F.col("props"), F.lit("}"))
     return e.select(
         type_of_event(F.col("event_type")).alias("type"),

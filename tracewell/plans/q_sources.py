@@ -1 +1,135 @@
+"""Readers and writers, each checked by writing what the tables give and reading it back."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tracewell.operators import batching, shape, validate
+from tracewell.plans import inputs
+from tracewell.plans.registry import query
+from tracewell.session import new_table_path
+from tracewell.sources import items as sources
+from tracewell.sources import sinks
+
+_TYPES = ("errors", "events", "logs", "javascript_errors")
+
+
+def _faulty(backlog):
+    """Envelopes as JSON, some without a proper id, data or timestamp."""
+    k = F.col("seq") % 20
+    envelope = sinks.envelope_json()
+    return (
+        F.when(k == 1, F.concat(F.lit('{"id":5,"data":'), "data", F.lit(',"timestamp":1}')))
+        .when(k == 2, F.lit('{"id":"x","data":"text","timestamp":1}'))
+        .when(k == 3, F.concat(F.lit('{"id":"x","data":'), "data", F.lit(',"timestamp":"1"}')))
+        .otherwise(envelope)
+    )
+
+
+@query(
+    "read_spool_files",
+    f"""WITH {inputs.BACKLOG_SQL}, p AS (SELECT *, (row_number() OVER (PARTITION BY type ORDER BY seq) - 1) // 500 AS chunk FROM backlog)
+        SELECT type, id, "timestamp", regexp_replace(data, '\\s', '', 'g') AS data, length(regexp_replace(data, '\\s', '', 'g')) AS bytes
+        FROM p WHERE seq % 20 NOT IN (1, 2, 3) AND chunk % 3 <> 2""",
+)
+def read_spool_files(spark, folder):
+    """Spool files of at most 500 envelopes; every third file is cut off, so it counts as empty."""
+    packed = batching.pack_batches(inputs.backlog(spark, folder), max_items=500)
+    rows = packed.select("type", "batch_no", "batch_pos", _faulty(packed).alias("envelope"))
+    files = rows.groupBy("type", "batch_no").agg(F.array_sort(F.collect_list(F.struct("batch_pos", "envelope"))).alias("e"))
+    text = F.concat(F.lit("["), F.array_join(F.transform("e", lambda x: x["envelope"]), ","), F.lit("]"))
+    cut = F.expr("batch_no div 500") % 3 == 2
+    path = new_table_path(spark, "spool")
+    files.select("type", F.when(cut, F.substr(text, F.lit(1), F.length(text) - 5)).otherwise(text).alias("value")).write.option(
+        "maxRecordsPerFile", 1
+    ).partitionBy("type").text(path)
+    parts = [sources.read_spool(spark, f"{path}/type={t}", t) for t in _TYPES]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole.select("type", "id", "timestamp", "data", "bytes")
+
+
+@query(
+    "read_spool_lines",
+    f"""WITH {inputs.BACKLOG_SQL} SELECT type, id, "timestamp", regexp_replace(data, '\\s', '', 'g') AS data FROM backlog""",
+)
+def read_spool_lines(spark, folder):
+    path = new_table_path(spark, "spool-lines")
+    sinks.write_spool_lines(inputs.backlog(spark, folder), path)
+    parts = [sources.read_spool_lines(spark, f"{path}/type={t}", t) for t in _TYPES]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole.select("type", "id", "timestamp", "data")
+
+
+@query(
+    "read_items",
+    f"""WITH {inputs.EVENTS_SQL} SELECT event_name, "timestamp", CAST(user_id AS VARCHAR) AS user_id, properties, url, session_id_hash FROM items""",
+)
+def read_items(spark, folder):
+    """Event items as JSON lines, read with the schema of their type."""
+    from tracewell.operators import budget
+
+    shaped = shape.shape_events(inputs.raw_events(spark, folder), inputs.SALT, keep=("event_id",))
+    path = new_table_path(spark, "items")
+    budget.item_budget(shaped, "events", keep=("event_id",)).select("data").write.text(path)
+    read = sources.read_items(spark, path, "events").where("_corrupt_record IS NULL")
+    return read.select(
+        "event_name", "timestamp", F.col("user.id").alias("user_id"), F.to_json("properties").alias("properties"), "url", "session_id_hash"
+    )
+
+
+@query(
+    "read_batch_bodies",
+    f"""WITH {inputs.BACKLOG_SQL}, p AS (SELECT *, (row_number() OVER (PARTITION BY type ORDER BY seq) - 1) % 1000 AS batch_pos FROM backlog)
+        SELECT type, type AS wrapper, CAST(batch_pos AS INTEGER) AS batch_pos, seq AS n FROM p""",
+)
+def read_batch_bodies(spark, folder):
+    """Bodies written per type and taken apart again, with the position of every item."""
+    path = new_table_path(spark, "bodies")
+    sinks.write_batches(batching.pack_batches(inputs.backlog(spark, folder)), path)
+    read = sources.read_batch_bodies(spark, path)
+    return read.select("type", "wrapper", "batch_pos", F.variant_get("item", "$.n", "bigint").alias("n"))
+
+
+@query(
+    "diagnostics",
+    """WITH d AS (SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS stamp, event_type, user_id, props FROM events)
+       SELECT day, stamp, CASE event_type WHEN 'error' THEN 'error' WHEN 'view' THEN 'debug' ELSE 'warning' END AS level,
+         'Saw ' || event_type || ': again' AS message, CASE WHEN user_id % 2 = 0 THEN replace(props, ' ', '') END AS context
+       FROM d WHERE CAST(day AS DATE) >= DATE '2024-01-30' - 14""",
+)
+def diagnostics(spark, folder):
+    """Lines written by day and read back; days out of retention are not read."""
+    from tracewell.functions import text
+
+    kind = F.col("event_type")
+    e = inputs.load(spark, folder, "events").select(
+        text.iso_timestamp(F.col("ts")).alias("at"),
+        F.when(kind == "error", "error").when(kind == "view", "debug").otherwise("warning").alias("level"),
+        F.concat(F.lit("Saw "), kind, F.lit(": again")).alias("message"),
+        F.when(F.col("user_id") % 2 == 0, F.parse_json("props")).alias("context"),
+    )
+    path = new_table_path(spark, "diagnostics")
+    sinks.write_diagnostics(e, path)
+    lines = spark.read.text(path).withColumn("day", F.col("day").cast("string"))
+    kept = sinks.prune_diagnostics(lines, F.lit("2024-01-30").cast("date"))
+    parsed = sources.parse_diagnostics(kept)
+    return parsed.select("day", F.col("at").alias("stamp"), "level", "message", F.to_json("context").alias("context"))
+
+
+@query(
+    "quarantine",
+    f"""WITH {inputs.REPORTS_SQL} SELECT kind, count(*) AS reports FROM reports
+        WHERE kind IN (1, 3, 4, 5, 6) OR (page_url IS NULL AND kind = 11) GROUP BY kind""",
+)
+def quarantine(spark, folder):
+    checked = validate.validate_browser_report(inputs.raw_reports(spark, folder))
+    bad = checked.where(F.size("problems") > 0).select(
+        (F.col("report_id") % 12).alias("kind"), "report_id", F.to_json("payload").alias("payload"), "problems"
+    )
+    path = new_table_path(spark, "quarantine")
+    sinks.write_quarantine(bad, path, by=("kind",))
+    return spark.read.parquet(path).groupBy(F.col("kind").cast("bigint").alias("kind")).agg(F.count(F.lit(1)).alias("reports"))
