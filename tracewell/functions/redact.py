@@ -66,17 +66,24 @@ def _redact_pairs(pairs: Column, fragments, marker: str) -> Column:
 def redact_url(url: Column, fragments=C.SENSITIVE_FRAGMENTS, marker: str = C.REDACTED) -> Column:
     """Sensitive parameters of the query, and of a fragment shaped like one; nothing else moves."""
 
-    def clean(u: Column) -> Column:
-        head = F.regexp_extract(u, r"(?s)^([^?#]*+)", 1)
-        query = F.regexp_extract(u, r"(?s)^[^?#]*+(\?[^#]*+)", 1)
-        fragment = let(
-            F.regexp_extract(u, r"(?s)^[^#]*+(#.*+)", 1),
+    named = rf"[^=&#]*?(?:{_alternatives(fragments)})[^=&#]*+="
+    # From the first ? on, pair by pair: those before a sensitive one stay as they are.
+    query = rf"(?i)((?:^[^?#]*+\?|\G(?!^)&)(?:(?!{named})[^&#]*+&)*+{named})[^&#]*+"
+
+    def clean_fragment(u: Column) -> Column:
+        fragment = F.regexp_extract(u, r"(?s)(#.*+)", 1)
+        rest = let(
+            fragment,
             lambda f: F.when(
                 F.substr(f, F.lit(2)).rlike(QUERY_SHAPE), _redact_pairs(f, fragments, marker)
             ).otherwise(f),
         )
-        rebuilt = F.concat(head, _redact_pairs(query, fragments, marker), fragment)
-        return F.when(u.rlike(sensitive_key_pattern(fragments)), rebuilt).otherwise(u)
+        return F.concat(F.substring_index(u, "#", 1), rest)
+
+    def clean(u: Column) -> Column:
+        rewritten = F.regexp_replace(u, query, f"$1{marker}")
+        whole = let(rewritten, lambda r: F.when(F.contains(r, F.lit("#")), clean_fragment(r)).otherwise(r))
+        return F.when(u.rlike(sensitive_key_pattern(fragments)), whole).otherwise(u)
 
     return let(url, clean)
 
@@ -142,14 +149,11 @@ def _container_pattern(depth: int) -> str:
 def too_deep(text: Column, max_depth: int = C.MAX_DEPTH) -> Column:
     """Whether JSON text nests `max_depth` containers or more.
 
-    Few documents have that many brackets at all; of those, peeling innermost pairs off the
-    bracket skeleton tells.
+    Few documents have that many brackets at all; of those, a match against everything that is
+    nested less tells.
     """
-    skeleton = F.regexp_replace(F.regexp_replace(text, _STRING, ""), r"[^\[\]{}]++", "")
-    for _ in range(max_depth - 1):
-        skeleton = F.regexp_replace(skeleton, r"\[\]|\{\}", "")
     openings = F.length(text) - F.length(F.translate(text, "[{", ""))
-    return (openings >= max_depth) & (skeleton != "")
+    return (openings >= max_depth) & ~text.rlike(rf"^{_container_pattern(max_depth - 1)}\z")
 
 
 def sanitize_depth_json(text: Column, max_depth: int = C.MAX_DEPTH) -> Column:
@@ -182,12 +186,18 @@ def _redact_json_urls(text: Column, fragments, secrets: Column | None, marker: s
     """String values shaped like URLs.  Such a string holds neither quotes nor backslashes, so it
     is one whole piece of the text split at its quotes."""
 
+    named = rf"(?i)[?#&][^=&]*(?:{_alternatives(fragments)})[^=&]*="
+
     def piece(pieces: Column):
         def clean(x: Column, i: Column) -> Column:
+            # Few pieces hold a parameter or a secret at all; the rest is asked of those only.
+            candidate = x.rlike(named)
+            if secrets is not None:
+                candidate = candidate | F.coalesce(F.exists(secrets, lambda s: F.contains(x, s)), F.lit(False))
             opened = ~F.coalesce(F.get(pieces, i - 1).rlike(r"(?<!\\)(?:\\\\)*+\\\z"), F.lit(False))
             is_key = F.startswith(F.coalesce(F.get(pieces, i + 1), F.lit("")), F.lit(":"))
             redacted = redact_url_path(redact_url(x, fragments, marker), secrets, marker)
-            return F.when(opened & ~is_key & x.rlike(URL_SHAPE), redacted).otherwise(x)
+            return F.when(candidate & x.rlike(URL_SHAPE) & opened & ~is_key, redacted).otherwise(x)
 
         return clean
 
@@ -197,7 +207,8 @@ def _redact_json_urls(text: Column, fragments, secrets: Column | None, marker: s
 def _rewrite_json(text: Column, fragments, values: Column | None, max_depth: int, marker: str) -> Column:
     alternatives = _alternatives(fragments)
     # A key: a string that starts after { or , and ends before a colon.
-    fragment_ahead = rf'(?=[^"]*?(?:{alternatives})|(?:[^"\\]|\\.){{0,500}}?(?:{alternatives}))'
+    escaped = rf'[^"\\]*+\\.(?:[^"\\]|\\.){{0,500}}?(?:{alternatives})'
+    fragment_ahead = rf'(?=[^"\\]*?(?:{alternatives})|{escaped})'
     key = rf"(?<=[{{,])(?={_STRING}:)(\"{fragment_ahead}[^\"\\]*+(?:\\.[^\"\\]*+)*+\":)"
     value = rf"(?:{_STRING}|{_container_pattern(max_depth)}|[^,\]}}]++)"
     shallow = sanitize_depth_json(text, max_depth)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracewell.functions.let import let
+
 
 def merge_properties(base: dict[str, Column], extra: Column | None = None, final: dict[str, Column] | None = None) -> Column:
     """VARIANT object of base properties, overridden by `extra` (VARIANT), then by `final`.
@@ -19,10 +21,17 @@ def merge_properties(base: dict[str, Column], extra: Column | None = None, final
     for key, value in (final or {}).items():
         present = F.coalesce(value != "", F.lit(False))
         layers.append(F.when(present, F.create_map(F.lit(key), value.cast("variant"))).otherwise(none))
+    if len(layers) == 1:
+        return F.to_variant_object(stated)
+
+    def over(below: Column, layer: Column) -> Column:
+        kept = F.map_filter(below, lambda k, _: ~F.map_contains_key(layer, k))
+        return F.when(F.size(layer) > 0, F.map_concat(kept, layer)).otherwise(below)
+
     merged = layers[0]
     for layer in layers[1:]:
-        kept = F.map_filter(merged, lambda k, _: ~F.map_contains_key(layer, k))
-        merged = F.map_concat(kept, layer)
+        pair = F.struct(merged.alias("below"), layer.alias("layer"))
+        merged = let(pair, lambda p: over(p["below"], p["layer"]))
     return F.to_variant_object(merged)
 
 
@@ -60,18 +69,17 @@ def sale_events(orders: DataFrame, lines: DataFrame, currency: str = "USD", extr
     products = lines.groupBy("order_id").agg(
         F.array_sort(F.collect_list(F.struct("line_no", "product_id", "quantity", "price"))).alias("_lines")
     )
-    listed = F.coalesce(
+    none = F.array().cast(products.schema["_lines"].dataType)
+    lines_of = F.coalesce("_lines", none)
+    listed = F.to_variant_object(
         F.transform(
-            "_lines",
-            lambda p: F.to_variant_object(
-                F.struct(
-                    p["product_id"].cast("string").alias("product_id"),
-                    p["quantity"].cast("bigint").alias("quantity"),
-                    p["price"].alias("price"),
-                )
+            lines_of,
+            lambda p: F.struct(
+                p["product_id"].cast("string").alias("product_id"),
+                p["quantity"].cast("bigint").alias("quantity"),
+                p["price"].alias("price"),
             ),
-        ),
-        F.array().cast("array<variant>"),
+        )
     )
     joined = orders.join(products, "order_id", "left")
     base = {
@@ -79,7 +87,7 @@ def sale_events(orders: DataFrame, lines: DataFrame, currency: str = "USD", extr
         "total_amount": F.col("total_amount").cast("double"),
         "currency": F.lit(currency),
         "products": listed,
-        "product_count": F.size(listed).cast("bigint"),
+        "product_count": F.size(lines_of).cast("bigint"),
     }
     return joined.withColumns({"name": F.lit("sale"), "properties": merge_properties(base, extra)}).drop("_lines")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import OrderedDict
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -34,20 +35,26 @@ def dedupe_reports(
     A hit does not refresh its key: keys leave in the order they came.  While a session has no
     more distinct keys than the cache holds, nothing ever leaves it, so the first report of each
     key is what is sent: an aggregation that combines before it shuffles.  Only sessions with
-    more keys need their reports in order; see `_replay`.  `order` is a unique integer.
+    more keys need their reports in order; those longer than `segment` are cut, see `_replay`.
+    `order` is a unique integer.
     """
     slim = df.select(
         F.coalesce(F.col(session).cast("string"), F.lit("")).alias("_session"),
         F.sha2(key.cast("string"), 256).alias("_key"),
         F.col(order).cast("bigint").alias("_seq"),
     )
-    firsts = slim.groupBy("_session", "_key").agg(F.min("_seq").alias("_seq"))
-    sizes = firsts.groupBy("_session").agg(F.count(F.lit(1)).alias("_keys"))
-    small = firsts.join(sizes.where(F.col("_keys") <= cache), "_session", "left_semi").select("_session", "_seq")
-    large = sizes.where(F.col("_keys") > cache).select("_session")
-    sent = small
-    if not large.isEmpty():
-        sent = small.unionByName(_replay(slim.join(large, "_session", "left_semi"), cache, segment))
+    firsts = slim.groupBy("_session", "_key").agg(F.min("_seq").alias("_seq"), F.count(F.lit(1)).alias("_n"))
+    sizes = firsts.groupBy("_session").agg(F.count(F.lit(1)).alias("_keys"), F.sum("_n").alias("_rows"))
+    within = sizes.where(F.col("_keys") <= cache)
+    outgrown = sizes.where(F.col("_keys") > cache)
+    short = outgrown.where(F.col("_rows") <= segment)
+    long = outgrown.where(F.col("_rows") > segment)
+
+    sent = firsts.join(within, "_session", "left_semi").select("_session", "_seq")
+    one_segment = slim.join(short, "_session", "left_semi").withColumn("_segment", F.lit(0).cast("bigint"))
+    sent = sent.unionByName(_sent(_pass(one_segment, cache)))
+    if not long.isEmpty():
+        sent = sent.unionByName(_replay(slim.join(long, "_session", "left_semi"), cache, segment))
     marked = df.withColumn("_session", F.coalesce(F.col(session).cast("string"), F.lit(""))).withColumn(
         "_seq", F.col(order).cast("bigint")
     )
@@ -67,8 +74,55 @@ def _run_cache(keys, held: OrderedDict, cache: int) -> list[bool]:
     return sent
 
 
+_PASSED = "_session string, _segment bigint, _seq bigint, _start array<string>, _end array<string>"
+
+
+def _pass(rows: DataFrame, cache: int, starts: DataFrame | None = None, ends: bool = False) -> DataFrame:
+    """Run segments of reports through their caches, in order.
+
+    Reads `_session, _segment, _seq, _key`.  A segment starts with an empty cache, or with the
+    one `starts` names for it.  Gives the reports that are sent, or with `ends` one row per
+    segment with the caches it started and ended with.  The rows stream through in batches: a
+    task holds one batch and one cache, however long a segment is.
+    """
+    none = F.lit(None)
+    stream = rows.select("_session", "_segment", "_seq", "_key", none.cast("array<string>").alias("_start"))
+    if starts is not None:
+        opening = starts.select("_session", "_segment", none.cast("bigint").alias("_seq"), none.cast("string").alias("_key"), "_start")
+        stream = stream.unionByName(opening)
+    # The opening row of a segment has no number and sorts before its reports.
+    stream = stream.repartition("_session", "_segment").sortWithinPartitions("_session", "_segment", F.col("_seq").asc_nulls_first())
+
+    def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place, start, held = None, [], OrderedDict()
+        for batch in batches:
+            out = []
+            columns = (batch[c] for c in ("_session", "_segment", "_seq", "_key", "_start"))
+            for session, segment, seq, key, given in zip(*columns):
+                if (session, segment) != place:
+                    if ends and place is not None:
+                        out.append((*place, None, start, list(held)))
+                    place = (session, segment)
+                    start = [] if given is None else list(given)
+                    held = OrderedDict.fromkeys(start)
+                if key is None or not _run_cache((key,), held, cache)[0]:
+                    continue
+                if not ends:
+                    out.append((session, segment, int(seq), None, None))
+            yield pd.DataFrame(out, columns=["_session", "_segment", "_seq", "_start", "_end"], dtype=object)
+        if ends and place is not None:
+            last = [(*place, None, start, list(held))]
+            yield pd.DataFrame(last, columns=["_session", "_segment", "_seq", "_start", "_end"], dtype=object)
+
+    return stream.mapInPandas(replay, _PASSED)
+
+
+def _sent(passed: DataFrame) -> DataFrame:
+    return passed.select("_session", "_seq")
+
+
 def _replay(rows: DataFrame, cache: int, segment: int) -> DataFrame:
-    """Exact cache replay of sessions of any length, in segments of at most `segment` reports.
+    """Exact cache replay of long sessions, cut into segments of `segment` reports.
 
     Every segment first runs from an empty cache, all at once.  Then each takes the cache its
     predecessor ended with, and those whose starting cache changed run again, until none does.
@@ -76,50 +130,22 @@ def _replay(rows: DataFrame, cache: int, segment: int) -> DataFrame:
     the last few keys, nearly all settle in the second round.
     """
     settings.use_checkpoints(rows.sparkSession)
-    cut = rows.withColumn("_segment", ordered.bucket_start(F.col("_seq"), segment))
-    state = "_session string, _segment bigint, _start array<string>, _end array<string>"
-
-    def end_of(group: pd.DataFrame, started: pd.DataFrame) -> pd.DataFrame:
-        if group.empty or started.empty:
-            return pd.DataFrame(columns=["_session", "_segment", "_start", "_end"], dtype=object)
-        start = list(started["_start"].iloc[0])
-        held = OrderedDict.fromkeys(start)
-        _run_cache(group.sort_values("_seq")["_key"], held, cache)
-        first = group.iloc[0]
-        return pd.DataFrame(
-            {"_session": [first["_session"]], "_segment": [first["_segment"]], "_start": [start], "_end": [list(held)]}
-        )
-
-    def run(starts: DataFrame) -> DataFrame:
-        # Both sides come from the same rows; new names keep their columns apart.
-        named = starts.select(F.col("_session").alias("_of"), F.col("_segment").alias("_at"), "_start")
-        grouped = cut.groupBy("_session", "_segment").cogroup(named.groupBy("_of", "_at"))
-        return grouped.applyInPandas(end_of, state).checkpoint()
-
-    empty = F.array().cast("array<string>")
-    states = run(cut.select("_session", "_segment").distinct().withColumn("_start", empty))
+    placed = ordered.add_position(rows, ["_session"], "_seq", "_position")
+    cut = placed.withColumn("_segment", F.expr(f"_position div {int(segment)}")).drop("_position").checkpoint()
+    place = ["_session", "_segment"]
     w = Window.partitionBy("_session").orderBy("_segment")
+    states = _pass(cut, cache, ends=True).select(*place, "_start", "_end").checkpoint()
     while True:
-        linked = states.withColumn("_given", F.coalesce(F.lag("_end").over(w), empty))
-        stale = linked.where(F.col("_given") != F.col("_start")).select("_session", "_segment", F.col("_given").alias("_start"))
+        given = F.coalesce(F.lag("_end").over(w), F.array().cast("array<string>"))
+        linked = states.withColumn("_given", given)
+        stale = linked.where(F.col("_given") != F.col("_start")).select(*place, F.col("_given").alias("_start"))
+        stale = stale.checkpoint()
         if stale.isEmpty():
             break
-        redone = run(stale)
-        kept = states.join(redone.select("_session", "_segment"), ["_session", "_segment"], "left_anti")
-        states = kept.unionByName(redone).checkpoint()
-
-    def sent_of(group: pd.DataFrame, started: pd.DataFrame) -> pd.DataFrame:
-        if group.empty or started.empty:
-            return pd.DataFrame(columns=["_session", "_seq"], dtype=object)
-        group = group.sort_values("_seq")
-        held = OrderedDict.fromkeys(started["_start"].iloc[0])
-        return group[_run_cache(group["_key"], held, cache)][["_session", "_seq"]]
-
-    return (
-        cut.groupBy("_session", "_segment")
-        .cogroup(states.groupBy("_session", "_segment"))
-        .applyInPandas(sent_of, "_session string, _seq bigint")
-    )
+        again = cut.join(stale.select(*place), place, "left_semi")
+        redone = _pass(again, cache, stale, ends=True).select(*place, "_start", "_end").checkpoint()
+        states = states.join(redone.select(*place), place, "left_anti").unionByName(redone).checkpoint()
+    return _sent(_pass(cut, cache, states.select(*place, "_start")))
 
 
 def breadcrumb_trail(

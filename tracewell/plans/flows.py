@@ -23,19 +23,23 @@ def event_spool(raw: DataFrame, salt: str) -> DataFrame:
     return spool.to_spool(items, F.lit("events"), F.col("event_id"), F.col("seq"), F.col("at"))
 
 
-def split_reports(raw: DataFrame, allowed=(), rate: float = 1.0) -> tuple[DataFrame, DataFrame]:
-    """Received and rejected browser reports, in the order of the rules: gates, origin, Referer
-    fallback, validation, ignore list, sample."""
+def received_reports(raw: DataFrame, allowed=(), rate: float = 1.0) -> DataFrame:
+    """Browser reports that pass every rule, in their order: gates, origin, Referer fallback,
+    validation, ignore list, sample."""
     classified = validate.classify_reports(raw, allowed, rate=rate)
-    received = validate.fill_report_url(classified.where("disposition = 'received'"))
-    rejected = validate.validate_browser_report(classified.where("disposition = 'invalid'"))
-    return received, rejected
+    return validate.fill_report_url(classified.where("disposition = 'received'"))
+
+
+def rejected_reports(raw: DataFrame, allowed=()) -> DataFrame:
+    """Reports that fail validation, with their problems."""
+    classified = validate.classify_reports(raw, allowed)
+    return validate.validate_browser_report(classified.where("disposition = 'invalid'"))
 
 
 def js_error_items(raw: DataFrame, salt: str, keep=("report_id",), allowed=(), rate: float = 1.0, secrets=None) -> DataFrame:
     """Raw browser reports to budgeted items."""
-    received, _ = split_reports(raw, allowed, rate)
-    shaped = shape.shape_js_errors(received, salt, keep=keep, secrets=secrets)
+    received = received_reports(raw, allowed, rate)
+    shaped = computed_once(shape.shape_js_errors(received, salt, keep=keep, secrets=secrets))
     return budget.item_budget(shaped, "javascript_errors", keep=keep)
 
 
@@ -47,5 +51,9 @@ def unique_reports(raw: DataFrame) -> DataFrame:
 
 def flush(backlog: DataFrame, max_spool: int = C.MAX_SPOOL_ITEMS, max_items: int = C.MAX_BATCH_ITEMS,
           max_bytes: int = C.MAX_BATCH_BYTES) -> DataFrame:
-    """A backlog as packed batches, the newest records per type only."""
+    """A backlog as packed batches, the newest records per type only.
+
+    Give it a stored spool (`read_spool_table`): numbering the records reads it twice, the first
+    time two columns of it.
+    """
     return batching.pack_batches(spool.keep_newest(backlog, max_spool), max_items, max_bytes)

@@ -18,7 +18,7 @@ from tracewell.plans.registry import query
        FROM lineitem JOIN part ON l_partkey = p_partkey""",
 )
 def cart_events(spark, folder):
-    lines = inputs.load(spark, folder, "lineitem").select(
+    lines = inputs.load(spark, folder, "lineitem", "l_orderkey").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_no"),
         F.col("l_partkey").alias("product_id"),

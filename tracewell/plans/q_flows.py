@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from tracewell.operators import batching, spool, validate
 from tracewell.plans import flows, inputs
 from tracewell.plans.registry import query
+from tracewell.session import new_table_path
+from tracewell.sources import items as sources
+from tracewell.sources import sinks
 
 _E, _R = inputs.EVENTS_SQL, inputs.REPORTS_SQL
 
@@ -22,8 +25,9 @@ _E, _R = inputs.EVENTS_SQL, inputs.REPORTS_SQL
 def flush_events(spark, folder):
     """Events shaped, redacted, hashed, validated and held to their budget; the newest of them
     spooled and packed."""
-    backlog = flows.event_spool(inputs.raw_events(spark, folder), inputs.SALT)
-    packed = flows.flush(backlog)
+    path = new_table_path(spark, "event-spool")
+    sinks.write_spool(flows.event_spool(inputs.raw_events(spark, folder), inputs.SALT), path)
+    packed = flows.flush(sources.read_spool_table(spark, path))
     return packed.groupBy("type", "batch_no").agg(
         F.count(F.lit(1)).alias("items"),
         F.sum("bytes").alias("bytes"),
@@ -61,7 +65,7 @@ def js_report_flow(spark, folder):
     f"""WITH {_R} SELECT report_id, kind FROM judged WHERE disposition = 'invalid'""",
 )
 def rejected_reports(spark, folder):
-    _, rejected = flows.split_reports(inputs.raw_reports(spark, folder), inputs.ALLOWED_ORIGINS)
+    rejected = flows.rejected_reports(inputs.raw_reports(spark, folder), inputs.ALLOWED_ORIGINS)
     return rejected.where(F.size("problems") > 0).select("report_id", (F.col("report_id") % 12).alias("kind"))
 
 

@@ -37,7 +37,7 @@ def session_dedupe_small_cache(spark, folder):
     e = inputs.load(spark, folder, "events")
     bucket = (F.get_json_object("props", "$.k").cast("bigint") % 10).cast("string")
     key = F.concat("event_type", F.lit("|"), bucket)
-    kept = sessions.dedupe_reports(e, key, session="user_id", order="event_id", cache=5, segment=1 << 12)
+    kept = sessions.dedupe_reports(e, key, session="user_id", order="event_id", cache=5, segment=40)
     return kept.select("event_id")
 
 

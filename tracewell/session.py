@@ -30,6 +30,8 @@ def local_session(cores: str = "8", memory: str = "8g", app: str = "tracewell")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Call sites are recorded for every Column otherwise, which slows building large plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
         .config("spark.sql.adaptive.enabled", "true")

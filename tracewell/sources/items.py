@@ -52,6 +52,11 @@ def read_spool_lines(spark: SparkSession, path: str, record_type: str, stream: b
     return _envelopes(entries, record_type)
 
 
+def read_spool_table(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
+    """A spool kept as a table; a filter on `type` reads that type's folder only."""
+    return _reader(spark, stream).schema(schemas.SPOOL).parquet(path)
+
+
 def _envelopes(entries: DataFrame, record_type: str) -> DataFrame:
     entry = F.col("entry")
     id_, data, at = (rules.variant_field(entry, k) for k in ("id", "data", "timestamp"))

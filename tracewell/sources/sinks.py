@@ -23,6 +23,11 @@ def write_spool_lines(spool: DataFrame, path: str, mode: str = "overwrite") -> N
     spool.select("type", envelope_json().alias("value")).write.partitionBy("type").mode(mode).text(path)
 
 
+def write_spool(spool: DataFrame, path: str, mode: str = "append") -> None:
+    """A spool as a table in a folder per type: what later steps read more than once."""
+    spool.write.partitionBy("type").mode(mode).parquet(path)
+
+
 def envelope_json() -> Column:
     """`{"id", "data", "timestamp"}`; the item's text is placed as it is."""
     quoted_id = F.to_json(F.struct(F.col("id").alias("id")))
