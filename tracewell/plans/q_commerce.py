@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tracewell.functions.let import computed_once
 from tracewell.operators import commerce, filters, shape
 from tracewell.plans import inputs
 from tracewell.plans.registry import query
@@ -37,6 +38,7 @@ def cart_events(spark, folder):
         )
     )
     events = commerce.cart_add_events(lines, products, extra, F.col("category"))
+    events = computed_once(events.select("order_id", "line_no", "name", "properties"))
     p = F.col("properties")
     return events.select(
         "order_id",
@@ -71,24 +73,20 @@ def sale_events(spark, folder):
         F.col("l_quantity").alias("quantity"),
         F.col("l_extendedprice").alias("price"),
     )
-    sales = commerce.sale_events(orders, lines)
+    sales = computed_once(commerce.sale_events(orders, lines).select("order_id", "name", "properties"))
     p = F.col("properties")
-    products = F.variant_get(p, "$.products", "array<variant>")
-    return sales.select(
+    sold = sales.select(
         "order_id",
         "name",
         F.variant_get(p, "$.total_amount", "double").alias("total_amount"),
         F.variant_get(p, "$.currency", "string").alias("currency"),
         F.variant_get(p, "$.product_count", "bigint").alias("product_count"),
-        F.aggregate(
-            products,
-            F.lit(0).cast("bigint"),
-            lambda a, x: a + F.variant_get(x, "$.quantity", "bigint"),
-        ).alias("units"),
-        F.array_join(F.transform(products, lambda x: F.variant_get(x, "$.product_id", "string")), ",").alias(
-            "product_ids"
-        ),
+        F.variant_get(p, "$.products", "array<struct<product_id:string,quantity:bigint>>").alias("products"),
     )
+    units = F.aggregate("products", F.lit(0).cast("bigint"), lambda a, x: a + x["quantity"])
+    return sold.withColumns(
+        {"units": units, "product_ids": F.array_join(F.transform("products", lambda x: x["product_id"]), ",")}
+    ).drop("products")
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tracewell.functions import text
+from tracewell.functions.let import computed_once
 from tracewell.operators import budget, sessions, shape
 from tracewell.plans import inputs
 from tracewell.plans.registry import query
@@ -18,7 +19,7 @@ _E = inputs.EVENTS_SQL
         user_agent_hash, session_id_hash, CAST(bytes AS BIGINT) AS bytes FROM sized""",
 )
 def event_items(spark, folder):
-    shaped = shape.shape_events(inputs.raw_events(spark, folder), inputs.SALT, keep=("event_id",))
+    shaped = computed_once(shape.shape_events(inputs.raw_events(spark, folder), inputs.SALT, keep=("event_id",)))
     return shaped.select(
         "event_id",
         "event_name",

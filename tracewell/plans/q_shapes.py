@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tracewell import contracts as C
 from tracewell.functions import redact, text, url
+from tracewell.functions.let import computed_once
 from tracewell.operators import budget, filters, shape, validate
 from tracewell.plans import inputs
 from tracewell.plans.q_redaction import _TEXT_RE2
@@ -34,7 +35,9 @@ _REDACT = f"regexp_replace(text, '{_TEXT_RE2}', '\\1\\2[REDACTED]', 'g')"
        FROM documents""",
 )
 def error_items(spark, folder):
-    shaped = shape.shape_errors(inputs.raw_errors(spark, folder), keep=("doc_id",), project_root="/srv/app")
+    shaped = computed_once(
+        shape.shape_errors(inputs.raw_errors(spark, folder), keep=("doc_id",), project_root="/srv/app")
+    )
     headers = F.map_from_entries(F.transform("headers", lambda h: F.struct(h["name"], h["values"][0])))
     masked = F.filter(F.map_keys(headers), lambda k: headers[k] == C.MASKED)
     return shaped.select(
@@ -185,8 +188,10 @@ _EXTRA_BYTES = inputs.json_bytes_sql("'{\"environment\":\"mine\",\"note\":' || C
 )
 def log_items(spark, folder):
     kept = filters.exclude_channels(filters.min_level(raw_logs(spark, folder)), ["system"])
-    shaped = shape.shape_logs(
-        kept, keep=("conv_id", "turn"), environment="staging", runtime_version="8.4.1", framework="symfony"
+    shaped = computed_once(
+        shape.shape_logs(
+            kept, keep=("conv_id", "turn"), environment="staging", runtime_version="8.4.1", framework="symfony"
+        )
     )
     keys = F.array_sort(F.map_keys(F.col("extra").try_cast("map<string,variant>")))
     return shaped.select(
@@ -221,7 +226,9 @@ def log_items(spark, folder):
 def js_error_items(spark, folder):
     raw = inputs.raw_reports(spark, folder)
     judged = validate.classify_reports(raw, inputs.ALLOWED_ORIGINS).where("disposition = 'received'")
-    shaped = shape.shape_js_errors(validate.fill_report_url(judged), inputs.SALT, keep=("report_id",))
+    shaped = computed_once(
+        shape.shape_js_errors(validate.fill_report_url(judged), inputs.SALT, keep=("report_id",))
+    )
     crumbs = F.col("breadcrumbs")
     return shaped.select(
         "report_id", "message", "stack", "type", "line", "column", "url", "timestamp", "session_id",
@@ -288,7 +295,7 @@ def item_budgets(spark, folder):
         "doc_id", F.lit("notice").alias("level"), big.alias("message"), F.to_variant_object(F.struct(big.alias("body"))).alias("context")
     )
     sized = items.withColumn("full_bytes", budget.item_bytes(items, "logs"))
-    out = budget.item_budget(sized, "logs", keep=("doc_id", "full_bytes"), dropped_too=True)
+    out = computed_once(budget.item_budget(sized, "logs", keep=("doc_id", "full_bytes"), dropped_too=True))
     parsed = F.parse_json("data")
     return out.select(
         "doc_id",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tracewell.functions.let import computed_once
 from tracewell.operators import batching, budget, shape, validate
 from tracewell.plans import inputs
 from tracewell.plans.registry import query
@@ -22,7 +23,7 @@ def contract_violations(spark, folder):
     """Typed event items against the event rules; the order of the list is that of the rules."""
     raw = inputs.raw_events(spark, folder)
     long_name = F.when(F.col("name") == "view", F.repeat(F.lit("view_"), F.lit(11))).otherwise(F.col("name"))
-    shaped = shape.shape_events(raw.withColumn("name", long_name), inputs.SALT, keep=("event_id",))
+    shaped = computed_once(shape.shape_events(raw.withColumn("name", long_name), inputs.SALT, keep=("event_id",)))
     found = validate.validate(shaped, "events")
     return found.select("event_id", F.array_join(F.reverse("violations"), "; ").alias("found"))
 
