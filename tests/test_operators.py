@@ -77,6 +77,10 @@ def test_pack_batches_equals_a_loop(spark, max_items, max_bytes, width):
     got = batching.pack_batches(df, max_items, max_bytes, width).orderBy("seq").collect()
     assert [(r.batch_no, r.batch_pos) for r in got] == greedy(sizes, max_items, max_bytes)
     assert [r.seq for r in got] == list(range(120))
+    bodies = {r.batch_no: r for r in batching.packed_bodies(df, max_items, max_bytes, width).collect()}
+    for r in batching.batch_bodies(batching.pack_batches(df, max_items, max_bytes, width)).collect():
+        assert bodies.pop(r.batch_no).asDict() == r.asDict()
+    assert not bodies
 
 
 def test_trim_cases(spark):
@@ -291,6 +295,14 @@ def test_property_merges(spark):
     assert "category" not in got
 
 
+def test_a_vast_sale_is_not_collected(spark):
+    orders = spark.createDataFrame([(1, 5.0), (2, 6.0)], "order_id bigint, total_amount double")
+    lines = spark.createDataFrame([(1 + (i >= 3), i, i, 1, 2.0) for i in range(10)], "order_id bigint, line_no int, product_id bigint, quantity bigint, price double")
+    got = {r.order_id: r.p for r in commerce.sale_events(orders, lines, max_lines=5).select("order_id", F.to_json("properties").alias("p")).collect()}
+    assert '"product_count":3' in got[1] and got[1].count("product_id") == 3
+    assert '"product_count":7' in got[2] and '"products":{"_truncated":' in got[2]
+
+
 def test_item_budget_steps(spark):
     big = "é" * 50_000
     rows = spark.createDataFrame(

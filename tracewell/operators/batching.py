@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewell import contracts as C
-from tracewell.operators import ordered
+from tracewell.operators import delivery, ordered
 
 
 def trim_to_bytes(
@@ -34,15 +34,24 @@ def pack_batches(
     numbers rise in FIFO order but are not dense: chunk number times `max_items` plus the number
     of the split, so that no pass over all chunks is needed to number them.
     """
+    chunks = _chunks(spool, max_items, max_bytes, width)
+    exploded = chunks.select("type", "_chunk", F.explode("_placed").alias("z"))
+    return exploded.select(
+        *[F.col("type") if c == "type" else F.col(f"z.item.{c}").alias(c) for c in spool.columns],
+        (F.col("_chunk") * max_items + F.col("z.place.split")).alias("batch_no"),
+        F.col("z.place.pos").alias("batch_pos"),
+    )
+
+
+def _chunks(spool: DataFrame, max_items: int, max_bytes: int, width: int) -> DataFrame:
+    """`type, _chunk, _placed`: chunks of `max_items` records, each with its batch and place.
+
+    At most `max_items` records meet in a chunk, each within the item budget.
+    """
     placed = ordered.add_position(spool, ["type"], "seq", "_position", width)
     chunked = placed.withColumn("_chunk", F.expr(f"_position div {int(max_items)}"))
-    columns = spool.columns
-    # At most `max_items` records meet here, each within the item budget.
-    grouped = chunked.groupBy("type", "_chunk").agg(
-        F.array_sort(
-            F.collect_list(F.struct(F.col("seq").alias("_seq"), *[F.col(c) for c in columns if c != "type"]))
-        ).alias("_items")
-    )
+    record = F.struct(F.col("seq").alias("_seq"), *[F.col(c) for c in spool.columns if c != "type"])
+    grouped = chunked.groupBy("type", "_chunk").agg(F.array_sort(F.collect_list(record)).alias("_items"))
     zero = F.lit(0).cast("bigint")
     start = F.struct(
         zero.alias("split"),
@@ -66,31 +75,55 @@ def pack_batches(
     places = F.aggregate("_items", start, place, lambda s: s["places"])
     whole = F.aggregate("_items", zero, lambda a, i: a + i["bytes"]) <= max_bytes
     # A chunk within the limit (the usual case) is one batch and needs no fold.
-    simple = F.transform(
-        "_items", lambda _, i: F.struct(zero.alias("split"), i.cast("bigint").alias("pos"))
+    simple = F.transform("_items", lambda _, i: F.struct(zero.alias("split"), i.cast("bigint").alias("pos")))
+    paired = F.arrays_zip(
+        F.col("_items").alias("item"), F.when(whole, simple).otherwise(places).alias("place")
     )
-    exploded = grouped.select(
+    return grouped.select("type", "_chunk", paired.alias("_placed"))
+
+
+def packed_bodies(
+    spool: DataFrame,
+    max_items: int = C.MAX_BATCH_ITEMS,
+    max_bytes: int = C.MAX_BATCH_BYTES,
+    width: int = ordered.WIDTH,
+    endpoints: DataFrame | None = None,
+) -> DataFrame:
+    """The bodies of `pack_batches`, made where a chunk has met: the records move once less than
+    in packing, spreading and gathering them again."""
+    slim = spool.select("type", "seq", "data", "bytes")
+    chunks = _chunks(slim, max_items, max_bytes, width)
+    splits = F.sequence(F.lit(0).cast("bigint"), F.element_at("_placed", -1)["place"]["split"])
+    batches = chunks.select(
+        "type", "_chunk", "_placed", F.explode(splits).alias("_split")
+    ).select(
         "type",
-        "_chunk",
-        F.explode(F.arrays_zip(F.col("_items").alias("item"), F.when(whole, simple).otherwise(places).alias("place"))).alias("z"),
+        (F.col("_chunk") * max_items + F.col("_split")).alias("batch_no"),
+        F.filter("_placed", lambda z: z["place"]["split"] == F.col("_split")).alias("_own"),
     )
-    return exploded.select(
-        *[F.col("type") if c == "type" else F.col(f"z.item.{c}").alias(c) for c in columns],
-        (F.col("_chunk") * max_items + F.col("z.place.split")).alias("batch_no"),
-        F.col("z.place.pos").alias("batch_pos"),
+    listed = F.transform("_own", lambda z: z["item"]["data"])
+    made = batches.select(
+        "type",
+        "batch_no",
+        F.size("_own").cast("bigint").alias("items"),
+        F.aggregate("_own", F.lit(0).cast("bigint"), lambda a, z: a + z["item"]["bytes"]).alias("bytes"),
+        listed.alias("_data"),
     )
+    return _with_body(made, endpoints)
+
+
+def _with_body(batches: DataFrame, endpoints: DataFrame | None) -> DataFrame:
+    routed = delivery.route(batches, endpoints)
+    body = F.concat(F.lit('{"'), F.col("wrapper"), F.lit('":['), F.array_join("_data", ","), F.lit("]}"))
+    return routed.withColumn("body", body).drop("_data")
 
 
 def batch_bodies(batches: DataFrame, endpoints: DataFrame | None = None) -> DataFrame:
     """One JSON body per batch: a single wrapper key holding the items as a plain list."""
-    from tracewell.operators import delivery
-
     grouped = batches.groupBy("type", "batch_no").agg(
         F.count(F.lit(1)).alias("items"),
         F.sum("bytes").alias("bytes"),
         F.array_sort(F.collect_list(F.struct("batch_pos", "data"))).alias("_items"),
     )
-    routed = delivery.route(grouped, endpoints)
-    listed = F.array_join(F.transform("_items", lambda i: i["data"]), ",")
-    body = F.concat(F.lit('{"'), F.col("wrapper"), F.lit('":['), listed, F.lit("]}"))
-    return routed.withColumn("body", body).drop("_items")
+    listed = F.transform("_items", lambda i: i["data"])
+    return _with_body(grouped.withColumn("_data", listed).drop("_items"), endpoints)

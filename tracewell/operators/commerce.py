@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracewell import contracts as C
+from tracewell.functions import sizing
 from tracewell.functions.let import let
 
 
@@ -59,21 +61,33 @@ def cart_add_events(
     return joined.withColumns({"name": F.lit("product_added_to_cart"), "properties": properties})
 
 
-def sale_events(orders: DataFrame, lines: DataFrame, currency: str = "USD", extra: Column | None = None) -> DataFrame:
+def sale_events(
+    orders: DataFrame,
+    lines: DataFrame,
+    currency: str = "USD",
+    extra: Column | None = None,
+    max_lines: int = C.MAX_ITEM_BYTES // 40,
+) -> DataFrame:
     """One `sale` event per order of `orders(order_id, total_amount, …)`, its products from
     `lines(order_id, line_no, product_id, quantity, price)`, in line order.
 
-    Orders without lines have an empty product list.  An order has few lines; the lines are
-    shuffled once, by order.
+    Orders without lines have an empty product list.  A product takes at least 40 bytes of JSON,
+    so an order of more than `max_lines` lines cannot stay within the item budget, which would
+    replace its product list whole; such a list gets the same marker here and is never collected.
+    Its count is exact.
     """
-    products = lines.groupBy("order_id").agg(
-        F.array_sort(F.collect_list(F.struct("line_no", "product_id", "quantity", "price"))).alias("_lines")
+    counts = lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("_count"))
+    vast = counts.where(F.col("_count") > max_lines).select("order_id")
+    products = (
+        lines.join(vast, "order_id", "left_anti")
+        .groupBy("order_id")
+        .agg(F.array_sort(F.collect_list(F.struct("line_no", "product_id", "quantity", "price"))).alias("_lines"))
     )
+    count = F.coalesce("_count", F.lit(0).cast("bigint"))
     none = F.array().cast(products.schema["_lines"].dataType)
-    lines_of = F.coalesce("_lines", none)
-    listed = F.to_variant_object(
+    whole = F.to_variant_object(
         F.transform(
-            lines_of,
+            F.coalesce("_lines", none),
             lambda p: F.struct(
                 p["product_id"].cast("string").alias("product_id"),
                 p["quantity"].cast("bigint").alias("quantity"),
@@ -81,15 +95,16 @@ def sale_events(orders: DataFrame, lines: DataFrame, currency: str = "USD", extr
             ),
         )
     )
-    joined = orders.join(products, "order_id", "left")
+    listed = F.when(count > max_lines, sizing.truncation_marker(C.FIELD_REASON)).otherwise(whole)
+    joined = orders.join(counts, "order_id", "left").join(products, "order_id", "left")
     base = {
         "order_id": F.col("order_id").cast("string"),
         "total_amount": F.col("total_amount").cast("double"),
         "currency": F.lit(currency),
         "products": listed,
-        "product_count": F.size(lines_of).cast("bigint"),
+        "product_count": count,
     }
-    return joined.withColumns({"name": F.lit("sale"), "properties": merge_properties(base, extra)}).drop("_lines")
+    return joined.withColumns({"name": F.lit("sale"), "properties": merge_properties(base, extra)}).drop("_lines", "_count")
 
 
 def page_view_events(df: DataFrame, page_name: Column, extra: Column | None = None) -> DataFrame:

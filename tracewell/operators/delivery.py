@@ -194,46 +194,47 @@ def pauses_of(decided: DataFrame) -> DataFrame:
     )
 
 
-def paused_at(runs: DataFrame, pauses: DataFrame, run_id: str = "run_id", bucket_seconds: int = 3_600) -> DataFrame:
-    """For each run (`run_id, type, at`) whether it was paused, by what scope and why.
+def paused_at(runs: DataFrame, pauses: DataFrame, bucket_seconds: int = 3_600) -> DataFrame:
+    """Adds to runs (`type, at` and any others) whether they were paused, by what scope and why.
 
     The newest entry of a scope replaces older ones, even longer ones; an entry without an end
     (`paused_until` null) is a cleared or unreadable one.  A pause is active while `paused_until`
     is later than the run; the global scope outranks the type's own.  Of entries that start in the
     same second the one that ends later counts as newer.
+
+    Only the distinct moments of the runs are looked up, so many runs at one time cost one lookup.
     """
-    entry = F.struct("paused_until", "reason")
-    none = F.lit(None).cast("struct<paused_until:bigint,reason:string>")
-    first = F.lit(0)
+    no_type = F.lit(None).cast("string")
+    no_entry = F.lit(None).cast("struct<paused_until:bigint,reason:string>")
     marks = pauses.select(
         "scope",
         F.col("started_at").alias("at"),
-        first.alias("kind"),
+        F.lit(0).alias("kind"),
         F.coalesce("paused_until", F.lit(-1)).alias("tie"),
-        entry.alias("entry"),
-        F.lit(None).cast(runs.schema[run_id].dataType).alias(run_id),
-        F.lit(None).cast("string").alias("type"),
+        F.struct("paused_until", "reason").alias("entry"),
+        no_type.alias("type"),
     )
-    asked = runs.select(F.explode(F.array(F.lit("global"), F.col("type"))).alias("scope"), "at", run_id, "type").select(
-        "scope", "at", F.lit(1).alias("kind"), F.lit(0).cast("bigint").alias("tie"), none.alias("entry"), run_id, "type"
+    moments = runs.select("type", "at").distinct()
+    asked = moments.select(F.explode(F.array(F.lit("global"), F.col("type"))).alias("scope"), "at", "type").select(
+        "scope", "at", F.lit(1).alias("kind"), F.lit(0).cast("bigint").alias("tie"), no_entry.alias("entry"), "type"
     )
-    both = marks.unionByName(asked)
-    order = F.struct("at", "kind", "tie")
     known = ordered.carry_last(
-        both, ["scope"], order, F.when(F.col("kind") == 0, F.col("entry")),
-        ordered.bucket_start(F.col("at"), bucket_seconds), "latest",
+        marks.unionByName(asked),
+        ["scope"],
+        F.struct("at", "kind", "tie"),
+        F.when(F.col("kind") == 0, F.col("entry")),
+        ordered.bucket_start(F.col("at"), bucket_seconds),
+        "latest",
     ).where("kind = 1")
     active = F.col("latest.paused_until") > F.col("at")
     hit = F.when(active, F.struct(F.col("scope"), F.col("latest.reason").alias("reason")))
     is_global = F.col("scope") == "global"
-    found = known.groupBy(run_id, "type", "at").agg(
+    found = known.groupBy("type", "at").agg(
         F.max(F.when(is_global, hit)).alias("_global"), F.max(F.when(~is_global, hit)).alias("_own")
     )
     blocking = F.coalesce("_global", "_own")
-    return found.select(
-        run_id,
-        "type",
-        "at",
+    return runs.join(found, ["type", "at"]).select(
+        *[F.col(c) for c in runs.columns],
         blocking.isNotNull().alias("paused"),
         blocking["scope"].alias("pause_scope"),
         blocking["reason"].alias("reason"),

@@ -9,6 +9,15 @@ from tracewell import contracts as C
 from tracewell.operators import ordered
 
 
+def per_type(table: DataFrame, types=C.TYPES) -> DataFrame:
+    """A table of one row per type, to be joined to records without moving them.
+
+    The types are a closed list, so it has at most that many rows whatever the data, and may be
+    broadcast.
+    """
+    return F.broadcast(table.where(F.col("type").isin(*types)))
+
+
 def to_spool(df: DataFrame, record_type: Column, id: Column, seq: Column, at: Column) -> DataFrame:
     """Envelopes of budgeted items (`data`, `bytes`)."""
     return df.select(
@@ -47,14 +56,14 @@ def take_fifo(
     return ordered.top_rows(spool.where(F.col("type").isin(*types)), keys, n, [F.col(order).asc()])
 
 
-def remainder(spool: DataFrame, taken: DataFrame) -> DataFrame:
+def remainder(spool: DataFrame, taken: DataFrame, types=C.TYPES) -> DataFrame:
     """What `take_fifo` leaves: everything that arrived after the last record taken.
 
     One row per type decides, so the records themselves are not shuffled.
     """
     last = taken.groupBy("type").agg(F.max("seq").alias("_last"))
     return (
-        spool.join(last, "type", "left").where(F.col("_last").isNull() | (F.col("seq") > F.col("_last"))).drop("_last")
+        spool.join(per_type(last, types), "type", "left").where(F.col("_last").isNull() | (F.col("seq") > F.col("_last"))).drop("_last")
     )
 
 
@@ -86,32 +95,22 @@ def idle_lives(writes: DataFrame, keys=("type",), at: str = "timestamp", ttl: in
 
 
 def idle_expiry(
-    spool: DataFrame, now: int, keys=("type",), at: str = "timestamp", ttl: int = C.SPOOL_TTL_SECONDS
+    spool: DataFrame, now: int, at: str = "timestamp", ttl: int = C.SPOOL_TTL_SECONDS, types=C.TYPES
 ) -> DataFrame:
     """Adds `expired`: content whose spool then lay idle for more than `ttl` seconds.
 
-    The last life expires when `now` is that late.  Lives are few; rows find theirs by slot.
+    Every life of a type but its last has expired, and the last one has when `now` is that late.
+    So one row per type decides: where its live content starts, if it has any.
     """
     if ttl < 1:
         return spool.withColumn("expired", F.lit(False))
-    keys = list(keys)
-    slots = (
-        spool.withColumn("_slot", ordered.bucket_start(F.col(at), ttl))
-        .groupBy(*keys, "_slot")
-        .agg(F.min(at).alias("_first"), F.max(at).alias("_last"))
-    )
-    w = Window.partitionBy(*keys).orderBy("_slot")
-    ends = F.coalesce(F.lead("_first").over(w), F.lit(now)) - F.col("_last") > ttl
-    # A slot is expired when the life it belongs to ends: the next end at or after it decides.
-    is_last = F.lead("_first").over(w).isNull()
-    verdict = F.when(ends, True).when(is_last, False)
-    following = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(0, Window.unboundedFollowing)
-    decided = slots.withColumn("_verdict", verdict).select(
-        *keys, "_slot", F.first("_verdict", ignorenulls=True).over(following).alias("expired")
-    )
-    return (
-        spool.withColumn("_slot", ordered.bucket_start(F.col(at), ttl)).join(decided, [*keys, "_slot"]).drop("_slot")
+    lives = idle_lives(spool.where(F.col("type").isin(*types)), ("type",), at, ttl)
+    newest = lives.groupBy("type").agg(
+        F.max_by("started_at", "life").alias("_start"), F.max("last_write_at").alias("_last")
     )
+    live = newest.select("type", F.when(F.lit(now) - F.col("_last") <= ttl, F.col("_start")).alias("_live"))
+    expired = F.col("_live").isNull() | (F.col(at) < F.col("_live"))
+    return spool.join(per_type(live, types), "type", "left").withColumn("expired", expired).drop("_live")
 
 
 def overflow_cycles(
@@ -142,7 +141,9 @@ def overflow_cycles(
     )
 
 
-def next_spool(left: DataFrame, requeued: DataFrame, now: int, width: int = ordered.WIDTH) -> DataFrame:
+def next_spool(
+    left: DataFrame, requeued: DataFrame, now: int, width: int = ordered.WIDTH, types=C.TYPES
+) -> DataFrame:
     """The spool after a run: what was left, then the requeued records at the tail.
 
     `requeued` holds envelopes plus `slot`, a unique integer per type that gives their order.  They
@@ -151,7 +152,7 @@ def next_spool(left: DataFrame, requeued: DataFrame, now: int, width: int = orde
     tail = left.groupBy("type").agg(F.max("seq").alias("_max"))
     placed = ordered.add_position(requeued, ["type"], "slot", "_position", width)
     again = (
-        placed.join(tail, "type", "left")
+        placed.join(per_type(tail, types), "type", "left")
         .withColumns(
             {
                 "seq": F.coalesce("_max", F.lit(-1)) + 1 + F.col("_position"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tracewell.operators import batching, spool
 from tracewell.plans import inputs
-from tracewell.plans.registry import query
+from tracewell.plans.registry import ORACLES, query
 
 _B = inputs.BACKLOG_SQL
 
@@ -127,6 +127,15 @@ def batch_sizes(spark, folder):
     )
 
 
+@query("packed_bodies", ORACLES["batch_sizes"])
+def packed_bodies(spark, folder):
+    """The same bodies, made without spreading the records between packing and writing."""
+    bodies = batching.packed_bodies(inputs.backlog(spark, folder))
+    return bodies.select(
+        "type", "batch_no", "items", "bytes", F.length("body").cast("bigint").alias("body_chars"), F.md5("body").alias("body_md5")
+    )
+
+
 @query(
     "idle_lives",
     f"""WITH {_B}, s AS (SELECT type, "timestamp" AS t, "timestamp" - lag("timestamp") OVER (PARTITION BY type ORDER BY "timestamp") > 1800 AS gap FROM backlog),

@@ -37,8 +37,7 @@ def deliver_stream(
         bodies.write.partitionBy("type").mode("overwrite").parquet(f"{path}/run={number}")
 
     def handle(rows: DataFrame, number: int) -> None:
-        packed = batching.pack_batches(rows, max_items, max_bytes)
-        (sink or default_sink)(batching.batch_bodies(packed), number)
+        (sink or default_sink)(batching.packed_bodies(rows, max_items, max_bytes), number)
 
     return (
         spool.writeStream.foreachBatch(handle)

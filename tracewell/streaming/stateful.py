@@ -20,7 +20,8 @@ def dedupe_reports_stream(
     """Reports their session has not just sent; the state of a session is its cached keys.
 
     Within one micro-batch a session's reports are taken in `order`; across micro-batches, in
-    the order the batches arrive.  With `idle` (such as "30 minutes") a session's cache is
+    the order the batches arrive.  What a session sends in one micro-batch is put in order in one
+    task, so bound the micro-batch (`maxFilesPerTrigger`, `maxOffsetsPerTrigger`).  With `idle` (such as "30 minutes") a session's cache is
     forgotten after that much processing time without reports.
     """
     columns = reports.columns
