@@ -186,7 +186,7 @@ def _redact_json_urls(text: Column, fragments, secrets: Column | None, marker: s
     """String values shaped like URLs.  Such a string holds neither quotes nor backslashes, so it
     is one whole piece of the text split at its quotes."""
 
-    named = rf"(?i)[?#&][^=&]*(?:{_alternatives(fragments)})[^=&]*="
+    named = rf'(?i)[?#&][^"=&]*(?:{_alternatives(fragments)})[^"=&]*='
 
     def piece(pieces: Column):
         def clean(x: Column, i: Column) -> Column:
@@ -201,7 +201,11 @@ def _redact_json_urls(text: Column, fragments, secrets: Column | None, marker: s
 
         return clean
 
-    return F.array_join(let(F.split(text, '"', -1), lambda p: F.transform(p, piece(p))), '"')
+    def rejoin(t: Column) -> Column:
+        joined = F.array_join(let(F.split(t, '"', -1), lambda p: F.transform(p, piece(p))), '"')
+        return joined if secrets is not None else F.when(t.rlike(named), joined).otherwise(t)
+
+    return let(text, rejoin)
 
 
 def _rewrite_json(text: Column, fragments, values: Column | None, max_depth: int, marker: str) -> Column:

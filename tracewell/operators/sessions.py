@@ -169,9 +169,9 @@ def breadcrumb_trail(
     numbered = ordered.running_count(
         rows, ["_session"], F.col(order), ~F.col("_error"), ordered.bucket_start(F.col(order), width), "_crumbs"
     )
-    errors = numbered.where("_error")
+    errors = rows.where("_error")
     crumbs = numbered.where(~F.col("_error")).select("_session", F.col("_crumbs").alias("_no"), crumb.alias("_crumb"))
-    wanted = errors.where(F.col("_crumbs") > 0).select(
+    wanted = numbered.where(F.col("_error") & (F.col("_crumbs") > 0)).select(
         "_session",
         F.col(order).alias("_at"),
         F.explode(F.sequence(F.greatest(F.col("_crumbs") - n + 1, F.lit(1)), F.col("_crumbs"))).alias("_no"),
@@ -182,11 +182,10 @@ def breadcrumb_trail(
         .agg(F.array_sort(F.collect_list(F.struct("_no", "_crumb"))).alias("_found"))
         .select("_session", "_at", F.transform("_found", lambda f: f["_crumb"]).alias("_trail"))
     )
-    joined = errors.join(trails, (errors["_session"] == trails["_session"]) & (errors[order] == trails["_at"]), "left")
-    none = F.array()
-    return joined.select(
-        *[errors[c] for c in df.columns], F.coalesce(F.col("_trail"), none.cast(trails.schema["_trail"].dataType)).alias("breadcrumbs")
-    )
+    none = F.array().cast(trails.schema["_trail"].dataType)
+    named = trails.select(F.col("_session").alias("_of"), "_at", "_trail")
+    joined = errors.join(named, (F.col("_session") == F.col("_of")) & (F.col(order) == F.col("_at")), "left")
+    return joined.select(*[F.col(c) for c in df.columns], F.coalesce("_trail", none).alias("breadcrumbs"))
 
 
 def daily_visitor_activity(

@@ -159,18 +159,20 @@ def requeued_items(spark, folder):
     f"""{RESPONSES_SQL}, u AS (SELECT type, batch_no, unnest(idx) AS i, generate_subscripts(idx, 1) - 1 AS ordinal FROM dec),
           back AS (SELECT items.type, items.data, items.batch_no, ordinal FROM u JOIN items ON items.type = u.type AND items.batch_no = u.batch_no AND items.batch_pos = u.i
             UNION ALL SELECT type, data, batch_no, batch_pos FROM items SEMI JOIN (SELECT type, batch_no FROM dec WHERE requeue) d USING (type, batch_no)),
-          tail AS (SELECT type, max(seq) AS top FROM backlog WHERE event_half GROUP BY type)
-        SELECT type, seq, data, id, "timestamp" FROM backlog WHERE event_half
+          kept AS (SELECT type, seq, data, id, "timestamp" FROM pos WHERE p >= 300),
+          tail AS (SELECT type, max(seq) AS top FROM kept GROUP BY type)
+        SELECT * FROM kept
         UNION ALL
         SELECT * FROM (SELECT back.type, top + row_number() OVER (PARTITION BY back.type ORDER BY batch_no, ordinal) AS seq, data,
           'r-1800000000-' || back.type || '-' || (top + row_number() OVER (PARTITION BY back.type ORDER BY batch_no, ordinal)) AS id, 1800000000 AS "timestamp"
-          FROM back JOIN tail ON back.type = tail.type)""".replace("WHERE event_half", "WHERE seq % 2 = 0"),
+          FROM back JOIN tail ON back.type = tail.type)""",
 )
 def next_spool(spark, folder):
-    """What was left, here every second record, and the requeued ones behind it."""
+    """What a take leaves, and the requeued records behind it."""
     batches, answers = packed(spark, folder), decided(spark, folder)
     back = delivery.requeue_unprocessed(answers, batches).unionByName(delivery.requeue_batches(answers, batches))
-    left = inputs.backlog(spark, folder).where("seq % 2 = 0")
+    backlog = inputs.backlog(spark, folder)
+    left = spool.remainder(backlog, spool.take_fifo(backlog, 300))
     after = spool.next_spool(left, delivery.with_slot(back), 1_800_000_000)
     return after.select("type", "seq", "data", "id", "timestamp")
 
@@ -232,13 +234,13 @@ def last_success(spark, folder):
 _PAUSES = f"""{RESPONSES_SQL},
 pauses AS (SELECT CASE WHEN pause_scope = 'global' THEN 'global' ELSE type END AS scope, secs AS started_at, secs + pause_seconds AS paused_until, reason
   FROM dec WHERE pause_scope <> 'none'
-  UNION ALL SELECT 'errors', CAST(floor(epoch(ts)) AS BIGINT), NULL, 'cleared' FROM events WHERE event_type = 'signup' AND user_id % 5 = 0)"""
+  UNION ALL SELECT 'errors', CAST(floor(epoch(ts)) AS BIGINT), NULL, 'cleared' FROM events WHERE event_type = 'signup')"""
 
 
 def all_pauses(spark, folder):
     """Pauses from the responses, and clearings of one scope."""
     made = delivery.pauses_of(decided(spark, folder))
-    e = inputs.load(spark, folder, "events").where("event_type = 'signup' AND user_id % 5 = 0")
+    e = inputs.load(spark, folder, "events").where("event_type = 'signup'")
     cleared = e.select(
         F.lit("errors").alias("scope"),
         inputs.epoch(F.col("ts")).alias("started_at"),

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.analyzer.maxIterations": "1000",
     "spark.sql.optimizer.maxIterations": "1000",
+    # Session windows of a few hot keys are merged in the tasks that read them before they move.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 
