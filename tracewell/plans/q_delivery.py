@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tracewell.operators import batching, delivery, spool
 from tracewell.plans import inputs
 from tracewell.plans.registry import query
+from tracewell.session import new_table_path
 from tracewell.sources import items as sources
 
 _STATUSES = (200, 200, 429, 500, 401, 422, 200, 403, 0, 413, 201)
@@ -20,15 +21,22 @@ def packed(spark, folder):
     return batching.pack_batches(inputs.backlog(spark, folder), max_items=50)
 
 
+def stored_batches(spark, folder):
+    """The same batches as a table: what is sent is stored, and read again once answers are in."""
+    path = new_table_path(spark, "batches")
+    packed(spark, folder).write.partitionBy("type").parquet(path)
+    return spark.read.parquet(path)
+
+
 def sizes(batches):
     return batches.groupBy("type", "batch_no").agg(
         F.count(F.lit(1)).alias("items"), F.max("timestamp").alias("last_at")
     )
 
 
-def raw_responses(spark, folder):
+def raw_responses(spark, folder, sent=None):
     """One answer per batch, as it came over the wire."""
-    batches = sizes(packed(spark, folder))
+    batches = sizes(packed(spark, folder) if sent is None else sent)
     number = F.expr("batch_no div 50")
     k = (number % len(_STATUSES)).cast("int")
     status = F.element_at(F.array(*[F.lit(s) for s in _STATUSES]), k + 1)
@@ -52,8 +60,8 @@ def raw_responses(spark, folder):
     return batches.select("type", "batch_no", "items", status.alias("status"), retry.alias("retry_after"), body.alias("body"), F.col("last_at").alias("at"))
 
 
-def decided(spark, folder):
-    return delivery.decide(sources.normalize_responses(raw_responses(spark, folder)))
+def decided(spark, folder, sent=None):
+    return delivery.decide(sources.normalize_responses(raw_responses(spark, folder, sent)))
 
 
 RESPONSES_SQL = f"""
@@ -89,8 +97,6 @@ dec AS (
 )
 def read_responses(spark, folder):
     """Responses written as they came and read back normalised."""
-    from tracewell.session import new_table_path
-
     path = new_table_path(spark, "responses")
     raw_responses(spark, folder).drop("items").write.parquet(path)
     read = sources.read_responses(spark, path)
@@ -149,7 +155,8 @@ def routes(spark, folder):
         UNION ALL SELECT type, id, batch_no, CAST(batch_pos AS INTEGER) FROM items SEMI JOIN (SELECT type, batch_no FROM dec WHERE requeue) d USING (type, batch_no)""",
 )
 def requeued_items(spark, folder):
-    batches, answers = packed(spark, folder), decided(spark, folder)
+    batches = stored_batches(spark, folder)
+    answers = decided(spark, folder, batches)
     both = delivery.requeue_unprocessed(answers, batches).unionByName(delivery.requeue_batches(answers, batches))
     return both.select("type", "id", "batch_no", "ordinal")
 
@@ -169,7 +176,8 @@ def requeued_items(spark, folder):
 )
 def next_spool(spark, folder):
     """What a take leaves, and the requeued records behind it."""
-    batches, answers = packed(spark, folder), decided(spark, folder)
+    batches = stored_batches(spark, folder)
+    answers = decided(spark, folder, batches)
     back = delivery.requeue_unprocessed(answers, batches).unionByName(delivery.requeue_batches(answers, batches))
     backlog = inputs.backlog(spark, folder)
     left = spool.remainder(backlog, spool.take_fifo(backlog, 300))
@@ -182,8 +190,8 @@ def next_spool(spark, folder):
     f"""{RESPONSES_SQL} SELECT type, count(*) AS items FROM items ANTI JOIN (SELECT type, batch_no FROM dec WHERE status = 200) d USING (type, batch_no) GROUP BY type""",
 )
 def pending_items(spark, folder):
-    batches = packed(spark, folder)
-    done = decided(spark, folder).where("status = 200").select("type", "batch_no")
+    batches = stored_batches(spark, folder)
+    done = decided(spark, folder, batches).where("status = 200").select("type", "batch_no")
     acknowledged = batches.join(done, ["type", "batch_no"], "left_semi")
     left = delivery.pending(inputs.backlog(spark, folder), acknowledged)
     return left.groupBy("type").agg(F.count(F.lit(1)).alias("items"))
@@ -200,7 +208,8 @@ _SUMMARY = """sum_ AS (SELECT type, CASE WHEN requeue THEN items WHEN unprocesse
     f"""{RESPONSES_SQL}, {_SUMMARY} SELECT type, disposition, CAST(sum(n) AS BIGINT) AS items FROM parts GROUP BY ROLLUP (type, disposition)""",
 )
 def delivery_summary(spark, folder):
-    return delivery.delivery_summary(decided(spark, folder), sizes(packed(spark, folder)), totals=True)
+    batches = stored_batches(spark, folder)
+    return delivery.delivery_summary(decided(spark, folder, batches), sizes(batches), totals=True)
 
 
 @query(
@@ -209,7 +218,8 @@ def delivery_summary(spark, folder):
         FROM items JOIN dec ON items.type = dec.type AND items.batch_no = dec.batch_no GROUP BY ALL""",
 )
 def item_dispositions(spark, folder):
-    marked = delivery.item_dispositions(decided(spark, folder), packed(spark, folder))
+    batches = stored_batches(spark, folder)
+    marked = delivery.item_dispositions(decided(spark, folder, batches), batches)
     return marked.groupBy("type", "disposition").agg(F.count(F.lit(1)).alias("items"))
 
 
