@@ -6,6 +6,7 @@ import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ def pieces_of(batch: pa.RecordBatch, column: str, most_bytes: int = 16 << 20) ->
 
     Bounds what a task holds besides Spark's own batch, however long the texts are.
     """
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, size in enumerate(sizes):
         if i > start and held + size > most_bytes:

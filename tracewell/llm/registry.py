@@ -29,4 +29,4 @@ def load_all() -> None:
         importlib.import_module(f"tracewell.llm.{module}")
 
 
-MODULES = ("url_filter",)
+MODULES = ("url_filter", "packing")
