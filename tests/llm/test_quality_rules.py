@@ -52,7 +52,7 @@ def test_labels_are_met(spark):
 
 def test_estimate_finds_which_rule_to_trust():
     good, bad = quality_rules.GOOD, quality_rules.BAD
-    share, votes = quality_rules.estimate({(good, good): 900, (bad, bad): 80, (good, bad): 20})
+    share, votes = quality_rules.estimate({(good, good): 900, (bad, bad): 80, (good, bad): 20}, 2)
     assert share == pytest.approx(0.9, abs=0.06)
     assert votes[0][0][bad] > 8 * votes[0][1][bad]
-    assert quality_rules.estimate({}) == (0.5, [])
+    assert quality_rules.estimate({}, 1)[0] == 0.5

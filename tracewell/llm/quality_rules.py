@@ -124,15 +124,14 @@ def measured(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     )
 
 
-def estimate(patterns: dict[tuple[int, ...], int], rounds: int = 60, prior: float = 0.05, least: float = 8.0) -> tuple[float, list[list[list[float]]]]:
-    """(P(good), for each rule its vote probabilities on bad and on good documents), from counts of vote patterns.
+def estimate(patterns: dict[tuple[int, ...], int], width: int, rounds: int = 60, prior: float = 0.05, least: float = 8.0) -> tuple[float, list[list[list[float]]]]:
+    """(P(good), for each rule its vote probabilities on bad and on good documents), from counts of patterns of `width` votes.
 
     `prior` rows, as a share of all, say what is expected beforehand: on a good document a rule hardly ever votes bad, a
     bad document fails one rule in five and passes others.  A rule is taken to be better than chance, so its bad vote
     stays at least `least` times as likely on a bad document as on a good one.
     """
     total = sum(patterns.values())
-    width = len(next(iter(patterns))) if patterns else 0
     belief = {p: (0.97, 0.2, 0.05)[min(2, p.count(BAD))] for p in patterns}
     good, votes = 0.5, [[[1 / 3] * 3] * 2 for _ in range(width)]
     shares = {0: (0.4, 0.4, 0.2), 1: (0.3, 0.68, 0.02)}  # abstain, good, bad; of bad and of good documents
@@ -165,7 +164,7 @@ def judge_quality(docs: DataFrame, key: str = "doc_id", text: str = "text", rule
     table = common.stored(voted, "quality-votes")
     names = [f"vote_{r.name}" for r in rules]
     patterns = {tuple(r)[:-1]: r["n"] for r in table.groupBy(*names).agg(F.count("*").alias("n")).collect()}  # <= 3^rules rows
-    good, votes = estimate(patterns)
+    good, votes = estimate(patterns, len(rules))
     odds = F.lit(math.log(good / (1 - good)))
     for name, (bad_share, good_share) in zip(names, votes, strict=True):
         ratio = [math.log(g / b) for b, g in zip(bad_share, good_share, strict=True)]
