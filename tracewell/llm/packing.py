@@ -57,8 +57,10 @@ def token_pieces(
         for whole in batches:
             for batch in common.pieces_of(whole, "t"):
                 rows: list[tuple] = []
-                for at, (no, words) in enumerate(zip(batch.column("n").to_pylist(), batch.column("t").to_pylist(), strict=True)):
-                    ids = b"".join(cache.of(words or "")) + end
+                texts = [t or "" for t in batch.column("t").to_pylist()]
+                cache.prepare(texts)
+                for at, (no, words) in enumerate(zip(batch.column("n").to_pylist(), texts, strict=True)):
+                    ids = b"".join(cache.of(words)) + end
                     total, start, piece = len(ids) // 4, 0, 0
                     while start < total:
                         stop = start + ((total - start) % capacity or capacity)
@@ -196,7 +198,9 @@ def ids_of(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
         cache, end = _cache(path), id_bytes([CLOSING_ID])
         for whole in batches:
             for batch in common.pieces_of(whole, "t"):
-                ids = [np.frombuffer(b"".join(cache.of(x or "")) + end, "<u4").astype("i8") for x in batch.column("t").to_pylist()]
+                texts = [t or "" for t in batch.column("t").to_pylist()]
+                cache.prepare(texts)
+                ids = [np.frombuffer(b"".join(cache.of(t)) + end, "<u4").astype("i8") for t in texts]
                 yield pa.record_batch([batch.column("k"), pa.array(ids, pa.list_(pa.int64()))], ["doc_id", "ids"])
 
     return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(run, kind)

@@ -29,4 +29,4 @@ def load_all() -> None:
         importlib.import_module(f"tracewell.llm.{module}")
 
 
-MODULES = ("url_filter", "packing", "quality_rules", "licenses")
+MODULES = ("url_filter", "bpe", "packing", "quality_rules", "licenses")

@@ -8,46 +8,77 @@ repeat, so most come from memory.  A text with any other run of white space roun
 from __future__ import annotations
 
 import array
+import sys
 from collections.abc import Callable, Iterable
 
 
+class Generations:
+    """A bounded memory that forgets what has not been asked for lately: when the young half is full it becomes the
+    old one, and what is asked for from there on moves back."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def missing(self, keys: set) -> list:
+        """The keys that are not remembered.  All others are in `young` until the next call."""
+        if 2 * len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+        young, old, new = self.young, self.old, []
+        for k in keys.difference(young):
+            if k in old:
+                young[k] = old[k]
+            else:
+                new.append(k)
+        return new
+
+
 class PartCache:
-    """Values of parts, by part; `encode` makes those of unseen parts, many at a time.
+    """Values of the parts of texts; `encode` makes those of unseen parts, many at a time.
 
-    Holds at most `most` parts, then starts anew; parts over `longest` characters are not remembered.
+    `prepare` a slice of texts, then ask for each.  Parts over `longest` characters, and texts that cannot be cut, are
+    remembered for the slice only.
     """
 
     def __init__(self, encode: Callable[[list[str]], list], most: int = 400_000, longest: int = 64):
-        self.encode, self.most, self.longest = encode, most, longest
-        self.first: dict[str, object] = {}
-        self.later: dict[str, object] = {}
+        self.encode, self.longest = encode, longest
+        self.firsts, self.rest = Generations(most // 8), Generations(most)
+        self.passing: list[str] = []
+        self.whole: dict[str, object] = {}
+
+    @property
+    def later(self) -> dict[str, object]:
+        return self.rest.young
+
+    def prepare(self, texts: Iterable[str]) -> None:
+        for part in self.passing:
+            self.rest.young.pop(part, None)
+            self.firsts.young.pop(part, None)
+        seen_first, seen, whole = set(), set(), {}
+        young = self.rest.young
+        uncut: list[str] = []
+        for text in texts:
+            head, *rest = text.split(" ")
+            new = set(rest).difference(young)
+            if rest and (_rough(head) or any(map(_rough, new))):
+                uncut.append(text)
+                continue
+            seen_first.add(head)
+            seen.update(rest)
+        first, later = self.firsts.missing(seen_first), self.rest.missing(seen)
+        uncut = list(dict.fromkeys(uncut))
+        values = iter(self.encode([*first, *(" " + part for part in later), *uncut]))
+        self.firsts.young.update(zip(first, values))
+        self.rest.young.update(zip(later, values))
+        whole.update(zip(uncut, values))
+        self.whole = whole
+        self.passing = [part for part in (*first, *later) if len(part) > self.longest]
 
     def of(self, text: str) -> list:
-        """The values of the parts of a text, in order."""
+        """The values of the parts of a prepared text, in order."""
+        if text in self.whole:
+            return [self.whole[text]]
         head, *rest = text.split(" ")
-        later = self.later
-        try:
-            if head in self.first:
-                return [self.first[head], *map(later.__getitem__, rest)]
-        except KeyError:
-            pass
-        return self._made(text, head, rest)
-
-    def _made(self, text: str, head: str, rest: list[str]) -> list:
-        new = {x for x in rest if x not in self.later}
-        if any(_rough(x) for x in new) or rest and _rough(head):
-            return self.encode([text])
-        if len(self.first) + len(self.later) > self.most:
-            self.first, self.later, new = {}, {}, set(rest)
-        here = dict(zip(new, self.encode([" " + x for x in new]), strict=True))
-        self.later.update((k, v) for k, v in here.items() if len(k) <= self.longest)
-        if head not in self.first:
-            (value,) = self.encode([head])
-            if len(head) <= self.longest:
-                self.first[head] = value
-        else:
-            value = self.first[head]
-        return [value, *(here[x] if x in here else self.later[x] for x in rest)]
+        return [self.firsts.young[head], *map(self.rest.young.__getitem__, rest)]
 
 
 def _rough(part: str) -> bool:
@@ -60,8 +91,6 @@ def id_bytes(ids: Iterable[int]) -> bytes:
     packed = array.array("I", ids)
     if packed.itemsize != 4:
         raise TypeError("an unsigned int is not 4 bytes here")
-    import sys
-
     if sys.byteorder != "little":
         packed.byteswap()
     return packed.tobytes()
