@@ -1,9 +1,9 @@
 """Byte-level BPE encoding and decoding by recursive SQL.
 
 The pattern cuts a text into words (with the space before them).  A word that is in the vocabulary is its id.  Of every
-other word the bytes become rows (word, position, token), and a recursive DuckDB query contracts pairs: neighbours join
-the merge table, the lowest rank of each word is found, and its leftmost pair becomes one token, until no pair of the
-word is in the table.  Long words take all places of their lowest pair in one step, which is the same whenever no token
+other word the bytes are the tokens to begin with, and a recursive DuckDB query contracts pairs: each step unnests the
+words to rows (word, position, token), neighbours join the merge table, the lowest rank of each word is found, and its
+leftmost pair becomes one token, until no pair of the word is in the table.  Long words take all places of their lowest pair in one step, which is the same whenever no token
 made from the pair's token has a lower rank than that token; where one has, they too take the leftmost place only.
 An ordered aggregation over the ids then gives back the bytes.
 
@@ -33,19 +33,18 @@ SLICE = 8 << 20
 
 # Every step keeps the words that changed; a word's last step is its result.
 LEFTMOST = """
-    WITH RECURSIVE s(step, w, p, t) AS (
-      SELECT 0, w, p, t FROM bytes_of_words
+    WITH RECURSIVE s(step, w, x) AS (
+      SELECT 0, w, x FROM words_in_bytes
       UNION ALL
-      (WITH near AS (SELECT *, lead(t) OVER o AS u, lead(p) OVER o AS q FROM s WINDOW o AS (PARTITION BY w ORDER BY p)),
-            low AS (SELECT w, min(m.c::BIGINT << 32 | p) AS k, arg_min(q, m.c::BIGINT << 32 | p) AS gone
-                    FROM near JOIN merges m ON m.a = t AND m.b = u GROUP BY w)
-       SELECT step + 1, s.w, p, CASE WHEN p = (k & 4294967295) THEN (k >> 32)::INT ELSE t END
-       FROM s JOIN low ON s.w = low.w WHERE p <> gone))
-    SELECT w, p, t FROM s QUALIFY step = max(step) OVER (PARTITION BY w)"""
+      (WITH near AS (SELECT w, unnest(x[:-2]) AS t, unnest(x[2:]) AS u, unnest(range(1, len(x))) AS p FROM s),
+            low AS (SELECT w, min(m.c::BIGINT << 32 | p) AS k FROM near JOIN merges m ON m.a = t AND m.b = u GROUP BY w)
+       SELECT step + 1, s.w, x[:(k & 4294967295) - 1] || [(k >> 32)::INT] || x[(k & 4294967295) + 2:]
+       FROM s JOIN low ON s.w = low.w))
+    SELECT w, arg_max(x, step) AS x FROM s GROUP BY w"""
 
 ALL_PLACES = """
     WITH RECURSIVE s(step, w, p, t) AS (
-      SELECT 0, w, p, t FROM bytes_of_words
+      SELECT 0, w, unnest(range(len(x)))::INT, unnest(x) FROM words_in_bytes
       UNION ALL
       (WITH near AS (SELECT *, lead(t) OVER o AS u, lead(p) OVER o AS q FROM s WINDOW o AS (PARTITION BY w ORDER BY p)),
             pair AS (SELECT w, p, q, t = u AS twin, m.c FROM near JOIN merges m ON m.a = t AND m.b = u),
@@ -57,12 +56,10 @@ ALL_PLACES = """
             chosen AS (SELECT w, p, q, c FROM run QUALIFY row_number() OVER (PARTITION BY w, r ORDER BY p) % 2 = 1)
        SELECT step + 1, s.w, s.p, coalesce(a.c, t) FROM s JOIN low ON s.w = low.w LEFT JOIN chosen a ON a.w = s.w AND a.p = s.p
        WHERE NOT EXISTS (SELECT 1 FROM chosen b WHERE b.w = s.w AND b.q = s.p)))
-    SELECT w, p, t FROM s QUALIFY step = max(step) OVER (PARTITION BY w)"""
+    SELECT w, list(t ORDER BY p) AS x FROM (SELECT * FROM s QUALIFY step = max(step) OVER (PARTITION BY w)) GROUP BY w"""
 
-IDS = "SELECT w, string_agg(t::VARCHAR, ' ' ORDER BY p) AS ids, list(t ORDER BY p) AS tokens FROM ({}) GROUP BY w"
-DECODED = """SELECT e.w, e.ids, string_agg(v.hex, '' ORDER BY place) AS hex
-    FROM (SELECT w, ids, unnest(tokens) AS t, unnest(range(len(tokens))) AS place FROM ({}) x) e JOIN vocabulary v ON v.id = e.t
-    GROUP BY e.w, e.ids"""
+DECODED = """SELECT w, any_value(array_to_string(x, ' ')) AS ids, string_agg(v.hex, '' ORDER BY place) AS hex
+    FROM (SELECT w, x, unnest(x) AS t, unnest(range(len(x))) AS place FROM ({}) e) JOIN vocabulary v ON v.id = t GROUP BY w"""
 
 
 def ranks_of(path: str) -> dict[bytes, int]:
@@ -117,14 +114,13 @@ class WordEncoder:
         import numpy as np
 
         raw = [w.encode() for w in words]
-        n = np.array([len(r) for r in raw])
-        word = np.repeat(np.arange(len(words), dtype="i4"), n)
-        place = (np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n)).astype("i4")
+        ends = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype("i4")
         tokens = self.first[np.frombuffer(b"".join(raw), "u1")]
-        self.db.register("bytes_of_words", pa.table({"w": word, "p": place, "t": tokens}))
-        for w, ids, decoded in self.db.execute(DECODED.format(IDS.format(steps))).fetchall():
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens))
+        self.db.register("words_in_bytes", pa.table({"w": np.arange(len(words), dtype="i4"), "x": lists}))
+        for w, ids, decoded in self.db.execute(DECODED.format(steps)).fetchall():
             self.words.young[words[w]] = (ids, bytes.fromhex(decoded))
-        self.db.unregister("bytes_of_words")
+        self.db.unregister("words_in_bytes")
 
 
 def _text(token: bytes) -> str | None:
