@@ -29,4 +29,4 @@ def load_all() -> None:
         importlib.import_module(f"tracewell.llm.{module}")
 
 
-MODULES = ("language_id", "bpe", "licenses", "packing", "quality_model", "quality_rules", "url_filter")
+MODULES = ("html_text", "language_id", "bpe", "licenses", "packing", "quality_model", "quality_rules", "url_filter")
