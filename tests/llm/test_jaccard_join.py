@@ -90,6 +90,13 @@ def test_odd_rows(spark):
     assert got(spark, []) == []
 
 
+def test_one_row_of_each_group_stays(spark, tmp_path):
+    rows = [(3, "a b c d e", "x"), (1, "A b c d e", "y"), (1, "a b c d e", "z"), (None, "a b c d e", "u"), (7, None, "v"), (7, None, "w"), (9, "q", "t")]
+    spark.createDataFrame(rows, "doc_id long, text string, row string").coalesce(1).write.parquet(str(tmp_path / "docs"))
+    kept = jaccard_join.representatives(spark.read.parquet(str(tmp_path / "docs")))
+    assert sorted(r["row"] for r in kept.collect()) == ["t", "v", "w", "y"] and kept.columns == ["doc_id", "text", "row"]
+
+
 def test_one_very_large_group(spark):
     rng = random.Random(9)
     base = [f"w{rng.randrange(500)}" for _ in range(120)]

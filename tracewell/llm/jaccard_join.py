@@ -44,10 +44,11 @@ BUCKET_BYTES = 8 << 20  # of input per bucket of shingles
 MESSAGE = "target long, batch long, bucket long, body binary"
 MOST_BITS = 24  # 16 million buckets, for 100 TB
 HOME = -1
+PLACE = "_place_in_input"
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """key, n_shingles and component_id of every row, and `first`: whether the row stands for its group.
+    """key, n_shingles and component_id of every row, `first`: whether the row stands for its group, and its place `row`.
 
     The row with the smallest id stands for it; of several with that id, the first in the input.
     """
@@ -69,7 +70,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     found = table.select("id", "row", "n_shingles", "code").join(facts, "code", "left")
     component = F.when(F.col("code").isNull(), F.col("id")).otherwise(F.col("component_id"))
     first = F.col("code").isNull() | (F.col("row") == F.col("lead"))
-    return found.select(F.col("id").alias(key), "n_shingles", component.alias("component_id"), first.alias("first"))
+    return found.select(F.col("id").alias(key), "n_shingles", component.alias("component_id"), first.alias("first"), "row")
+
+
+def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row of each group, with all columns of `docs`, which must be a stored table: its rows are told apart by place."""
+    first = near_duplicates(docs, key, text, k, percent).filter("first").select(F.col("row").alias(PLACE))
+    return docs.withColumn(PLACE, F.monotonically_increasing_id()).join(first, PLACE, "left_semi").drop(PLACE)
 
 
 # -- sets and frequencies ------------------------------------------------------------------------------------------
