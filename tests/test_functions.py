@@ -40,6 +40,19 @@ def test_utf8_cut_never_splits_a_character(apply):
 def test_dates(apply):
     out = apply(text.is_date, ["2024-01-01T00:00:00+00:00", "2024-01-01", "2024-13-01", "soon", "", "2024-01-01 10:00", None])
     assert out == [True, True, False, False, False, True, False]
+    spelled = [
+        "Mon, 01 Jan 2024 10:00:00 +0000", "Mon, 01 Jan 2024 10:00:00 GMT", "2024/01/01", "2024.1.31 10:30", "1 January 2024", "1-Feb-2024",
+        "January 1, 2024", "Jan 1st 2024", "1/31/2024",
+    ]
+    assert all(apply(text.is_date, spelled))
+    assert not any(apply(text.is_date, ["2024/02/30", "31/1/2024", "2024/1.31", "99 January 2024", "January 2024", "2024/01/01x", "2024-02-30"]))
+
+
+def test_long_keys_hide_no_secret(apply):
+    texts = ["w" * n + "password=abc, next" for n in (0, 63, 64, 65, 5000)]
+    assert all("abc" not in r and r.endswith(", next") for r in apply(redact.redact_text, texts))
+    keys = ["\\n" + "x" * n + "password" + '\\"' + "y" * n for n in (0, 499, 501, 100_000)]
+    assert apply(redact.redact_json, ['{"%s":"s3","b":1}' % k for k in keys]) == ['{"%s":"[REDACTED]","b":1}' % k for k in keys]
 
 
 def test_json_sizes(apply):

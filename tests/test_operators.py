@@ -48,10 +48,29 @@ def test_carry_last_and_running_count(spark, width):
         assert count[(k, i)] == totals.get(k, 0)
 
 
-def test_top_rows_with_few_parts(spark):
+@pytest.mark.parametrize("n,width", [(1, 4), (20, 8), (20, 1 << 20), (249, 16), (250, 16), (251, 16)])
+def test_cut_offs(spark, n, width):
     df = spool_rows(spark, 500).repartition(11)
-    newest = ordered.top_rows(df, ["type"], 20, [F.col("seq").desc()], spread=3)
-    assert sorted(r.seq for r in newest.collect()) == list(range(460, 500))
+    per_type = {t: sorted(r.seq for r in df.where(F.col("type") == t).collect()) for t in ("errors", "events")}
+    newest = spool.keep_newest(df, n, width=width)
+    oldest = spool.take_fifo(df, n, width=width)
+    for t, numbers in per_type.items():
+        assert sorted(r.seq for r in newest.where(F.col("type") == t).collect()) == numbers[-n:]
+        assert sorted(r.seq for r in oldest.where(F.col("type") == t).collect()) == numbers[:n]
+
+
+def test_a_cut_moves_no_records(spark, folder, tmp_path):
+    spool_rows(spark, 500).write.parquet(str(tmp_path / "spool"))
+    plan = spool.keep_newest(spark.read.parquet(str(tmp_path / "spool")), 5000)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert moved and "data#" not in " ".join(moved) and plan.count("BroadcastHashJoin") >= 1
+
+
+def test_records_without_a_place_go_elsewhere(spark):
+    rows = spool_rows(spark, 4, ("logs",))
+    odd = rows.withColumns({"type": F.when(F.col("seq") != 1, F.col("type")), "seq": F.when(F.col("seq") != 2, F.col("seq"))})
+    assert batching.pack_batches(odd).count() == 2 and batching.unplaced(odd).count() == 2
+    assert spool.keep_newest(odd, 1).count() == 3  # what has no type has no capacity, what has no number is not older
 
 
 # --- spool and batches -------------------------------------------------------------------------
@@ -176,6 +195,10 @@ def test_requeued_items_go_to_the_tail(spark):
     assert got[:2] == [(4, '{"n":4}', 1004), (5, '{"n":5}', 1005)]
     assert got[2:] == [(6 + i, '{"n":%d}' % i, 9999) for i in range(4)]
     assert after.select("id").distinct().count() == 6
+    none_left = all_rows.where("seq < 0")
+    back = delivery.with_slot(delivery.requeue_batches(answers, batches))
+    again = spool.next_spool(none_left, back, 9999, spool.last_given(all_rows))
+    assert sorted(r.seq for r in again.collect()) == [6, 7, 8, 9]
 
 
 def test_pauses(spark):
@@ -295,12 +318,28 @@ def test_property_merges(spark):
     assert "category" not in got
 
 
-def test_a_vast_sale_is_not_collected(spark):
+def test_a_sale_over_the_budget_is_what_the_budget_makes_of_it(spark):
     orders = spark.createDataFrame([(1, 5.0), (2, 6.0)], "order_id bigint, total_amount double")
     lines = spark.createDataFrame([(1 + (i >= 3), i, i, 1, 2.0) for i in range(10)], "order_id bigint, line_no int, product_id bigint, quantity bigint, price double")
-    got = {r.order_id: r.p for r in commerce.sale_events(orders, lines, max_lines=5).select("order_id", F.to_json("properties").alias("p")).collect()}
-    assert '"product_count":3' in got[1] and got[1].count("product_id") == 3
-    assert '"product_count":7' in got[2] and '"products":{"_truncated":' in got[2]
+    product = len('{"product_id":"1","quantity":1,"price":2}')  # a whole float counts without its fraction
+
+    def sold(max_item):
+        sales = commerce.sale_events(orders, lines, max_item=max_item)
+        items = budget.item_budget(
+            sales.select("order_id", F.col("name").alias("event_name"), "properties"), "events", keep=("order_id",), max_item=max_item, max_field=200
+        )
+        return {r.order_id: r.p for r in sales.select("order_id", F.to_json("properties").alias("p")).collect()}, {r.order_id: r.data for r in items.collect()}
+
+    whole, items = sold(10_000)
+    assert whole[1].count("product_id") == 3 and '"product_count":7' in whole[2]
+    cut, cut_items = sold(7 * (product + 1))
+    assert cut[2] == '{"_truncated":"Field exceeded the per-item budget and was removed"}'
+    assert cut[1] == whole[1]
+    budgeted = budget.item_budget(
+        commerce.sale_events(orders, lines).select("order_id", F.col("name").alias("event_name"), "properties"),
+        "events", keep=("order_id",), max_item=7 * (product + 1), max_field=200,
+    )
+    assert {r.order_id: r.data for r in budgeted.collect()}[2] == cut_items[2]
 
 
 def test_item_budget_steps(spark):

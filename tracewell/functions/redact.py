@@ -38,7 +38,8 @@ def sensitive_key_pattern(fragments=C.SENSITIVE_FRAGMENTS) -> str:
 
 def text_pattern(fragments=C.SENSITIVE_FRAGMENTS) -> str:
     """Groups: 1 the key with its quotes and separator; the rest of the match is the value."""
-    key = rf"(?<![\w.\-])[\w.\-]{{0,64}}(?:{_alternatives(fragments)})[\w.\-]*+"
+    # The lookbehind lets a key be entered at its first character only, however long it is.
+    key = rf"(?<![\w.\-])(?=[\w.\-]*?(?:{_alternatives(fragments)}))[\w.\-]*+"
     quoted = r"\"[^\"\\]*+(?:\\.[^\"\\]*+)*+\"|'[^'\\]*+(?:\\.[^'\\]*+)*+'"
     unclosed = r"[\"'][^\n]*+"
     scheme = r"(?:Bearer|Basic|Digest|Token)[ \t]++[^\s,;&\"']++"
@@ -210,9 +211,9 @@ def _redact_json_urls(text: Column, fragments, secrets: Column | None, marker: s
 
 def _rewrite_json(text: Column, fragments, values: Column | None, max_depth: int, marker: str) -> Column:
     alternatives = _alternatives(fragments)
-    # A key: a string that starts after { or , and ends before a colon.
-    escaped = rf'[^"\\]*+\\.(?:[^"\\]|\\.){{0,500}}?(?:{alternatives})'
-    fragment_ahead = rf'(?=[^"\\]*?(?:{alternatives})|{escaped})'
+    # A key: a string that starts after { or , and ends before a colon.  The possessive run stops at the first fragment, or
+    # at the closing quote, where no fragment can follow.
+    fragment_ahead = rf'(?=(?:(?!{alternatives})(?:[^"\\]|\\.))*+(?:{alternatives}))'
     key = rf"(?<=[{{,])(?={_STRING}:)(\"{fragment_ahead}[^\"\\]*+(?:\\.[^\"\\]*+)*+\":)"
     value = rf"(?:{_STRING}|{_container_pattern(max_depth)}|[^,\]}}]++)"
     shallow = sanitize_depth_json(text, max_depth)

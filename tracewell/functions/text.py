@@ -56,9 +56,33 @@ def iso_timestamp(ts: Column, offset: str = "+00:00") -> Column:
 
 
 def is_date(text: Column) -> Column:
-    """Whether a string is a date: ISO-8601 in its usual spellings, or anything Spark can cast."""
+    """Whether a string is a date that exists, in one of these spellings: ISO-8601; `2024/1/31` and `2024.1.31`;
+    `1/31/2024`; `31 January 2024`; `January 31, 2024` (month names cut to three letters, too).  A weekday may stand
+    before it, a time and an offset, `GMT`, `UTC` or `Z` behind it, so RFC 2822 dates are among them.
+    """
     iso = text.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?([+-]\d{2}:?\d{2}|Z)?)?\z")
-    return F.coalesce(iso & text.try_cast("timestamp").isNotNull(), F.lit(False))
+    plain = F.regexp_replace(text, r"(?i)^(?:mon|tue|wed|thu|fri|sat|sun)[a-z]{0,6}\.?,?\s+", "")
+    tail = r"(?:[T ,]\s*(\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?))?\s*((?i:GMT|UTC|Z)|[+-]\d{2}:?\d{2})?\z"
+    named = r"(?i)(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]{0,6}\.?"
+    spellings = (
+        (r"^(\d{4})([/.])(\d{1,2})\2(\d{1,2})" + tail, 1, 3, 4, 5),
+        (r"^(\d{1,2})/(\d{1,2})/(\d{4})" + tail, 3, 1, 2, 4),
+        (rf"^(\d{{1,2}})[ -]{named}[ -](\d{{4}}){tail}", 3, 2, 1, 4),
+        (rf"^{named} (\d{{1,2}})(?:st|nd|rd|th)?,? (\d{{4}}){tail}", 3, 1, 2, 4),
+    )
+    months = F.array(*map(F.lit, "jan feb mar apr may jun jul aug sep oct nov dec".split()))
+
+    def exists(pattern: str, year: int, month: int, day: int, time: int) -> Column:
+        y, m, d, t, z = (F.regexp_extract(plain, pattern, i) for i in (year, month, day, time, time + 1))
+        number = F.when(m.rlike(r"^\d"), m).otherwise(F.array_position(months, F.lower(m)).cast("string"))
+        offset = F.when(z.rlike(r"(?i)^[a-z]"), "+00:00").otherwise(F.regexp_replace(z, r"^(.\d{2}):?(\d{2})", "$1:$2"))
+        whole = F.concat(y, F.lit("-"), number, F.lit("-"), d, F.lit(" "), F.when(t == "", "00:00").otherwise(t), offset)
+        return plain.rlike(pattern) & whole.try_cast("timestamp").isNotNull()
+
+    spelled = F.lit(False)
+    for spelling in spellings:
+        spelled = spelled | F.coalesce(exists(*spelling), F.lit(False))
+    return F.when(F.coalesce(iso, F.lit(False)), text.try_cast("timestamp").isNotNull()).otherwise(spelled)
 
 
 def cut_utf8(value: Column, limit: int) -> Column:

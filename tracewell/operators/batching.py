@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from tracewell import contracts as C
 from tracewell.operators import delivery, ordered
 
+# Whole records meet in the buckets that number them: 2^16 records of a kilobyte are 64 MB.
+RECORD_WIDTH = 1 << 16
+
 
 def trim_to_bytes(
     batch: DataFrame, max_bytes: int = C.MAX_BATCH_BYTES, keys=("type",), order: str = "seq", size: str = "bytes"
@@ -25,14 +28,15 @@ def pack_batches(
     spool: DataFrame,
     max_items: int = C.MAX_BATCH_ITEMS,
     max_bytes: int = C.MAX_BATCH_BYTES,
-    width: int = ordered.WIDTH,
+    width: int = RECORD_WIDTH,
 ) -> DataFrame:
     """A whole backlog in numbered batches, in FIFO order; adds `batch_no` and `batch_pos`.
 
     Records are cut into chunks of `max_items` by position; a chunk is split where the next
     record would push its bytes over the limit, and every batch has at least one record.  Batch
     numbers rise in FIFO order but are not dense: chunk number times `max_items` plus the number
-    of the split, so that no pass over all chunks is needed to number them.
+    of the split, so that no pass over all chunks is needed to number them.  Records without a type
+    or number have no place: `unplaced` gives them.
     """
     chunks = _chunks(spool, max_items, max_bytes, width)
     exploded = chunks.select("type", "_chunk", F.explode("_placed").alias("z"))
@@ -43,12 +47,18 @@ def pack_batches(
     )
 
 
+def unplaced(spool: DataFrame) -> DataFrame:
+    """Records that `pack_batches` cannot place, for the quarantine: their type or number is missing."""
+    return spool.where(F.col("type").isNull() | F.col("seq").isNull())
+
+
 def _chunks(spool: DataFrame, max_items: int, max_bytes: int, width: int) -> DataFrame:
     """`type, _chunk, _placed`: chunks of `max_items` records, each with its batch and place.
 
     At most `max_items` records meet in a chunk, each within the item budget.
     """
-    placed = ordered.add_position(spool, ["type"], "seq", "_position", width)
+    whole = spool.where(F.col("type").isNotNull() & F.col("seq").isNotNull())
+    placed = ordered.add_position(whole, ["type"], "seq", "_position", width)
     chunked = placed.withColumn("_chunk", F.expr(f"_position div {int(max_items)}"))
     record = F.struct(F.col("seq").alias("_seq"), *[F.col(c) for c in spool.columns if c != "type"])
     grouped = chunked.groupBy("type", "_chunk").agg(F.array_sort(F.collect_list(record)).alias("_items"))
@@ -73,11 +83,11 @@ def _chunks(spool: DataFrame, max_items: int, max_bytes: int, width: int) -> Dat
         )
 
     places = F.aggregate("_items", start, place, lambda s: s["places"])
-    whole = F.aggregate("_items", zero, lambda a, i: a + i["bytes"]) <= max_bytes
+    fits = F.aggregate("_items", zero, lambda a, i: a + i["bytes"]) <= max_bytes
     # A chunk within the limit (the usual case) is one batch and needs no fold.
     simple = F.transform("_items", lambda _, i: F.struct(zero.alias("split"), i.cast("bigint").alias("pos")))
     paired = F.arrays_zip(
-        F.col("_items").alias("item"), F.when(whole, simple).otherwise(places).alias("place")
+        F.col("_items").alias("item"), F.when(fits, simple).otherwise(places).alias("place")
     )
     return grouped.select("type", "_chunk", paired.alias("_placed"))
 
@@ -86,7 +96,7 @@ def packed_bodies(
     spool: DataFrame,
     max_items: int = C.MAX_BATCH_ITEMS,
     max_bytes: int = C.MAX_BATCH_BYTES,
-    width: int = ordered.WIDTH,
+    width: int = RECORD_WIDTH,
     endpoints: DataFrame | None = None,
 ) -> DataFrame:
     """The bodies of `pack_batches`, made where a chunk has met: the records move once less than

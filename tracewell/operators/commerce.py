@@ -66,45 +66,48 @@ def sale_events(
     lines: DataFrame,
     currency: str = "USD",
     extra: Column | None = None,
-    max_lines: int = C.MAX_ITEM_BYTES // 40,
+    max_item: int = C.MAX_ITEM_BYTES,
 ) -> DataFrame:
     """One `sale` event per order of `orders(order_id, total_amount, …)`, its products from
     `lines(order_id, line_no, product_id, quantity, price)`, in line order.
 
-    Orders without lines have an empty product list.  A product takes at least 40 bytes of JSON,
-    so an order of more than `max_lines` lines cannot stay within the item budget, which would
-    replace its product list whole; such a list gets the same marker here and is never collected.
-    Its count is exact.
+    Orders without lines have an empty product list.  The JSON bytes of each order's list are
+    summed up first, combined before they move.  Where the list alone exceeds `max_item`, the
+    item budget would replace the properties whole, and that is what they are here: the lines of
+    such an order are never gathered.  The lines are read twice for that, the first time as sizes.
     """
-    counts = lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("_count"))
-    vast = counts.where(F.col("_count") > max_lines).select("order_id")
+    product = F.struct(
+        F.col("product_id").cast("string").alias("product_id"),
+        F.col("quantity").cast("bigint").alias("quantity"),
+        F.col("price").alias("price"),
+    )
+    # Brackets and commas: one byte more than there are products.
+    size = sizing.json_text_bytes(F.to_json(product, {"ignoreNullFields": "false"})) + 1
+    vast = lines.groupBy("order_id").agg((F.sum(size) + 1).alias("_bytes")).where(F.col("_bytes") > max_item).select("order_id")
     products = (
         lines.join(vast, "order_id", "left_anti")
         .groupBy("order_id")
         .agg(F.array_sort(F.collect_list(F.struct("line_no", "product_id", "quantity", "price"))).alias("_lines"))
     )
-    count = F.coalesce("_count", F.lit(0).cast("bigint"))
     none = F.array().cast(products.schema["_lines"].dataType)
-    whole = F.to_variant_object(
-        F.transform(
-            F.coalesce("_lines", none),
-            lambda p: F.struct(
-                p["product_id"].cast("string").alias("product_id"),
-                p["quantity"].cast("bigint").alias("quantity"),
-                p["price"].alias("price"),
-            ),
-        )
+    listed = F.transform(
+        F.coalesce("_lines", none),
+        lambda p: F.struct(
+            p["product_id"].cast("string").alias("product_id"),
+            p["quantity"].cast("bigint").alias("quantity"),
+            p["price"].alias("price"),
+        ),
     )
-    listed = F.when(count > max_lines, sizing.truncation_marker(C.FIELD_REASON)).otherwise(whole)
-    joined = orders.join(counts, "order_id", "left").join(products, "order_id", "left")
     base = {
         "order_id": F.col("order_id").cast("string"),
         "total_amount": F.col("total_amount").cast("double"),
         "currency": F.lit(currency),
-        "products": listed,
-        "product_count": count,
+        "products": F.to_variant_object(listed),
+        "product_count": F.size(listed).cast("bigint"),
     }
-    return joined.withColumns({"name": F.lit("sale"), "properties": merge_properties(base, extra)}).drop("_lines", "_count")
+    joined = orders.join(products, "order_id", "left").join(vast.withColumn("_vast", F.lit(True)), "order_id", "left")
+    properties = F.when(F.col("_vast"), sizing.truncation_marker(C.FIELD_REASON)).otherwise(merge_properties(base, extra))
+    return joined.withColumns({"name": F.lit("sale"), "properties": properties}).drop("_lines", "_vast")
 
 
 def page_view_events(df: DataFrame, page_name: Column, extra: Column | None = None) -> DataFrame:

@@ -36,9 +36,12 @@ def _lookup(key: Column, values: dict, default=None) -> Column:
 
 
 def retry_after_seconds(header: Column) -> Column:
-    """The leading integer of the header; less than one, absent or text means the substitute."""
-    digits = F.regexp_extract(header, r"^[ \t\n\r\x0B\f]*([+-]?\d{1,18})", 1)
-    seconds = digits.try_cast("bigint")
+    """The leading integer of the header; less than one, absent or text means the substitute.
+
+    An integer too long for any pause (over 15 digits) counts as the longest one of 15 digits.
+    """
+    sign, digits = (F.regexp_extract(header, r"^[ \t\n\r\x0B\f]*([+-]?)0*(\d*)", i) for i in (1, 2))
+    seconds = F.when(sign != "-", F.when(F.length(digits) > 15, F.lit(10**15 - 1)).otherwise(digits.try_cast("bigint")))
     return F.when(F.coalesce(seconds, F.lit(0)) < 1, C.RATE_LIMIT_SUBSTITUTE_SECONDS).otherwise(seconds).cast("bigint")
 
 
@@ -121,7 +124,11 @@ def requeue_batches(decided: DataFrame, batches: DataFrame) -> DataFrame:
 
 
 def with_slot(requeued: DataFrame) -> DataFrame:
-    """Adds `slot`, the place of a requeued item among all requeued ones of its type."""
+    """Adds `slot`, which puts a requeued item in order among all requeued ones of its type.
+
+    Batch numbers are about as dense as the items (chunk times items per batch), so a run of 2^20
+    of them, 2^40 slots, holds about as many items: `spool.next_spool` numbers by such runs.
+    """
     return requeued.withColumn("slot", F.col("batch_no") * F.lit(1 << 20) + F.col("ordinal"))
 
 
@@ -203,6 +210,7 @@ def paused_at(runs: DataFrame, pauses: DataFrame, bucket_seconds: int = 3_600) -
     same second the one that ends later counts as newer.
 
     Only the distinct moments of the runs are looked up, so many runs at one time cost one lookup.
+    A run without a type can be paused by the global scope alone; one without a time is not paused.
     """
     no_type = F.lit(None).cast("string")
     no_entry = F.lit(None).cast("struct<paused_until:bigint,reason:string>")
@@ -215,7 +223,9 @@ def paused_at(runs: DataFrame, pauses: DataFrame, bucket_seconds: int = 3_600) -
         no_type.alias("type"),
     )
     moments = runs.select("type", "at").distinct()
-    asked = moments.select(F.explode(F.array(F.lit("global"), F.col("type"))).alias("scope"), "at", "type").select(
+    asked = moments.select(F.explode(F.array(F.lit("global"), F.col("type"))).alias("scope"), "at", "type").where(
+        F.col("scope").isNotNull() & F.col("at").isNotNull()
+    ).select(
         "scope", "at", F.lit(1).alias("kind"), F.lit(0).cast("bigint").alias("tie"), no_entry.alias("entry"), "type"
     )
     known = ordered.carry_last(
@@ -233,7 +243,9 @@ def paused_at(runs: DataFrame, pauses: DataFrame, bucket_seconds: int = 3_600) -
         F.max(F.when(is_global, hit)).alias("_global"), F.max(F.when(~is_global, hit)).alias("_own")
     )
     blocking = F.coalesce("_global", "_own")
-    return runs.join(found, ["type", "at"]).select(
+    looked_up = found.select(F.col("type").alias("_type"), F.col("at").alias("_at"), "_global", "_own")
+    same = F.col("type").eqNullSafe(F.col("_type")) & (F.col("at") == F.col("_at"))
+    return runs.join(looked_up, same, "left").select(
         *[F.col(c) for c in runs.columns],
         blocking.isNotNull().alias("paused"),
         blocking["scope"].alias("pause_scope"),

@@ -67,12 +67,13 @@ def min_level(df: DataFrame, level: str = "notice", column: str = "level") -> Da
 
 
 def exclude_channels(df: DataFrame, channels, column: str = "channel") -> DataFrame:
-    return df.where(~F.col(column).isin(*channels)) if channels else df
+    """A log without a channel is in none of them."""
+    return df.where(~F.coalesce(F.col(column).isin(*channels), F.lit(False))) if channels else df
 
 
 def drop_self_errors(df: DataFrame, prefix: str, column: str = "file") -> DataFrame:
-    """Errors thrown from inside the library itself, told by where they were thrown."""
-    return df.where(~F.startswith(F.col(column), F.lit(prefix)))
+    """Errors thrown from inside the library itself, told by where they were thrown; of those without a file none is known to be."""
+    return df.where(~F.coalesce(F.startswith(F.col(column), F.lit(prefix)), F.lit(False)))
 
 
 def only_fatal(df: DataFrame, column: str = "severity") -> DataFrame:

@@ -89,22 +89,21 @@ def running_count(df: DataFrame, keys, order: Column, flag: Column, bucket: Colu
     )
 
 
-def top_rows(df: DataFrame, keys, n: int, order: list[Column], spread: int = 256) -> DataFrame:
-    """The first `n` rows of each key in `order`, however many rows a key has.
+def cut_off(df: DataFrame, keys, n: int, order: str, newest: bool = False, out: str = "_cut", width: int = WIDTH) -> DataFrame:
+    """keys and `out`: where the first `n` rows of each key end, by a unique integer column.
 
-    Each task keeps its own first rows, groups of tasks theirs, and only those meet: the last
-    window sees at most `spread * n` rows of a key.
+    Keys of `n` rows or fewer have no row.  Only the keys and the order column are read.  Buckets
+    are counted, a window over the short bucket table finds the one in which the n-th row lies,
+    and only that bucket's numbers (at most `width`) are put in order.
     """
-    if n < 1:
-        return df.limit(0)
     keys = list(keys)
-    part = Window.partitionBy(*keys, "_part").orderBy(*order)
-    whole = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        df.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(spread)))
-        .withColumn("_rank", F.row_number().over(part))
-        .where(F.col("_rank") <= n)
-        .withColumn("_rank", F.row_number().over(whole))
-        .where(F.col("_rank") <= n)
-        .drop("_part", "_rank")
-    )
+    rows = df.select(*keys, F.col(order).alias("_at"), bucket_start(F.col(order), width).alias("_bucket")).where("_at IS NOT NULL")
+    along = F.col("_bucket").desc() if newest else F.col("_bucket").asc()
+    w = Window.partitionBy(*keys).orderBy(along).rowsBetween(Window.unboundedPreceding, 0)
+    counts = rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    placed = counts.withColumns({"_up_to": F.sum("_rows").over(w), "_all": F.sum("_rows").over(Window.partitionBy(*keys))})
+    before = F.col("_up_to") - F.col("_rows")
+    reached = placed.where((F.col("_all") > n) & (before < n) & (F.col("_up_to") >= n)).select(*keys, "_bucket", (F.lit(n) - before).alias("_need"))
+    within = Window.partitionBy(*keys, "_bucket").orderBy(F.col("_at").desc() if newest else F.col("_at").asc())
+    ranked = rows.join(reached, [*keys, "_bucket"]).withColumn("_rank", F.row_number().over(within))
+    return ranked.where(F.col("_rank") == F.col("_need")).select(*keys, F.col("_at").alias(out))

@@ -36,11 +36,11 @@ def dedupe_reports(
     more distinct keys than the cache holds, nothing ever leaves it, so the first report of each
     key is what is sent: an aggregation that combines before it shuffles.  Only sessions with
     more keys need their reports in order; those longer than `segment` are cut, see `_replay`.
-    `order` is a unique integer.
+    `order` is a unique integer.  A null key equals other null keys of its session.
     """
     slim = df.select(
         F.coalesce(F.col(session).cast("string"), F.lit("")).alias("_session"),
-        F.sha2(key.cast("string"), 256).alias("_key"),
+        F.coalesce(F.sha2(key.cast("string"), 256), F.lit("")).alias("_key"),  # a null key is a key like any other
         F.col(order).cast("bigint").alias("_seq"),
     )
     firsts = slim.groupBy("_session", "_key").agg(F.min("_seq").alias("_seq"), F.count(F.lit(1)).alias("_n"))

@@ -32,6 +32,14 @@ def _free_shape(value: Column, secrets, fragments) -> Column:
 # --- events -----------------------------------------------------------------------------------
 
 
+def shape_visits(df: DataFrame, salt: str, keep=()) -> DataFrame:
+    """What daily activity needs of raw events, from `ts, request` alone: the time and the visitor."""
+    agent = url.context_value(F.col("request"), "HTTP_USER_AGENT")
+    address = url.context_value(F.col("request"), "REMOTE_ADDR")
+    visitor = hashing.session_hash(address, agent, F.col("ts"), salt)
+    return df.select(*keep, text.iso_timestamp(F.col("ts")).alias("timestamp"), visitor.alias("session_id_hash"))
+
+
 def shape_events(
     df: DataFrame,
     salt: str,

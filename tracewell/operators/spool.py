@@ -12,8 +12,8 @@ from tracewell.operators import ordered
 def per_type(table: DataFrame, types=C.TYPES) -> DataFrame:
     """A table of one row per type, to be joined to records without moving them.
 
-    The types are a closed list, so it has at most that many rows whatever the data, and may be
-    broadcast.
+    The types are a closed list and `table` holds one row for each (it is made by an aggregation or
+    a cut-off by type), so it has at most that many rows whatever the data, and may be broadcast.
     """
     return F.broadcast(table.where(F.col("type").isin(*types)))
 
@@ -37,8 +37,16 @@ def spool_stats(spool: DataFrame) -> DataFrame:
     )
 
 
-def keep_newest(spool: DataFrame, n: int = C.MAX_SPOOL_ITEMS, keys=("type",), order: str = "seq") -> DataFrame:
-    return ordered.top_rows(spool, keys, n, [F.col(order).desc()])
+def keep_newest(spool: DataFrame, n: int = C.MAX_SPOOL_ITEMS, order: str = "seq", types=C.TYPES, width: int = ordered.WIDTH) -> DataFrame:
+    """The newest `n` records per known type; other types have no capacity of their own and keep all.
+
+    One number per type decides, so the records are filtered where they are and never move.
+    """
+    if n < 1:
+        return spool.where(~F.coalesce(F.col("type").isin(*types), F.lit(False)))
+    cut = ordered.cut_off(spool.where(F.col("type").isin(*types)), ["type"], n, order, newest=True, width=width)
+    older = F.coalesce(F.col(order) < F.col("_cut"), F.lit(False))
+    return spool.join(per_type(cut, types), "type", "left").where(~older).drop("_cut")
 
 
 def overflow_report(spool: DataFrame, n: int = C.MAX_SPOOL_ITEMS) -> DataFrame:
@@ -50,10 +58,15 @@ def overflow_report(spool: DataFrame, n: int = C.MAX_SPOOL_ITEMS) -> DataFrame:
 
 
 def take_fifo(
-    spool: DataFrame, n: int = C.MAX_BATCH_ITEMS, types=C.TYPES, keys=("type",), order: str = "seq"
+    spool: DataFrame, n: int = C.MAX_BATCH_ITEMS, types=C.TYPES, order: str = "seq", width: int = ordered.WIDTH
 ) -> DataFrame:
-    """The oldest `n` records per known type."""
-    return ordered.top_rows(spool.where(F.col("type").isin(*types)), keys, n, [F.col(order).asc()])
+    """The oldest `n` records per known type; one number per type decides, so no record moves."""
+    known = spool.where(F.col("type").isin(*types))
+    if n < 1:
+        return known.where(F.lit(False))
+    cut = ordered.cut_off(known, ["type"], n, order, width=width)
+    newer = F.coalesce(F.col(order) > F.col("_cut"), F.lit(False))
+    return known.join(per_type(cut, types), "type", "left").where(~newer).drop("_cut")
 
 
 def remainder(spool: DataFrame, taken: DataFrame, types=C.TYPES) -> DataFrame:
@@ -63,7 +76,7 @@ def remainder(spool: DataFrame, taken: DataFrame, types=C.TYPES) -> DataFrame:
     """
     last = taken.groupBy("type").agg(F.max("seq").alias("_last"))
     return (
-        spool.join(per_type(last, types), "type", "left").where(F.col("_last").isNull() | (F.col("seq") > F.col("_last"))).drop("_last")
+        spool.join(per_type(last, types), "type", "left").where(~F.coalesce(F.col("seq") <= F.col("_last"), F.lit(False))).drop("_last")
     )
 
 
@@ -141,15 +154,25 @@ def overflow_cycles(
     )
 
 
+def last_given(spool: DataFrame) -> DataFrame:
+    """`type, last_seq`: the highest arrival number of each type.  Kept from run to run, it is the highest ever given."""
+    return spool.groupBy("type").agg(F.max("seq").alias("last_seq"))
+
+
 def next_spool(
-    left: DataFrame, requeued: DataFrame, now: int, width: int = ordered.WIDTH, types=C.TYPES
+    left: DataFrame, requeued: DataFrame, now: int, given: DataFrame | None = None, width: int = 1 << 40, types=C.TYPES
 ) -> DataFrame:
     """The spool after a run: what was left, then the requeued records at the tail.
 
     `requeued` holds envelopes plus `slot`, a unique integer per type that gives their order.  They
-    get a new id, a new timestamp and arrival numbers after every existing one.
+    get a new id, a new timestamp and arrival numbers after every existing one, and after `given`
+    (`type, last_seq`), the highest ever given: a type that was taken whole has no number left to
+    go by.  Slots are a thousandth as dense as numbers, so buckets of them are wider.
     """
-    tail = left.groupBy("type").agg(F.max("seq").alias("_max"))
+    numbers = last_given(left).unionByName(last_given(requeued))
+    if given is not None:
+        numbers = numbers.unionByName(given.select("type", "last_seq"))
+    tail = numbers.groupBy("type").agg(F.max("last_seq").alias("_max"))
     placed = ordered.add_position(requeued, ["type"], "slot", "_position", width)
     again = (
         placed.join(per_type(tail, types), "type", "left")

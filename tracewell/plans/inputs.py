@@ -7,19 +7,21 @@ from pyspark.sql import functions as F
 
 from tracewell.functions import hashing
 from tracewell.functions.let import computed_once
+from tracewell.session import SPREAD
 
 SALT = "catalogue-salt"
 DATA_EPOCH = 1704067200  # 2024-01-01T00:00:00Z
 
 
 def load(spark: SparkSession, folder: str, name: str, spread_by: str | None = None) -> DataFrame:
-    """A table.  Where its files make fewer tasks than there are cores, `spread_by` spreads the
-    rows for work that is heavy per row; a large table has splits enough and is not shuffled."""
+    """A table.  Its splits decide the tasks.
+
+    The tables of tests and bench are single files with one split.  Only where the session says so (`SPREAD`, which
+    `local_session` sets) their rows are spread by `spread_by` for work that is heavy per row.
+    """
     table = spark.read.parquet(f"{folder}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if spread_by and len(table.inputFiles()) < cores:
-        table = table.repartition(cores, spread_by)
-    return table
+    tasks = spark.conf.get(SPREAD, None) if spread_by else None
+    return table.repartition(int(tasks), spread_by) if tasks else table
 
 
 def epoch(ts: Column) -> Column:
@@ -27,12 +29,12 @@ def epoch(ts: Column) -> Column:
     return F.unix_timestamp(ts.cast("timestamp"))
 
 
-def raw_events(spark: SparkSession, folder: str) -> DataFrame:
-    """events: name, properties, user_id, ts, request, is_console, event_id, seq, at."""
-    return events_as_raw(load(spark, folder, "events", "event_id"))
+def raw_events(spark: SparkSession, folder: str, only: tuple[str, ...] = ()) -> DataFrame:
+    """events: name, properties, user_id, ts, request, is_console, event_id, seq, at; or `only` some of them."""
+    return events_as_raw(load(spark, folder, "events", "event_id"), only)
 
 
-def events_as_raw(e: DataFrame) -> DataFrame:
+def events_as_raw(e: DataFrame, only: tuple[str, ...] = ()) -> DataFrame:
     number = F.col("event_id").cast("string")
     user = F.col("user_id").cast("string")
     properties = F.concat(
@@ -57,17 +59,19 @@ def events_as_raw(e: DataFrame) -> DataFrame:
         F.lit("HTTPS"), F.when(F.col("user_id") % 3 == 0, "off").otherwise("on"),
         F.lit("SERVER_PORT"), F.lit("80"),
     )
-    return computed_once(e.select(
-        "event_id",
-        F.col("event_id").alias("seq"),
-        epoch(F.col("ts")).alias("at"),
-        "ts",
-        F.col("event_type").alias("name"),
-        F.parse_json(properties).alias("properties"),
-        "user_id",
-        request.alias("request"),
-        (F.col("user_id") % 10 == 0).alias("is_console"),
-    ))
+    columns = {
+        "event_id": F.col("event_id"),
+        "seq": F.col("event_id"),
+        "at": epoch(F.col("ts")),
+        "ts": F.col("ts"),
+        "name": F.col("event_type"),
+        "properties": F.parse_json(properties),
+        "user_id": F.col("user_id"),
+        "request": request,
+        "is_console": F.col("user_id") % 10 == 0,
+    }
+    # Nothing is pruned through the barrier, so what is not wanted is left out before it.
+    return computed_once(e.select(*[c.alias(name) for name, c in columns.items() if not only or name in only]))
 
 
 def hmac_sql(value: str, salt: str = SALT) -> str:

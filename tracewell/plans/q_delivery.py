@@ -64,6 +64,13 @@ def decided(spark, folder, sent=None):
     return delivery.decide(sources.normalize_responses(raw_responses(spark, folder, sent)))
 
 
+def stored_answers(spark, folder, batches):
+    """Decided responses as a table of one row per batch: what follows from them reads it more than once."""
+    path = new_table_path(spark, "answers")
+    decided(spark, folder, batches).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 RESPONSES_SQL = f"""
 WITH {inputs.BACKLOG_SQL},
 pos AS (SELECT *, row_number() OVER (PARTITION BY type ORDER BY seq) - 1 AS p FROM backlog),
@@ -166,8 +173,8 @@ def requeued_items(spark, folder):
     f"""{RESPONSES_SQL}, u AS (SELECT type, batch_no, unnest(idx) AS i, generate_subscripts(idx, 1) - 1 AS ordinal FROM dec),
           back AS (SELECT items.type, items.data, items.batch_no, ordinal FROM u JOIN items ON items.type = u.type AND items.batch_no = u.batch_no AND items.batch_pos = u.i
             UNION ALL SELECT type, data, batch_no, batch_pos FROM items SEMI JOIN (SELECT type, batch_no FROM dec WHERE requeue) d USING (type, batch_no)),
-          kept AS (SELECT type, seq, data, id, "timestamp" FROM pos WHERE p >= 300),
-          tail AS (SELECT type, max(seq) AS top FROM kept GROUP BY type)
+          kept AS (SELECT type, seq, data, id, "timestamp" FROM pos WHERE p >= 300 AND type <> 'logs'),
+          tail AS (SELECT type, max(seq) AS top FROM pos GROUP BY type)
         SELECT * FROM kept
         UNION ALL
         SELECT * FROM (SELECT back.type, top + row_number() OVER (PARTITION BY back.type ORDER BY batch_no, ordinal) AS seq, data,
@@ -175,13 +182,13 @@ def requeued_items(spark, folder):
           FROM back JOIN tail ON back.type = tail.type)""",
 )
 def next_spool(spark, folder):
-    """What a take leaves, and the requeued records behind it."""
+    """What a take leaves, and the requeued records behind it; of one type nothing is left."""
     batches = stored_batches(spark, folder)
-    answers = decided(spark, folder, batches)
+    answers = stored_answers(spark, folder, batches)
     back = delivery.requeue_unprocessed(answers, batches).unionByName(delivery.requeue_batches(answers, batches))
     backlog = inputs.backlog(spark, folder)
-    left = spool.remainder(backlog, spool.take_fifo(backlog, 300))
-    after = spool.next_spool(left, delivery.with_slot(back), 1_800_000_000)
+    left = spool.discard_backlog(spool.remainder(backlog, spool.take_fifo(backlog, 300)), "logs")
+    after = spool.next_spool(left, delivery.with_slot(back), 1_800_000_000, spool.last_given(backlog))
     return after.select("type", "seq", "data", "id", "timestamp")
 
 
@@ -289,7 +296,9 @@ def paused_runs(spark, folder):
         inputs.type_of_event(F.col("event_type")).alias("type"),
         (inputs.epoch(F.col("ts")) + 30).alias("at"),
     )
-    found = delivery.paused_at(runs, all_pauses(spark, folder))
+    path = new_table_path(spark, "pauses")
+    all_pauses(spark, folder).write.parquet(path)
+    found = delivery.paused_at(runs, spark.read.parquet(path))
     return found.select("run_id", "type", "paused", "pause_scope", "reason")
 
 

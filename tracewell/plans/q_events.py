@@ -39,8 +39,7 @@ def event_items(spark, folder):
         min("timestamp") AS first_at, max("timestamp") AS last_at FROM items GROUP BY ALL""",
 )
 def daily_visitors(spark, folder):
-    raw = inputs.raw_events(spark, folder)
-    hashed = shape.shape_events(raw, inputs.SALT, keep=("ts",)).select("ts", "timestamp", "session_id_hash")
+    hashed = shape.shape_visits(inputs.raw_events(spark, folder, ("ts", "request")), inputs.SALT, keep=("ts",))
     return sessions.daily_visitor_activity(hashed, F.date_format("ts", "yyyy-MM-dd"))
 
 

@@ -45,11 +45,30 @@ def sampled_reports(spark, folder):
     return filters.sample_by_key(errors, "event_id", 0.25).select("event_id")
 
 
-@query("random_sample")
+@query(
+    "random_sample",
+    """SELECT event_type, count(*) AS rows, count(*) AS all_kept, TRUE AS half_kept, 0 AS none_kept, TRUE AS of_the_table FROM events GROUP BY event_type""",
+)
 def random_sample(spark, folder):
-    """The random form keeps about the rate; which rows is up to the seed and the partitions."""
-    errors = inputs.load(spark, folder, "events").where("event_type = 'error'")
-    return filters.sample(errors, 0.5, seed=7).groupBy("event_type").agg((F.count(F.lit(1)) > 0).alias("some"))
+    """What holds whatever the seed: a rate of one keeps all, a half keeps about half (within six standard deviations),
+    nothing keeps nothing, and what is kept is in the table."""
+    events = inputs.load(spark, folder, "events").select("event_id", "event_type")
+    n = F.count(F.lit(1))
+    rows = events.groupBy("event_type").agg(n.alias("rows"))
+    whole = filters.sample(events, 1.0).groupBy("event_type").agg(n.alias("all_kept"))
+    half = filters.sample(events, 0.5, seed=7)
+    met = half.join(events.select("event_id"), "event_id", "left_semi").groupBy("event_type").agg(n.alias("_met"))
+    halves = half.groupBy("event_type").agg(n.alias("_half"))
+    none = filters.sample(events, -1.0, seed=7).groupBy("event_type").agg(n.alias("none_kept"))
+    found = rows
+    for part in (whole, halves, met, none):
+        found = found.join(part, "event_type", "left")
+    kept = F.coalesce("_half", F.lit(0))
+    near = F.abs(kept - F.col("rows") / 2) <= 3 * F.sqrt("rows") + 1
+    return found.select(
+        "event_type", "rows", "all_kept", near.alias("half_kept"), F.coalesce("none_kept", F.lit(0)).alias("none_kept"),
+        (kept == F.coalesce("_met", F.lit(0))).alias("of_the_table"),
+    )
 
 
 @query(

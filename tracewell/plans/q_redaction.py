@@ -12,7 +12,7 @@ from tracewell.plans.registry import query
 
 _FRAGMENTS = "password|passwd|secret|token|api_key|apikey|api-key|authorization|signature|credential"
 _TEXT_RE2 = (
-    rf"(?i)(^|[^\w.\-])([\w.\-]{{0,64}}(?:{_FRAGMENTS})[\w.\-]*[\"'']?\s*[=:]\s*)"
+    rf"(?i)(^|[^\w.\-])([\w.\-]*(?:{_FRAGMENTS})[\w.\-]*[\"'']?\s*[=:]\s*)"
     r"(?:\"(?:[^\"\\]|\\.)*\"|''(?:[^''\\]|\\.)*''|[\"''][^\n]*|(?:Bearer|Basic|Digest|Token)[ \t]+[^\s,;&\"'']+|[^\s,;&\"'']+)"
 )
 _REDACTED_TEXT = f"regexp_replace(text, '{_TEXT_RE2}', '\\1\\2[REDACTED]', 'g')"

@@ -83,15 +83,15 @@ def read_items(spark, folder):
 
 @query(
     "read_batch_bodies",
-    f"""WITH {inputs.BACKLOG_SQL}, p AS (SELECT *, (row_number() OVER (PARTITION BY type ORDER BY seq) - 1) % 1000 AS batch_pos FROM backlog)
-        SELECT type, type AS wrapper, CAST(batch_pos AS INTEGER) AS batch_pos, seq AS n FROM p""",
+    f"""WITH {inputs.BACKLOG_SQL}, p AS (SELECT *, (row_number() OVER (PARTITION BY type ORDER BY seq) - 1) AS place, place % 1000 AS batch_pos, place // 1000 * 1000 AS batch_no FROM backlog)
+        SELECT type, type AS wrapper, batch_no, CAST(batch_pos AS INTEGER) AS batch_pos, seq AS n FROM p""",
 )
 def read_batch_bodies(spark, folder):
-    """Bodies written per type and taken apart again, with the position of every item."""
+    """Bodies written per type and taken apart again, with the batch and position of every item."""
     path = new_table_path(spark, "bodies")
-    sinks.write_batches(batching.pack_batches(inputs.backlog(spark, folder)), path)
+    sinks.write_batches(batching.packed_bodies(inputs.backlog(spark, folder)), path)
     read = sources.read_batch_bodies(spark, path)
-    return read.select("type", "wrapper", "batch_pos", F.variant_get("item", "$.n", "bigint").alias("n"))
+    return read.select("type", "wrapper", "batch_no", "batch_pos", F.variant_get("item", "$.n", "bigint").alias("n"))
 
 
 @query(

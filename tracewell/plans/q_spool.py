@@ -21,10 +21,20 @@ def spool_stats(spark, folder):
 
 @query(
     "keep_newest",
-    f"""WITH {_B} SELECT type, id, seq FROM backlog QUALIFY row_number() OVER (PARTITION BY type ORDER BY seq DESC) <= 500""",
+    f"""WITH {_B} SELECT type, id, seq FROM backlog QUALIFY row_number() OVER (PARTITION BY type ORDER BY seq DESC) <= 5000""",
 )
 def keep_newest(spark, folder):
-    return spool.keep_newest(inputs.backlog(spark, folder), 500).select("type", "id", "seq")
+    """The newest records of each type, as many as a spool holds."""
+    return spool.keep_newest(inputs.backlog(spark, folder)).select("type", "id", "seq")
+
+
+@query(
+    "keep_newest_few",
+    f"""WITH {_B} SELECT type, id, seq FROM backlog QUALIFY row_number() OVER (PARTITION BY type ORDER BY seq DESC) <= 77""",
+)
+def keep_newest_few(spark, folder):
+    """A capacity that every type exceeds, found across buckets of a few numbers."""
+    return spool.keep_newest(inputs.backlog(spark, folder), 77, width=64).select("type", "id", "seq")
 
 
 @query(
@@ -56,14 +66,21 @@ def spool_remainder(spark, folder):
 
 @query(
     "empty_takes",
-    """SELECT event_type AS type, event_id AS seq FROM events WHERE FALSE""",
+    f"""WITH {_B}, mixed AS (SELECT CASE WHEN seq % 3 = 0 THEN 'page_visits' ELSE type END AS type, seq FROM backlog),
+          taken AS (SELECT type, seq FROM mixed WHERE type <> 'page_visits' QUALIFY row_number() OVER (PARTITION BY type ORDER BY seq) <= 10)
+        SELECT type, count(*) AS items, 0 AS taken_of_none, count(t.seq) AS taken_of_ten FROM mixed LEFT JOIN taken t USING (type, seq) GROUP BY type""",
 )
 def empty_takes(spark, folder):
-    """A limit below one, or an unknown type, takes nothing."""
-    backlog = inputs.backlog(spark, folder)
-    unknown = backlog.withColumn("type", F.lit("page_visits"))
-    none = spool.take_fifo(backlog, 0).unionByName(spool.take_fifo(unknown, 10))
-    return none.select("type", "seq")
+    """Of a backlog with known and unknown types: what a limit of none and one of ten take of each."""
+    kind = F.when(F.col("seq") % 3 == 0, "page_visits").otherwise(F.col("type"))
+    backlog = inputs.backlog(spark, folder).withColumn("type", kind)
+    takes = [
+        spool.take_fifo(backlog, n).groupBy("type").agg(F.count(F.lit(1)).alias(name)) for n, name in ((0, "taken_of_none"), (10, "taken_of_ten"))
+    ]
+    found = backlog.groupBy("type").agg(F.count(F.lit(1)).alias("items"))
+    for taken in takes:
+        found = found.join(taken, "type", "left")
+    return found.fillna(0, ["taken_of_none", "taken_of_ten"])
 
 
 @query(
@@ -120,7 +137,7 @@ def packed_batches(spark, folder):
         FROM p GROUP BY type, chunk""",
 )
 def batch_sizes(spark, folder):
-    """Batch bodies: one wrapper key, the items in FIFO order, nothing of the envelope."""
+    """Batch bodies: one wrapper key, the items in FIFO order, nothing of the envelope; made of packed records."""
     bodies = batching.batch_bodies(batching.pack_batches(inputs.backlog(spark, folder)))
     return bodies.select(
         "type", "batch_no", "items", "bytes", F.length("body").cast("bigint").alias("body_chars"), F.md5("body").alias("body_md5")

@@ -8,6 +8,7 @@ from tracewell.functions.let import computed_once
 from tracewell.operators import batching, budget, shape, validate
 from tracewell.plans import inputs
 from tracewell.plans.registry import query
+from tracewell.session import new_table_path
 
 _E, _R = inputs.EVENTS_SQL, inputs.REPORTS_SQL
 
@@ -152,7 +153,10 @@ def batch_verdicts(spark, folder):
     shaped = shape.shape_events(inputs.raw_events(spark, folder), inputs.SALT, keep=("event_id", "seq"))
     checked = validate.validate(shaped, "events")
     slim = checked.select(F.lit("events").alias("type"), "seq", F.lit(0).cast("bigint").alias("bytes"), "violations")
-    return validate.batch_verdict(batching.pack_batches(slim, max_items=100))
+    # Numbering reads its input twice, so what was judged is stored once.
+    path = new_table_path(spark, "judged")
+    slim.write.parquet(path)
+    return validate.batch_verdict(batching.pack_batches(spark.read.parquet(path), max_items=100))
 
 
 @query(

@@ -19,6 +19,10 @@ SETTINGS = {
 }
 
 
+# Into how many tasks the small tables of tests and bench are spread; unset on a cluster.
+SPREAD = "spark.tracewell.spread"
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
@@ -37,6 +41,7 @@ def local_session(cores: str = "8", memory: str = "8g", app: str = "tracewell")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
         .config("spark.sql.adaptive.enabled", "true")
+        .config(SPREAD, cores if cores.isdigit() else "8")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

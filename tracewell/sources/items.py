@@ -36,11 +36,13 @@ def read_spool(spark: SparkSession, path: str, record_type: str, stream: bool =
     """Envelopes of spool files, each a JSON list; `pos` is the place in the list.
 
     An unreadable file counts as empty.  Entries without a string id, nested data and an integer
-    timestamp are dropped.  A spool file is bounded by the spool's capacity.
+    timestamp are dropped.  Each entry is parsed by itself, so the limit on a VARIANT's size holds
+    for an entry and not for the file, which may be as long as a string.
     """
     _known(record_type)
-    listed = F.try_parse_json("value").try_cast("array<variant>")
-    entries = _documents(spark, path, True, stream).select("file", F.posexplode(listed).alias("pos", "entry"))
+    listed = F.from_json("value", "array<variant>")
+    is_list = F.col("value").rlike(r"^\s*+\[")
+    entries = _documents(spark, path, True, stream).where(is_list).select("file", F.posexplode(listed).alias("pos", "entry"))
     return _envelopes(entries, record_type)
 
 
@@ -112,11 +114,12 @@ def body_items(bodies: DataFrame, body: Column, keep=()) -> DataFrame:
 
 
 def read_batch_bodies(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    """Items of written batch bodies (one per line); `type` and `batch_no` come from the folders
-    where the writer put them."""
+    """Items of bodies that `write_batches` wrote, each with its batch's number, so that responses
+    can be joined to what was sent; a line without a number is a body with none."""
     rows = _reader(spark, stream).format("text").load(path)
     keep = [c for c in rows.columns if c != "value"]
-    return body_items(rows, F.col("value"), keep)
+    number, body = (F.regexp_extract("value", r"(?s)^(?:(\d+)\t)?+(.*)$", i) for i in (1, 2))
+    return body_items(rows.select(*keep, number.try_cast("bigint").alias("batch_no"), body.alias("_body")), F.col("_body"), [*keep, "batch_no"])
 
 
 def normalize_responses(raw: DataFrame) -> DataFrame:

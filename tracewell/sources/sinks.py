@@ -6,16 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewell import contracts as C
-from tracewell.operators import batching
 
 
-def write_batches(batches: DataFrame, path: str, table: DataFrame | None = None, mode: str = "overwrite") -> None:
-    """One JSON body per line and batch, in a folder per type.
+def write_batches(bodies: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Bodies of `batching.packed_bodies`, one per line: its batch number, a tab, and the JSON body; a folder per type.
 
     Bodies are written by the tasks that built them; `mode` overwrite makes a repeat harmless.
     """
-    bodies = batching.batch_bodies(batches, table)
-    bodies.select("type", F.col("body").alias("value")).write.partitionBy("type").mode(mode).text(path)
+    line = F.concat(F.col("batch_no").cast("string"), F.lit("\t"), F.col("body"))
+    bodies.select("type", line.alias("value")).write.partitionBy("type").mode(mode).text(path)
 
 
 def write_spool_lines(spool: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -47,11 +46,15 @@ def write_quarantine(rejected: DataFrame, path: str, by=("type",), mode: str = "
 
 
 def diagnostic_lines(df: DataFrame, channel: str = "internal") -> DataFrame:
-    """`at` (ISO string), `level`, `message`, `context` (VARIANT or null) to text lines by day."""
+    """`at` (ISO string), `level`, `message`, `context` (VARIANT or null) to text lines by day.
+
+    A diagnostic is one line: line breaks in its message are written as `\\n`.
+    """
     shown = F.coalesce(F.to_json("context"), F.lit("{}"))
     suffix = F.when(shown.isin("{}", "[]"), "").otherwise(F.concat(F.lit(" "), shown))
     line = F.concat(
-        F.lit("["), F.col("at"), F.lit(f"] {channel}."), F.upper("level"), F.lit(": "), F.col("message"), suffix
+        F.lit("["), F.col("at"), F.lit(f"] {channel}."), F.upper("level"), F.lit(": "),
+        F.regexp_replace("message", r"\r\n|[\n\r]", r"\\n"), suffix,
     )
     return df.select(F.substring("at", 1, 10).alias("day"), line.alias("value"))
 

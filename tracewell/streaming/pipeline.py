@@ -48,13 +48,14 @@ def deliver_stream(
 
 
 def quarantine_stream(validated: DataFrame, good: str, bad: str, checkpoint: str, violations: str = "violations") -> StreamingQuery:
-    """Valid and rejected records to two tables, in one pass over each micro-batch."""
+    """Valid and rejected records to two tables, in one pass over each micro-batch; what was not judged is not valid."""
+    valid = F.coalesce(F.size(violations) == 0, F.lit(False))
 
     def handle(rows: DataFrame, number: int) -> None:
         kept = rows.persist()
         try:
-            kept.where(F.size(violations) == 0).write.mode("overwrite").parquet(f"{good}/run={number}")
-            kept.where(F.size(violations) > 0).write.mode("overwrite").parquet(f"{bad}/run={number}")
+            kept.where(valid).write.mode("overwrite").parquet(f"{good}/run={number}")
+            kept.where(~valid).write.mode("overwrite").parquet(f"{bad}/run={number}")
         finally:
             kept.unpersist()
 
