@@ -15,6 +15,7 @@ and so is a row with a null doc_id.  An empty table gives no rows.  Other column
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -78,16 +79,32 @@ def token_pieces(
 
 
 def _cache(path: str) -> PartCache:
-    """One per worker process, kept between tasks."""
+    """One per worker process, kept between tasks.
+
+    The ids are those that the tokenizers library makes with the file.  They are made with tiktoken from the file's
+    vocabulary, which takes less than half the time; strings of special tokens are ordinary text.
+    """
     if path not in _ENCODERS:
-        from tokenizers import Tokenizer
+        import public_tokenizers
+        import tiktoken
 
-        made = Tokenizer.from_file(path)
-        made.encode_special_tokens = True  # their strings in a text are ordinary text
-        _ENCODERS[path] = PartCache(lambda parts: [id_bytes(e.ids) for e in made.encode_batch_fast(parts, add_special_tokens=False)])
+        ranks = vocabulary(path)
+        made = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        _ENCODERS[path] = PartCache(lambda parts: [id_bytes(made(p)) for p in parts])
     return _ENCODERS[path]
 
 
+def vocabulary(path: str) -> dict[bytes, int]:
+    """Ids by bytes, of a byte-level BPE file whose ids rise in the order of its merges."""
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    # A byte that prints as itself stands for itself, the others for the characters from 256 on, in their order.
+    printed = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printed]
+    byte = {chr(b): b for b in printed} | {chr(256 + i): b for i, b in enumerate(others)}
+    return {bytes(byte[c] for c in word): n for word, n in model["vocab"].items() if all(c in byte for c in word) and not word.startswith("<|")}
+
+
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, list[int]]]:
     """(how many sequences, the lengths of each), from the number of pieces of each length."""
     left = {length: n for length, n in counts.items() if n}

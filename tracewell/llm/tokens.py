@@ -49,30 +49,31 @@ class PartCache:
     def later(self) -> dict[str, object]:
         return self.rest.young
 
-    def prepare(self, texts: Iterable[str]) -> None:
+    def prepare(self, texts: list[str]) -> None:
         for part in self.passing:
             self.rest.young.pop(part, None)
             self.firsts.young.pop(part, None)
-        seen_first, seen, whole = set(), set(), {}
-        young = self.rest.young
-        uncut: list[str] = []
+        heads, seen = set(), set()
         for text in texts:
-            head, *rest = text.split(" ")
-            new = set(rest).difference(young)
-            if rest and (_rough(head) or any(map(_rough, new))):
-                uncut.append(text)
-                continue
-            seen_first.add(head)
-            seen.update(rest)
-        first, later = self.firsts.missing(seen_first), self.rest.missing(seen)
-        uncut = list(dict.fromkeys(uncut))
+            parts = text.split(" ")
+            heads.add(parts[0])
+            seen.update(parts[1:])
+        first, later = self.firsts.missing(heads), self.rest.missing(seen)
+        # Rough parts are never remembered, so they are among the new ones.
+        rough, rough_heads = {x for x in later if _rough(x)}, {x for x in heads if _rough(x)}
+        uncut = [t for t in dict.fromkeys(texts) if self._uncut(t, rough, rough_heads)] if rough or rough_heads else []
+        later = [x for x in later if x not in rough]
         values = iter(self.encode([*first, *(" " + part for part in later), *uncut]))
         self.firsts.young.update(zip(first, values))
         self.rest.young.update(zip(later, values))
-        whole.update(zip(uncut, values))
-        self.whole = whole
+        self.whole = dict(zip(uncut, values))
         self.passing = [part for part in (*first, *later) if len(part) > self.longest]
 
+    @staticmethod
+    def _uncut(text: str, rough: set[str], rough_heads: set[str]) -> bool:
+        head, *rest = text.split(" ")
+        return bool(rest) and (head in rough_heads or not rough.isdisjoint(rest))
+
     def of(self, text: str) -> list:
         """The values of the parts of a prepared text, in order."""
         if text in self.whole:
