@@ -12,6 +12,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from tracewell.contracts import MAX_SPOOL_ITEMS  # noqa: E402
 from tracewell.plans import registry  # noqa: E402
 from tracewell.session import local_session  # noqa: E402
 
@@ -65,7 +66,8 @@ def main() -> None:
                 "unit": "sec",
                 "queries": timings,
                 "first_runs_total": round(sum(first.values()), 3),
-                "items_per_minute_flushed": round(events / timings["flush_events"] * 60),
+                "items_per_minute_spooled": round(events / timings["flush_events"] * 60),
+                "items_per_minute_flushed": round(min(events, MAX_SPOOL_ITEMS) / timings["flush_events"] * 60),
                 "sf": os.path.basename(folder.rstrip("/")),
             }
         ),

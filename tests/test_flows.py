@@ -57,14 +57,14 @@ def collect(spark, stream):
 def test_stream_state_lasts_across_micro_batches(spark):
     parts = [[("s", 0, "a"), ("s", 1, "b"), ("s", 2, "a")], [("s", 3, "a"), ("s", 4, "c"), ("s", 5, "d")], [("s", 6, "a"), ("t", 7, "a")]]
     stream = micro_batches(spark, parts, "session_id string, seq bigint, message string")
-    sent = collect(spark, stateful.dedupe_reports_stream(stream, F.col("message"), "session_id", "seq", cache=3))
+    sent = collect(spark, stateful.dedupe_reports_stream(stream, F.col("message"), "session_id", "seq", cache=3, idle=None))
     assert sorted(r.seq for r in sent) == [0, 1, 4, 5, 6, 7]
 
 
 def test_stream_trails_last_across_micro_batches(spark):
     parts = [[("s", 0, False, "a"), ("s", 1, True, "")], [("s", 2, False, "b"), ("s", 3, False, "c"), ("s", 4, True, "")]]
     stream = micro_batches(spark, parts, "session_id string, seq bigint, error boolean, crumb string")
-    got = collect(spark, stateful.breadcrumb_stream(stream, "session_id", "seq", "error", "crumb", n=2))
+    got = collect(spark, stateful.breadcrumb_stream(stream, "session_id", "seq", "error", "crumb", n=2, idle=None))
     assert {r.seq: r.breadcrumbs for r in got} == {1: ["a"], 4: ["b", "c"]}
 
 
@@ -93,3 +93,34 @@ def test_diagnostic_lines(spark):
     got = sources.parse_diagnostics(spark.createDataFrame([(v,) for v in lines], "value string")).collect()
     assert [(r.channel, r.level, r.message, r.context is not None) for r in got] == [
         ("internal", "error", "it: broke", True), ("my.app", "info", "plain", False), ("c", "warning", "ends {odd", False)]
+
+
+def test_a_spool_file_larger_than_a_variant(spark, tmp_path):
+    """Every entry is parsed by itself, so a file may be larger than the limit on one value."""
+    from tracewell.sources import items as sources
+
+    entry = '{"id":"i%d","data":{"n":%d,"pad":"' + "x" * 69_000 + '"},"timestamp":%d}'
+    with open(tmp_path / "large.json", "w") as file:
+        file.write("[" + ",".join(entry % (i, i, i) for i in range(2_100)) + "]")
+    (tmp_path / "cut.json").write_text('[{"id":"a","data":{},"timestamp":1}')
+    (tmp_path / "other.json").write_text('{"id":"a","data":{},"timestamp":1}')
+    assert (tmp_path / "large.json").stat().st_size > 140_000_000
+    read = sources.read_spool(spark, str(tmp_path), "events").agg(F.count("*"), F.sum("timestamp"), F.min("bytes")).first()
+    assert read[0] == 2_100 and read[1] == sum(range(2_100)) and read[2] > 69_000
+
+
+def test_a_sink_of_the_callers_own(spark, tmp_path):
+    from tracewell.streaming import pipeline
+
+    rows = [("logs", f"i{i}", i, i, '{"n":%d}' % i, 8) for i in range(25)]
+    spool = spark.createDataFrame(rows, "type string, id string, seq bigint, timestamp bigint, data string, bytes bigint")
+    for part in (spool.where("seq < 10"), spool.where("seq >= 10")):
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "spool"))
+    got = []
+    stream = spark.readStream.schema(spool.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "spool"))
+    query = pipeline.deliver_stream(
+        stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"), max_items=10,
+        sink=lambda bodies, number: got.extend((number, r["batch_no"], r["items"]) for r in bodies.collect()),
+    )
+    query.awaitTermination(60)
+    assert sum(n for _, _, n in got) == 25 and {number for number, _, _ in got} == {0, 1}

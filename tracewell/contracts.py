@@ -268,7 +268,20 @@ STRICT_TYPES = ("errors",)
 LEGACY_FIELDS = {"errors": ("laravel_version",)}
 LEGACY_FRAMEWORK = {"laravel_version": "laravel"}
 
-# Rules a raw browser report is held to before it is shaped: (field, kind, required, max length)
+# --- fixed values: browser reports, before they are shaped --------------------------------------
+
+# What the relay answers about a field that breaks its rule.
+REPORT_PROBLEM_TEXTS = {
+    "subject": ("The ", " field "),
+    "required": "is required.",
+    "string": "must be a string.",
+    "longer": ("must not be greater than ", " characters."),
+    "integer": "must be an integer.",
+    "number": "must be a number.",
+    "array": "must be an array.",
+}
+
+# The rules: (field, kind, required, max length)
 BROWSER_REPORT_RULES = (
     ("message", "string", True, 2000),
     ("stack", "string", False, 10000),

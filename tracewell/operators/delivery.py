@@ -85,9 +85,11 @@ def classify_outcomes(responses: DataFrame) -> DataFrame:
         {**{s: C.DECISIONS[s][7] for s in named}, 500: C.SERVER_ERROR_DIAGNOSTIC},
         C.UNEXPECTED_STATUS_DIAGNOSTIC,
     )
+    # Without an answer the transport's own words count.
+    said = F.when(status == 0, F.col("error")) if "error" in responses.columns else F.lit(None).cast("string")
     detail = F.when(
         status.isin(*C.FALLBACK_MESSAGES),
-        F.coalesce(F.nullif(F.col("error_message"), F.lit("")), _lookup(status, C.FALLBACK_MESSAGES)),
+        F.coalesce(said, F.nullif(F.col("error_message"), F.lit("")), _lookup(status, C.FALLBACK_MESSAGES)),
     )
 
     def note(s, t, d) -> Column:

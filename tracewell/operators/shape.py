@@ -6,6 +6,8 @@ Columns named in `keep` travel along unchanged, so that later steps still know t
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,15 @@ def empty_object() -> Column:
     return F.parse_json(F.lit("{}"))
 
 
+#: A caller's own rule for free text: a string column in, a string column out.
+Redactor = Callable[[Column], Column]
+
+
+def _clean(value: Column, fragments, redactor: Redactor | None) -> Column:
+    redacted = redact.redact_text(value, fragments)
+    return redactor(redacted) if redactor else redacted
+
+
 def _free_shape(value: Column, secrets, fragments) -> Column:
     """Nested data as it may leave the host; anything but a list or an object becomes empty."""
     nested = rules.variant_kind(value) == "array"
@@ -112,8 +123,9 @@ def shape_logs(
     framework_version: str | None = None,
     secrets=None,
     fragments=C.SENSITIVE_FRAGMENTS,
+    redactor: Redactor | None = None,
 ) -> DataFrame:
-    """Raw `level, message, context, channel, ts, extra` to the six log fields."""
+    """Raw `level, message, context, channel, ts, extra` to the six log fields; `redactor` goes over free text last."""
     context = _free_shape(F.col("context"), secrets, fragments)
     extra = _free_shape(F.col("extra"), secrets, fragments)
     return _keep(
@@ -121,7 +133,7 @@ def shape_logs(
         keep,
         [
             F.lower("level").alias("level"),
-            text.truncate_with_suffix(redact.redact_text(F.col("message"), fragments), C.MAX_LOG_MESSAGE).alias(
+            text.truncate_with_suffix(_clean(F.col("message"), fragments, redactor), C.MAX_LOG_MESSAGE).alias(
                 "message"
             ),
             sizing.cap_bytes(context, C.MAX_LOG_CONTEXT_BYTES, C.CONTEXT_REASON).alias("context"),
@@ -164,8 +176,9 @@ def shape_errors(
     secrets=None,
     referer_secrets=None,
     fragments=C.SENSITIVE_FRAGMENTS,
+    redactor: Redactor | None = None,
 ) -> DataFrame:
-    """Raw errors to the nineteen error fields, all always present.
+    """Raw errors to the nineteen error fields, all always present; `redactor` goes over free text last.
 
     Reads `message, file, line, type, environment, trace, request, argv, is_console, ts`, and
     where given `context, highlight_line` (from `source_preview`) and `user` (from `attach_user`).
@@ -189,14 +202,14 @@ def shape_errors(
         df,
         keep,
         [
-            text.truncate_with_suffix(redact.redact_text(F.col("message"), fragments), C.MAX_ERROR_MESSAGE).alias(
+            text.truncate_with_suffix(_clean(F.col("message"), fragments, redactor), C.MAX_ERROR_MESSAGE).alias(
                 "message"
             ),
             text.bound_file_path(F.col("file"), project_root).alias("file"),
             F.col("line").cast("bigint").alias("line"),
             F.col("type"),
             F.col("environment"),
-            text.truncate_with_suffix(redact.redact_text(F.col("trace"), fragments), C.MAX_ERROR_TRACE).alias("trace"),
+            text.truncate_with_suffix(_clean(F.col("trace"), fragments, redactor), C.MAX_ERROR_TRACE).alias("trace"),
             on_web(url.mask_headers(url.request_headers(request), referer_secrets, fragments)).alias("headers"),
             given("context", "string").alias("context"),
             given("highlight_line", "bigint").cast("bigint").alias("highlight_line"),
@@ -214,13 +227,14 @@ def shape_errors(
     )
 
 
-def preview_window(content: Column, line: Column) -> tuple[Column, Column]:
+def preview_window(content: Column, line: Column, lines: Column | None = None) -> tuple[Column, Column]:
     """Eleven lines around a line, dedented, and the line's place among them.
 
     `content` is a whole file.  Every line but the last ends in a newline that stays with it.
+    `lines` is the content split at its newlines, where that has been done already.
     """
     start = F.greatest(F.lit(0), line.cast("int") - C.PREVIEW_LINES_BEFORE - 1)
-    lines = F.split(content, "\n", -1)
+    lines = F.split(content, "\n", -1) if lines is None else lines
     total = F.size(lines) - F.when(F.endswith(content, F.lit("\n")) | (content == ""), 1).otherwise(0)
     end = F.least(total, start + C.PREVIEW_LINES)
     window = F.slice(lines, start + 1, F.greatest(end - start, F.lit(0)))
@@ -246,26 +260,34 @@ def preview_window(content: Column, line: Column) -> tuple[Column, Column]:
 def source_preview(errors: DataFrame, source_files: DataFrame, path: str = "file", line: str = "line") -> DataFrame:
     """Adds `context` and `highlight_line` from a `source_files(path, text)` table.
 
-    Each (file, line) is previewed once, however many errors name it, so a file that many errors
-    point at is neither joined nor split once per error.
+    The lines that errors name are gathered per file and the file is split once for all of them,
+    so a file that many errors point at is neither joined nor split once per error or line.  A file
+    has fewer lines than bytes: lines beyond that look alike and count as one.
     """
-    spots = errors.select(F.col(path).alias("_path"), F.col(line).alias("_line")).where(
-        F.col("_path").isNotNull() & F.col("_line").isNotNull()
+    beyond = C.MAX_SOURCE_FILE_BYTES + C.PREVIEW_LINES_BEFORE + 1
+    spot = F.least(F.col(line).cast("bigint"), F.lit(beyond))
+    spots = (
+        errors.select(F.col(path).alias("_path"), spot.alias("_line"))
+        .where(F.col("_path").isNotNull() & F.col("_line").isNotNull())
+        .groupBy("_path")
+        .agg(F.collect_set("_line").alias("_named"))
     )
     files = source_files.select(F.col("path").alias("_path"), F.col("text").alias("_text")).where(
         (F.col("_path") != "") & (F.octet_length("text") < C.MAX_SOURCE_FILE_BYTES)
     )
-    context, highlight = preview_window(F.col("_text"), F.col("_line"))
+
+    def seen(named: Column) -> Column:
+        context, highlight = preview_window(F.col("_text"), named, F.col("_lines"))
+        return F.struct(named.alias("_line"), context.alias("context"), highlight.alias("highlight_line"))
+
     previews = (
-        spots.distinct()
-        .join(files, "_path")
-        .select("_path", "_line", context.alias("context"), highlight.alias("highlight_line"))
+        spots.join(files, "_path")
+        .withColumn("_lines", F.split("_text", "\n", -1))
+        .select("_path", F.explode(F.transform("_named", seen)).alias("_seen"))
+        .select("_path", "_seen.*")
     )
-    return errors.join(
-        previews,
-        (errors[path] == previews["_path"]) & (errors[line] == previews["_line"]),
-        "left",
-    ).drop("_path", "_line")
+    same = (F.col(path) == F.col("_path")) & (spot == F.col("_line"))
+    return errors.join(previews, same, "left").drop("_path", "_line")
 
 
 def normalize_framework(df: DataFrame) -> DataFrame:
@@ -478,35 +500,47 @@ def attach_user(
     return out.drop("_key", "_id", "_email")
 
 
+MOST_ROUTES = 10_000  # that may be broadcast
+
+
 def attach_path_secrets(df: DataFrame, routes: DataFrame, url_column: str = "url", out: str = "path_secrets") -> DataFrame:
     """Adds the secret path segments of each row's URL, from `routes(pattern, secret_params)`.
 
-    A pattern is a path such as `/reset/{token}`.  Routes are grouped under the number of their
-    segments and their first literal one, so the join is an equality join on what can match; rows
-    read two groups, that of their own first segment and that of routes starting with a parameter.
+    A pattern is a path such as `/reset/{token}`.  Routes are grouped by what a URL must have to
+    match: the number of segments and the first literal one, or, after a leading parameter, the
+    second.  Rows look both groups up by equality.  Patterns of two leading parameters fit any URL
+    of their length, so those rows would all meet in a few tasks; they are few (an application's
+    most general routes) and are broadcast if the routes number no more than `MOST_ROUTES`.
     """
     cut = F.split(F.regexp_replace("pattern", r"^/|/$", ""), "/", -1)
+
+    def literal(i: int) -> Column:
+        part = F.get(F.col("parts"), F.lit(i))
+        return F.when(~F.startswith(part, F.lit("{")), part)
+
     grouped = (
         routes.select(cut.alias("parts"), "secret_params")
         .select(
-            F.size("parts").alias("_n"),
-            F.when(F.startswith(F.col("parts")[0], F.lit("{")), F.lit("*")).otherwise(F.col("parts")[0]).alias("_head"),
-            F.struct("parts", "secret_params").alias("route"),
+            F.size("parts").alias("_n"), literal(0).alias("_first"),
+            F.when(literal(0).isNull(), literal(1)).alias("_second"), F.struct("parts", "secret_params").alias("route"),
         )
-        .groupBy("_n", "_head")
+        .groupBy("_n", "_first", "_second")
         .agg(F.collect_list("route").alias("_routes"))
-    )
+    )
     origin_free = F.regexp_replace(url_column, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*://|//)[^/?#]*", "")
     path = F.regexp_extract(origin_free, r"^([^?#]*)", 1)
     segments = F.split(F.regexp_replace(path, r"^/|/$", ""), "/", -1)
     rows = df.withColumn("_segments", segments).withColumns(
-        {"_n": F.size("_segments"), "_first": F.col("_segments")[0]}
+        {"_n": F.size("_segments"), "_first": F.get("_segments", F.lit(0)), "_second": F.get("_segments", F.lit(1))}
     )
-    literal = grouped.withColumnRenamed("_head", "_first").withColumnRenamed("_routes", "_literal")
-    leading = grouped.where("_head = '*'").select("_n", F.col("_routes").alias("_leading"))
-    joined = rows.join(literal, ["_n", "_first"], "left").join(leading, "_n", "left")
+    by_first = grouped.where("_first IS NOT NULL").select("_n", "_first", F.col("_routes").alias("_by_first"))
+    by_second = grouped.where("_second IS NOT NULL").select("_n", "_second", F.col("_routes").alias("_by_second"))
+    general = grouped.where("_first IS NULL AND _second IS NULL").select("_n", F.col("_routes").alias("_general"))
+    if routes.limit(MOST_ROUTES + 1).count() <= MOST_ROUTES:
+        by_first, by_second, general = map(F.broadcast, (by_first, by_second, general))
+    joined = rows.join(by_first, ["_n", "_first"], "left").join(by_second, ["_n", "_second"], "left").join(general, "_n", "left")
     none = F.array().cast("array<struct<parts:array<string>,secret_params:array<string>>>")
-    candidates = F.concat(F.coalesce("_literal", none), F.coalesce("_leading", none))
+    candidates = F.concat(*(F.coalesce(c, none) for c in ("_by_first", "_by_second", "_general")))
 
     def is_param(part: Column) -> Column:
         return F.startswith(part, F.lit("{"))
@@ -524,4 +558,4 @@ def attach_path_secrets(df: DataFrame, routes: DataFrame, url_column: str = "url
         return F.transform(secret, lambda z: z["s"])
 
     secrets = F.array_distinct(F.flatten(F.transform(F.filter(candidates, matches), found)))
-    return joined.withColumn(out, secrets).drop("_segments", "_n", "_first", "_literal", "_leading")
+    return joined.withColumn(out, secrets).drop("_segments", "_n", "_first", "_second", "_by_first", "_by_second", "_general")

@@ -57,7 +57,11 @@ def raw_responses(spark, folder, sent=None):
         status.isin(401, 422), F.concat(F.lit('{"success":false,"error":{"message":"no '), number.cast("string"), F.lit('"}}'))
     ).otherwise('{"success":false}')
     retry = F.when(status == 429, F.element_at(F.array(*[F.lit(x) for x in ("5", "", "0", " 90 s", "soon")]), (number % 5 + 1).cast("int")))
-    return batches.select("type", "batch_no", "items", status.alias("status"), retry.alias("retry_after"), body.alias("body"), F.col("last_at").alias("at"))
+    unanswered = F.when((status == 0) & (number % 2 == 0), F.concat(F.lit("timed out after "), number.cast("string")))
+    return batches.select(
+        "type", "batch_no", "items", status.alias("status"), retry.alias("retry_after"), body.alias("body"), F.col("last_at").alias("at"),
+        unanswered.alias("transport_error"),
+    )
 
 
 def decided(spark, folder, sent=None):
@@ -133,7 +137,7 @@ def delivery_outcomes(spark, folder):
             WHEN 403 THEN 'API request forbidden' WHEN 413 THEN 'Payload too large, indicates a client bug'
             WHEN 422 THEN 'Validation failed, indicates schema drift or malformed items' WHEN 429 THEN 'Rate limit exceeded'
             WHEN 500 THEN 'Server error during batch processing' ELSE 'Unexpected API response status' END AS diagnostic,
-          CASE status WHEN 0 THEN 'Unknown network error' WHEN 401 THEN 'no ' || num WHEN 422 THEN 'no ' || num WHEN 403 THEN 'Forbidden' WHEN 413 THEN 'Payload Too Large' END AS detail
+          CASE status WHEN 0 THEN CASE WHEN num % 2 = 0 THEN 'timed out after ' || num ELSE 'Unknown network error' END WHEN 401 THEN 'no ' || num WHEN 422 THEN 'no ' || num WHEN 403 THEN 'Forbidden' WHEN 413 THEN 'Payload Too Large' END AS detail
         FROM dec WHERE status <> 200
         UNION ALL SELECT type, batch_no, 'warning', 'Some items failed during processing', NULL FROM dec WHERE status = 200 AND failed > 0
         UNION ALL SELECT type, batch_no, 'info', 'Some items were not processed due to timeout', NULL FROM dec WHERE status = 200 AND unprocessed > 0""",

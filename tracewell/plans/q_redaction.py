@@ -81,15 +81,13 @@ def redact_callback_urls(spark, folder):
 @query(
     "redact_url_paths",
     """SELECT page_id,
-         CASE WHEN regexp_matches(url, '^https?://[^/]+/(en)/')
-              THEN regexp_replace(url, '^(https?://[^/]+)/[^/?#]+/', '\\1/[REDACTED]/')
-              ELSE regexp_replace(url, '^(https?://[^/]+)/[^/?#]+/[^/?#]+', '\\1/[REDACTED]/[REDACTED]') END AS url
+         regexp_replace(url, '^(https?://[^/]+)/[^/?#]+/[^/?#]+', '\\1/[REDACTED]/[REDACTED]') AS url
        FROM pages""",
 )
 def redact_url_paths(spark, folder):
-    """Secret path segments resolved per URL from a route table, one route per document language."""
+    """Secret path segments resolved per URL from a route table: one route per document language, and one for any."""
     pages = inputs.load(spark, folder, "pages")
-    langs = inputs.load(spark, folder, "documents").where("lang <> 'en'").select("lang").distinct()
+    langs = inputs.load(spark, folder, "documents").select("lang").distinct()
     named = langs.select(
         F.concat(F.lit("/"), "lang", F.lit("/{page}")).alias("pattern"), F.array(F.lit("page")).alias("secret_params")
     )

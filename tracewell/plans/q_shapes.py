@@ -132,6 +132,50 @@ def source_previews(spark, folder):
     return seen.select("doc_id", "line", F.md5("context").alias("context_md5"), "highlight_line")
 
 
+@query(
+    "shared_previews",
+    """WITH f AS (SELECT doc_id, string_split(text, chr(10)) AS lines, text FROM documents WHERE doc_id < 40 AND strlen(text) < 1048576),
+         e AS (SELECT event_id, event_id % 60 AS file_no, CASE WHEN event_id % 17 = 0 THEN 99000000 ELSE event_id % 7 + 1 END AS line FROM events),
+         w AS (SELECT event_id, line, doc_id, greatest(0, line - 6) AS start, lines,
+             len(lines) - CASE WHEN text LIKE '%' || chr(10) OR text = '' THEN 1 ELSE 0 END AS total FROM e LEFT JOIN f ON doc_id = file_no),
+         c AS (SELECT *, least(total, start + 11) AS stop,
+             list_transform(lines[start + 1 : least(total, start + 11)], lambda s: regexp_replace(
+               CASE WHEN length(s) > 2000 THEN substr(s, 1, 2000) || '... (truncated)' ELSE s END, '\\s+$', '')) AS win FROM w),
+         i AS (SELECT *, coalesce(list_min(list_transform(list_filter(win, lambda s: s <> ''),
+             lambda s: length(s) - length(ltrim(s, ' ' || chr(9))))), 0) AS indent FROM c)
+       SELECT event_id, md5(CASE WHEN doc_id IS NULL THEN NULL WHEN stop > start THEN
+           array_to_string(list_transform(win, lambda s: substr(s, CAST(indent AS INTEGER) + 1)), chr(10)) ||
+           CASE WHEN stop < len(lines) THEN chr(10) ELSE '' END ELSE '' END) AS context_md5,
+         CASE WHEN doc_id IS NOT NULL THEN line - start END AS highlight_line
+       FROM i""",
+)
+def shared_previews(spark, folder):
+    """Many errors in a few files, some at lines no file has, some in files that are missing."""
+    at = F.col("event_id")
+    errors = inputs.load(spark, folder, "events").select(
+        at.alias("event_id"),
+        F.concat(F.lit("src/"), (at % 60).cast("string")).alias("file"),
+        F.when(at % 17 == 0, F.lit(99_000_000)).otherwise(at % 7 + 1).alias("line"),
+    )
+    d = inputs.load(spark, folder, "documents")
+    files = d.select(F.concat(F.lit("src/"), F.col("doc_id").cast("string")).alias("path"), "text", "doc_id").where("doc_id < 40")
+    seen = shape.source_preview(errors, files)
+    return seen.select("event_id", F.md5("context").alias("context_md5"), "highlight_line")
+
+
+@query(
+    "referer_secrets",
+    """SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN 'https://a.example.com/[REDACTED]?token=[REDACTED]&q=1' END AS referer,
+         'Failed with password=[REDACTED] for s###' AS message_start FROM documents""",
+)
+def referer_secrets(spark, folder):
+    """Secrets of the referring page's path, and a caller's own rule over free text."""
+    own = lambda text: F.regexp_replace(text, r"src\d+$", "s###")
+    shaped = shape.shape_errors(inputs.raw_errors(spark, folder), keep=("doc_id",), referer_secrets=F.array(F.lit("x")), redactor=own)
+    named = F.filter("headers", lambda h: F.lower(h["name"]) == "referer")
+    return shaped.select("doc_id", F.get(F.get(named, F.lit(0))["values"], F.lit(0)).alias("referer"), F.col("message").alias("message_start"))
+
+
 @query(
     "framework_pairs",
     """WITH r AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN '11.' || c_custkey END AS legacy,

@@ -120,6 +120,25 @@ def diagnostics(spark, folder):
     return parsed.select("day", F.col("at").alias("stamp"), "level", "message", F.to_json("context").alias("context"))
 
 
+@query(
+    "recent_diagnostics",
+    """WITH d AS (SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS stamp, event_type FROM events)
+       SELECT day, stamp, 'notice' AS level, 'Saw ' || event_type || '\\nin two lines' AS message FROM d WHERE CAST(day AS DATE) >= DATE '2024-01-25'""",
+)
+def recent_diagnostics(spark, folder):
+    """Messages of two lines written by day; the reader opens the folders of recent days only."""
+    from tracewell.functions import text
+
+    e = inputs.load(spark, folder, "events").select(
+        text.iso_timestamp(F.col("ts")).alias("at"), F.lit("notice").alias("level"),
+        F.concat(F.lit("Saw "), F.col("event_type"), F.lit("\nin two lines")).alias("message"), F.lit(None).cast("variant").alias("context"),
+    )
+    path = new_table_path(spark, "recent-diagnostics")
+    sinks.write_diagnostics(e, path)
+    read = sources.read_diagnostics(spark, path, since=F.lit("2024-01-25").cast("date"))
+    return read.select(F.col("day").cast("string").alias("day"), F.col("at").alias("stamp"), "level", "message")
+
+
 @query(
     "quarantine",
     f"""WITH {inputs.REPORTS_SQL} SELECT kind, count(*) AS reports FROM reports

@@ -42,7 +42,7 @@ def stream_dedupe(spark, folder):
     bucket = (F.get_json_object("props", "$.k").cast("bigint") % 10).cast("string")
     key = F.concat("event_type", F.lit("|"), bucket)
     slim = e.select("event_id", "user_id", key.alias("key"))
-    sent = stateful.dedupe_reports_stream(slim, F.col("key"), "user_id", "event_id")
+    sent = stateful.dedupe_reports_stream(slim, F.col("key"), "user_id", "event_id", idle=None)
     return run(sent, "stream-dedupe").select("event_id")
 
 
@@ -54,7 +54,7 @@ def stream_trails(spark, folder):
             "crumb": F.concat("event_type", F.lit(":"), F.col("event_id").cast("string")),
         }
     )
-    trails = stateful.breadcrumb_stream(e, "user_id", "event_id", "is_error", "crumb")
+    trails = stateful.breadcrumb_stream(e, "user_id", "event_id", "is_error", "crumb", idle=None)
     return run(trails, "stream-trails").select(
         "event_id", F.size("breadcrumbs").cast("bigint").alias("crumbs"), F.array_join("breadcrumbs", ">").alias("trail")
     )

@@ -15,9 +15,9 @@ _E, _R = inputs.EVENTS_SQL, inputs.REPORTS_SQL
 
 @query(
     "contract_violations",
-    """SELECT event_id, CASE WHEN user_id % 7 = 0 THEN '''user_agent_hash'' breaks size 64: 0 characters' ELSE '' END ||
+    """SELECT event_id, CASE WHEN user_id % 7 = 0 THEN 'user_agent_hash: size 64 characters, found 0' ELSE '' END ||
          CASE WHEN event_type = 'view' AND user_id % 7 = 0 THEN '; ' ELSE '' END ||
-         CASE WHEN event_type = 'view' THEN '''event_name'' breaks max 50: ' || length(repeat('view_', 11)) || ' characters' ELSE '' END AS found
+         CASE WHEN event_type = 'view' THEN 'event_name: max 50 characters, found ' || length(repeat('view_', 11)) ELSE '' END AS found
        FROM events""",
 )
 def contract_violations(spark, folder):
@@ -51,13 +51,13 @@ def _raw_error_records(spark, folder):
 @query(
     "raw_record_violations",
     """SELECT doc_id, CASE doc_id % 8
-         WHEN 1 THEN '''message'' must be of type string, got array; ''timestamp'' must be of type date, got string'
-         WHEN 2 THEN '''message'' must be of type string, got array; ''line'' must be of type integer, got string'
-         WHEN 3 THEN '''message'' is required and must not be null'
-         WHEN 4 THEN '''message'' must be of type string, got array; ''headers.host'' must be of type array, got string; ''headers.accept.1'' must be of type string, got integer'
-         WHEN 5 THEN 'unexpected field ''surprise'' (the endpoint allow-lists its field set); ''message'' must be of type string, got array; ''method'' is not one of GET, POST, PUT, PATCH, DELETE, HEAD, OPTIONS'
-         WHEN 6 THEN '''message'' must be of type string, got array; ''console_arguments.0'' must be of type string, got integer'
-         ELSE '''message'' must be of type string, got array' END AS found,
+         WHEN 1 THEN 'message: type string, found array; timestamp: type date, found string'
+         WHEN 2 THEN 'message: type string, found array; line: type integer, found string'
+         WHEN 3 THEN 'message: missing'
+         WHEN 4 THEN 'message: type string, found array; headers.host: type array, found string; headers.accept.1: type string, found integer'
+         WHEN 5 THEN 'surprise: not a field of this type; message: type string, found array; method: not in {GET,POST,PUT,PATCH,DELETE,HEAD,OPTIONS}'
+         WHEN 6 THEN 'message: type string, found array; console_arguments.0: type string, found integer'
+         ELSE 'message: type string, found array' END AS found,
          CASE WHEN doc_id % 8 = 5 THEN 1 ELSE 0 END AS unexpected
        FROM documents""",
 )
@@ -180,6 +180,25 @@ def contract_drift(spark, folder):
     return validate.contract_drift_report(emitted, "events")
 
 
+@query(
+    "dropped_items",
+    """WITH d AS (SELECT lang, source, doc_id % 9 * 400 AS m, doc_id % 5 * 900 AS c FROM documents),
+         s AS (SELECT lang, length('{"level":"","message":"","channel":""}') + length(source) AS frame, m, c,
+             CASE WHEN m > 1000 THEN 1015 ELSE m END AS m_cut, CASE WHEN c > 1000 THEN 1015 ELSE c END AS c_cut FROM d)
+       SELECT lang AS type, CASE WHEN frame + m + c <= 2000 THEN 'ok' WHEN frame + m_cut + c_cut <= 2000 THEN 'shrunk' ELSE 'dropped' END AS budget_status,
+         count(*) AS items FROM s GROUP BY ALL""",
+)
+def dropped_items(spark, folder):
+    """Log items over a low budget: some fit once their long strings are cut, others are dropped."""
+    d = inputs.load(spark, folder, "documents")
+    rows = d.select(
+        "lang", F.col("source").alias("level"), F.repeat(F.lit("m"), (F.col("doc_id") % 9 * 400).cast("int")).alias("message"),
+        F.repeat(F.lit("c"), (F.col("doc_id") % 5 * 900).cast("int")).alias("channel"),
+    )
+    sized = budget.item_budget(rows, "logs", keep=("lang",), max_item=2000, max_field=1000, dropped_too=True)
+    return sized.groupBy(F.col("lang").alias("type"), "budget_status").agg(F.count(F.lit(1)).alias("items"))
+
+
 @query(
     "budget_report",
     f"""WITH {_E} SELECT 'events' AS type, 'ok' AS budget_status, count(*) AS items, CAST(sum(bytes) AS BIGINT) AS bytes FROM sized""",

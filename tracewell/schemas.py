@@ -106,6 +106,7 @@ RAW_RESPONSES = _fields(
     ("retry_after", T.StringType()),
     ("body", T.StringType()),
     ("at", T.LongType()),
+    ("transport_error", T.StringType()),
 )
 
 PAUSES = _fields(

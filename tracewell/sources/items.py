@@ -124,7 +124,8 @@ def read_batch_bodies(spark: SparkSession, path: str, stream: bool = False) -> D
 
 def normalize_responses(raw: DataFrame) -> DataFrame:
     """Responses with counters: absent ones are 0, a body that is no object counts as empty, an
-    absent Retry-After is an empty string."""
+    absent Retry-After is an empty string.  `transport_error`, where there is one, is what the
+    client says of a request that got no answer (status 0)."""
     parsed = F.try_parse_json("body")
     body = F.when(rules.variant_kind(parsed) == "array", parsed)
     rows = raw.withColumn("_body", body)
@@ -143,6 +144,7 @@ def normalize_responses(raw: DataFrame) -> DataFrame:
     message = rules.variant_field(rules.variant_field(F.col("_body"), "error"), "message")
     is_text = rules.variant_kind(message) == "string"
     is_2xx = F.col("status").between(200, 299)
+    given_error = F.nullif(F.col("transport_error"), F.lit("")) if "transport_error" in raw.columns else F.lit(None).cast("string")
     return rows.select(
         "type",
         "batch_no",
@@ -152,7 +154,7 @@ def normalize_responses(raw: DataFrame) -> DataFrame:
         *[counter(n) for n in ("received", "processed", "ignored", "failed", "unprocessed")],
         F.coalesce(indexes, F.array().cast("array<int>")).alias("unprocessed_indexes"),
         (is_2xx & F.col("_body").isNotNull()).alias("success"),
-        F.when(is_2xx & F.col("_body").isNull(), "Invalid response format").alias("error"),
+        F.coalesce(given_error, F.when(is_2xx & F.col("_body").isNull(), "Invalid response format")).alias("error"),
         "at",
     )
 

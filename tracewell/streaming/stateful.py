@@ -14,15 +14,19 @@ from tracewell import contracts as C
 from tracewell.operators.sessions import _run_cache
 
 
+SESSION_IDLE = "1 day"  # after which the state of a session is forgotten
+
+
 def dedupe_reports_stream(
-    reports: DataFrame, key: Column, session: str, order: str, cache: int = C.DEDUPE_CACHE, idle: str | None = None
+    reports: DataFrame, key: Column, session: str, order: str, cache: int = C.DEDUPE_CACHE, idle: str | None = SESSION_IDLE
 ) -> DataFrame:
     """Reports their session has not just sent; the state of a session is its cached keys.
 
     Within one micro-batch a session's reports are taken in `order`; across micro-batches, in
     the order the batches arrive.  What a session sends in one micro-batch is put in order in one
-    task, so bound the micro-batch (`maxFilesPerTrigger`, `maxOffsetsPerTrigger`).  With `idle` (such as "30 minutes") a session's cache is
-    forgotten after that much processing time without reports.
+    task, so bound the micro-batch (`maxFilesPerTrigger`, `maxOffsetsPerTrigger`).  A session's cache is
+    forgotten after `idle` of processing time without reports.  With `idle=None` nothing is ever
+    forgotten; an `availableNow` query needs that, since it does not end while timeouts may come.
     """
     columns = reports.columns
     schema = reports.schema
@@ -36,12 +40,19 @@ def dedupe_reports_stream(
         rows = pd.concat(list(chunks)).sort_values(order, kind="stable")
         sent = rows[_run_cache(rows["_key"], held, cache)]
         state.update((list(held),))
-        if idle:
-            state.setTimeoutDuration(int(pd.Timedelta(idle).total_seconds() * 1000))
+        _expire(state, idle)
         yield sent[columns]
 
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if idle else GroupStateTimeout.NoTimeout
-    return keyed.groupBy("_session").applyInPandasWithState(step, schema, "keys array<string>", "append", timeout)
+    return keyed.groupBy("_session").applyInPandasWithState(step, schema, "keys array<string>", "append", _timeout(idle))
+
+
+def _timeout(idle: str | None) -> str:
+    return GroupStateTimeout.ProcessingTimeTimeout if idle else GroupStateTimeout.NoTimeout
+
+
+def _expire(state: GroupState, idle: str | None) -> None:
+    if idle:
+        state.setTimeoutDuration(int(pd.Timedelta(idle).total_seconds() * 1000))
 
 
 def dedupe_within_watermark(reports: DataFrame, key: Column, session: str, at: str, delay: str = "10 minutes") -> DataFrame:
@@ -51,9 +62,10 @@ def dedupe_within_watermark(reports: DataFrame, key: Column, session: str, at: s
 
 
 def breadcrumb_stream(
-    records: DataFrame, session: str, order: str, is_error: str, crumb: str, n: int = C.MAX_BREADCRUMBS
+    records: DataFrame, session: str, order: str, is_error: str, crumb: str, n: int = C.MAX_BREADCRUMBS, idle: str | None = SESSION_IDLE
 ) -> DataFrame:
-    """Errors with the last `n` crumbs (a string column) of their session; the state is that ring."""
+    """Errors with the last `n` crumbs (a string column) of their session; the state is that ring,
+    forgotten like the cache of `dedupe_reports_stream`."""
     schema = f"{session} string, {order} bigint, breadcrumbs array<string>"
     slim = records.select(
         F.coalesce(F.col(session).cast("string"), F.lit("")).alias(session),
@@ -63,6 +75,9 @@ def breadcrumb_stream(
     )
 
     def step(group, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         ring = list(state.get[0]) if state.exists else []
         rows = pd.concat(list(chunks)).sort_values(order, kind="stable")
         out = []
@@ -72,11 +87,10 @@ def breadcrumb_stream(
             else:
                 ring = (ring + [text])[-n:] if n > 0 else []
         state.update((ring,))
+        _expire(state, idle)
         yield pd.DataFrame(out, columns=[session, order, "breadcrumbs"])
 
-    return slim.groupBy(session).applyInPandasWithState(
-        step, schema, "ring array<string>", "append", GroupStateTimeout.NoTimeout
-    )
+    return slim.groupBy(session).applyInPandasWithState(step, schema, "ring array<string>", "append", _timeout(idle))
 
 
 def idle_lives_stream(
