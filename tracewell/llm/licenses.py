@@ -167,7 +167,45 @@ def scan_licenses(
     )
 
 
-@query("op8_license_scan")
+def _sql() -> str:
+    def quoted(x: str) -> str:
+        return f"'{x}'"
+
+    phrases = ", ".join(f"({quoted(p.words)}, {quoted(p.label)}, {len(p.words.split())})" for p in BASE_PHRASES)
+    words = ", ".join(
+        f"({n}, {quoted(t.label)}, {quoted(w)}, {i})" for n, t in enumerate(TEMPLATES) for i, w in enumerate(t.words.split()) if w not in FUNCTION_WORDS
+    )
+    mandatory = ", ".join(f"({n}, {quoted(p)})" for n, t in enumerate(TEMPLATES) for p in t.mandatory)
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""WITH w AS (SELECT doc_id, regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+      f AS (SELECT doc_id, w, len(w) AS n, ' ' || array_to_string(w, ' ') || ' ' AS s FROM w),
+      phrase(words, label, k) AS (VALUES {phrases}),
+      base AS (SELECT doc_id, label, unnest(list_filter(range(n), lambda i: array_to_string(w[i + 1:i + k], ' ') = words)) AS place
+        FROM f JOIN phrase ON contains(s, ' ' || words || ' ')),
+      t(template, label, word, place) AS (VALUES {words}),
+      m(template, words) AS (VALUES {mandatory}),
+      hit AS (SELECT doc_id, unnest(w) AS word, unnest(range(n)) AS place FROM f),
+      df AS (SELECT word, count(DISTINCT doc_id) AS n FROM hit WHERE word IN (SELECT word FROM t) GROUP BY word),
+      weighed AS (SELECT t.*, CAST(round(1000 * ln(((SELECT count(*) FROM f) + 1) / (coalesce(n, 0) + 1))) AS BIGINT) + 1 AS weight
+        FROM t LEFT JOIN df USING (word)),
+      rare AS (SELECT * FROM weighed QUALIFY row_number() OVER (PARTITION BY template ORDER BY weight DESC, word, place) <= {RARE_WORDS}),
+      posted AS (SELECT *, sum(weight) OVER (PARTITION BY template) AS total FROM rare),
+      stand AS (SELECT doc_id, template, any_value(label) AS label, sum(weight) AS met, any_value(total) AS total
+        FROM hit JOIN posted USING (word) GROUP BY doc_id, template, hit.place - posted.place),
+      best AS (SELECT doc_id, template, any_value(label) AS label, max(met) AS met, any_value(total) AS total FROM stand GROUP BY ALL),
+      missing AS (SELECT DISTINCT doc_id, template FROM best JOIN m USING (template) JOIN f USING (doc_id) WHERE NOT contains(s, ' ' || words || ' ')),
+      proof AS (SELECT doc_id, label FROM best ANTI JOIN missing USING (doc_id, template) WHERE met >= {ENOUGH} * total),
+      b AS (SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+        FROM base GROUP BY doc_id),
+      l AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+        FROM (SELECT doc_id, label FROM base UNION ALL SELECT doc_id, label FROM proof) GROUP BY doc_id),
+      c AS (SELECT doc_id, max(round(CAST(met AS DOUBLE) / CAST(total AS DOUBLE), 6)) AS score FROM best GROUP BY doc_id)
+    SELECT f.doc_id, CAST(f.n AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(b.labels, '') AS base_labels,
+      coalesce(l.labels, '') AS labels, coalesce(score, 0.0) AS score
+    FROM f LEFT JOIN b USING (doc_id) LEFT JOIN l USING (doc_id) LEFT JOIN c USING (doc_id)"""
+
+
+@query("op8_license_scan", _sql())
 def op8_license_scan(spark, folder):
     scanned = scan_licenses(common.read(spark, folder, "documents"))
     return scanned.select(
