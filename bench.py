@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tracewell.contracts import MAX_SPOOL_ITEMS  # noqa: E402
 from tracewell.plans import registry  # noqa: E402
-from tracewell.session import local_session  # noqa: E402
+from tracewell.session import local_session, tables_of_a_run  # noqa: E402
 
 HEADLINE = (
     "flush_events",
@@ -54,7 +54,8 @@ def main() -> None:
     for name in HEADLINE:
         for seen in (first, timings):
             started = time.perf_counter()
-            registry.QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+            with tables_of_a_run(spark):
+                registry.QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
             seen[name] = round(time.perf_counter() - started, 3)
         print(f"{name}: {timings[name]} (first {first[name]})", file=sys.stderr, flush=True)
     events = spark.read.parquet(f"{folder}/events.parquet").count()

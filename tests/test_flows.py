@@ -124,3 +124,15 @@ def test_a_sink_of_the_callers_own(spark, tmp_path):
     )
     query.awaitTermination(60)
     assert sum(n for _, _, n in got) == 25 and {number for number, _, _ in got} == {0, 1}
+
+
+def test_tables_of_a_run_are_removed(spark):
+    import os
+
+    from tracewell import session
+
+    with session.tables_of_a_run(spark):
+        path = new_table_path(spark, "passing")
+        spark.range(3).write.parquet(path)
+        assert os.path.isdir(path.removeprefix("file://"))
+    assert not os.path.exists(path.removeprefix("file://"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -72,6 +74,28 @@ def use_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
+_runs: list[list[str]] = []
+
+
 def new_table_path(spark: SparkSession, name: str) -> str:
     """A path of its own below the shared folder, so that runs never collide."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    for run in _runs:
+        run.append(path)
+    return path
+
+
+@contextmanager
+def tables_of_a_run(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables that are made inside are removed at the end, when results have been written or collected."""
+    made: list[str] = []
+    _runs.append(made)
+    try:
+        yield
+    finally:
+        _runs.remove(made)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        settings = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in made:
+            place = hadoop.Path(path)
+            place.getFileSystem(settings).delete(place, True)
