@@ -32,6 +32,21 @@ def run(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema).parquet(path)
 
 
+def run_in_parts(rows: DataFrame, order: str, build, name: str, parts: int = 3) -> DataFrame:
+    """What `build` makes of a stream that is stopped and started again from its checkpoint between parts of the input, so
+    that state has to last; parts are thirds of the rows in `order`."""
+    spark = rows.sparkSession
+    source, out, checkpoint = (new_table_path(spark, f"{name}-{x}") for x in ("source", "out", "checkpoint"))
+    ends = [float("-inf"), *rows.approxQuantile(order, [(i + 1) / parts for i in range(parts - 1)], 0.01), float("inf")]
+    for low, high in zip(ends, ends[1:]):
+        rows.where((F.col(order) > low) & (F.col(order) <= high)).write.mode("append").parquet(source)
+        stream = build(spark.readStream.schema(rows.schema).parquet(source))
+        stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(
+            availableNow=True
+        ).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out)
+
+
 def _events(spark, folder):
     return read_stream(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
@@ -46,16 +61,30 @@ def stream_dedupe(spark, folder):
     return run(sent, "stream-dedupe").select("event_id")
 
 
+@query("stream_dedupe_restarted", ORACLES["session_dedupe_small_cache"])
+def stream_dedupe_restarted(spark, folder):
+    """The caches last while the stream is stopped and started again."""
+    bucket = (F.get_json_object("props", "$.k").cast("bigint") % 10).cast("string")
+    slim = inputs.load(spark, folder, "events").select("event_id", "user_id", F.concat("event_type", F.lit("|"), bucket).alias("key"))
+
+    def sent(stream):
+        return stateful.dedupe_reports_stream(stream, F.col("key"), "user_id", "event_id", cache=5, idle=None)
+
+    return run_in_parts(slim, "event_id", sent, "stream-restarted").select("event_id")
+
+
 @query("stream_trails", q_sessions._TRAIL)
 def stream_trails(spark, folder):
-    e = read_stream(spark, folder, "events").withColumns(
-        {
-            "is_error": F.col("event_type") == "error",
-            "crumb": F.concat("event_type", F.lit(":"), F.col("event_id").cast("string")),
-        }
-    )
-    trails = stateful.breadcrumb_stream(e, "user_id", "event_id", "is_error", "crumb", idle=None)
-    return run(trails, "stream-trails").select(
+    """The rings of crumbs last while the stream is stopped and started again."""
+    e = inputs.load(spark, folder, "events").select(
+        "event_id", "user_id", (F.col("event_type") == "error").alias("is_error"),
+        F.concat("event_type", F.lit(":"), F.col("event_id").cast("string")).alias("crumb"),
+    )
+
+    def trailed(stream):
+        return stateful.breadcrumb_stream(stream, "user_id", "event_id", "is_error", "crumb", idle=None)
+
+    return run_in_parts(e, "event_id", trailed, "stream-trails").select(
         "event_id", F.size("breadcrumbs").cast("bigint").alias("crumbs"), F.array_join("breadcrumbs", ">").alias("trail")
     )
 
