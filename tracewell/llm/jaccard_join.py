@@ -39,8 +39,8 @@ from tracewell.llm.registry import query
 from tracewell.llm.shingles import shingle_sets
 
 WORDS, PERCENT = 4, 85
-SLICE = 16 << 20
-BUCKET_BYTES = 8 << 20  # of input per bucket of shingles
+SLICE = 4 << 20  # of text that is cut at once; a task holds some twenty times as much
+BUCKET_BYTES = 4 << 20  # of input per bucket of shingles
 MESSAGE = "target long, batch long, bucket long, body binary"
 MOST_BITS = 24  # 16 million buckets, for 100 TB
 HOME = -1
@@ -90,8 +90,10 @@ def _measured(docs: DataFrame, key: str, text: str, k: int, percent: int) -> Dat
     """
     bits = min(MOST_BITS, max(4, (_bytes(docs.select(text)) // BUCKET_BYTES).bit_length()))
     slim = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"), F.monotonically_increasing_id().alias("row"))
-    sent = slim.mapInArrow(_sender(k, bits), MESSAGE)
-    counted = sent.groupBy("target").applyInArrow(_count, MESSAGE)
+    # As many partitions as asked for, none put together: a task sorts a few buckets of a few megabytes each.
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), (1 << bits) // 8)
+    sent = slim.mapInArrow(_sender(k, bits), MESSAGE).repartition(parts, "target")
+    counted = sent.groupBy("target").applyInArrow(_count, MESSAGE).repartition(parts, "batch")
     schema = "id long, row long, n_shingles long, code binary, size long, shared long, prefix array<long>, body binary"
     return counted.groupBy("batch").applyInArrow(_receiver(bits, percent), schema)
 
@@ -142,6 +144,7 @@ def _sender(k: int, bits: int):
                 for at in range(0, cut.num_rows, 60_000):
                     yield _messages(cut.slice(at, 60_000), number, k, bits)
                     number += 1
+                common.release_memory()
 
     return run
 

@@ -11,7 +11,7 @@ import numpy as np
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
-CHUNK = 2 << 20  # bytes that are hashed at once
+CHUNK = 512 << 10  # bytes that are hashed at once
 
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 1 << 63, 256, "u8") * np.uint64(2) + np.uint64(1)
