@@ -10,7 +10,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tracewell import contracts as C
 from tracewell.functions import hashing, redact, rules, sizing, text, url
