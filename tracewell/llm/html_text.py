@@ -21,7 +21,6 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tracewell.llm import common
 from tracewell.llm.registry import query
