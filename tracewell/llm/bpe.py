@@ -29,7 +29,7 @@ from tracewell.llm.tokens import Generations, PartCache
 
 LONG_WORD = 48  # bytes from which a word takes all places of a pair at once
 WORDS_AT_ONCE = 20_000  # bounds the rows of one recursion
-SLICE = 8 << 20
+SLICE = 4 << 20
 
 # Every step keeps the words that changed; a word's last step is its result.
 LEFTMOST = """
@@ -130,14 +130,9 @@ def _text(token: bytes) -> str | None:
         return None
 
 
-_ENCODERS: dict[tuple[str, str], PartCache] = {}
-
-
 def _encoder(path: str, pattern: str) -> PartCache:
-    """One per worker process, kept between tasks."""
-    if (path, pattern) not in _ENCODERS:
-        _ENCODERS[path, pattern] = PartCache(WordEncoder(ranks_of(path), pattern), most=300_000)
-    return _ENCODERS[path, pattern]
+    """One per worker process."""
+    return common.kept(("bpe", path, pattern), lambda: PartCache(WordEncoder(ranks_of(path), pattern), most=300_000))
 
 
 def vocabulary_path() -> str:
@@ -172,6 +167,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
                 counts = [x.count(" ") + 1 if x else 0 for x in ids]
                 columns = [batch.column("k"), pa.array(ids, pa.string()), pa.array(counts, pa.int64()), pa.array(decoded, pa.binary())]
                 yield pa.record_batch(columns, ["doc_id", "ids", "n_tokens", "decoded"])
+            common.release_memory()
 
     slim = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
     return slim.mapInArrow(run, f"doc_id {kind}, ids string, n_tokens long, decoded binary")

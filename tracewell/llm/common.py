@@ -5,7 +5,8 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 from tracewell import session
 
+T = TypeVar("T")
+
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
@@ -42,6 +45,22 @@ def pieces_of(batch: pa.RecordBatch, column: str, most_bytes: int = 16 << 20) ->
         yield batch.slice(start)
 
 
+_kept: dict[tuple, object] = {}
+
+
+def kept(key: tuple, make: Callable[[], T]) -> T:
+    """What `make` gives, kept by this worker process between tasks.
+
+    One thing at a time: a worker that goes on to another model or vocabulary lets go of the last one, so that a job of
+    many steps holds no more than its largest step.
+    """
+    if key not in _kept:
+        _kept.clear()
+        release_memory()
+        _kept[key] = make()
+    return _kept[key]
+
+
 def release_memory() -> None:
     """Give freed memory back to the system: a worker lives on, and its neighbours share the machine."""
     pa.default_memory_pool().release_unused()

@@ -138,6 +138,7 @@ def _sender(k: int, bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.one_thread()
+        common.kept(("shingles",), lambda: True)  # lets go of what another step kept
         number = TaskContext.get().partitionId() << 24
         for whole in batches:
             for cut in common.pieces_of(whole, "t", SLICE):

@@ -33,7 +33,7 @@ from tracewell.llm.registry import query
 
 UND = "und"
 BLOCK = 256
-SLICE = 4 << 20
+SLICE = 2 << 20
 LETTERS, FOLDED = 95, 32  # letters with a symbol of their own, and symbols that the others share
 FOUND = ["lang_pred", "score", "bits", "plausible"]
 SHARPNESS = 0.1  # how much a bit of difference counts in the score
@@ -203,15 +203,9 @@ class _Parser:
             return np.where(letters[:, None] > 0, out / size[:, None], np.inf), np.where(letters > 0, size, 0)
 
 
-_PARSERS: dict[tuple, _Parser] = {}
-
-
 def _parser(model: Model) -> _Parser:
     """One per worker process and model."""
-    if model.references not in _PARSERS:
-        _PARSERS.clear()
-        _PARSERS[model.references] = _Parser(model.references)
-    return _PARSERS[model.references]
+    return common.kept(("languages", model.references), lambda: _Parser(model.references))
 
 
 def judged(model: Model, texts: list[str]) -> list[tuple[str, float, float | None, bool]]:
@@ -245,6 +239,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             out = []
             for batch in common.pieces_of(pa.record_batch([pa.array(series, pa.string())], ["t"]), "t", SLICE):
                 out += judged(model, [t or "" for t in batch.column("t").to_pylist()])
+            common.release_memory()
             yield pd.DataFrame(out, columns=FOUND).astype({"bits": "float64"})
 
     rest = [c for c in docs.columns if c not in FOUND]

@@ -32,7 +32,7 @@ from tracewell.llm.tokens import PartCache, id_bytes
 CAPACITY = 1024
 CLOSING_ID = 2
 BUCKET_ROWS = 50_000  # pieces of one length that are ranked in one task
-_ENCODERS: dict = {}
+SLICE = 4 << 20  # of text that is cut at once
 
 
 def vocabulary_path() -> str:
@@ -56,7 +56,7 @@ def token_pieces(
         common.one_thread()
         cache, end = _cache(path), id_bytes([closing])
         for whole in batches:
-            for batch in common.pieces_of(whole, "t"):
+            for batch in common.pieces_of(whole, "t", SLICE):
                 rows: list[tuple] = []
                 texts = [t or "" for t in batch.column("t").to_pylist()]
                 cache.prepare(texts)
@@ -73,25 +73,27 @@ def token_pieces(
                     [batch.column("k").take(pa.array(at)), *(pa.array(x, kind) for x, kind in zip(rest, kinds, strict=True))],
                     ["doc_id", "piece", "start", "length", "ids_crc32", "row_no"],
                 )
+            common.release_memory()
 
     slim = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.monotonically_increasing_id().alias("n"))
     return slim.mapInArrow(run, f"doc_id {key_type}, piece int, start long, length long, ids_crc32 long, row_no long")
 
 
 def _cache(path: str) -> PartCache:
-    """One per worker process, kept between tasks.
+    """One per worker process.
 
     The ids are those that the tokenizers library makes with the file.  They are made with tiktoken from the file's
     vocabulary, which takes less than half the time; strings of special tokens are ordinary text.
     """
-    if path not in _ENCODERS:
+
+    def make() -> PartCache:
         import public_tokenizers
         import tiktoken
 
-        ranks = vocabulary(path)
-        made = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        _ENCODERS[path] = PartCache(lambda parts: [id_bytes(made(p)) for p in parts])
-    return _ENCODERS[path]
+        made = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=vocabulary(path), special_tokens={}).encode_ordinary
+        return PartCache(lambda parts: [id_bytes(made(p)) for p in parts], most=300_000)
+
+    return common.kept(("packing", path), make)
 
 
 def vocabulary(path: str) -> dict[bytes, int]:
@@ -214,7 +216,7 @@ def ids_of(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
 
         cache, end = _cache(path), id_bytes([CLOSING_ID])
         for whole in batches:
-            for batch in common.pieces_of(whole, "t"):
+            for batch in common.pieces_of(whole, "t", SLICE):
                 texts = [t or "" for t in batch.column("t").to_pylist()]
                 cache.prepare(texts)
                 ids = [np.frombuffer(b"".join(cache.of(t)) + end, "<u4").astype("i8") for t in texts]

@@ -41,7 +41,7 @@ from tracewell.llm.tokens import Generations
 WORD = re.compile(r"[^\W\d_]+|\d+|[\W_]+")
 AGAIN = "<again>"
 DIMENSIONS, SPARSE, NEIGHBOURS = 64, 6, 2
-SLICE = 8 << 20
+SLICE = 2 << 20
 NEEDED = 0.3
 
 
@@ -111,7 +111,7 @@ class _Scorer:
     """Pools and scores texts; remembers the words of parts between white space."""
 
     def __init__(self, model: Model):
-        self.model, self.parts = model, Generations(400_000)
+        self.model, self.parts = model, Generations(250_000)
         self.again = model.words.get(AGAIN)
 
     def _ids(self, part: str) -> tuple[int, ...]:
@@ -222,15 +222,9 @@ def learn(
     return Model(words, vectors, layers, float(temperature), float(shift), counts[1] / total, key)
 
 
-_SCORERS: dict[int, _Scorer] = {}
-
-
 def _scorer(model: Model) -> _Scorer:
     """One per worker process and model."""
-    if model.key not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[model.key] = _Scorer(model)
-    return _SCORERS[model.key]
+    return common.kept(("quality", model.key), lambda: _Scorer(model))
 
 
 def score_quality(docs: DataFrame, model: Model, text: str = "text", into: str = "score") -> DataFrame:
@@ -244,6 +238,7 @@ def score_quality(docs: DataFrame, model: Model, text: str = "text", into: str =
             found = []
             for batch in common.pieces_of(pa.record_batch([pa.array(series, pa.string())], ["t"]), "t", SLICE):
                 found.append(scorer.scores([t or "" for t in batch.column("t").to_pylist()]))
+            common.release_memory()
             yield pd.Series(np.concatenate(found) if found else np.zeros(0))
 
     return docs.withColumn(into, of(F.col(text)))
