@@ -37,7 +37,7 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of the documents with their places in sequences."""
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, added=True)
 
 
 STAGES = [("quality_classifier", quality), ("language_id", language), ("jaccard_join", distinct), ("packing", sequences)]

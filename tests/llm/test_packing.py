@@ -66,3 +66,18 @@ def test_plan_is_tight_and_whole():
         assert used == counts
     # Greedy leaves 6+3 of 10; the 3 gives way to two pieces of 2.
     assert packing.plan({6: 1, 3: 1, 2: 2}, 10) == [(1, [6, 2, 2]), (1, [3])]
+
+
+def test_added_tokens_are_those_of_the_library(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    tokens = Tokenizer.from_file(packing.vocabulary_path())
+    end = "<|endoftext|>"
+    around = ["", " ", "  ", "\n", " \n ", "a", "a ", " b", "<|", "|>", "'s", "é", end, f" {end}", "\u3000"]
+    texts = [x + end + y for x in around for y in around] + ["<|endoftext", "<|end oftext|>", f"{end[:-1]}{end}", "x" * 3000 + end, None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    want = {i: [*tokens.encode(t or "", add_special_tokens=False).ids, 2] for i, t in enumerate(texts)}
+    assert {r["doc_id"]: r["ids"] for r in packing.ids_of(docs, added=True).collect()} == want
+    lengths = {r["doc_id"]: r["n"] for r in packing.op9_packing(spark, str(tmp_path)).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
+    assert lengths == {i: len(ids) for i, ids in want.items()}

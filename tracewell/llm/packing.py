@@ -16,6 +16,7 @@ and so is a row with a null doc_id.  An empty table gives no rows.  Other column
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -42,19 +43,26 @@ def vocabulary_path() -> str:
 
 
 def token_pieces(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, closing: int = CLOSING_ID, path: str | None = None
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    capacity: int = CAPACITY,
+    closing: int = CLOSING_ID,
+    path: str | None = None,
+    added: bool = False,
 ) -> DataFrame:
     """Per piece of a document: doc_id, piece, start, length, ids_crc32, row_no.
 
     Only documents over `capacity` tokens are cut; the first piece takes what is over whole sequences.  `row_no` tells
-    rows apart, also repeated ones.
+    rows apart, also repeated ones.  With `added`, the file's added tokens in a text become their ids, as the library does
+    by default; without, their strings are ordinary text.
     """
     path = path or vocabulary_path()
     key_type = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.one_thread()
-        cache, end = _cache(path), id_bytes([closing])
+        cache, end = _cache(path, added), id_bytes([closing])
         for whole in batches:
             for batch in common.pieces_of(whole, "t", SLICE):
                 rows: list[tuple] = []
@@ -79,11 +87,11 @@ def token_pieces(
     return slim.mapInArrow(run, f"doc_id {key_type}, piece int, start long, length long, ids_crc32 long, row_no long")
 
 
-def _cache(path: str) -> PartCache:
+def _cache(path: str, added: bool) -> PartCache:
     """One per worker process.
 
     The ids are those that the tokenizers library makes with the file.  They are made with tiktoken from the file's
-    vocabulary, which takes less than half the time; strings of special tokens are ordinary text.
+    vocabulary, which takes less than half the time; the library cuts a text at added tokens first, and so does this.
     """
 
     def make() -> PartCache:
@@ -91,9 +99,31 @@ def _cache(path: str) -> PartCache:
         import tiktoken
 
         made = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=vocabulary(path), special_tokens={}).encode_ordinary
-        return PartCache(lambda parts: [id_bytes(made(p)) for p in parts], most=300_000)
+        ids = added_tokens(path) if added else {}
+        if not ids:
+            return PartCache(lambda parts: [id_bytes(made(p)) for p in parts], most=300_000)
+        token = re.compile("|".join(map(re.escape, sorted(ids, key=len, reverse=True))))
 
-    return common.kept(("packing", path), make)
+        def encode(part: str) -> bytes:
+            out, at = [], 0
+            for m in token.finditer(part):
+                out += [*made(part[at : m.start()]), ids[m[0]]]
+                at = m.end()
+            return id_bytes(out + made(part[at:]) if at else made(part))
+
+        return PartCache(lambda parts: [encode(p) for p in parts], most=300_000)
+
+    return common.kept(("packing", path, added), make)
+
+
+def added_tokens(path: str) -> dict[str, int]:
+    """Ids of the file's added tokens.  Those that take white space with them, or stand as whole words only, are not known here."""
+    with open(path, encoding="utf-8") as file:
+        tokens = json.load(file)["added_tokens"]
+    for t in tokens:
+        if t["single_word"] or t["lstrip"] or t["rstrip"] or any(c.isspace() for c in t["content"]):
+            raise ValueError(f"an added token of another kind: {t}")
+    return {t["content"]: t["id"] for t in tokens if t["content"]}
 
 
 def vocabulary(path: str) -> dict[bytes, int]:
@@ -200,13 +230,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, bucket_rows: int = BUCKET_
     return placed.select(*pieces.columns, sequence, F.col("_p.offset").alias("offset"))
 
 
-def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
+def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, added: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = common.stored(token_pieces(docs, key, text, path=path), "token-pieces")
+    pieces = common.stored(token_pieces(docs, key, text, path=path, added=added), "token-pieces")
     return pack(pieces).drop("row_no")
 
 
-def ids_of(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
+def ids_of(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, added: bool = False) -> DataFrame:
     """The ids themselves, with the closing one: doc_id, ids."""
     path = path or vocabulary_path()
     kind = T.StructType([T.StructField("doc_id", docs.schema[key].dataType), T.StructField("ids", T.ArrayType(T.LongType()))])
@@ -214,7 +244,7 @@ def ids_of(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        cache, end = _cache(path), id_bytes([CLOSING_ID])
+        cache, end = _cache(path, added), id_bytes([CLOSING_ID])
         for whole in batches:
             for batch in common.pieces_of(whole, "t", SLICE):
                 texts = [t or "" for t in batch.column("t").to_pylist()]
@@ -227,4 +257,4 @@ def ids_of(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
 
 @query("op9_packing")
 def op9_packing(spark, folder):
-    return pack_documents(common.read(spark, folder, "documents"))
+    return pack_documents(common.read(spark, folder, "documents"), added=True)
