@@ -50,6 +50,21 @@ def test_odd_texts(spark, library):
     assert bpe.encode(docs.limit(0)).count() == 0
 
 
+def test_long_words_and_slices_without_spaces(library, monkeypatch):
+    """Far more steps and rows than one recursion may keep."""
+    import public_tokenizers
+
+    rng = random.Random(7)
+    letters = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(300_000))
+    unspaced = ["".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(40)) + "。" for _ in range(20_000)]
+    few = "".join(rng.choice("aab") for _ in range(20_000))
+    encoder = bpe.WordEncoder(bpe.ranks_of(bpe.vocabulary_path()), public_tokenizers.PATTERN)
+    monkeypatch.setattr(bpe, "ROWS_AT_ONCE", 100_000, raising=False)
+    for texts in ([letters], ["".join(unspaced)], unspaced, [few], ["a" * 300_000]):
+        for t, (ids, decoded) in zip(texts, encoder(texts), strict=True):
+            assert ids == " ".join(map(str, library.encode_ordinary(t))) and decoded == t.encode()
+
+
 def test_a_vocabulary_where_a_later_token_is_needed_first():
     """`xab` ranks below `ab`, so contracting all places of `ab` at once would be wrong."""
     import tiktoken

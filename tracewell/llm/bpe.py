@@ -7,6 +7,10 @@ leftmost pair becomes one token, until no pair of the word is in the table.  Lon
 made from the pair's token has a lower rank than that token; where one has, they too take the leftmost place only.
 An ordered aggregation over the ids then gives back the bytes.
 
+A long word is first cut where no token of the vocabulary that occurs in it crosses: no merge can cross there either, so
+the parts are contracted by themselves.  A recursion keeps its steps, so it takes a bounded number of bytes and of steps;
+words that are not finished go into the next one, and the engine may spill to the task's temp folder.
+
 Each task runs its own in-process query engine on the words it has not met before; a bounded memory of words and of the
 parts between spaces serves the others.  Rows stay where they are: nothing is shuffled or collected.
 
@@ -17,9 +21,12 @@ other columns are ignored; an empty table gives no rows.  Strings of special tok
 from __future__ import annotations
 
 import base64
+import os
+import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,10 +35,11 @@ from tracewell.llm.registry import query
 from tracewell.llm.tokens import Generations, PartCache
 
 LONG_WORD = 48  # bytes from which a word takes all places of a pair at once
-WORDS_AT_ONCE = 20_000  # bounds the rows of one recursion
+WORDS_AT_ONCE, BYTES_AT_ONCE = 20_000, 256 << 10  # that begin a recursion; a longer part is one of its own
+ROWS_AT_ONCE = 2 << 20  # that a recursion over tokens keeps, all its steps together; two steps at least
 SLICE = 4 << 20
 
-# Every step keeps the words that changed; a word's last step is its result.
+# Every step keeps the words that changed; a word's last step is its result, unfinished if it is the last allowed one.
 LEFTMOST = """
     WITH RECURSIVE s(step, w, x) AS (
       SELECT 0, w, x FROM words_in_bytes
@@ -39,8 +47,8 @@ LEFTMOST = """
       (WITH near AS (SELECT w, unnest(x[:-2]) AS t, unnest(x[2:]) AS u, unnest(range(1, len(x))) AS p FROM s),
             low AS (SELECT w, min(m.c::BIGINT << 32 | p) AS k FROM near JOIN merges m ON m.a = t AND m.b = u GROUP BY w)
        SELECT step + 1, s.w, x[:(k & 4294967295) - 1] || [(k >> 32)::INT] || x[(k & 4294967295) + 2:]
-       FROM s JOIN low ON s.w = low.w))
-    SELECT w, arg_max(x, step) AS x FROM s GROUP BY w"""
+       FROM s JOIN low ON s.w = low.w WHERE step < {most}))
+    SELECT w, arg_max(x, step) AS x, max(step) AS step FROM s GROUP BY w"""
 
 ALL_PLACES = """
     WITH RECURSIVE s(step, w, p, t) AS (
@@ -55,11 +63,12 @@ ALL_PLACES = """
             run AS (SELECT *, sum(CASE WHEN twin AND p = before THEN 0 ELSE 1 END) OVER (PARTITION BY w ORDER BY p) AS r FROM hit),
             chosen AS (SELECT w, p, q, c FROM run QUALIFY row_number() OVER (PARTITION BY w, r ORDER BY p) % 2 = 1)
        SELECT step + 1, s.w, s.p, coalesce(a.c, t) FROM s JOIN low ON s.w = low.w LEFT JOIN chosen a ON a.w = s.w AND a.p = s.p
-       WHERE NOT EXISTS (SELECT 1 FROM chosen b WHERE b.w = s.w AND b.q = s.p)))
-    SELECT w, list(t ORDER BY p) AS x FROM (SELECT * FROM s QUALIFY step = max(step) OVER (PARTITION BY w)) GROUP BY w"""
+       WHERE step < {most} AND NOT EXISTS (SELECT 1 FROM chosen b WHERE b.w = s.w AND b.q = s.p)))
+    SELECT w, list(t ORDER BY p) AS x, any_value(step) AS step FROM (SELECT * FROM s QUALIFY step = max(step) OVER (PARTITION BY w)) GROUP BY w"""
 
-DECODED = """SELECT w, any_value(array_to_string(x, ' ')) AS ids, string_agg(v.hex, '' ORDER BY place) AS hex
-    FROM (SELECT w, x, unnest(x) AS t, unnest(range(len(x))) AS place FROM ({}) e) JOIN vocabulary v ON v.id = t GROUP BY w"""
+DECODED = """SELECT w, ids, hex FROM (SELECT w, array_to_string(x, ' ') AS ids FROM contracted) JOIN (
+      SELECT w, string_agg(v.hex, '' ORDER BY place) AS hex
+      FROM (SELECT w, unnest(x) AS t, unnest(range(len(x))) AS place FROM contracted) JOIN vocabulary v ON v.id = t GROUP BY w) USING (w)"""
 
 
 def ranks_of(path: str) -> dict[bytes, int]:
@@ -84,7 +93,10 @@ class WordEncoder:
         self.known = {word: (str(rank), token) for token, rank in ranks.items() if (word := _text(token)) is not None}
         self.first = np.array([ranks[bytes([b])] for b in range(256)], "i4")
         self.words = Generations(most_words)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.ranks = ranks
+        self.starts = {token[:i] for token in ranks for i in range(2, len(token) + 1)}
+        spill = os.path.join(tempfile.gettempdir(), f"bpe-{os.getpid()}")  # made when it is needed
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": spill})
         a, b, c = zip(*merges, strict=True) if merges else ((), (), ())
         for name, table in (
             ("merges", {"a": pa.array(a, pa.int32()), "b": pa.array(b, pa.int32()), "c": pa.array(c, pa.int32())}),
@@ -99,10 +111,15 @@ class WordEncoder:
         split = [self.find(part) for part in parts]
         words = {w for found in split for w in found}
         new = self.words.missing(words.difference(self.known))
-        for long, query_ in ((False, LEFTMOST), (True, ALL_PLACES)):
-            some = [w for w in new if (len(w.encode()) >= LONG_WORD) == long]
-            for i in range(0, len(some), WORDS_AT_ONCE):
-                self._contract(some[i : i + WORDS_AT_ONCE], query_)
+        cut = {w: self._cut(w.encode()) for w in new}
+        made: dict[bytes, tuple[str, bytes]] = {}
+        parts_ = list({part: None for x in cut.values() for part in x})
+        for long, steps in ((False, LEFTMOST), (True, ALL_PLACES)):
+            for some in _bounded([x for x in parts_ if (len(x) >= LONG_WORD) == long]):
+                most = max(1, ROWS_AT_ONCE // sum(map(len, some)) - 1) if long else LONG_WORD
+                made.update(zip(some, self._contract(some, steps, most), strict=True))
+        for w, x in cut.items():
+            self.words.young[w] = (" ".join([made[part][0] for part in x]), b"".join([made[part][1] for part in x]))
         young, known = self.words.young, self.known
         out = []
         for found in split:
@@ -110,17 +127,56 @@ class WordEncoder:
             out.append((" ".join([v[0] for v in values]), b"".join([v[1] for v in values])))
         return out
 
-    def _contract(self, words: list[str], steps: str) -> None:
+    def _cut(self, word: bytes) -> list[bytes]:
+        """The word in parts that no merge crosses; a short word is one part."""
+        if len(word) < LONG_WORD:
+            return [word]
+        ranks, starts, out, start, reach = self.ranks, self.starts, [], 0, 1
+        for i in range(len(word)):
+            if i >= reach:
+                out.append(word[start:i])
+                start = i
+            stop = i + 2
+            while stop <= len(word) and (token := word[i:stop]) in starts:
+                if stop > reach and token in ranks:
+                    reach = stop
+                stop += 1
+            reach = max(reach, i + 1)
+        return [*out, word[start:]]
+
+    def _contract(self, words: list[bytes], steps: str, most: int) -> list[tuple[str, bytes]]:
         import numpy as np
 
-        raw = [w.encode() for w in words]
-        ends = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype("i4")
-        tokens = self.first[np.frombuffer(b"".join(raw), "u1")]
-        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens))
-        self.db.register("words_in_bytes", pa.table({"w": np.arange(len(words), dtype="i4"), "x": lists}))
-        for w, ids, decoded in self.db.execute(DECODED.format(steps)).fetchall():
-            self.words.young[words[w]] = (ids, bytes.fromhex(decoded))
-        self.db.unregister("words_in_bytes")
+        ends = np.concatenate([[0], np.cumsum([len(r) for r in words])]).astype("i4")
+        tokens = self.first[np.frombuffer(b"".join(words), "u1")]
+        left = pa.table({"w": np.arange(len(words), dtype="i4"), "x": pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens))})
+        done = []
+        while left.num_rows:
+            self.db.register("words_in_bytes", left)
+            now = self.db.sql(steps.format(most=most)).to_arrow_table()
+            self.db.unregister("words_in_bytes")
+            finished = pa.compute.less(now["step"], most)
+            done.append(now.filter(finished).select(["w", "x"]))
+            left = now.filter(pa.compute.invert(finished)).select(["w", "x"])
+        self.db.register("contracted", pa.concat_tables(done))
+        out: list = [None] * len(words)
+        for w, ids, decoded in self.db.execute(DECODED).fetchall():
+            out[w] = (ids, bytes.fromhex(decoded))
+        self.db.unregister("contracted")
+        return out
+
+
+def _bounded(words: list[bytes]) -> Iterator[list[bytes]]:
+    some: list[bytes] = []
+    held = 0
+    for word in words:
+        if some and (len(some) == WORDS_AT_ONCE or held + len(word) > BYTES_AT_ONCE):
+            yield some
+            some, held = [], 0
+        some.append(word)
+        held += len(word)
+    if some:
+        yield some
 
 
 def _text(token: bytes) -> str | None:
