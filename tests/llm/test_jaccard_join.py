@@ -119,3 +119,24 @@ def test_words_do_not_depend_on_chunks(monkeypatch):
     whole = shingles.words(raw)
     monkeypatch.setattr(shingles, "CHUNK", 97)
     assert all(np.array_equal(a, b) for a, b in zip(whole, shingles.words(raw), strict=True))
+
+
+def test_representatives_do_not_depend_on_splits(spark, tmp_path):
+    """Scans are split otherwise when executors come or go; here, when the result is read later."""
+    rng = random.Random(11)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(500)], k=60)) for _ in range(300)]
+    rows = [(i, texts[i % 300]) for i in range(1500)]
+    rng.shuffle(rows)
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.option("parquet.block.size", 16384).option(
+        "parquet.page.size.row.check.min", 20
+    ).option("parquet.block.size.row.check.min", 20).parquet(str(tmp_path / "docs"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        docs = spark.read.parquet(str(tmp_path / "docs"))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "64m")
+        kept = jaccard_join.representatives(docs)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+        assert docs.select(F.spark_partition_id()).distinct().count() > 1
+        assert sorted(r["doc_id"] for r in kept.collect()) == list(range(300))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -47,12 +47,15 @@ HOME = -1
 PLACE = "_place_in_input"
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """key, n_shingles and component_id of every row, `first`: whether the row stands for its group, and its place `row`.
+def near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WORDS, percent: int = PERCENT, place: Column | None = None
+) -> DataFrame:
+    """key, n_shingles and component_id of every row, `first`: whether the row stands for its group, and its place `row`,
+    which is that of the scan unless a column has it.
 
     The row with the smallest id stands for it; of several with that id, the first in the input.
     """
-    table = common.stored(_measured(docs, key, text, k, percent), "shingle-sets")
+    table = common.stored(_measured(docs, key, text, k, percent, place), "shingle-sets")
     lead = F.struct(F.col("id").isNull(), F.col("id"), F.col("row"))  # the smallest id comes first, no id last
     classes = table.filter("code IS NOT NULL").groupBy("code").agg(F.min("row").alias("row"), F.min(lead).alias("lead"))
     sets = common.stored(
@@ -74,22 +77,27 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
 
 
 def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row of each group, with all columns of `docs`, which must be a stored table: its rows are told apart by place."""
-    first = near_duplicates(docs, key, text, k, percent).filter("first").select(F.col("row").alias(PLACE))
-    return docs.withColumn(PLACE, F.monotonically_increasing_id()).join(first, PLACE, "left_semi").drop(PLACE)
+    """One row of each group, with all columns of `docs`.
+
+    The rows are stored with their places first: a second scan may be split otherwise, by the cores that are there then.
+    """
+    placed = common.stored(docs.withColumn(PLACE, F.monotonically_increasing_id()), "placed", "zstd")
+    first = near_duplicates(placed, key, text, k, percent, F.col(PLACE)).filter("first").select(F.col("row").alias(PLACE))
+    return placed.join(first, PLACE, "left_semi").drop(PLACE)
 
 
 # -- sets and frequencies ------------------------------------------------------------------------------------------
 
 
-def _measured(docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
+def _measured(docs: DataFrame, key: str, text: str, k: int, percent: int, place: Column | None) -> DataFrame:
     """id, row, n_shingles, code of the set, and for sets that may have a partner: size, shared, prefix, body.
 
     `shared` is the number of shingles that other documents have as well, `body` those shingles in order of hash, and
     `prefix` as many of the rarest of them as the rule of prefixes asks for.
     """
     bits = min(MOST_BITS, max(4, (_bytes(docs.select(text)) // BUCKET_BYTES).bit_length()))
-    slim = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"), F.monotonically_increasing_id().alias("row"))
+    row = F.monotonically_increasing_id() if place is None else place
+    slim = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"), row.alias("row"))
     # As many partitions as asked for, none put together: a task sorts a few buckets of a few megabytes each.
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), (1 << bits) // 8)
     sent = slim.mapInArrow(_sender(k, bits), MESSAGE).repartition(parts, "target")
