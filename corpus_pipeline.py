@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tracewell.llm import common, jaccard_join, language_id, packing, quality_model
 
 SCORE = "_quality_score"
+SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,8 +32,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
-    return jaccard_join.representatives(docs)
+    """The document with the smallest id of each group of near duplicates: four fifths of the sets of five words alike."""
+    return jaccard_join.representatives(docs, k=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

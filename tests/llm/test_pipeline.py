@@ -1,7 +1,10 @@
+import random
+
 import __spark_entry__
 import corpus_pipeline
+import test_jaccard_join
 from pyspark.sql import functions as F
-from test_jaccard_join import brute
+from test_jaccard_join import brute, shingle_set
 
 from tracewell.llm import language_id, quality_model
 
@@ -59,3 +62,21 @@ def test_odd_input(spark, tmp_path):
 def test_the_entry_point_knows_all_operators():
     names = __spark_entry__.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+
+
+def test_near_copies_by_five_words_go(spark, monkeypatch):
+    """Against a brute force over five words and four fifths; four words and 85 percent would keep these copies."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(0, 60, 3):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(49)]
+        near, far = list(words), list(words)
+        near[24] = "other"
+        far[10] = far[24] = "other"
+        rows += [(i, " ".join(words)), (i + 1, " ".join(near)), (i + 2, " ".join(far))]
+    got = corpus_pipeline.distinct(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    kept = {r["doc_id"] for r in got.collect()}
+    monkeypatch.setattr(test_jaccard_join, "shingle_set", lambda t, known=shingle_set: known(t, 5))
+    assert kept == {g for _, _, g in brute(rows, 80)} != {i for i, _ in rows}
+    monkeypatch.undo()
+    assert len({g for _, _, g in brute(rows)}) == len(rows)
