@@ -64,3 +64,25 @@ def test_odd_rows(spark):
     assert got["u11"]["text"] == "��&bogus; z"
     assert html_text.extract(table.limit(0)).count() == 0
     assert html_text.extract(table.withColumn("n_chars", F.lit("x"))).columns == ["page_id", "url", "text", "n_chars", "n_blocks", "n_kept"]
+
+
+LONG = " ".join(["Whole articles have many words."] * 12)
+
+
+def test_a_head_ends_where_the_body_begins():
+    assert text(f"<html><head><title>T</title><meta charset=x><body><p>{LONG}</p></body></html>") == LONG
+    assert text(f"<head><title>T</title><p>{LONG}</p>") == LONG
+    assert text(f"<head><title>T</title><noscript><p>No</p></noscript><script>x</script>{LONG}") == LONG
+    assert text(f"<head><noscript><style>x</style><body><article><p>{LONG}</p></article>") == LONG
+
+
+def test_wrappers_do_not_hide_the_article():
+    side = "<div class=sidebar><article><p>Another story, in a few words.</p></article></div>"
+    for wrapper in ("form id=aspnetForm", "div class='has-sidebar'", "div class=no-sidebar", "div id='content-sidebar-wrap'", "div role=form"):
+        end = wrapper.split()[0]
+        assert text(f"<body><{wrapper}><nav><a>Home</a></nav><article><p>{LONG}</p></article>{side}</{end}></body>").split("\n") == [LONG]
+        assert text(f"<body><main><h1>Title</h1><{wrapper}><article><p>{LONG}</p></article></{end}></main></body>") == f"Title\n{LONG}"
+    assert text(f"<body><form><ul><li><a>Home</a><li><a>News</a></ul><div>{LONG}</div><div>{LONG}</div></form></body>") == f"{LONG}\n{LONG}"
+    comments = f"<div id=comments><article><p>{LONG} {LONG}</p></article></div><aside><article><p>{LONG} {LONG}</p></article></aside>"
+    asking = "<form><p>Your address</p><p>We will not give your address to anybody else, and you can leave the list at any time.</p></form>"
+    assert text(f"<div class=no-sidebar><article><p>{LONG}</p>{asking}</article>{comments}</div>") == LONG

@@ -42,8 +42,11 @@ BLOCKS = frozenset(
 )
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 MAIN = frozenset(("article", "main"))
-ASIDE = frozenset(("nav", "aside", "footer", "form", "menu", "fieldset"))
-ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
+HEAD = frozenset("html head base basefont bgsound link meta title style script noscript template noframes".split())  # all else ends a head
+ASIDE = frozenset(("nav", "aside", "footer", "menu"))
+FORMS = frozenset(("form", "fieldset"))
+ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog menu menubar toolbar".split())
+COMMENTS = frozenset("comment comments disqus replies reply respond".split())
 ASIDE_NAMES = frozenset(
     "ad ads adv advert advertisement advertising adverts alert banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright"
     " disqus footer gdpr login masthead menu menus modal nav navbar navigation newsletter notice notices notification pager pagination popup"
@@ -52,6 +55,10 @@ ASIDE_NAMES = frozenset(
 )
 
 
+LONG_BLOCK = 15  # words of a block that is no label of a form
+NO, FORM, NAMED, ALWAYS = range(4)  # whether an element stands aside: a form, by a name that a wrapper may have too, in any case
+
+
 @dataclass(slots=True)
 class Block:
     text: str
@@ -60,36 +67,81 @@ class Block:
     aside: bool = False
     inside: bool = False
     heading: bool = False
+    wraps: tuple[tuple[int, int, int], ...] = ()  # number, kind, and articles round it, of each form or named element round the block
+    articles: int = 0
+    article: int = 0
 
     @property
     def density(self) -> float:
         return self.linked / self.words if self.words else 0.0
 
 
-def _is_aside(name: str, attributes: str) -> bool:
+def _stands_aside(name: str, attributes: str) -> int:
     """Whether an element names itself as something beside the main text."""
     if name in ASIDE:
-        return True
+        return ALWAYS
+    kind = FORM if name in FORMS else NO
     if name in ("html", "body") or name in MAIN or "=" not in attributes and "hidden" not in attributes:
-        return False
+        return kind
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if key in ("class", "id") and not ASIDE_NAMES.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-            return True
+        if key in ("class", "id") and not ASIDE_NAMES.isdisjoint(names := re.split(r"[^a-z0-9]+", value)):
+            kind = max(kind, NAMED if COMMENTS.isdisjoint(names) else ALWAYS)
+        if key == "role" and value.strip() == "form":
+            kind = max(kind, FORM)
         if key == "role" and value.strip() in ASIDE_ROLES:
-            return True
+            return ALWAYS
         if key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return True
+            return ALWAYS
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+            return ALWAYS
+    return kind
+
+
+def _place(found: list[Block], holding: set[int]) -> None:
+    """Say which blocks in forms and named elements stand aside.
+
+    A form does not count if it holds an article (`holding`), or more words in long blocks than there are outside it.  Named
+    elements do not count if they hold the article: one with more words than what stands free of such elements.
+    """
+
+    open_ = {0, *holding}  # none has the number 0
+    held: dict[int, int] = {}
+    text: dict[int, int] = {}
+    total = 0
+    for b in found:
+        if b.aside or any(kind != FORM for _, kind, _ in b.wraps):
+            continue
+        total += b.words - b.linked
+        for n, _, _ in b.wraps:
+            held[n] = held.get(n, 0) + b.words - b.linked
+            if b.words >= LONG_BLOCK and b.density < 0.5:
+                text[n] = text.get(n, 0) + b.words - b.linked
+    open_.update(n for n, words in text.items() if words > total - held[n])
+    while open_:
+        for b in found:
+            b.wraps = tuple(x for x in b.wraps if x[0] not in open_)
+        size: dict[int, int] = {}
+        around: dict[int, set[int]] = {}
+        for b in found:
+            if b.wraps and not b.aside and all(at < b.articles for _, _, at in b.wraps):
+                size[b.article] = size.get(b.article, 0) + b.words - b.linked
+                around[b.article] = {n for n, _, _ in b.wraps}
+        largest = max(size, key=size.__getitem__, default=0)
+        elsewhere = sum(b.words - b.linked for b in found if not b.aside and not b.wraps)
+        open_ = around[largest] if size and size[largest] > elsewhere else set()
+    for b in found:
+        b.aside = b.aside or bool(b.wraps)
 
 
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page, in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, stands aside, main, a header
-    aside = main = header = links = unseen = 0
+    stack: list[tuple[str, int, bool, bool]] = []  # name, stands aside, main, a header
+    wraps: list[tuple[int, int, int]] = []
+    articles: list[int] = []
+    holding: set[int] = set()  # forms with an article
+    aside = header = links = unseen = number = 0
     heading = 0
     plain: list[str] = []
     linked: list[str] = []
@@ -99,12 +151,15 @@ def blocks(page: str) -> list[Block]:
             return
         words = "".join(plain).split()
         if words:
-            beside = aside > 0 or (header > 0 and not (main and heading))
-            out.append(Block(" ".join(words), len(words), len(" ".join(linked).split()), beside, main > 0, heading > 0))
+            beside = aside > 0 or (header > 0 and not (articles and heading))
+            around = tuple(wraps), len(articles), articles[-1] if articles else 0
+            out.append(Block(" ".join(words), len(words), len(" ".join(linked).split()), beside, bool(articles), heading > 0, *around))
         plain.clear()
         linked.clear()
 
     def add(text: str) -> None:
+        if stack and stack[-1][0] == "head" and text and not text.isspace():
+            leave()
         if unseen or not text:
             return
         text = references.unescape(text) if "&" in text else text
@@ -113,10 +168,13 @@ def blocks(page: str) -> list[Block]:
             linked.append(text)
 
     def leave() -> None:
-        nonlocal aside, main, header, links, unseen, heading
+        nonlocal aside, header, links, unseen, heading
         name, was_aside, was_main, was_header = stack.pop()
-        aside -= was_aside
-        main -= was_main
+        aside -= was_aside == ALWAYS
+        if was_aside in (FORM, NAMED):
+            wraps.pop()
+        if was_main:
+            articles.pop()
         header -= was_header
         links -= name == "a"
         unseen -= name in UNSEEN
@@ -151,6 +209,10 @@ def blocks(page: str) -> list[Block]:
                     leave()
                 leave()
             continue
+        if stack and (name == "body" or (stack[-1][0] == "head" and name not in HEAD)) and any(x[0] == "head" for x in stack):
+            while stack[-1][0] != "head":
+                leave()
+            leave()
         if name == "p" or name in HEADINGS or name == "li":  # such a tag ends what cannot hold it
             ends = HEADINGS | {"p", "a", "b", "i", "em", "strong", "u", "span", "font", "small"} | ({"li"} if name == "li" else set())
             k = len(stack)
@@ -162,15 +224,21 @@ def blocks(page: str) -> list[Block]:
         attributes = m[3] or ""
         if attributes.rstrip(">").endswith("/") and name not in BLOCKS:
             continue
-        own = (name, _is_aside(name, attributes), name in MAIN, name == "header")
+        own = (name, _stands_aside(name, attributes), name in MAIN, name == "header")
         stack.append(own)
-        aside += own[1]
-        main += own[2]
+        number += 1
+        aside += own[1] == ALWAYS
+        if own[1] in (FORM, NAMED):
+            wraps.append((number, own[1], len(articles)))
+        if own[2]:
+            articles.append(number)
+            holding.update(n for n, kind, _ in wraps if kind == FORM)
         header += own[3]
         links += name == "a"
         unseen += name in UNSEEN
         heading += name in HEADINGS
     close_block()
+    _place(out, holding)
     return out
 
 
