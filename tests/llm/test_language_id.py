@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,3 +58,14 @@ def test_odd_rows(spark):
     assert language_id.identify(docs.limit(0), model).count() == 0
     nothing = language_id.learn(labelled.limit(0))
     assert {r["lang_pred"] for r in language_id.identify(docs, nothing).collect()} == {"und"}
+
+
+def test_every_labelled_language_is_learned(spark):
+    rng = random.Random(4)
+    words = {f"l{i:03}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(30)] for i in range(80)}
+    text = lambda language, n: " ".join(rng.choices(words[language], k=n))
+    labelled = spark.createDataFrame([(text(x, 60), x) for x in words for _ in range(3 + (x < "l050"))], "text string, lang string")
+    model = language_id.learn(labelled)
+    assert [x for x, _ in model.references] == sorted(words)
+    found = language_id.judged(model, [text(x, 40) for x in words])
+    assert [x[0] for x in found] == sorted(words)

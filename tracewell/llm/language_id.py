@@ -8,7 +8,8 @@ the least wins.
 Letters are lower-cased and all else is one space.  Texts are parsed in blocks of `BLOCK` characters, side by side, each
 block of every text, so that numpy steps through all blocks at once; a text's phrases are summed over its blocks.  The
 sample that is learned from is bounded (`rows_per_language` rows of at most `chars_per_row` characters, `reference_chars`
-characters in all for each of at most `most_languages` languages); workers build the automata from it and keep them.
+characters in all for each language, however many there are); workers build the automata from it and keep them, those of
+many languages as lists of transitions of which one at a time is spread out.
 
 Defined cases: a null text, or one without a letter, is `und` with score 0.  Between equal languages the first by name
 wins.  Without any labelled text every text is `und`.  Repeated rows are judged each by itself; other columns are
@@ -34,6 +35,8 @@ from tracewell.llm.registry import query
 UND = "und"
 BLOCK = 256
 SLICE = 2 << 20
+AT_ONCE = 64  # languages whose sample is gathered at once
+SPREAD = 8  # languages whose tables stay spread out
 LETTERS, FOLDED = 95, 32  # letters with a symbol of their own, and symbols that the others share
 FOUND = ["lang_pred", "score", "bits", "plausible"]
 SHARPNESS = 0.1  # how much a bit of difference counts in the score
@@ -63,38 +66,46 @@ def learn(
     rows_per_language: int = 300,
     chars_per_row: int = 2000,
     reference_chars: int = 40_000,
-    most_languages: int = 64,
 ) -> Model:
     """A model of a bounded sample: rows are chosen by the hash of their text, equally many of each language."""
     rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
         F.col(text).alias("t"), F.col(lang).alias("l"), F.xxhash64(F.col(text)).alias("h")
     )
-    counts = rows.groupBy("l").agg(F.approx_count_distinct("h").alias("n")).orderBy(F.desc("n"), "l").limit(most_languages).collect()
+    counts = rows.groupBy("l").agg(F.approx_count_distinct("h").alias("n")).orderBy("l").collect()
     if not counts:
         return Model(())
-    share = F.create_map(*(x for r in counts for x in (F.lit(r["l"]), F.lit(min(1.0, rows_per_language / r["n"])))))
-    drawn = F.pmod("h", F.lit(1 << 20)) < share[F.col("l")] * (1 << 20)
-    sample = rows.filter(drawn).groupBy("l", "h").agg(F.first(F.substring("t", 1, chars_per_row)).alias("t"))  # copies count once
-    texts: dict[str, list[str]] = {}
-    for r in sorted(sample.limit(4 * rows_per_language * len(counts)).collect(), key=lambda r: (r["l"], r["h"], r["t"])):
-        texts.setdefault(r["l"], []).append(normalised(r["t"]))
-    references, rest = [], []
-    for language, parts in sorted(texts.items()):
-        parts = list(dict.fromkeys(parts))
-        kept, size = [], 0
-        while parts and size < reference_chars and (not kept or len(parts) > 1):
-            kept.append(parts.pop(0))
-            size += len(kept[-1])
-        references.append((language, "".join(kept)[:reference_chars]))
-        rest.append(parts)
+    references: list[tuple[str, str]] = []
+    rest: list[list[str]] = []
+    for i in range(0, len(counts), AT_ONCE):
+        for language, parts in _texts(rows, counts[i : i + AT_ONCE], rows_per_language, chars_per_row):
+            kept, size = [], 0
+            while parts and size < reference_chars and (not kept or len(parts) > 1):
+                kept.append(parts.pop(0))
+                size += len(kept[-1])
+            references.append((language, "".join(kept)[:reference_chars]))
+            rest.append([p for p in parts if len(p) > 200][:100])
     parser = _Parser(tuple(references))
     usual = []
-    for i, parts in enumerate(rest):
-        bits = [parser.bits([p])[0] for p in parts if len(p) > 200][:100]
-        usual.append(max((b[i] for b in bits), default=math.inf))
+    flat = [p for parts in rest for p in parts]
+    bits = np.concatenate([np.empty((0, len(rest))), *(parser.bits(flat[k : k + 1000]) for k in range(0, len(flat), 1000))])
+    ends = np.cumsum([len(parts) for parts in rest])
+    for i, end in enumerate(ends):
+        usual.append(max(bits[end - len(rest[i]) : end, i], default=math.inf))
     return Model(tuple(references), tuple(float(u) for u in usual))
 
 
+def _texts(rows: DataFrame, counts: list, rows_per_language: int, chars_per_row: int) -> list[tuple[str, list[str]]]:
+    """Different sampled texts of some languages, in order of language and hash."""
+    share = F.create_map(*(x for r in counts for x in (F.lit(r["l"]), F.lit(min(1.0, rows_per_language / r["n"])))))
+    drawn = F.pmod("h", F.lit(1 << 20)) < share[F.col("l")] * (1 << 20)
+    some = rows.filter(F.col("l").isin([r["l"] for r in counts]))
+    sample = some.filter(drawn).groupBy("l", "h").agg(F.first(F.substring("t", 1, chars_per_row)).alias("t"))  # copies count once
+    texts: dict[str, dict[str, None]] = {}
+    for r in sorted(sample.limit(4 * rows_per_language * len(counts)).collect(), key=lambda r: (r["l"], r["h"], r["t"])):
+        texts.setdefault(r["l"], {})[normalised(r["t"])] = None
+    return [(language, list(parts)) for language, parts in sorted(texts.items())]
+
+
 def automaton(symbols: list[int], width: int) -> np.ndarray:
     """Dense transitions of the suffix automaton of a symbol string: state * width + symbol -> state, -1 for none."""
     next_, link, length = [{}], [-1], [0]
@@ -146,10 +157,23 @@ class _Parser:
             table = automaton(self.symbols(reference).tolist(), self.width)
             unknown = table[0] < 0
             table[0, unknown] = 0  # an unknown letter is a phrase by itself and leads nowhere
-            self.tables.append(table.ravel())
+            table = table.ravel()
+            if len(references) > SPREAD:
+                places = np.flatnonzero(table >= 0).astype("i4")
+                self.tables.append((len(table), places, table[places]))
+            else:
+                self.tables.append(table)
             self.unknown.append(unknown)
             self.scale.append(math.log2(max(2, len(reference))))
 
+    def spread(self, i: int) -> np.ndarray:
+        table = self.tables[i]
+        if isinstance(table, tuple):
+            size, places, to = table
+            table = np.full(size, -1, "i4")
+            table[places] = to
+        return table
+
     def symbols(self, text: str) -> np.ndarray:
         return self.symbol[np.frombuffer(text.encode("utf-32-le"), "u4")]
 
@@ -184,7 +208,8 @@ class _Parser:
         live = np.searchsorted(-filled[order], -np.arange(BLOCK), side="left")  # blocks that have a character at each place
         out = np.empty((len(texts), len(self.tables)))
         of_block = np.repeat(np.arange(len(texts)), blocks)[order]
-        for i, (table, unknown, scale) in enumerate(zip(self.tables, self.unknown, self.scale, strict=True)):
+        for i, (unknown, scale) in enumerate(zip(self.unknown, self.scale, strict=True)):
+            table = self.spread(i)
             state, found = np.zeros(total, "i4"), np.zeros(total, "i4")
             root = table[: self.width]
             for step in range(BLOCK):
