@@ -69,3 +69,21 @@ def test_every_labelled_language_is_learned(spark):
     assert [x for x, _ in model.references] == sorted(words)
     found = language_id.judged(model, [text(x, 40) for x in words])
     assert [x[0] for x in found] == sorted(words)
+
+
+def test_noise_and_foreign_scripts_are_not_plausible_though_labels_are_noisy(spark):
+    rng = random.Random(8)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("length(text) > 300").select("doc_id", "text", "lang")
+    noise = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz    ", k=n))
+    foreign = lambda n: "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(n))
+    wrong = [(-1, make(1500), lang) for lang in ("de", "en", "es", "fr") for make in (noise, foreign) for _ in range(4)]
+    # A language whose only text is short.
+    few = [(-1, "ett litet barn satt i skogen och sjöng en visa för alla djuren som bodde där", "sv")]
+    model = language_id.learned(docs.union(spark.createDataFrame(wrong + few, docs.schema)))
+    assert all(math.isfinite(x) for x in model.usual_bits)
+    planted = [make(n) for make in (noise, foreign) for n in (60, 120, 199, 500, 3000) for _ in range(5)]
+    assert not any(x[3] for x in language_id.judged(model, planted))
+    clean = [r["text"] for r in docs.filter("lang IS NOT NULL").filter(language_id.held_out(F.col("doc_id"), 4, 2)).collect()]
+    for size in (10**6, 150, 40):
+        found = [x[3] for x in language_id.judged(model, [t[:size] for t in clean])]
+        assert sum(found) >= 0.97 * len(found)

@@ -18,6 +18,7 @@ ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import copy
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -39,12 +40,15 @@ AT_ONCE = 64  # languages whose sample is gathered at once
 SPREAD = 8  # languages whose tables stay spread out
 LETTERS, FOLDED = 95, 32  # letters with a symbol of their own, and symbols that the others share
 FOUND = ["lang_pred", "score", "bits", "plausible"]
+SPARE, DEVIATIONS, ABOVE = 3, 3, 1.25  # texts that tell a language's spread; a limit is so much above so many deviations
+MOST_PHRASES = 0.8  # a character, that any limit allows
+SHORT_MARGIN = 4  # over the square root of the characters: how much more a text may need because it is short
 SHARPNESS = 0.1  # how much a bit of difference counts in the score
 
 
 @dataclass(frozen=True)
 class Model:
-    """References by language, in order of name, and the cross entropy that a language's own texts hardly exceed."""
+    """References by language, in order of name, and the cross entropy that a language's own long texts hardly exceed."""
 
     references: tuple[tuple[str, str], ...]
     usual_bits: tuple[float, ...] = ()
@@ -85,15 +89,34 @@ def learn(
             references.append((language, "".join(kept)[:reference_chars]))
             rest.append([p for p in parts if len(p) > 200][:100])
     parser = _Parser(tuple(references))
-    usual = []
     flat = [p for parts in rest for p in parts]
     bits = np.concatenate([np.empty((0, len(rest))), *(parser.bits(flat[k : k + 1000]) for k in range(0, len(flat), 1000))])
     ends = np.cumsum([len(parts) for parts in rest])
+    limits = []
     for i, end in enumerate(ends):
-        usual.append(max(bits[end - len(rest[i]) : end, i], default=math.inf))
+        own = bits[end - len(rest[i]) : end]
+        limits.append(_limit(own[np.argmin(own, axis=1) == i, i]))  # others are labelled wrongly
+    known = [x for x in limits if x is not None]
+    usual = []
+    for i, (_, reference) in enumerate(references):
+        limit = limits[i]
+        if limit is None:  # from the reference alone: the second half by the first
+            half = len(reference) // 2
+            second = parser.alone(reference[:half]).bits([reference[k : k + 200] for k in range(half, len(reference), 200)])[:, 0]
+            limit = max(_limit(second, 1) or math.inf, float(np.median(known)) if known else 0.0)
+        usual.append(min(limit, MOST_PHRASES * parser.scale[i]))
     return Model(tuple(references), tuple(float(u) for u in usual))
 
 
+def _limit(bits: np.ndarray, least: int = SPARE) -> float | None:
+    """Above what a language's texts need, judged by their median and the median deviation, which a few odd ones do not move."""
+    bits = bits[np.isfinite(bits)]
+    if len(bits) < least:
+        return None
+    middle = np.median(bits)
+    return float(ABOVE * (middle + DEVIATIONS * 1.4826 * np.median(np.abs(bits - middle))))
+
+
 def _texts(rows: DataFrame, counts: list, rows_per_language: int, chars_per_row: int) -> list[tuple[str, list[str]]]:
     """Different sampled texts of some languages, in order of language and hash."""
     share = F.create_map(*(x for r in counts for x in (F.lit(r["l"]), F.lit(min(1.0, rows_per_language / r["n"])))))
@@ -153,18 +176,29 @@ class _Parser:
                 self.symbol[code] = own.get(c.lower()[:1], 1 + len(own) + code % folds)
         self.languages = [language for language, _ in references]
         self.tables, self.unknown, self.scale = [], [], []
+        self.many = len(references) > SPREAD
         for _, reference in references:
-            table = automaton(self.symbols(reference).tolist(), self.width)
-            unknown = table[0] < 0
-            table[0, unknown] = 0  # an unknown letter is a phrase by itself and leads nowhere
-            table = table.ravel()
-            if len(references) > SPREAD:
-                places = np.flatnonzero(table >= 0).astype("i4")
-                self.tables.append((len(table), places, table[places]))
-            else:
-                self.tables.append(table)
-            self.unknown.append(unknown)
-            self.scale.append(math.log2(max(2, len(reference))))
+            self._add(reference)
+
+    def _add(self, reference: str) -> None:
+        table = automaton(self.symbols(reference).tolist(), self.width)
+        unknown = table[0] < 0
+        table[0, unknown] = 0  # an unknown letter is a phrase by itself and leads nowhere
+        table = table.ravel()
+        if self.many:
+            places = np.flatnonzero(table >= 0).astype("i4")
+            self.tables.append((len(table), places, table[places]))
+        else:
+            self.tables.append(table)
+        self.unknown.append(unknown)
+        self.scale.append(math.log2(max(2, len(reference))))
+
+    def alone(self, reference: str) -> _Parser:
+        """A parser of one reference with this one's symbols."""
+        other = copy.copy(self)
+        other.tables, other.unknown, other.scale = [], [], []
+        other._add(reference)
+        return other
 
     def spread(self, i: int) -> np.ndarray:
         table = self.tables[i]
@@ -246,7 +280,7 @@ def judged(model: Model, texts: list[str]) -> list[tuple[str, float, float | Non
             out.append((UND, 0.0, None, False))
             continue
         odds = np.exp(-SHARPNESS * np.minimum(6000.0, (bits[i] - bits[i, b]) * size[i]))
-        like = bool(bits[i, b] <= 1.5 * model.usual_bits[b] or size[i] < 200)
+        like = bool(bits[i, b] <= model.usual_bits[b] * (1 + SHORT_MARGIN / math.sqrt(size[i])))
         out.append((parser.languages[b], float(1 / odds.sum()), float(bits[i, b]), like))
     return out
 
@@ -254,8 +288,8 @@ def judged(model: Model, texts: list[str]) -> list[tuple[str, float, float | Non
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """All columns of `docs` and lang_pred, score, bits and plausible, which replace columns of these names.
 
-    `plausible` is false for texts without a letter, and for texts of 200 or more letters and spaces that need half as
-    many phrases again as any sampled text of the language did.
+    `plausible` is false for texts without a letter, and for texts that need more bits than the language's limit, which
+    is a quarter above the median of its sampled texts and three deviations, and higher for a short text.
     """
 
     @F.pandas_udf("lang_pred string, score double, bits double, plausible boolean")
