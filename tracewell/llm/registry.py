@@ -29,4 +29,4 @@ def load_all() -> None:
         importlib.import_module(f"tracewell.llm.{module}")
 
 
-MODULES = ("conversation_repair", "html_text", "language_id", "bpe", "embedding_join", "jaccard_join", "licenses", "packing", "quality_model", "quality_rules", "token_counts", "url_filter")
+MODULES = ("conversation_repair", "html_text", "language_id", "bpe", "embedding_join", "jaccard_join", "licenses", "packing", "prefix_trie", "quality_model", "quality_rules", "token_counts", "url_filter")
