@@ -70,7 +70,24 @@ def test_records_without_a_place_go_elsewhere(spark):
     rows = spool_rows(spark, 4, ("logs",))
     odd = rows.withColumns({"type": F.when(F.col("seq") != 1, F.col("type")), "seq": F.when(F.col("seq") != 2, F.col("seq"))})
     assert batching.pack_batches(odd).count() == 2 and batching.unplaced(odd).count() == 2
-    assert spool.keep_newest(odd, 1).count() == 3  # what has no type has no capacity, what has no number is not older
+    assert [r.seq for r in spool.keep_newest(odd, 1).collect()] == [3]
+    assert spool.keep_newest(odd, 0).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 8, 100])
+def test_a_spool_is_what_is_taken_left_and_unplaced(spark, n):
+    rows = spool_rows(spark, 20, ("logs",)).unionByName(spool_rows(spark, 20, ("events",))).unionByName(spool_rows(spark, 20, ("unknown",)))
+    odd = rows.withColumns({"seq": F.when(F.col("seq") % 4 != 1, F.col("seq")), "type": F.when(~F.coalesce(F.col("seq") == 7, F.lit(False)), F.col("type"))})
+    taken = spool.take_fifo(odd, n, width=4)
+    left, lost = spool.remainder(odd, taken), spool.unplaced(odd)
+    numbered = 15 - 1  # of each type: every fourth has no number, one no type
+    assert taken.count() == 2 * min(n, numbered) and taken.where("seq IS NULL").count() == 0
+    assert lost.count() == 60 - 3 * numbered
+    parts = taken.unionByName(left).unionByName(lost)
+    assert parts.exceptAll(odd).count() == 0 == odd.exceptAll(parts).count()
+    kept = spool.keep_newest(odd, n, width=4)
+    assert kept.groupBy("type").count().where("type <> 'unknown'").agg(F.coalesce(F.max("count"), F.lit(0))).first()[0] == min(n, numbered)
+    assert kept.where("seq IS NULL OR type IS NULL").count() == 0
 
 
 # --- spool and batches -------------------------------------------------------------------------
@@ -102,6 +119,37 @@ def test_pack_batches_equals_a_loop(spark, max_items, max_bytes, width):
     assert not bodies
 
 
+def drained(sizes, max_items, max_bytes):
+    """Runs over a queue: the head goes, what does not fit goes behind the rest."""
+    queue, runs = list(range(len(sizes))), []
+    while queue:
+        head, queue = queue[:max_items], queue[max_items:]
+        fit = 1
+        while fit < len(head) and sum(sizes[i] for i in head[: fit + 1]) <= max_bytes:
+            fit += 1
+        runs.append(head[:fit])
+        queue += head[fit:]
+    return {seq: (run, pos) for run, batch in enumerate(runs) for pos, seq in enumerate(batch)}
+
+
+@pytest.mark.parametrize(
+    "n,max_items,max_bytes,width", [(60, 10, 50, 16), (14, 7, 1, 2), (20, 100, 60, 4), (45, 25, 300, 1 << 20), (0, 5, 5, 5)]
+)
+def test_rotated_batches_equal_a_loop(spark, n, max_items, max_bytes, width):
+    rng = random.Random(n)
+    sizes = [rng.choice([1, 5, 30, 90]) for _ in range(n)]
+    df = spool_rows(spark, n, ("logs",), lambda i: sizes[i]).unionByName(spool_rows(spark, n // 2, ("events",), lambda i: sizes[-i]))
+    df = df.unionByName(df.limit(1).withColumn("seq", F.lit(None).cast("bigint"))) if n else df
+    got = {}
+    for r in batching.rotated_batches(df, max_items, max_bytes, width).collect():
+        got.setdefault(r.type, {})[r.seq] = (r.batch_no, r.batch_pos)
+    assert got.get("logs", {}) == drained(sizes, max_items, max_bytes)
+    assert got.get("events", {}) == drained([sizes[-i] for i in range(n // 2)], max_items, max_bytes)
+    if n == 20:
+        packed = batching.pack_batches(df, max_items, max_bytes, fifo=False)
+        assert packed.columns == [*df.columns, "batch_no", "batch_pos"] and packed.count() == 30
+
+
 def test_trim_cases(spark):
     three = spool_rows(spark, 3, ("events",), lambda i: 2_000_000)
     assert [r.kept for r in batching.trim_to_bytes(three).orderBy("seq").collect()] == [True, True, False]

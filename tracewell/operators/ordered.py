@@ -89,6 +89,24 @@ def running_count(df: DataFrame, keys, order: Column, flag: Column, bucket: Colu
     )
 
 
+def add_offset(df: DataFrame, keys, order: str, size: str, out: str = "offset", width: int = WIDTH) -> DataFrame:
+    """Sum of `size` over the rows before each one of its key, by a unique integer column."""
+    keys = list(keys)
+    rows = df.withColumn("_bucket", bucket_start(F.col(order), width))
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        rows.groupBy(*keys, "_bucket")
+        .agg(F.sum(size).alias("_sum"))
+        .select(*keys, "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    )
+    within = Window.partitionBy(*keys, "_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        rows.join(starts, [*keys, "_bucket"])
+        .withColumn(out, F.col("_before") + F.coalesce(F.sum(size).over(within), F.lit(0)))
+        .drop("_bucket", "_before")
+    )
+
+
 def cut_off(df: DataFrame, keys, n: int, order: str, newest: bool = False, out: str = "_cut", width: int = WIDTH) -> DataFrame:
     """keys and `out`: where the first `n` rows of each key end, by a unique integer column.
 

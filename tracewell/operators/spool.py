@@ -30,6 +30,16 @@ def to_spool(df: DataFrame, record_type: Column, id: Column, seq: Column, at: Co
     )
 
 
+def placed(spool: DataFrame) -> DataFrame:
+    """Records with a type and a number: only these can be taken, kept, left or packed."""
+    return spool.where(F.col("type").isNotNull() & F.col("seq").isNotNull())
+
+
+def unplaced(spool: DataFrame) -> DataFrame:
+    """Records that have no place in a spool, for the quarantine: their type or number is missing."""
+    return spool.where(F.col("type").isNull() | F.col("seq").isNull())
+
+
 def spool_stats(spool: DataFrame) -> DataFrame:
     """Count and oldest timestamp per type; oldest by arrival, not by clock."""
     return spool.groupBy("type").agg(
@@ -40,18 +50,20 @@ def spool_stats(spool: DataFrame) -> DataFrame:
 def keep_newest(spool: DataFrame, n: int = C.MAX_SPOOL_ITEMS, order: str = "seq", types=C.TYPES, width: int = ordered.WIDTH) -> DataFrame:
     """The newest `n` records per known type; other types have no capacity of their own and keep all.
 
-    One number per type decides, so the records are filtered where they are and never move.
+    One number per type decides, so the records are filtered where they are and never move.  Records
+    without a type or number are not kept: `unplaced` gives them.
     """
+    rows = spool.where(F.col("type").isNotNull() & F.col(order).isNotNull())
     if n < 1:
-        return spool.where(~F.coalesce(F.col("type").isin(*types), F.lit(False)))
-    cut = ordered.cut_off(spool.where(F.col("type").isin(*types)), ["type"], n, order, newest=True, width=width)
+        return rows.where(~F.col("type").isin(*types))
+    cut = ordered.cut_off(rows.where(F.col("type").isin(*types)), ["type"], n, order, newest=True, width=width)
     older = F.coalesce(F.col(order) < F.col("_cut"), F.lit(False))
-    return spool.join(per_type(cut, types), "type", "left").where(~older).drop("_cut")
+    return rows.join(per_type(cut, types), "type", "left").where(~older).drop("_cut")
 
 
 def overflow_report(spool: DataFrame, n: int = C.MAX_SPOOL_ITEMS) -> DataFrame:
     """How many records of each type `keep_newest` drops."""
-    counted = spool.groupBy("type").agg(F.count(F.lit(1)).alias("items"))
+    counted = spool.where("seq IS NOT NULL").groupBy("type").agg(F.count(F.lit(1)).alias("items"))
     return counted.select(
         "type", F.least("items", F.lit(n)).alias("kept"), F.greatest(F.col("items") - n, F.lit(0)).alias("dropped")
     )
@@ -60,8 +72,11 @@ def overflow_report(spool: DataFrame, n: int = C.MAX_SPOOL_ITEMS) -> DataFrame:
 def take_fifo(
     spool: DataFrame, n: int = C.MAX_BATCH_ITEMS, types=C.TYPES, order: str = "seq", width: int = ordered.WIDTH
 ) -> DataFrame:
-    """The oldest `n` records per known type; one number per type decides, so no record moves."""
-    known = spool.where(F.col("type").isin(*types))
+    """The oldest `n` records per known type; one number per type decides, so no record moves.
+
+    What is taken, the `remainder` and what is `unplaced` are all of the spool, each record in one of them.
+    """
+    known = spool.where(F.col("type").isin(*types) & F.col(order).isNotNull())
     if n < 1:
         return known.where(F.lit(False))
     cut = ordered.cut_off(known, ["type"], n, order, width=width)
@@ -75,9 +90,8 @@ def remainder(spool: DataFrame, taken: DataFrame, types=C.TYPES) -> DataFrame:
     One row per type decides, so the records themselves are not shuffled.
     """
     last = taken.groupBy("type").agg(F.max("seq").alias("_last"))
-    return (
-        spool.join(per_type(last, types), "type", "left").where(~F.coalesce(F.col("seq") <= F.col("_last"), F.lit(False))).drop("_last")
-    )
+    later = ~F.coalesce(F.col("seq") <= F.col("_last"), F.lit(False))
+    return placed(spool).join(per_type(last, types), "type", "left").where(later).drop("_last")
 
 
 def idle_lives(writes: DataFrame, keys=("type",), at: str = "timestamp", ttl: int = C.SPOOL_TTL_SECONDS) -> DataFrame:

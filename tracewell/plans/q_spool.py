@@ -128,6 +128,53 @@ def packed_batches(spark, folder):
     return packed.select(F.col("seq").alias("doc_id"), "type", "batch_no", "batch_pos")
 
 
+_ROTATED = """
+WITH RECURSIVE backlog AS (SELECT lang AS type, doc_id AS seq, strlen(text) AS bytes FROM documents),
+  queues AS (
+    SELECT type, CAST(-1 AS BIGINT) AS batch_no, list({'seq': seq, 'bytes': bytes} ORDER BY seq) AS waiting, CAST([] AS BIGINT[]) AS sent
+    FROM backlog WHERE type IS NOT NULL AND seq IS NOT NULL GROUP BY type
+    UNION ALL
+    SELECT type, batch_no + 1, list_concat(waiting[41:], waiting[fit + 1:40]), list_transform(waiting[1:fit], lambda i: CAST(i.seq AS BIGINT))
+    FROM (SELECT *, greatest(1, len(list_filter(range(1, least(len(waiting), 40) + 1),
+            lambda k: list_sum(list_transform(waiting[1:k], lambda i: i.bytes)) <= 60000))) AS fit
+          FROM queues WHERE len(waiting) > 0)
+  )"""
+
+
+@query(
+    "rotated_batches",
+    f"""{_ROTATED} SELECT type, unnest(sent) AS doc_id, batch_no, unnest(range(len(sent))) AS batch_pos FROM queues""",
+)
+def rotated_batches(spark, folder):
+    """Batches of a backlog whose deferred records go behind newer ones, run by run."""
+    docs = inputs.load(spark, folder, "documents").select(
+        F.col("lang").alias("type"), F.col("doc_id").alias("seq"), F.octet_length("text").cast("bigint").alias("bytes")
+    )
+    packed = batching.pack_batches(docs, max_items=40, max_bytes=60_000, fifo=False)
+    return packed.select("type", F.col("seq").alias("doc_id"), "batch_no", "batch_pos")
+
+
+@query(
+    "numberless_records",
+    f"""WITH {_B}, b AS (SELECT type, id, CASE WHEN seq % 9 <> 4 THEN seq END AS seq FROM backlog),
+          r AS (SELECT *, row_number() OVER (PARTITION BY type, seq IS NULL ORDER BY seq) AS n FROM b)
+        SELECT type, CASE WHEN seq IS NULL THEN 'unplaced' WHEN n <= 30 THEN 'taken' ELSE 'left' END AS goes, count(*) AS records,
+          min(id) AS least_id, max(id) AS greatest_id
+        FROM r GROUP BY ALL""",
+)
+def numberless_records(spark, folder):
+    """Every record is taken, left or unplaced: some have no number."""
+    seq = F.when(F.col("seq") % 9 != 4, F.col("seq"))
+    backlog = inputs.backlog(spark, folder).withColumn("seq", seq)
+    taken = spool.take_fifo(backlog, 30, width=256)
+    parts = {"taken": taken, "left": spool.remainder(backlog, taken), "unplaced": spool.unplaced(backlog)}
+    rows = [part.select("type", "id", F.lit(goes).alias("goes")) for goes, part in parts.items()]
+    both = rows[0].unionByName(rows[1]).unionByName(rows[2])
+    return both.groupBy("type", "goes").agg(
+        F.count(F.lit(1)).alias("records"), F.min("id").alias("least_id"), F.max("id").alias("greatest_id")
+    )
+
+
 @query(
     "batch_sizes",
     f"""WITH {_B}, p AS (SELECT *, (row_number() OVER (PARTITION BY type ORDER BY seq) - 1) // 1000 AS chunk FROM backlog)
