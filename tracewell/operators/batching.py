@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -247,6 +251,40 @@ def packed_bodies(
     return _with_body(made, endpoints)
 
 
+def partition_bodies(
+    spool: DataFrame, max_items: int = C.MAX_BATCH_ITEMS, max_bytes: int = C.MAX_BATCH_BYTES, endpoints: DataFrame | None = None
+) -> DataFrame:
+    """Bodies of the records as they lie in their partitions, in arrival order; nothing moves, so a stream can do it.
+
+    A batch number is the partition's number times 2^32 plus a count.  A task holds one open batch per type.
+    """
+
+    def pack(chunks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        open_: dict[str, list] = {}
+        filled: dict[str, int] = {}
+
+        def closed(record_type: str) -> pa.RecordBatch:
+            nonlocal number
+            data, size = open_.pop(record_type), filled.pop(record_type)
+            columns = [pa.array([record_type]), pa.array([number]), pa.array([len(data)]), pa.array([size]), pa.array([data], pa.list_(pa.string()))]
+            number += 1
+            return pa.record_batch(columns, ["type", "batch_no", "items", "bytes", "_data"])
+
+        for chunk in chunks:
+            for record_type, data, size in zip(*(c.to_pylist() for c in chunk.columns), strict=True):
+                if record_type in open_ and (len(open_[record_type]) == max_items or filled[record_type] + size > max_bytes):
+                    yield closed(record_type)
+                open_.setdefault(record_type, []).append(data)
+                filled[record_type] = filled.get(record_type, 0) + size
+        for record_type in list(open_):
+            yield closed(record_type)
+
+    slim = spool.where("type IS NOT NULL AND data IS NOT NULL").select("type", "data", F.coalesce("bytes", F.lit(0)).cast("bigint").alias("bytes"))
+    made = slim.mapInArrow(pack, "type string, batch_no bigint, items bigint, bytes bigint, _data array<string>")
+    return _with_body(made, endpoints)
+
+
 def _with_body(batches: DataFrame, endpoints: DataFrame | None) -> DataFrame:
     routed = delivery.route(batches, endpoints)
     body = F.concat(F.lit('{"'), F.col("wrapper"), F.lit('":['), F.array_join("_data", ","), F.lit("]}"))

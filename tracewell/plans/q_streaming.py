@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracewell.operators import batching
 from tracewell.plans import inputs, q_sessions
 from tracewell.plans.registry import ORACLES, query
 from tracewell.session import new_table_path
+from tracewell.sources import items as sources
+from tracewell.sources import ledger
 from tracewell.streaming import pipeline, stateful
 
 
@@ -152,6 +155,30 @@ def stream_delivery(spark, folder):
     )
 
 
+@query(
+    "stream_delivery_once",
+    f"""WITH {inputs.BACKLOG_SQL} SELECT type AS wrapper, seq, md5(replace(data, ' ', '')) AS item_md5, TRUE AS within_limits FROM backlog""",
+)
+def stream_delivery_once(spark, folder):
+    """A spool delivered to the ledger by a stream that is stopped and started; all of it is then put in again as one run,
+    twice, which a reader sees once."""
+    path, checkpoint, source = (new_table_path(spark, f"once-{x}") for x in ("out", "checkpoint", "source"))
+    rows = inputs.backlog(spark, folder)
+    for part in range(2):
+        rows.where(F.col("seq") % 2 == part).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        pipeline.deliver_stream_once(stream, path, checkpoint, max_items=300).awaitTermination()
+    schema = batching.partition_bodies(rows).schema
+    streamed = ledger.read_once(spark, path, schema)
+    again = new_table_path(spark, "once-again")
+    for _ in range(2):
+        ledger.write_once(streamed, again, "all")
+    bodies = ledger.read_once(spark, again, schema)
+    items = sources.body_items(bodies, F.col("body"), keep=("items",))
+    number = F.try_variant_get("item", "$.n", "bigint").alias("seq")
+    return items.select("wrapper", number, F.md5(F.to_json("item")).alias("item_md5"), (F.col("items") <= 300).alias("within_limits"))
+
+
 @query(
     "stream_quarantine",
     """SELECT user_id % 7 = 0 AS rejected, count(*) AS records FROM events GROUP BY ALL""",

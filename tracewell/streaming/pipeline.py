@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tracewell import contracts as C
 from tracewell.operators import batching
 from tracewell.plans import flows
+from tracewell.sources import ledger
 
 
 def event_stream(raw: DataFrame, salt: str) -> DataFrame:
@@ -47,6 +48,32 @@ def deliver_stream(
     )
 
 
+def deliver_stream_once(
+    spool: DataFrame,
+    path: str,
+    checkpoint: str,
+    max_items: int = C.MAX_BATCH_ITEMS,
+    max_bytes: int = C.MAX_BATCH_BYTES,
+    trigger: dict | None = None,
+    source: type = ledger.LedgerSource,
+) -> StreamingQuery:
+    """Delivers bodies to the ledger at `path`, each micro-batch once, whatever is killed when.
+
+    Records are packed where they lie, so nothing is shuffled.  Micro-batches are told apart by the checkpoint's path and their
+    number: a stream that starts anew needs a new checkpoint path.  `ledger.read_once` reads the bodies.
+    """
+    spool.sparkSession.dataSource.register(source)
+    return (
+        batching.partition_bodies(spool, max_items, max_bytes)
+        .writeStream.format(source.name())
+        .option("path", path)
+        .option("stream", checkpoint)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
 def quarantine_stream(validated: DataFrame, good: str, bad: str, checkpoint: str, violations: str = "violations") -> StreamingQuery:
     """Valid and rejected records to two tables, in one pass over each micro-batch; what was not judged is not valid."""
     valid = F.coalesce(F.size(violations) == 0, F.lit(False))
