@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tracewell.operators import sessions, spool
 from tracewell.session import new_table_path
 from tracewell.sources import items as sources
 from tracewell.streaming import stateful
@@ -68,6 +69,116 @@ def test_stream_trails_last_across_micro_batches(spark):
     assert {r.seq: r.breadcrumbs for r in got} == {1: ["a"], 4: ["b", "c"]}
 
 
+REPORT = "session_id string, seq bigint, message string, big bigint"
+
+
+def fifo(keys, cache, held=()):
+    held, sent = list(held), []
+    for place, key in enumerate(keys):
+        if key not in held:
+            held = (held + [key])[-cache:]
+            sent.append(place)
+    return sent
+
+
+def test_long_micro_batches_are_put_in_order_in_the_state(spark):
+    """Over the rows held in memory, in several chunks, out of order, with large numbers beside nulls."""
+    import random
+
+    rng = random.Random(1)
+    keys = [rng.choice("abcdefgh") for _ in range(600)]
+    rows = [("s", i, k, None if i % 3 else 2**60 + i) for i, k in enumerate(keys)] + [("t", 5, "a", 1), (None, 6, None, None), ("", 7, None, 3)]
+    parts = [rows[:300], rows[300:]]
+    for part in parts:
+        rng.shuffle(part)
+    stream = micro_batches(spark, parts, REPORT)
+    sent = collect(spark, stateful.dedupe_reports_stream(stream, F.col("message"), "session_id", "seq", cache=4, idle=None, held=50))
+    got = {(r.session_id, r.seq): (r.message, r.big) for r in sent}
+    assert sorted(q for s, q in got if s == "s") == fifo(keys, 4)
+    assert all(got["s", q] == (keys[q], None if q % 3 else 2**60 + q) for s, q in got if s == "s")
+    assert [k for k in got if k[0] != "s"] and {k for k in got if k[0] != "s"} in ({("t", 5), (None, 6)}, {("t", 5), ("", 7)})
+
+
+def test_a_session_is_forgotten_when_its_time_to_live_is_over(spark):
+    """State that has a time to live keeps a stream running without end, so this one is watched and stopped."""
+    import time
+
+    source, out = new_table_path(spark, "ttl-source"), new_table_path(spark, "ttl-out")
+    part = spark.createDataFrame([("s", 1, "a", 1)], REPORT).coalesce(1)
+    part.write.parquet(source)
+    stream = spark.readStream.schema(REPORT).parquet(source)
+    sent = stateful.dedupe_reports_stream(stream, F.col("message"), "session_id", "seq", idle="3 seconds")
+    query = sent.writeStream.format("parquet").option("path", out).option("checkpointLocation", new_table_path(spark, "ttl")).start()
+
+    def arrived(rows):
+        until = time.time() + 30
+        while time.time() < until:
+            if query.lastProgress and spark.read.schema(sent.schema).parquet(out).count() >= rows:
+                return True
+            time.sleep(0.5)
+        return False
+
+    try:
+        assert arrived(1)
+        time.sleep(4)
+        part.write.mode("append").parquet(source)
+        assert arrived(2)
+    finally:
+        query.stop()
+
+
+@pytest.mark.parametrize("cache,segment", [(3, 1 << 17), (2, 4), (50, 1 << 17)])
+def test_a_stream_that_starts_from_caches_equals_one_batch(spark, cache, segment):
+    import random
+
+    rng = random.Random(cache)
+    rows = [(rng.choice(["hot", "hot", "hot", "a", None]), i, f"k{rng.randrange(7)}", i) for i in range(240)]
+    df = spark.createDataFrame(rows, REPORT)
+    earlier = df.where("seq < 130")
+    caches = sessions.session_caches(earlier, F.col("message"), cache=cache, segment=segment)
+    assert caches.agg(F.max(F.size("keys"))).first()[0] <= cache
+    stream = micro_batches(spark, [rows[130:170], rows[170:]], REPORT)
+    sent = collect(spark, stateful.dedupe_reports_stream(stream, F.col("message"), "session_id", "seq", cache=cache, idle=None, caches=caches))
+    before = sessions.dedupe_reports(earlier, F.col("message"), cache=cache, segment=segment).collect()
+    whole = sessions.dedupe_reports(df, F.col("message"), cache=cache, segment=segment).collect()
+    assert sorted(r.seq for r in [*before, *sent]) == sorted(r.seq for r in whole)
+
+
+@pytest.mark.parametrize("n", [0, 1, 3])
+def test_a_stream_that_starts_from_crumbs_equals_one_batch(spark, n):
+    import random
+
+    rng = random.Random(n)
+    schema = "session_id string, seq bigint, error boolean, crumb string"
+    rows = [(rng.choice(["s", "t", None]), i, rng.random() < 0.3, f"c{i}") for i in range(120)]
+    df = spark.createDataFrame(rows, schema)
+    earlier = df.where("seq < 70")
+    crumbs = sessions.last_crumbs(earlier, F.col("error"), F.col("crumb"), n=n, width=16) if n else None
+    stream = micro_batches(spark, [rows[70:90], rows[90:]], schema)
+    got = collect(spark, stateful.breadcrumb_stream(stream, "session_id", "seq", "error", "crumb", n=n, idle=None, crumbs=crumbs, held=5))
+    whole = sessions.breadcrumb_trail(df, F.col("error"), F.col("crumb"), n=n).where("seq >= 70").collect()
+    assert {r.seq: r.breadcrumbs for r in got} == {r.seq: r.breadcrumbs for r in whole}
+
+
+def test_timers_end_lives_as_the_batch_does(spark):
+    import random
+
+    rng = random.Random(7)
+    rows = [(rng.choice(["logs", "events", None]), f"i{i}", at, at if rng.random() < 0.95 else None) for i, at in enumerate(sorted(rng.randrange(0, 9000) for _ in range(90)))]
+    schema = "type string, id string, seq bigint, timestamp bigint"
+    end = ("errors", "end", 20_000, 20_000)  # moves the watermark on
+    parts = [rows[:30], rows[30:60], rows[60:], [end], [("errors", "last", 20_001, 20_001)]]
+    lives = collect(spark, stateful.expired_lives_stream(micro_batches(spark, parts, schema), ttl=100, delay="10 seconds"))
+    whole = spark.createDataFrame([r for part in parts for r in part], schema)
+    known = whole.where("type IS NOT NULL AND timestamp IS NOT NULL AND type <> 'errors'")
+    want = spool.idle_lives(known, ttl=100).collect()
+    assert sorted((r.type, r.started_at, r.last_write_at, r.writes) for r in lives) == sorted((r.type, r.started_at, r.last_write_at, r.writes) for r in want)
+    assert len(want) > 10
+    expired = spool.expired_records(whole, spark.createDataFrame(lives, "type string, started_at bigint, last_write_at bigint, writes bigint"), ttl=100)
+    judged = spool.idle_expiry(whole, 20_001 - 10, ttl=100)
+    assert sorted(r.id for r in expired.collect()) == sorted(r.id for r in judged.where("expired AND timestamp IS NOT NULL AND type IS NOT NULL").collect())
+
+
 def test_broken_spool_files_count_as_empty(spark):
     path = new_table_path(spark, "spool")
     texts = ['[{"id":"a","data":{"n":1},"timestamp":5},{"id":1,"data":{},"timestamp":5},7]', '[{"id":"b"', "", '{"id":"c","data":{},"timestamp":1}']

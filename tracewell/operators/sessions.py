@@ -38,27 +38,60 @@ def dedupe_reports(
     more keys need their reports in order; those longer than `segment` are cut, see `_replay`.
     `order` is a unique integer.  A null key equals other null keys of its session.
     """
+    slim, firsts, within, short, long = _by_size(df, key, session, order, cache, segment)
+    sent = firsts.join(within, "_session", "left_semi").select("_session", "_seq")
+    sent = sent.unionByName(_sent(_pass(_one_segment(slim, short), cache)))
+    if not long.isEmpty():
+        sent = sent.unionByName(_replay(slim.join(long, "_session", "left_semi"), cache, segment))
+    marked = df.withColumn("_session", F.coalesce(F.col(session).cast("string"), F.lit(""))).withColumn(
+        "_seq", F.col(order).cast("bigint")
+    )
+    return marked.join(sent, ["_session", "_seq"], "left_semi").drop("_session", "_seq")
+
+
+def _by_size(df: DataFrame, key: Column, session: str, order: str, cache: int, segment: int) -> tuple[DataFrame, ...]:
+    """Slim reports, the first of each key, and the sessions by what they need."""
     slim = df.select(
         F.coalesce(F.col(session).cast("string"), F.lit("")).alias("_session"),
-        F.coalesce(F.sha2(key.cast("string"), 256), F.lit("")).alias("_key"),  # a null key is a key like any other
+        cache_key(key).alias("_key"),
         F.col(order).cast("bigint").alias("_seq"),
     )
     firsts = slim.groupBy("_session", "_key").agg(F.min("_seq").alias("_seq"), F.count(F.lit(1)).alias("_n"))
     sizes = firsts.groupBy("_session").agg(F.count(F.lit(1)).alias("_keys"), F.sum("_n").alias("_rows"))
     within = sizes.where(F.col("_keys") <= cache)
     outgrown = sizes.where(F.col("_keys") > cache)
-    short = outgrown.where(F.col("_rows") <= segment)
-    long = outgrown.where(F.col("_rows") > segment)
+    return slim, firsts, within, outgrown.where(F.col("_rows") <= segment), outgrown.where(F.col("_rows") > segment)
 
-    sent = firsts.join(within, "_session", "left_semi").select("_session", "_seq")
-    one_segment = slim.join(short, "_session", "left_semi").withColumn("_segment", F.lit(0).cast("bigint"))
-    sent = sent.unionByName(_sent(_pass(one_segment, cache)))
+
+def cache_key(key: Column) -> Column:
+    """A key as caches hold it; a null key is a key like any other."""
+    return F.coalesce(F.sha2(key.cast("string"), 256), F.lit(""))
+
+
+def _one_segment(slim: DataFrame, short: DataFrame) -> DataFrame:
+    return slim.join(short, "_session", "left_semi").withColumn("_segment", F.lit(0).cast("bigint"))
+
+
+def session_caches(
+    df: DataFrame,
+    key: Column,
+    session: str = "session_id",
+    order: str = "seq",
+    cache: int = C.DEDUPE_CACHE,
+    segment: int = SEGMENT,
+) -> DataFrame:
+    """`session, keys`: what each session's cache holds after these reports, the oldest key first.
+
+    A stream of later reports starts from it (`stateful.dedupe_reports_stream`).
+    """
+    slim, firsts, within, short, long = _by_size(df, key, session, order, cache, segment)
+    keys = F.transform(F.array_sort(F.collect_list(F.struct("_seq", "_key"))), lambda f: f["_key"])  # at most `cache`
+    held = firsts.join(within, "_session", "left_semi").groupBy("_session").agg(keys.alias("keys"))
+    held = held.unionByName(_pass(_one_segment(slim, short), cache, ends=True).select("_session", F.col("_end").alias("keys")))
     if not long.isEmpty():
-        sent = sent.unionByName(_replay(slim.join(long, "_session", "left_semi"), cache, segment))
-    marked = df.withColumn("_session", F.coalesce(F.col(session).cast("string"), F.lit(""))).withColumn(
-        "_seq", F.col(order).cast("bigint")
-    )
-    return marked.join(sent, ["_session", "_seq"], "left_semi").drop("_session", "_seq")
+        states = _settled(slim.join(long, "_session", "left_semi"), cache, segment)[1]
+        held = held.unionByName(states.groupBy("_session").agg(F.max_by("_end", "_segment").alias("keys")))
+    return held.select(F.col("_session").alias("session"), "keys")
 
 
 def _run_cache(keys, held: OrderedDict, cache: int) -> list[bool]:
@@ -122,30 +155,51 @@ def _sent(passed: DataFrame) -> DataFrame:
 
 
 def _replay(rows: DataFrame, cache: int, segment: int) -> DataFrame:
-    """Exact cache replay of long sessions, cut into segments of `segment` reports.
+    """Exact cache replay of long sessions, cut into segments of `segment` reports."""
+    cut, states = _settled(rows, cache, segment)
+    return _sent(_pass(cut, cache, states.select("_session", "_segment", "_start")))
 
-    Every segment first runs from an empty cache, all at once.  Then each takes the cache its
-    predecessor ended with, and those whose starting cache changed run again, until none does.
-    Every round settles at least one more segment of a session, and since a cache only reflects
-    the last few keys, nearly all settle in the second round.
+
+def _settled(rows: DataFrame, cache: int, segment: int) -> tuple[DataFrame, DataFrame]:
+    """The reports with their segments, and `_session, _segment, _start, _end`: the caches each segment has in truth.
+
+    Every segment first runs from an empty cache, all at once.  Then those whose predecessor ended with
+    another cache than they started from run again, until there are none.  Every round settles at
+    least one more segment of a session, and since a cache only reflects the last few keys, nearly
+    all settle in the second round.  A round stores the segments that ran in it and touches no others:
+    the caches of a segment are those of the last round it ran in.
     """
     settings.use_checkpoints(rows.sparkSession)
     placed = ordered.add_position(rows, ["_session"], "_seq", "_position")
     cut = placed.withColumn("_segment", F.expr(f"_position div {int(segment)}")).drop("_position").checkpoint()
     place = ["_session", "_segment"]
-    w = Window.partitionBy("_session").orderBy("_segment")
-    states = _pass(cut, cache, ends=True).select(*place, "_start", "_end").checkpoint()
+    ran = _pass(cut, cache, ends=True).select(*place, "_start", "_end").checkpoint()
+    rounds = [ran]
+    empty = F.array().cast("array<string>")
+    changed = ran.select(*place, "_end", empty.alias("_before"))
+    last = ran.groupBy("_session").agg(F.max("_segment").alias("_last"))
     while True:
-        given = F.coalesce(F.lag("_end").over(w), F.array().cast("array<string>"))
-        linked = states.withColumn("_given", given)
-        stale = linked.where(F.col("_given") != F.col("_start")).select(*place, F.col("_given").alias("_start"))
-        stale = stale.checkpoint()
+        following = changed.where(F.col("_end") != F.col("_before")).select(
+            "_session", (F.col("_segment") + 1).alias("_segment"), F.col("_end").alias("_start")
+        )
+        stale = following.join(last, "_session").where(F.col("_segment") <= F.col("_last")).drop("_last").checkpoint()
         if stale.isEmpty():
-            break
+            return cut, _latest(rounds)
         again = cut.join(stale.select(*place), place, "left_semi")
-        redone = _pass(again, cache, stale, ends=True).select(*place, "_start", "_end").checkpoint()
-        states = states.join(redone.select(*place), place, "left_anti").unionByName(redone).checkpoint()
-    return _sent(_pass(cut, cache, states.select(*place, "_start")))
+        ran = _pass(again, cache, stale, ends=True).select(*place, "_start", "_end").checkpoint()
+        earlier = _latest([r.join(ran.select(*place), place, "left_semi") for r in rounds])
+        changed = ran.select(*place, "_end").join(earlier.select(*place, F.col("_end").alias("_before")), place)
+        rounds.append(ran)
+
+
+def _latest(rounds: list[DataFrame]) -> DataFrame:
+    """Of each segment the caches of the last round that it ran in."""
+    both = None
+    for n, r in enumerate(rounds):
+        numbered = r.withColumn("_round", F.lit(n))
+        both = numbered if both is None else both.unionByName(numbered)
+    state = F.max_by(F.struct("_start", "_end"), "_round").alias("_s")
+    return both.groupBy("_session", "_segment").agg(state).select("_session", "_segment", "_s._start", "_s._end")
 
 
 def breadcrumb_trail(
@@ -171,7 +225,7 @@ def breadcrumb_trail(
     )
     errors = rows.where("_error")
     crumbs = numbered.where(~F.col("_error")).select("_session", F.col("_crumbs").alias("_no"), crumb.alias("_crumb"))
-    wanted = numbered.where(F.col("_error") & (F.col("_crumbs") > 0)).select(
+    wanted = numbered.where(F.col("_error") & (F.col("_crumbs") > 0) & F.lit(n > 0)).select(
         "_session",
         F.col(order).alias("_at"),
         F.explode(F.sequence(F.greatest(F.col("_crumbs") - n + 1, F.lit(1)), F.col("_crumbs"))).alias("_no"),
@@ -188,6 +242,21 @@ def breadcrumb_trail(
     return joined.select(*[F.col(c) for c in df.columns], F.coalesce("_trail", none).alias("breadcrumbs"))
 
 
+def last_crumbs(
+    df: DataFrame, is_error: Column, crumb: Column, session: str = "session_id", order: str = "seq", n: int = C.MAX_BREADCRUMBS, width: int = ordered.WIDTH
+) -> DataFrame:
+    """`session, crumbs`: the last `n` crumbs of each session, the oldest first.
+
+    A stream of later records starts from it (`stateful.breadcrumb_stream`).
+    """
+    named = F.coalesce(F.col(session).cast("string"), F.lit("")).alias("_session")
+    crumbs = df.where(~is_error).select(named, F.col(order).cast("bigint").alias("_at"), crumb.cast("string").alias("_crumb"))
+    cut = ordered.cut_off(crumbs, ["_session"], n, "_at", newest=True, width=width)
+    newest = crumbs.join(cut, "_session", "left").where(F.col("_cut").isNull() | (F.col("_at") >= F.col("_cut")))
+    ring = F.transform(F.array_sort(F.collect_list(F.struct("_at", "_crumb"))), lambda c: c["_crumb"])  # at most `n`
+    return newest.groupBy("_session").agg(ring.alias("crumbs")).withColumnRenamed("_session", "session")
+
+
 def daily_visitor_activity(
     df: DataFrame, day: Column, visitor: str = "session_id_hash", at: str = "timestamp", approximate: bool = False
 ) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -140,6 +143,31 @@ def idle_expiry(
     return spool.join(per_type(live, types), "type", "left").withColumn("expired", expired).drop("_live")
 
 
+def slot_summaries(writes: DataFrame, at: str, ttl: int) -> DataFrame:
+    """`type, slot, first, last, writes` of each partition: what `idle_lives` needs to know of it.
+
+    Nothing moves and nothing waits for a watermark, so a stream can do it before its state.
+    """
+
+    def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            slots = batch.groupby(["type", batch["at"] // ttl])["at"].agg(["min", "max", "count"]).reset_index()
+            yield slots.set_axis(["type", "slot", "first", "last", "writes"], axis=1)
+
+    slim = writes.where(F.col("type").isNotNull() & F.col(at).isNotNull()).select("type", F.col(at).cast("bigint").alias("at"))
+    return slim.mapInPandas(summed, "type string, slot bigint, first bigint, last bigint, writes bigint")
+
+
+def expired_records(spool: DataFrame, lives: DataFrame, at: str = "timestamp", ttl: int = C.SPOOL_TTL_SECONDS) -> DataFrame:
+    """The records of the given lives (`type, started_at, last_write_at`), by equality of type and slot of time."""
+    slots = lives.select(
+        F.col("type").alias("_type"), "started_at", "last_write_at",
+        F.explode(F.sequence(F.floor(F.col("started_at") / ttl), F.floor(F.col("last_write_at") / ttl))).alias("_slot"),
+    )
+    met = (F.col("type") == F.col("_type")) & (F.floor(F.col(at) / ttl) == F.col("_slot"))
+    return spool.join(slots, met & F.col(at).between(F.col("started_at"), F.col("last_write_at")), "left_semi")
+
+
 def overflow_cycles(
     operations: DataFrame, max_items: int = C.MAX_SPOOL_ITEMS, width: int = ordered.WIDTH
 ) -> DataFrame:

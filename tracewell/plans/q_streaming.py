@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.operators import batching
+from tracewell.operators import batching, sessions, spool
 from tracewell.plans import inputs, q_sessions
 from tracewell.plans.registry import ORACLES, query
 from tracewell.session import new_table_path
@@ -110,6 +110,54 @@ def stream_idle_lives(spark, folder):
     )
 
 
+@query(
+    "stream_expired",
+    f"""WITH {inputs.BACKLOG_SQL}, mark AS (SELECT max("timestamp") - 3600 AS w FROM backlog),
+          s AS (SELECT type, id, "timestamp" AS t, "timestamp" - lag("timestamp") OVER (PARTITION BY type ORDER BY "timestamp") > 1800 AS gap FROM backlog),
+          l AS (SELECT type, id, t, sum(CASE WHEN gap IS NULL OR gap THEN 1 ELSE 0 END) OVER (PARTITION BY type ORDER BY t) AS life FROM s),
+          x AS (SELECT *, max(t) OVER (PARTITION BY type, life) AS last_t FROM l)
+        SELECT type, id FROM x, mark WHERE w - last_t > 1800""",
+)
+def stream_expired(spark, folder):
+    """The records of the lives that timers have ended, an hour behind the newest record."""
+    stream = inputs.events_as_backlog(read_stream(spark, folder, "events"))
+    lives = run(stateful.expired_lives_stream(stream, ttl=1800), "stream-expired")
+    return spool.expired_records(inputs.backlog(spark, folder), lives, ttl=1800).select("type", "id")
+
+
+@query("stream_dedupe_continued", ORACLES["session_dedupe_small_cache"])
+def stream_dedupe_continued(spark, folder):
+    """Half of the reports as one batch; a stream goes on from the caches that the batch ended with."""
+    bucket = (F.get_json_object("props", "$.k").cast("bigint") % 10).cast("string")
+    slim = inputs.load(spark, folder, "events").select("event_id", "user_id", F.concat("event_type", F.lit("|"), bucket).alias("key"))
+    half = slim.approxQuantile("event_id", [0.5], 0.01)[0]
+    earlier, path = slim.where(F.col("event_id") <= half), new_table_path(spark, "continued")
+    slim.where(F.col("event_id") > half).write.parquet(path)
+    sent = sessions.dedupe_reports(earlier, F.col("key"), "user_id", "event_id", cache=5)
+    caches = sessions.session_caches(earlier, F.col("key"), "user_id", "event_id", cache=5)
+    stream = spark.readStream.schema(slim.schema).parquet(path)
+    later = stateful.dedupe_reports_stream(stream, F.col("key"), "user_id", "event_id", cache=5, idle=None, caches=caches)
+    return sent.select("event_id").unionByName(run(later, "stream-continued").select("event_id"))
+
+
+@query("stream_trails_continued", q_sessions._TRAIL)
+def stream_trails_continued(spark, folder):
+    """The trails of half of the records as one batch; a stream goes on from the crumbs that the batch ended with."""
+    e = inputs.load(spark, folder, "events").select(
+        "event_id", "user_id", (F.col("event_type") == "error").alias("is_error"),
+        F.concat("event_type", F.lit(":"), F.col("event_id").cast("string")).alias("crumb"),
+    )
+    half = e.approxQuantile("event_id", [0.5], 0.01)[0]
+    earlier, path = e.where(F.col("event_id") <= half), new_table_path(spark, "continued")
+    e.where(F.col("event_id") > half).write.parquet(path)
+    trails = sessions.breadcrumb_trail(earlier, F.col("is_error"), F.col("crumb"), "user_id", "event_id")
+    crumbs = sessions.last_crumbs(earlier, F.col("is_error"), F.col("crumb"), "user_id", "event_id")
+    stream = spark.readStream.schema(e.schema).parquet(path)
+    later = run(stateful.breadcrumb_stream(stream, "user_id", "event_id", "is_error", "crumb", idle=None, crumbs=crumbs), "stream-continued")
+    both = trails.select("event_id", "breadcrumbs").unionByName(later.select("event_id", "breadcrumbs"))
+    return both.select("event_id", F.size("breadcrumbs").cast("bigint").alias("crumbs"), F.array_join("breadcrumbs", ">").alias("trail"))
+
+
 @query(
     "stream_rates",
     """WITH m AS (SELECT time_bucket(INTERVAL '1 minute', ts) AS minute, event_type, count(*) AS requests FROM events GROUP BY ALL)

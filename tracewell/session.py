@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.optimizer.maxIterations": "1000",
     # Session windows of a few hot keys are merged in the tasks that read them before they move.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    # State with lists, maps, timers and a time to live needs this store; it also keeps state on disk, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

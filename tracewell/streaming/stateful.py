@@ -1,58 +1,123 @@
-"""Streaming forms of the stateful operators."""
+"""Streaming forms of the stateful operators.
+
+State is kept per session in typed lists and maps of the state store.  Rows of a session come one at a time; a micro-batch
+of a session that is longer than `HELD` rows is laid down in the store and taken from there in order, so that a task
+holds a bounded number of rows and eight bytes for each of the others.
+"""
 
 from __future__ import annotations
 
+import array
 from collections import OrderedDict
 from collections.abc import Iterator
+from itertools import chain, islice
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tracewell import contracts as C
-from tracewell.operators.sessions import _run_cache
-
+from tracewell.operators.sessions import _run_cache, cache_key
+from tracewell.operators.spool import slot_summaries
 
 SESSION_IDLE = "1 day"  # after which the state of a session is forgotten
+HELD = 10_000  # rows of a session that are put in order in memory
+LATE = np.iinfo(np.int64).max  # where rows without a number go
+
+
+def _milliseconds(idle: str | None) -> int | None:
+    return int(pd.Timedelta(idle).total_seconds() * 1000) if idle else None
+
+
+class _InOrder(StatefulProcessor):
+    """Takes each session's rows of a micro-batch in the order of their first field, a number."""
+
+    def __init__(self, fields: T.StructType, held: int = HELD):
+        self.fields, self.held = fields, held
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.pending = handle.getMapState("pending", "place bigint", self.fields)
+
+    def in_order(self, rows: Iterator[Row]) -> Iterator[tuple]:
+        names = self.fields.names
+        slim = (tuple(r[n] for n in names) for r in rows)
+        few = list(islice(slim, self.held + 1))
+        if len(few) <= self.held:
+            yield from sorted(few, key=lambda r: LATE if r[0] is None else r[0])
+            return
+        numbers = array.array("q")
+        for place, row in enumerate(chain(few, slim)):
+            if place == 0:
+                few = []
+            self.pending.updateValue((place,), row)
+            numbers.append(LATE if row[0] is None else row[0])
+        for place in np.argsort(np.frombuffer(numbers, np.int64), kind="stable").tolist():
+            yield self.pending.getValue((place,))
+        self.pending.clear()
+
+    def close(self) -> None:
+        pass
+
+
+class _Dedupe(_InOrder):
+    """Rows are (number, key, whole row); the state is the cached keys, the oldest first."""
+
+    def __init__(self, fields: T.StructType, cache: int, idle: int | None, held: int):
+        super().__init__(fields, held)
+        self.cache, self.idle = cache, idle
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.keys = handle.getListState("keys", "key string", self.idle)
+
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:  # noqa: N802, N803
+        self.keys.put([(k,) for k in initialState["keys"]])
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        held = OrderedDict.fromkeys(k for (k,) in self.keys.get())
+        for _, report, row in self.in_order(rows):
+            if _run_cache((report,), held, self.cache)[0]:
+                yield Row(_row=row)
+        if held:  # also where nothing changed: the time to live counts from the last report
+            self.keys.put([(k,) for k in held])
 
 
 def dedupe_reports_stream(
-    reports: DataFrame, key: Column, session: str, order: str, cache: int = C.DEDUPE_CACHE, idle: str | None = SESSION_IDLE
+    reports: DataFrame,
+    key: Column,
+    session: str,
+    order: str,
+    cache: int = C.DEDUPE_CACHE,
+    idle: str | None = SESSION_IDLE,
+    caches: DataFrame | None = None,
+    held: int = HELD,
 ) -> DataFrame:
     """Reports their session has not just sent; the state of a session is its cached keys.
 
     Within one micro-batch a session's reports are taken in `order`; across micro-batches, in
-    the order the batches arrive.  What a session sends in one micro-batch is put in order in one
-    task, so bound the micro-batch (`maxFilesPerTrigger`, `maxOffsetsPerTrigger`).  A session's cache is
-    forgotten after `idle` of processing time without reports.  With `idle=None` nothing is ever
-    forgotten; an `availableNow` query needs that, since it does not end while timeouts may come.
+    the order the batches arrive.  A session's cache is forgotten after `idle` of processing time without
+    reports.  With `idle=None` nothing is ever forgotten; an `availableNow` query needs that, since it
+    does not end while time may still change its state.  A stream may go on from `caches`, what
+    `sessions.session_caches` made of earlier reports.
     """
-    columns = reports.columns
-    schema = reports.schema
-    keyed = reports.withColumns({"_session": F.coalesce(F.col(session).cast("string"), F.lit("")), "_key": key})
-
-    def step(group, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        held = OrderedDict.fromkeys(state.get[0]) if state.exists else OrderedDict()
-        rows = pd.concat(list(chunks)).sort_values(order, kind="stable")
-        sent = rows[_run_cache(rows["_key"], held, cache)]
-        state.update((list(held),))
-        _expire(state, idle)
-        yield sent[columns]
-
-    return keyed.groupBy("_session").applyInPandasWithState(step, schema, "keys array<string>", "append", _timeout(idle))
+    row = F.struct(*(F.col(f"`{c}`") for c in reports.columns))
+    keyed = reports.select(_session(session), F.col(order).cast("bigint").alias("_at"), cache_key(key).alias("_key"), row.alias("_row"))
+    out = T.StructType([keyed.schema["_row"]])
+    processor = _Dedupe(T.StructType(keyed.schema.fields[1:]), cache, _milliseconds(idle), held)
+    sent = _stateful(keyed, processor, out, idle, caches)
+    return sent.select("_row.*")
 
 
-def _timeout(idle: str | None) -> str:
-    return GroupStateTimeout.ProcessingTimeTimeout if idle else GroupStateTimeout.NoTimeout
+def _session(session: str) -> Column:
+    return F.coalesce(F.col(session).cast("string"), F.lit("")).alias("_session")
 
 
-def _expire(state: GroupState, idle: str | None) -> None:
-    if idle:
-        state.setTimeoutDuration(int(pd.Timedelta(idle).total_seconds() * 1000))
+def _stateful(rows: DataFrame, processor: StatefulProcessor, out: T.StructType, idle: str | None, first: DataFrame | None) -> DataFrame:
+    start = None if first is None else first.withColumnRenamed("session", "_session").groupBy("_session")
+    return rows.groupBy("_session").transformWithState(processor, out, "append", "ProcessingTime" if idle else "None", start)
 
 
 def dedupe_within_watermark(reports: DataFrame, key: Column, session: str, at: str, delay: str = "10 minutes") -> DataFrame:
@@ -61,36 +126,52 @@ def dedupe_within_watermark(reports: DataFrame, key: Column, session: str, at: s
     return keyed.dropDuplicatesWithinWatermark([session, "_key"]).drop("_key")
 
 
+class _Trails(_InOrder):
+    """Rows are (number, is an error, crumb); the state is the ring of the last crumbs."""
+
+    def __init__(self, fields: T.StructType, n: int, idle: int | None, held: int):
+        super().__init__(fields, held)
+        self.n, self.idle = n, idle
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.ring = handle.getListState("ring", "crumb string", self.idle)
+
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:  # noqa: N802, N803
+        self.ring.put([(c,) for c in initialState["crumbs"][-self.n :]] if self.n > 0 else [])
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        ring = [c for (c,) in self.ring.get()]
+        for at, error, crumb in self.in_order(rows):
+            if error:
+                yield Row(_session=key[0], _at=at, breadcrumbs=list(ring))
+            elif self.n > 0:
+                ring = (ring + [crumb])[-self.n :]
+        if ring:
+            self.ring.put([(c,) for c in ring])
+
+
 def breadcrumb_stream(
-    records: DataFrame, session: str, order: str, is_error: str, crumb: str, n: int = C.MAX_BREADCRUMBS, idle: str | None = SESSION_IDLE
+    records: DataFrame,
+    session: str,
+    order: str,
+    is_error: str,
+    crumb: str,
+    n: int = C.MAX_BREADCRUMBS,
+    idle: str | None = SESSION_IDLE,
+    crumbs: DataFrame | None = None,
+    held: int = HELD,
 ) -> DataFrame:
     """Errors with the last `n` crumbs (a string column) of their session; the state is that ring,
-    forgotten like the cache of `dedupe_reports_stream`."""
-    schema = f"{session} string, {order} bigint, breadcrumbs array<string>"
+    forgotten like the cache of `dedupe_reports_stream`.  A stream may go on from `crumbs`, what
+    `sessions.last_crumbs` made of earlier records."""
     slim = records.select(
-        F.coalesce(F.col(session).cast("string"), F.lit("")).alias(session),
-        F.col(order).cast("bigint").alias(order),
-        F.col(is_error).alias("_error"),
-        F.col(crumb).cast("string").alias("_crumb"),
+        _session(session), F.col(order).cast("bigint").alias("_at"), F.col(is_error).alias("_error"), F.col(crumb).cast("string").alias("_crumb")
     )
-
-    def step(group, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        ring = list(state.get[0]) if state.exists else []
-        rows = pd.concat(list(chunks)).sort_values(order, kind="stable")
-        out = []
-        for at, error, text in zip(rows[order], rows["_error"], rows["_crumb"]):
-            if error:
-                out.append((group[0], at, list(ring)))
-            else:
-                ring = (ring + [text])[-n:] if n > 0 else []
-        state.update((ring,))
-        _expire(state, idle)
-        yield pd.DataFrame(out, columns=[session, order, "breadcrumbs"])
-
-    return slim.groupBy(session).applyInPandasWithState(step, schema, "ring array<string>", "append", _timeout(idle))
+    out = T.StructType().add("_session", T.StringType()).add("_at", T.LongType()).add("breadcrumbs", T.ArrayType(T.StringType()))
+    processor = _Trails(T.StructType(slim.schema.fields[1:]), n, _milliseconds(idle), held)
+    trails = _stateful(slim, processor, out, idle, crumbs)
+    return trails.select(F.col("_session").alias(session), F.col("_at").alias(order), "breadcrumbs")
 
 
 def idle_lives_stream(
@@ -105,6 +186,63 @@ def idle_lives_stream(
     )
 
 
+class _Lives(StatefulProcessor):
+    """The open life of a type, and a timer for its end.
+
+    Rows are summaries of slots no wider than the time to live: writes of one slot are of one life.
+    """
+
+    def __init__(self, ttl: int):
+        self.ttl = ttl
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.slots = handle.getMapState("slots", "slot bigint", "first bigint, last bigint, writes bigint")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        for r in rows:
+            first, last, writes = r["first"], r["last"], r["writes"]
+            held = self.slots.getValue((r["slot"],))
+            if held is not None:
+                first, last, writes = min(first, held[0]), max(last, held[1]), writes + held[2]
+            self.slots.updateValue((r["slot"],), (first, last, writes))
+            self.handle.registerTimer((last + self.ttl + 1) * 1000)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+        """Put out the lives that are over at the watermark and drop their slots."""
+        now = timerValues.getCurrentWatermarkInMs() // 1000
+        lives: list[list] = []
+        for (slot,), (first, last, writes) in sorted((tuple(s), tuple(v)) for s, v in self.slots.iterator()):
+            if lives and first - lives[-1][1] <= self.ttl:
+                lives[-1][1:] = [last, lives[-1][2] + writes, [*lives[-1][3], slot]]
+            else:
+                lives.append([first, last, writes, [slot]])
+        for first, last, writes, slots in lives:
+            if now - last > self.ttl:
+                for slot in slots:
+                    self.slots.removeKey((slot,))
+                yield Row(type=key[0], started_at=first, last_write_at=last, writes=writes)
+
+    def close(self) -> None:
+        pass
+
+
+def expired_lives_stream(writes: DataFrame, at: str = "timestamp", ttl: int = C.SPOOL_TTL_SECONDS, delay: str = "1 hour") -> DataFrame:
+    """`type, started_at, last_write_at, writes` of each life of a spool as its time to live runs out.
+
+    Timers in event time: a life is over when the watermark is more than `ttl` seconds after its last write.  There are few
+    types and many writes, so each task first sums its writes up by type and slot of `ttl` seconds, and only those
+    sums meet; the state of a type is the slots of its open life.  `spool.expired_records` and
+    `stored.discard_lives` take what this gives.
+    """
+    if ttl < 1:
+        raise ValueError("a spool that never expires has no lives to end")
+    summed = slot_summaries(writes, at, ttl).withColumn("_ts", F.timestamp_seconds("last")).withWatermark("_ts", delay)
+    out = "type string, started_at bigint, last_write_at bigint, writes bigint"
+    return summed.groupBy("type").transformWithState(_Lives(ttl), out, "append", "EventTime")
+
+
 def rate_flags_stream(
     requests: DataFrame, keys=("key",), at: str = "ts", limit: int = C.REQUESTS_PER_MINUTE, delay: str = "1 minute"
 ) -> DataFrame:
