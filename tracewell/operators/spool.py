@@ -158,14 +158,16 @@ def slot_summaries(writes: DataFrame, at: str, ttl: int) -> DataFrame:
     return slim.mapInPandas(summed, "type string, slot bigint, first bigint, last bigint, writes bigint")
 
 
-def expired_records(spool: DataFrame, lives: DataFrame, at: str = "timestamp", ttl: int = C.SPOOL_TTL_SECONDS) -> DataFrame:
-    """The records of the given lives (`type, started_at, last_write_at`), by equality of type and slot of time."""
+def expired_records(
+    spool: DataFrame, lives: DataFrame, at: str = "timestamp", ttl: int = C.SPOOL_TTL_SECONDS, others: bool = False
+) -> DataFrame:
+    """The records of the given lives (`type, started_at, last_write_at`), or all `others`; by equality of type and slot of time."""
     slots = lives.select(
         F.col("type").alias("_type"), "started_at", "last_write_at",
         F.explode(F.sequence(F.floor(F.col("started_at") / ttl), F.floor(F.col("last_write_at") / ttl))).alias("_slot"),
     )
     met = (F.col("type") == F.col("_type")) & (F.floor(F.col(at) / ttl) == F.col("_slot"))
-    return spool.join(slots, met & F.col(at).between(F.col("started_at"), F.col("last_write_at")), "left_semi")
+    return spool.join(slots, met & F.col(at).between(F.col("started_at"), F.col("last_write_at")), "left_anti" if others else "left_semi")
 
 
 def overflow_cycles(

@@ -9,7 +9,7 @@ from tracewell.plans import inputs
 from tracewell.plans.registry import query
 from tracewell.session import new_table_path
 from tracewell.sources import items as sources
-from tracewell.sources import sinks
+from tracewell.sources import sinks, stored
 
 _TYPES = ("errors", "events", "logs", "javascript_errors")
 
@@ -139,6 +139,60 @@ def recent_diagnostics(spark, folder):
     return read.select(F.col("day").cast("string").alias("day"), F.col("at").alias("stamp"), "level", "message")
 
 
+@query(
+    "pruned_store",
+    """WITH d AS (SELECT strftime(ts, '%Y-%m-%d') AS day, event_type FROM events)
+       SELECT day, count(*) AS lines FROM d WHERE CAST(day AS DATE) >= DATE '2024-01-30' - 7 GROUP BY day""",
+)
+def pruned_store(spark, folder):
+    """Days out of retention are removed from the stored diagnostics, and the table is read whole."""
+    from tracewell.functions import text
+
+    e = inputs.load(spark, folder, "events").select(
+        text.iso_timestamp(F.col("ts")).alias("at"), F.lit("notice").alias("level"), F.col("event_type").alias("message"),
+        F.lit(None).cast("variant").alias("context"),
+    )
+    path = new_table_path(spark, "pruned")
+    sinks.write_diagnostics(e, path)
+    for _ in range(2):  # a repeat changes nothing
+        stored.prune_stored_diagnostics(spark, path, "2024-01-30", 7)
+    return spark.read.text(path).groupBy(F.col("day").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("lines"))
+
+
+@query(
+    "discarded_store",
+    f"""WITH {inputs.BACKLOG_SQL} SELECT type, id, seq, md5(data) AS data_md5 FROM backlog
+        WHERE type NOT IN ('logs') AND NOT (type = 'events' AND seq % 3 = 0)""",
+)
+def discarded_store(spark, folder):
+    """The backlog of a type, and some records of another, are removed from a stored spool."""
+    path = new_table_path(spark, "discarded")
+    sinks.write_spool(inputs.backlog(spark, folder), path)
+    for _ in range(2):
+        stored.discard_stored_backlog(spark, path, "logs")
+        stored.discard_where(spark, path, (F.col("type") == "events") & (F.col("seq") % 3 == 0))
+    return sources.read_spool_table(spark, path).select("type", "id", "seq", F.md5("data").alias("data_md5"))
+
+
+@query(
+    "expired_store",
+    f"""WITH {inputs.BACKLOG_SQL}, e AS (SELECT max("timestamp") - 7200 AS now FROM backlog), b AS (SELECT * FROM backlog, e WHERE "timestamp" <= now),
+          s AS (SELECT type, id, "timestamp" AS t, "timestamp" - lag("timestamp") OVER (PARTITION BY type ORDER BY "timestamp") > 1800 AS gap FROM b),
+          l AS (SELECT type, id, t, sum(CASE WHEN gap IS NULL OR gap THEN 1 ELSE 0 END) OVER (PARTITION BY type ORDER BY t) AS life FROM s),
+          x AS (SELECT type, life, max(t) AS last_t, max(life) OVER (PARTITION BY type) AS last_life FROM l GROUP BY type, life)
+        SELECT l.type, id FROM l JOIN x ON l.type = x.type AND l.life = x.life
+        WHERE x.life = x.last_life AND (SELECT now FROM e) - last_t <= 1800""",
+)
+def expired_store(spark, folder):
+    """What has expired is removed from a stored spool, two hours before the last record of the table."""
+    backlog, path = inputs.backlog(spark, folder), new_table_path(spark, "expired")
+    now = backlog.agg(F.max("timestamp") - 7200).first()[0]
+    sinks.write_spool(backlog.where(F.col("timestamp") <= now), path)
+    for _ in range(2):
+        stored.expire_stored_spool(spark, path, now, ttl=1800)
+    return sources.read_spool_table(spark, path).select("type", "id")
+
+
 @query(
     "quarantine",
     f"""WITH {inputs.REPORTS_SQL} SELECT kind, count(*) AS reports FROM reports
