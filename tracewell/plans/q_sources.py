@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tracewell.operators import batching, shape, validate
 from tracewell.plans import inputs
-from tracewell.plans.registry import query
+from tracewell.plans.registry import ORACLES, query
 from tracewell.session import new_table_path
 from tracewell.sources import items as sources
 from tracewell.sources import sinks, stored
@@ -34,6 +34,11 @@ def _faulty(backlog):
 )
 def read_spool_files(spark, folder):
     """Spool files of at most 500 envelopes; every third file is cut off, so it counts as empty."""
+    path = _spool_files(spark, folder)
+    return _all_types(lambda t: sources.read_spool(spark, f"{path}/type={t}", t))
+
+
+def _spool_files(spark, folder):
     packed = batching.pack_batches(inputs.backlog(spark, folder), max_items=500)
     rows = packed.select("type", "batch_no", "batch_pos", _faulty(packed).alias("envelope"))
     files = rows.groupBy("type", "batch_no").agg(F.array_sort(F.collect_list(F.struct("batch_pos", "envelope"))).alias("e"))
@@ -43,13 +48,23 @@ def read_spool_files(spark, folder):
     files.select("type", F.when(cut, F.substr(text, F.lit(1), F.length(text) - 5)).otherwise(text).alias("value")).write.option(
         "maxRecordsPerFile", 1
     ).partitionBy("type").text(path)
-    parts = [sources.read_spool(spark, f"{path}/type={t}", t) for t in _TYPES]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
+    return path
+
+
+def _all_types(read):
+    whole = read(_TYPES[0])
+    for t in _TYPES[1:]:
+        whole = whole.unionByName(read(t))
     return whole.select("type", "id", "timestamp", "data", "bytes")
 
 
+@query("read_spool_blocks", ORACLES["read_spool_files"])
+def read_spool_blocks(spark, folder):
+    """The same files, each cut into blocks that are read by different tasks."""
+    path = _spool_files(spark, folder)
+    return _all_types(lambda t: sources.read_spool(spark, f"{path}/type={t}", t, split=True, block_bytes=20_000))
+
+
 @query(
     "read_spool_lines",
     f"""WITH {inputs.BACKLOG_SQL} SELECT type, id, "timestamp", regexp_replace(data, '\\s', '', 'g') AS data FROM backlog""",

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tracewell import contracts as C
 from tracewell import schemas
 from tracewell.functions import rules, sizing
+from tracewell.sources.json_list import read_json_list
 
 
 def _reader(spark: SparkSession, stream: bool):
@@ -32,14 +33,19 @@ def _documents(spark: SparkSession, path: str, whole: bool, stream: bool) -> Dat
     return reader.text(path).select("value", F.col("_metadata.file_path").alias("file"))
 
 
-def read_spool(spark: SparkSession, path: str, record_type: str, stream: bool = False) -> DataFrame:
+def read_spool(spark: SparkSession, path: str, record_type: str, stream: bool = False, split: bool = False, block_bytes: int | None = None) -> DataFrame:
     """Envelopes of spool files, each a JSON list; `pos` is the place in the list.
 
     An unreadable file counts as empty.  Entries without a string id, nested data and an integer
     timestamp are dropped.  Each entry is parsed by itself, so the limit on a VARIANT's size holds
-    for an entry and not for the file, which may be as long as a string.
+    for an entry and not for the file, which may be as long as a string.  With `split` a file is read
+    by many tasks and may be of any length; it is then read twice, and jobs run when this is called.
     """
     _known(record_type)
+    if split:
+        if stream:
+            raise ValueError("files of a stream are read whole")
+        return _envelopes(read_json_list(spark, path, block_bytes), record_type)
     listed = F.from_json("value", "array<variant>")
     is_list = F.col("value").rlike(r"^\s*+\[")
     entries = _documents(spark, path, True, stream).where(is_list).select("file", F.posexplode(listed).alias("pos", "entry"))
