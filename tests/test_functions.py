@@ -3,6 +3,7 @@
 import hashlib
 import hmac
 import json
+from decimal import Decimal
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -72,6 +73,38 @@ def test_whole_floats_print_without_fraction(spark):
     assert row.select(sizing.json_text_bytes(F.to_json("v"))).first()[0] == len('{"a":1000,"b":"v 1.0,","c":[2,2.5]}')
 
 
+def printed(x):
+    """A float as the encoder prints it, from the fewest digits."""
+    sign, exact = "-" if str(x)[0] == "-" else "", Decimal(repr(abs(x)))
+    digits = "".join(map(str, exact.as_tuple().digits))
+    p, digits = len(digits) + exact.as_tuple().exponent, digits.rstrip("0")
+    if not digits:
+        return sign + "0"
+    if p < -3 or p > 17:
+        return f"{sign}{digits[0]}.{digits[1:] or '0'}e{'-' if p < 1 else '+'}{abs(p - 1)}"
+    if p <= 0:
+        return f"{sign}0.{'0' * -p}{digits}"
+    return sign + digits[:p].ljust(p, "0") + ("." + digits[p:] if len(digits) > p else "")
+
+
+def test_floats_of_all_magnitudes(spark):
+    import random
+    import struct
+
+    rng = random.Random(4)
+    values = [0.0, -0.0, 1.0, 1e7, 1e15, 1e16, 1e17, 1e18, 1e25, 1.5e-7, 1e-3, 1e-4, 1e-5, 0.5, -2.5, 123456.789, 5e-324, 2.0e-3, 8.41e21, 1e23, 2.0**-44,
+              1.7976931348623157e308, 2.2250738585072014e-308, 9007199254740993.0, 0.1 + 0.2, 1 / 3, 99999999999999990.0, 9.999999999999999e22]
+    while len(values) < 3000:
+        x = struct.unpack("d", rng.randbytes(8))[0]
+        values += [v for v in (x, rng.uniform(-1, 1) * 10 ** rng.randint(-8, 20), round(rng.uniform(0, 1000), 2)) if v == v and abs(v) < 1.8e308]
+    rows = spark.createDataFrame([(i, v, '{"a":[%r,"1.0E9",%r]}' % (v, v)) for i, v in enumerate(values)], "i int, v double, t string")
+    made = F.to_json(F.struct(F.array("v", "v").alias("a")))
+    for r in rows.select("v", "t", made.alias("j"), sizing.json_text_bytes("t").alias("n"), sizing.json_text_bytes(made).alias("m")).collect():
+        want = len(printed(r.v))
+        assert r.m == 2 * want + len('{"a":[,]}'), (r.v, r.j)
+        assert r.n == 2 * want + len('{"a":[,"1.0E9",]}'), (r.v, r.t)
+
+
 def test_cap_is_inclusive(spark):
     row = spark.sql("""SELECT parse_json('{"a":"é"}') AS v""")
     assert row.select(F.to_json(sizing.cap_bytes(F.col("v"), 14, "big"))).first()[0] == '{"a":"é"}'

@@ -1,7 +1,7 @@
 """Byte sizes of values as JSON, and the caps built on them.
 
 Sizes are those of an ASCII-only JSON encoding: `/` takes two bytes, a character outside ASCII
-six (twelve outside the basic plane), and a whole float prints without its `.0`.
+six (twelve outside the basic plane), and a float prints the fewest digits that give it back, see `float_bytes`.
 """
 
 from __future__ import annotations
@@ -13,7 +13,9 @@ from pyspark.sql import types as T
 from tracewell.functions.let import let
 
 _JSON_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
-_WHOLE_FLOAT = r"\.0(?=[,\]}]|$)"
+_FLOAT = r"-?\d++(?:\.\d++(?:[eE][+-]?\d++)?|[eE][+-]?\d++)"
+# Where the point may stand before a float is printed with an exponent: after this many digits, or behind this many zeros.
+MOST_DIGITS, MOST_ZEROS = 17, 3
 
 
 def json_text(value: Column, dtype: T.DataType | None = None) -> Column:
@@ -25,6 +27,59 @@ def json_text(value: Column, dtype: T.DataType | None = None) -> Column:
     return let(wrapped, lambda w: F.substr(w, F.lit(6), F.length(w) - 6))
 
 
+def float_bytes(token: Column) -> Column:
+    """Length of a decimal number as the encoder prints the float next to it.
+
+    It prints the fewest digits that read back as the same float.  With them, the number is 0.d1d2… times ten to
+    some power p: up to `MOST_DIGITS` and down to minus `MOST_ZEROS` that is written out (`0.00012`, `1200`), beyond
+    as `1.0e+25`, with at least one digit behind the point and no zeros before the exponent's.
+    """
+
+    def measure(v: Column) -> Column:
+        shown = _digits(F.abs(v).cast("string"))
+        return let(shown, lambda d: _shorter(v, d, lambda e: _shorter(v, e, written)))
+
+    def written(d: Column) -> Column:
+        n, p = F.length(d["digits"]), d["p"]
+        power = p - 1
+        long = F.greatest(n, F.lit(2)) + 3 + F.length(F.abs(power).cast("string"))
+        plain = F.when(p <= 0, 2 - p + n).when(n <= p, p).otherwise(n + 1)
+        return F.when(n == 0, 1).when((p < -MOST_ZEROS) | (p > MOST_DIGITS), long).otherwise(plain)
+
+    value = token.try_cast("double")
+    length = let(value, measure) + F.startswith(token, F.lit("-")).cast("int")
+    return F.when(F.isnan(value) | F.abs(value).isin(float("inf")), F.length(token)).otherwise(F.coalesce(length, F.length(token)))
+
+
+def _digits(shown: Column) -> Column:
+    """`digits` without zeros on either side, and `p`, of a number as Java shows it."""
+
+    def split(t: Column) -> Column:
+        whole, rest = F.regexp_extract(t, r"^\d+", 0), F.regexp_extract(t, r"\.(\d+)", 1)
+        every = F.concat(whole, rest)
+        zeros = F.length(F.regexp_extract(every, "^0*", 0))
+        power = F.coalesce(F.regexp_extract(t, r"E(-?\d+)", 1).try_cast("int"), F.lit(0))
+        return F.struct(F.regexp_replace(every, "^0+|0+$", "").alias("digits"), (F.length(whole) - zeros + power).alias("p"))
+
+    return let(shown, split)
+
+
+def _shorter(value: Column, d: Column, then) -> Column:
+    """`then` of the digits, or of one less where they still read back as `value`: Java may show one too many."""
+
+    def rounded(shown: Column) -> Column:
+        up = (shown["digits"].try_cast("bigint") + 5).cast("string")
+        fewer = F.substr(up, F.lit(1), F.length(up) - 1)
+        carried = F.length(up) - F.length(shown["digits"])
+        return F.struct(F.regexp_replace(fewer, "0+$", "").alias("digits"), (shown["p"] + carried).alias("p"))
+
+    def better(shown: Column, fewer: Column) -> Column:
+        reads = F.concat(F.lit("0."), fewer["digits"], F.lit("E"), fewer["p"].cast("string")).try_cast("double") == F.abs(value)
+        return F.when((F.length(shown["digits"]) > 15) & reads, fewer).otherwise(shown)
+
+    return let(better(d, rounded(d)), then)
+
+
 def json_text_bytes(text: Column) -> Column:
     """Encoded size of a JSON text, without encoding it.
 
@@ -39,10 +94,10 @@ def json_text_bytes(text: Column) -> Column:
         plain = F.octet_length(t) == F.length(t)
         base = F.when(plain, F.length(t).cast("bigint")).otherwise(units * 6 - ascii_chars * 5)
         slashes = F.length(t) - F.length(F.replace(t, F.lit("/"), F.lit("")))
-        # A `.0` counts only outside strings, and is looked for only where one can be.
-        bare = F.regexp_replace(t, _JSON_STRING, "")
-        whole = F.when(t.rlike(_WHOLE_FLOAT), F.regexp_count(bare, F.lit(_WHOLE_FLOAT)) * 2).otherwise(0)
-        return (base + slashes - whole).cast("bigint")
+        # Floats count only outside strings, and are looked for only where one can be.
+        tokens = F.regexp_extract_all(F.regexp_replace(t, _JSON_STRING, ""), F.lit(_FLOAT), F.lit(0))
+        printed = F.aggregate(tokens, F.lit(0), lambda n, x: n + let(x, lambda x_: float_bytes(x_) - F.length(x_)))
+        return (base + slashes + F.when(t.rlike(_FLOAT), printed).otherwise(0)).cast("bigint")
 
     return let(text, measure)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracewell import contracts as C
 from tracewell.functions import redact, sizing, text
@@ -131,6 +132,25 @@ def json_size_report(spark, folder):
     )
 
 
+@query(
+    "float_sizes",
+    """WITH t AS (SELECT l_orderkey * 10 + l_linenumber AS id, CAST(l_partkey || '.' || l_suppkey || l_orderkey || 'e' || (l_orderkey % 560 - 280) AS DOUBLE) AS v FROM lineitem),
+          s AS (SELECT id, CAST(v AS VARCHAR) AS shown FROM t),
+          p AS (SELECT id, regexp_extract(shown, '^([0-9]+)', 1) AS whole, regexp_extract(shown, '\.([0-9]+)', 1) AS rest,
+                  coalesce(TRY_CAST(nullif(regexp_extract(shown, 'e([+-]?[0-9]+)', 1), '') AS INTEGER), 0) AS power FROM s),
+          d AS (SELECT id, trim(whole || rest, '0') AS digits, length(whole) - (length(whole || rest) - length(ltrim(whole || rest, '0'))) + power AS p FROM p)
+        SELECT id, CASE WHEN digits = '' THEN 1
+            WHEN p < -3 OR p > 17 THEN greatest(length(digits), 2) + 3 + length(CAST(abs(p - 1) AS VARCHAR))
+            WHEN p <= 0 THEN 2 - p + length(digits) WHEN length(digits) <= p THEN p ELSE length(digits) + 1 END AS bytes FROM d""",
+)
+def float_sizes(spark, folder):
+    """Floats of all magnitudes as they are encoded."""
+    rows = inputs.load(spark, folder, "lineitem", "l_orderkey")
+    text = F.concat("l_partkey", F.lit("."), "l_suppkey", "l_orderkey", F.lit("e"), (F.col("l_orderkey") % 560 - 280).cast("string"))
+    sized = sizing.json_bytes(text.cast("double"), T.DoubleType())
+    return rows.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), sized.cast("int").alias("bytes"))
+
+
 @query(
     "truncate_docs",
     """SELECT doc_id, md5(CASE WHEN length(text) > 5000 THEN substr(text, 1, 4985) || '... (truncated)' ELSE text END) AS trace_md5,
