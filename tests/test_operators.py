@@ -507,3 +507,29 @@ def test_abuse_checks(spark):
     rows = spark.createDataFrame([(i, n, json.dumps(p)) for i, (n, p, _) in enumerate(cases)], "i int, event_name string, j string")
     checked = validate.event_abuse_checks(rows.withColumn("properties", F.parse_json("j")))
     assert [r.abuse for r in checked.orderBy("i").collect()] == [wanted for _, _, wanted in cases]
+
+
+def test_routes_by_shape_equal_routes_by_first_segments(spark, monkeypatch):
+    rng = random.Random(12)
+    words = ["a", "b", "reset", "x.y", "{id}", "{token}", "{q}", "{id}"]
+    patterns = ["/" + "/".join(rng.choice(words) for _ in range(rng.randint(1, 5))) + rng.choice(["", "/"]) for _ in range(80)] + ["/", "/{token}"]
+    routes = spark.createDataFrame([(p, rng.choice([["token"], ["token", "q"], [], ["id"]])) for p in patterns], "pattern string, secret_params array<string>")
+    parts = ["a", "b", "reset", "x.y", "s1", "s2", "", "{id}"]
+    urls = [None, "", "/", "//h", "https://h.x/a/s1?x=/b#y", "?q", "/a//b"]
+    urls += [rng.choice(["https://h.x", "", "//h"]) + "/" + "/".join(rng.choice(parts) for _ in range(rng.randint(1, 6))) + rng.choice(["", "?a=b", "/"]) for _ in range(300)]
+    rows = spark.createDataFrame([(i, u) for i, u in enumerate(urls + urls[:20])], "i int, url string")
+    few = {r.i: sorted(r.path_secrets) for r in shape.attach_path_secrets(rows, routes).collect() if r.path_secrets is not None}
+    monkeypatch.setattr(shape, "MOST_ROUTES", 3)
+    many = {r.i: sorted(r.path_secrets) for r in shape.attach_path_secrets(rows, routes).collect()}
+    assert len(many) == len(rows.collect()) and sum(map(bool, many.values())) > 50
+    assert {i: many[i] for i in few} == few
+
+
+def test_a_hundred_thousand_routes_have_no_hot_key(spark):
+    """Half begin with two parameters; a URL is looked up in as many rows as there are shapes of its length."""
+    literal = F.concat(F.lit("r"), F.col("id").cast("string"))
+    pattern = F.when(F.col("id") % 2 == 0, F.concat(F.lit("/{a}/{token}/"), literal)).otherwise(F.concat(F.lit("/"), literal, F.lit("/{token}/end")))
+    routes = spark.range(100_000).select(pattern.alias("pattern"), F.array(F.lit("token")).alias("secret_params"))
+    urls = spark.range(2000).select("id", F.concat(F.lit("https://h/x/s"), F.col("id").cast("string"), F.lit("/r"), (F.col("id") * 2).cast("string")).alias("url"))
+    found = shape.attach_path_secrets(urls, routes)
+    assert found.where(F.col("path_secrets") == F.array(F.concat(F.lit("s"), F.col("id").cast("string")))).count() == 2000

@@ -499,18 +499,18 @@ def attach_user(
     return out.drop("_key", "_id", "_email")
 
 
-MOST_ROUTES = 10_000  # that may be broadcast
+MOST_ROUTES = 10_000  # that may be broadcast, and shapes of routes
 
 
 def attach_path_secrets(df: DataFrame, routes: DataFrame, url_column: str = "url", out: str = "path_secrets") -> DataFrame:
     """Adds the secret path segments of each row's URL, from `routes(pattern, secret_params)`.
 
-    A pattern is a path such as `/reset/{token}`.  Routes are grouped by what a URL must have to
-    match: the number of segments and the first literal one, or, after a leading parameter, the
-    second.  Rows look both groups up by equality.  Patterns of two leading parameters fit any URL
-    of their length, so those rows would all meet in a few tasks; they are few (an application's
-    most general routes) and are broadcast if the routes number no more than `MOST_ROUTES`.
+    A pattern is a path such as `/reset/{token}`.  Up to `MOST_ROUTES` routes are grouped by what a URL must
+    have to match, the number of segments and the first literal one, or, after a leading parameter, the
+    second, and are broadcast.  More routes are looked up by their shapes, see `_by_shape`.
     """
+    if routes.limit(MOST_ROUTES + 1).count() > MOST_ROUTES:
+        return _by_shape(df, routes, url_column, out)
     cut = F.split(F.regexp_replace("pattern", r"^/|/$", ""), "/", -1)
 
     def literal(i: int) -> Column:
@@ -526,17 +526,13 @@ def attach_path_secrets(df: DataFrame, routes: DataFrame, url_column: str = "url
         .groupBy("_n", "_first", "_second")
         .agg(F.collect_list("route").alias("_routes"))
     )
-    origin_free = F.regexp_replace(url_column, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*://|//)[^/?#]*", "")
-    path = F.regexp_extract(origin_free, r"^([^?#]*)", 1)
-    segments = F.split(F.regexp_replace(path, r"^/|/$", ""), "/", -1)
-    rows = df.withColumn("_segments", segments).withColumns(
+    rows = df.withColumn("_segments", F.split(_bare_path(url_column), "/", -1)).withColumns(
         {"_n": F.size("_segments"), "_first": F.get("_segments", F.lit(0)), "_second": F.get("_segments", F.lit(1))}
     )
     by_first = grouped.where("_first IS NOT NULL").select("_n", "_first", F.col("_routes").alias("_by_first"))
     by_second = grouped.where("_second IS NOT NULL").select("_n", "_second", F.col("_routes").alias("_by_second"))
     general = grouped.where("_first IS NULL AND _second IS NULL").select("_n", F.col("_routes").alias("_general"))
-    if routes.limit(MOST_ROUTES + 1).count() <= MOST_ROUTES:
-        by_first, by_second, general = map(F.broadcast, (by_first, by_second, general))
+    by_first, by_second, general = map(F.broadcast, (by_first, by_second, general))
     joined = rows.join(by_first, ["_n", "_first"], "left").join(by_second, ["_n", "_second"], "left").join(general, "_n", "left")
     none = F.array().cast("array<struct<parts:array<string>,secret_params:array<string>>>")
     candidates = F.concat(*(F.coalesce(c, none) for c in ("_by_first", "_by_second", "_general")))
@@ -558,3 +554,55 @@ def attach_path_secrets(df: DataFrame, routes: DataFrame, url_column: str = "url
 
     secrets = F.array_distinct(F.flatten(F.transform(F.filter(candidates, matches), found)))
     return joined.withColumn(out, secrets).drop("_segments", "_n", "_first", "_second", "_by_first", "_by_second", "_general")
+
+
+def _bare_path(url_column: str) -> Column:
+    """The path of a URL without the slashes at its ends."""
+    origin_free = F.regexp_replace(url_column, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*://|//)[^/?#]*", "")
+    return F.regexp_replace(F.regexp_extract(origin_free, r"^([^?#]*)", 1), r"^/|/$", "")
+
+
+def _by_shape(df: DataFrame, routes: DataFrame, url_column: str, out: str) -> DataFrame:
+    """`attach_path_secrets` for any number of routes, by one equality join.
+
+    The shape of a route says which of its segments are parameters.  Routes of a shape that have the same literals are one
+    row, so a path meets at most one row per shape of its length; there are few shapes, however many routes.
+    Each path is looked up once, whatever the number of rows that have it.
+    """
+
+    def is_param(part: Column) -> Column:
+        return F.startswith(part, F.lit("{"))
+
+    def secret(part: Column) -> Column:
+        return is_param(part) & F.array_contains("secret_params", F.regexp_replace(part, r"[{}]", ""))
+
+    parts = F.split(F.regexp_replace("pattern", r"^/|/$", ""), "/", -1)
+    shaped = routes.select(parts.alias("parts"), "secret_params").select(
+        F.size("parts").alias("_n"),
+        F.array_join(F.transform("parts", lambda p: F.when(is_param(p), "1").otherwise("0")), "").alias("_shape"),
+        F.array_join(F.transform("parts", lambda p: F.when(is_param(p), "").otherwise(p)), "/").alias("_literals"),
+        F.array_compact(F.transform("parts", lambda p, i: F.when(secret(p), i))).alias("_places"),
+    )
+    telling = shaped.where(F.size("_places") > 0).groupBy("_n", "_shape", "_literals").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("_places")))).alias("_places")  # at most one per segment
+    )
+    shapes = telling.select("_n", "_shape").distinct()
+    if shapes.limit(MOST_ROUTES + 1).count() <= MOST_ROUTES:
+        shapes = F.broadcast(shapes)
+    paths = df.select(_bare_path(url_column).alias("_path")).where("_path IS NOT NULL").distinct()
+    cut = paths.withColumn("_segments", F.split("_path", "/", -1)).withColumn("_n", F.size("_segments"))
+
+    def given(i: Column) -> Column:
+        return F.substring("_shape", i + 1, F.lit(1)) == "1"
+
+    tried = cut.join(shapes, "_n").withColumn(
+        "_literals", F.array_join(F.transform("_segments", lambda s, i: F.when(given(i), "").otherwise(s)), "/")
+    )
+    # A parameter is never empty.
+    tried = tried.where(~F.exists(F.transform("_segments", lambda s, i: given(i) & (s == "")), lambda e: e))
+    found = tried.join(telling, ["_n", "_shape", "_literals"]).select(
+        "_path", F.transform("_places", lambda i: F.get("_segments", i)).alias("_found")
+    )
+    by_path = found.groupBy("_path").agg(F.array_distinct(F.flatten(F.collect_list("_found"))).alias(out))
+    joined = df.withColumn("_path", _bare_path(url_column)).join(by_path, "_path", "left").drop("_path")
+    return joined.withColumn(out, F.coalesce(out, F.array().cast("array<string>"))).select(*df.columns, out)
