@@ -533,3 +533,23 @@ def test_a_hundred_thousand_routes_have_no_hot_key(spark):
     urls = spark.range(2000).select("id", F.concat(F.lit("https://h/x/s"), F.col("id").cast("string"), F.lit("/r"), (F.col("id") * 2).cast("string")).alias("url"))
     found = shape.attach_path_secrets(urls, routes)
     assert found.where(F.col("path_secrets") == F.array(F.concat(F.lit("s"), F.col("id").cast("string")))).count() == 2000
+
+
+def test_dimensions_with_repeated_keys_double_nothing(spark):
+    users = spark.createDataFrame([("k", 2, "b@x"), ("k", 1, "a@x"), ("k", 1, "a@x")], "key string, id bigint, email string")
+    rows = spark.createDataFrame([(1, "k"), (2, "z"), (3, None)], "n int, key string")
+    got = {r.n: r.user for r in shape.attach_user(rows, users, on="key", explicit=None).collect()}
+    assert len(got) == 3 == shape.attach_user(rows, users, on="key", explicit=None).count() and got[1].id == "1" and got[2] is None
+    files = spark.createDataFrame([("f", "a\nb\n"), ("f", "x\ny\n"), ("g", "q")], "path string, text string")
+    errors = spark.createDataFrame([(1, "f", 1), (2, "f", 2), (3, "g", 1)], "n int, file string, line int")
+    assert shape.source_preview(errors, files).count() == 3
+
+
+def test_sketches_of_days_count_a_range(spark):
+    df = spark.range(40_000).select((F.col("id") % 7).cast("string").alias("day"), F.pmod(F.xxhash64("id"), F.lit(9000)).alias("v"))
+    df = df.unionByName(spark.createDataFrame([("7", None)], "day string, v bigint"))
+    sketches = sessions.daily_visitor_sketches(df, F.col("day"), "v")
+    whole = sessions.visitors_over(sketches).first()
+    exact = df.agg(F.count_distinct("v")).first()[0]
+    assert abs(whole.visitors - exact) < 0.06 * exact and whole.events == 40_001 and whole.days == 8
+    assert sessions.visitors_over(sketches.where("day = '7'")).first().visitors == 0

@@ -14,6 +14,7 @@ from tracewell import session as settings
 from tracewell.operators import ordered
 
 SEGMENT = 1 << 17
+SKETCH_PRECISION = 12  # 2^12 registers a sketch
 
 
 def report_key(message: str = "message", filename: str = "filename", line: str = "line", column: str = "column") -> Column:
@@ -266,3 +267,22 @@ def daily_visitor_activity(
     return df.groupBy(day.alias("day"), visitor).agg(
         F.count(F.lit(1)).alias("events"), F.min(at).alias("first_at"), F.max(at).alias("last_at")
     )
+
+
+def daily_visitor_sketches(df: DataFrame, day: Column, visitor: str = "session_id_hash", precision: int = SKETCH_PRECISION) -> DataFrame:
+    """`day, sketch, events`: what a day needs to be counted together with other days, a few kilobytes whatever its size.
+
+    Stored per day, so that a range of days is counted without reading a visit again.  Null visitors are not counted.
+    """
+    return df.groupBy(day.alias("day")).agg(
+        F.hll_sketch_agg(F.col(visitor).cast("string"), precision).alias("sketch"), F.count(F.lit(1)).alias("events")
+    )
+
+
+def visitors_over(sketches: DataFrame, *by: Column) -> DataFrame:
+    """Distinct visitors of the days that share `by` (all days without), from their sketches; and their events.
+
+    The error is 1.04 / sqrt(2^precision), 1.6 % at 12 and less than 5 % in nearly all cases.
+    """
+    union = F.hll_union_agg("sketch", False)
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(union).alias("visitors"), F.sum("events").alias("events"), F.count("day").alias("days"))

@@ -271,8 +271,12 @@ def source_preview(errors: DataFrame, source_files: DataFrame, path: str = "file
         .groupBy("_path")
         .agg(F.collect_set("_line").alias("_named"))
     )
-    files = source_files.select(F.col("path").alias("_path"), F.col("text").alias("_text")).where(
-        (F.col("_path") != "") & (F.octet_length("text") < C.MAX_SOURCE_FILE_BYTES)
+    files = (
+        source_files.select(F.col("path").alias("_path"), F.col("text").alias("_text"))
+        .where((F.col("_path") != "") & (F.octet_length("text") < C.MAX_SOURCE_FILE_BYTES))
+        .join(spots.select("_path"), "_path", "left_semi")
+        .groupBy("_path")
+        .agg(F.min("_text").alias("_text"))  # a path that is there twice would double its errors
     )
 
     def seen(named: Column) -> Column:
@@ -484,9 +488,9 @@ def attach_user(
     resolved_id: Column = F.lit(None).cast("string")
     resolved_email: Column = F.lit(None).cast("string")
     if users is not None:
-        side = users.select(
-            F.col("key").alias("_key"), F.col("id").cast("string").alias("_id"), F.col("email").alias("_email")
-        )
+        # One row per key, or a key that is there twice would double its records.
+        row = F.min(F.struct(F.col("id").cast("string").alias("id"), F.col("email").alias("email"))).alias("_u")
+        side = users.groupBy(F.col("key").alias("_key")).agg(row).select("_key", F.col("_u.id").alias("_id"), F.col("_u.email").alias("_email"))
         df = df.join(side, df[on] == side["_key"], "left")
         resolved_id, resolved_email = F.col("_id"), F.col("_email")
     given = F.col(explicit).cast("string") if explicit else F.lit(None).cast("string")

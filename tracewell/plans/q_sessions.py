@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tracewell.operators import filters, sessions
 from tracewell.plans import inputs
+from tracewell.session import new_table_path
 from tracewell.plans.registry import query
 
 
@@ -94,6 +95,24 @@ def approximate_visitors(spark, folder):
     return rough.join(exact, "day").select("day", close.alias("close"))
 
 
+@query(
+    "visitors_by_range",
+    """SELECT strftime(ts, '%Y-%m') AS month, count(*) AS events, count(DISTINCT strftime(ts, '%Y-%m-%d')) AS days, TRUE AS close
+       FROM events GROUP BY month""",
+)
+def visitors_by_range(spark, folder):
+    """Visitors of each month from stored sketches of its days, against the exact number."""
+    e = inputs.load(spark, folder, "events")
+    path = new_table_path(spark, "visitor-sketches")
+    sessions.daily_visitor_sketches(e, F.date_format("ts", "yyyy-MM-dd"), visitor="user_id").write.partitionBy("day").parquet(path)
+    stored = spark.read.schema("sketch binary, events bigint, day string").parquet(path)
+    month = F.substring("day", 1, 7).alias("month")
+    rough = sessions.visitors_over(stored, month)
+    exact = e.groupBy(F.date_format("ts", "yyyy-MM").alias("month")).agg(F.count_distinct("user_id").alias("n"))
+    close = F.abs(F.col("visitors") - F.col("n")) <= F.greatest(F.col("n") * 0.08, F.lit(2))
+    return rough.join(exact, "month").select("month", "events", "days", close.alias("close"))
+
+
 @query("passing_levels", """SELECT count(*) AS n FROM conversations WHERE turn % 2 = 0""")
 def passing_levels(spark, folder):
     logs = inputs.load(spark, folder, "conversations").select(
