@@ -86,3 +86,52 @@ def test_wrappers_do_not_hide_the_article():
     comments = f"<div id=comments><article><p>{LONG} {LONG}</p></article></div><aside><article><p>{LONG} {LONG}</p></article></aside>"
     asking = "<form><p>Your address</p><p>We will not give your address to anybody else, and you can leave the list at any time.</p></form>"
     assert text(f"<div class=no-sidebar><article><p>{LONG}</p>{asking}</article>{comments}</div>") == LONG
+
+
+WRAPPERS = (
+    "class='search-results'", "class='ad-free'", "class='login-page'", "class='page-footer-fixed has-menu'", "class='widget-area'",
+    "class='content alert'", "class=share", "class='related-content'", "id=page class='site search'", "class='comments'", "role=dialog", "class='ads no-ads'",
+)
+
+
+def test_a_wrapper_of_any_name_loses_no_page():
+    menu, foot = "<nav><ul><li><a>Home</a><li><a>News</a></ul></nav>", "<footer><p>All rights are ours, whatever you may think of it.</p></footer>"
+    for wrapper in WRAPPERS:
+        body = f"<h1>The title</h1><p>{LONG}</p><p>Short one.</p><p>{LONG}</p>"
+        want = ["The title", LONG, "Short one.", LONG]
+        assert text(f"<body><div {wrapper}>{menu}{body}{foot}</div></body>").split("\n") == want, wrapper
+        assert text(f"<body>{menu}<div {wrapper}>{body}</div>{foot}</body>").split("\n") == want, wrapper
+        assert text(f"<body>{menu}<div {wrapper}><article>{body}</article></div>{foot}</body>").split("\n") == want, wrapper
+        assert text(f"<body>{menu}<div {wrapper}><div class=site-menu>{body}</div></div>{foot}</body>").split("\n") == want, wrapper
+
+
+def test_named_elements_beside_the_text_go():
+    asides = ("class=ad", "class='ad-container'", "id=cookie-notice", "class='newsletter box'", "class='sidebar-left'", "class='promo 2'", "class='site-footer'")
+    for aside in asides:
+        box = f"<div {aside}><p>Get our paper every morning before all others, for the price of a cup of tea and no more.</p></div>"
+        assert text(f"<body><p>{LONG}</p>{box}<p>{LONG}</p></body>") == f"{LONG}\n{LONG}", aside
+        assert text(f"<body><article><p>{LONG}</p>{box}<p>{LONG}</p></article></body>") == f"{LONG}\n{LONG}", aside
+    comments = f"<div id=comments><p>{LONG}</p></div>"
+    assert text(f"<body><p>{LONG} {LONG}</p>{comments}</body>") == f"{LONG} {LONG}"
+
+
+def test_an_article_keeps_its_links():
+    links = "<ul><li><a href=a>One thing</a><li><a href=b>Another thing</a><li><a href=c>A third</a></ul><p><a>Only a link</a></p><p><a>And one more</a></p>"
+    want = f"{LONG}\nOne thing\nAnother thing\nA third\nOnly a link\nAnd one more\n{LONG}"
+    assert text(f"<article><p>{LONG}</p>{links}<p>{LONG}</p></article>") == want
+    assert text(f"<article><p>{LONG}</p><section class='alert-design'><p>About alerts.</p></section></article>") == f"{LONG}\nAbout alerts."
+
+
+def test_pages_without_an_article_equal_the_cut(spark):
+    """The pages of the table with their article tags gone, and in wrappers: long paragraphs stay, menus and the like go."""
+    import random
+
+    rng = random.Random(3)
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").limit(120).collect():
+        article = r["html"].split("<article>")[1].split("</article>")[0]
+        parts = [" ".join(html.unescape(re.sub(r"<[^>]*>", " ", p)).split()) for p in re.split(r"</?(?:p|h1)>", article)]
+        want = [p for p in parts if len(p.split()) >= html_text.LONG_BLOCK]
+        for wrapper in ("div", f"div {rng.choice(WRAPPERS)}"):
+            got = text(r["html"].replace("<article>", f"<{wrapper}>").replace("</article>", "</div>")).split("\n")
+            assert [p for p in got if p in want] == want, wrapper
+            assert set(got) <= set(parts), wrapper

@@ -53,10 +53,16 @@ ASIDE_NAMES = frozenset(
     " promo promoted related replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar topbar"
     " widget widgets".split()
 )
-
+# What may follow such a word in a name without changing its sense (`ad-container`, not `ad-free`), and what turns it round.
+NEUTRAL = frozenset(
+    "area bar block body bottom box col column container content group header holder icons inner item items large left link links list main menu"
+    " message module outer panel popup primary region right row secondary section slot small tag title top unit wrap wrapper zone".split()
+)
+TURNING = frozenset("has no not non with without hide hides is".split())
 
 LONG_BLOCK = 15  # words of a block that is no label of a form
-NO, FORM, NAMED, ALWAYS = range(4)  # whether an element stands aside: a form, by a name that a wrapper may have too, in any case
+# Whether an element stands aside: a form; by a name that a wrapper may have too; as comments or by its role; in any case.
+NO, FORM, NAMED, REMARKS, ALWAYS = range(5)
 
 
 @dataclass(slots=True)
@@ -85,12 +91,12 @@ def _stands_aside(name: str, attributes: str) -> int:
         return kind
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if key in ("class", "id") and not ASIDE_NAMES.isdisjoint(names := re.split(r"[^a-z0-9]+", value)):
-            kind = max(kind, NAMED if COMMENTS.isdisjoint(names) else ALWAYS)
+        if key in ("class", "id"):
+            kind = max([kind, *map(_named, value.split())])
         if key == "role" and value.strip() == "form":
             kind = max(kind, FORM)
         if key == "role" and value.strip() in ASIDE_ROLES:
-            return ALWAYS
+            kind = REMARKS
         if key == "hidden" or (key == "aria-hidden" and value == "true"):
             return ALWAYS
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
@@ -98,11 +104,23 @@ def _stands_aside(name: str, attributes: str) -> int:
     return kind
 
 
+def _named(name: str) -> int:
+    """What one class or id says: a word of the list, and behind it only such as leave its sense."""
+    parts = [x for x in re.split(r"[^a-z0-9]+", name) if x]
+    at = max((i for i, x in enumerate(parts) if x in ASIDE_NAMES), default=None)
+    if at is None or not TURNING.isdisjoint(parts) or not all(x in NEUTRAL or x.isdigit() for x in parts[at + 1 :]):
+        return NO
+    return NAMED if COMMENTS.isdisjoint(parts) else REMARKS
+
+
 def _place(found: list[Block], holding: set[int]) -> None:
     """Say which blocks in forms and named elements stand aside.
 
     A form does not count if it holds an article (`holding`), or more words in long blocks than there are outside it.  Named
-    elements do not count if they hold the article: one with more words than what stands free of such elements.
+    elements do not count if they hold the article: one with more words than what stands free of such elements.  On a page
+    without an article that stands free, they do not count if they hold more than half of the words in long blocks, and
+    if no long block is free then, the one with the most such words does not count either, whatever it calls itself: what
+    holds the page's text is a wrapper.
     """
 
     open_ = {0, *holding}  # none has the number 0
@@ -124,16 +142,32 @@ def _place(found: list[Block], holding: set[int]) -> None:
         size: dict[int, int] = {}
         around: dict[int, set[int]] = {}
         for b in found:
-            if b.wraps and not b.aside and all(at < b.articles for _, _, at in b.wraps):
+            if b.wraps and not b.aside and all(at < b.articles and kind != REMARKS for _, kind, at in b.wraps):
                 size[b.article] = size.get(b.article, 0) + b.words - b.linked
                 around[b.article] = {n for n, _, _ in b.wraps}
         largest = max(size, key=size.__getitem__, default=0)
         elsewhere = sum(b.words - b.linked for b in found if not b.aside and not b.wraps)
         open_ = around[largest] if size and size[largest] > elsewhere else set()
+    long = [b for b in found if not b.aside and b.words >= LONG_BLOCK and b.density < 0.5]
+    if not any(b.inside and not b.wraps for b in long):
+        named = {n for b in long for n, kind, _ in b.wraps if kind != REMARKS}
+        half = sum(b.words - b.linked for b in long) / 2
+        _open(found, {n for n in named if _inside(long, n) > half})
+        while long and all(b.wraps for b in long):
+            _open(found, {max((n for b in long for n, _, _ in b.wraps), key=lambda n: (_inside(long, n), -n))})
     for b in found:
         b.aside = b.aside or bool(b.wraps)
 
 
+def _inside(found: list[Block], number: int) -> int:
+    return sum(b.words - b.linked for b in found if any(n == number for n, _, _ in b.wraps))
+
+
+def _open(found: list[Block], numbers: set[int]) -> None:
+    for b in found:
+        b.wraps = tuple(x for x in b.wraps if x[0] not in numbers)
+
+
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page, in page order."""
     out: list[Block] = []
@@ -171,7 +205,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal aside, header, links, unseen, heading
         name, was_aside, was_main, was_header = stack.pop()
         aside -= was_aside == ALWAYS
-        if was_aside in (FORM, NAMED):
+        if was_aside in (FORM, NAMED, REMARKS):
             wraps.pop()
         if was_main:
             articles.pop()
@@ -228,7 +262,7 @@ def blocks(page: str) -> list[Block]:
         stack.append(own)
         number += 1
         aside += own[1] == ALWAYS
-        if own[1] in (FORM, NAMED):
+        if own[1] in (FORM, NAMED, REMARKS):
             wraps.append((number, own[1], len(articles)))
         if own[2]:
             articles.append(number)
@@ -266,9 +300,9 @@ LABELLED = (
     ((3, 0, 2, 0, 2, 0, 2, 0), 1), ((3, 0, 5, 0.9, 60, 0, 40, 0), 1), ((3, 0, 30, 0.5, 60, 0, 70, 0), 1),
     ((3, 0, 7, 0, 1, 1, 1, 1), 1), ((3, 0, 70, 0, 0, 0, 0, 0), 1),
     ((3, 0, 3, 0, 40, 0, 2, 1), 1), ((3, 0, 2, 0, 30, 0, 1, 1), 1), ((3, 0, 5, 0, 4, 0, 3, 1), 1), ((3, 0, 4, 1, 50, 0, 60, 0), 1),
-    # lists of links in the article
-    ((3, 0, 3, 1, 3, 1, 40, 0), 0), ((3, 0, 4, 1, 2, 1, 9, 0), 0), ((3, 0, 2, 1, 3, 1, 60, 0), 0),
-    ((3, 0, 3, 1, 2, 1, 3, 1), 0), ((3, 0, 5, 1, 4, 1, 2, 1), 0), ((3, 0, 2, 1, 2, 1, 1, 1), 0),
+    # lists of links in the article, paragraphs that are a link
+    ((3, 0, 3, 1, 3, 1, 40, 0), 1), ((3, 0, 4, 1, 2, 1, 9, 0), 1), ((3, 0, 2, 1, 3, 1, 60, 0), 1),
+    ((3, 0, 3, 1, 2, 1, 3, 1), 1), ((3, 0, 5, 1, 4, 1, 2, 1), 1), ((3, 0, 2, 1, 2, 1, 1, 1), 1), ((3, 0, 20, 1, 25, 1, 0, 0), 1),
     # beside the article
     ((1, 0, 8, 0, 1, 1, 6, 0), 0), ((1, 0, 30, 0, 50, 0, 0, 0), 0), ((1, 0, 60, 0, 1, 1, 7, 0), 0),
     ((1, 1, 4, 0, 3, 1, 8, 0), 0), ((1, 0, 2, 1, 2, 1, 2, 1), 0), ((1, 0, 15, 0.2, 40, 0, 12, 0), 0),
