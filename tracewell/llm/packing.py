@@ -33,7 +33,8 @@ from tracewell.llm.tokens import PartCache, id_bytes
 CAPACITY = 1024
 CLOSING_ID = 2
 BUCKET_ROWS = 50_000  # pieces of one length that are ranked in one task
-SLICE = 4 << 20  # of text that is cut at once
+SLICE = 12 << 20  # of text that is cut at once
+REMEMBERED = 800_000  # parts whose ids a worker keeps
 
 
 def vocabulary_path() -> str:
@@ -101,17 +102,19 @@ def _cache(path: str, added: bool) -> PartCache:
         made = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=vocabulary(path), special_tokens={}).encode_ordinary
         ids = added_tokens(path) if added else {}
         if not ids:
-            return PartCache(lambda parts: [id_bytes(made(p)) for p in parts], most=300_000)
+            return PartCache(lambda parts: [id_bytes(made(p)) for p in parts], most=REMEMBERED)
         token = re.compile("|".join(map(re.escape, sorted(ids, key=len, reverse=True))))
 
         def encode(part: str) -> bytes:
+            if not any(map(part.__contains__, ids)):
+                return id_bytes(made(part))
             out, at = [], 0
             for m in token.finditer(part):
                 out += [*made(part[at : m.start()]), ids[m[0]]]
                 at = m.end()
-            return id_bytes(out + made(part[at:]) if at else made(part))
+            return id_bytes(out + made(part[at:]))
 
-        return PartCache(lambda parts: [encode(p) for p in parts], most=300_000)
+        return PartCache(lambda parts: [encode(p) for p in parts], most=REMEMBERED)
 
     return common.kept(("packing", path, added), make)
 
