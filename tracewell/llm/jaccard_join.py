@@ -9,9 +9,12 @@ enough others, is no candidate.  And what is known of one set is used for sets t
 member, the pivot, is compared with all others.  Members that link with it are connected, whatever their similarity to
 each other; and for any two members the overlaps with the pivot bound their own overlap, because x cannot share more
 with y than the pivot does, plus what x has beyond the pivot.  Only pairs that are neither connected nor excluded so are
-compared, so a large group of near copies costs about one comparison per member and list, not one per pair.
+compared, first one member of each group of a list and then, where groups are still apart, all of them; so a large group
+of near copies costs about one comparison per member and list, not one per pair.  Links between the same two groups
+are one edge, so the edges that are united grow with members and groups, not with pairs.
 
-Frequencies are exact over all documents.  A task sends each of its distinct shingles once, in six bytes and a count,
+Frequencies count a shingle up to 255 times in a slice of documents, which is enough to put rare ones first: any one order
+gives the same links.  A task sends each of its distinct shingles once, in six bytes and a count,
 to the bucket of its hash; what occurs once overall ends there, and of the rest the bucket tells the task which ones they
 are and how frequent.  So a text is read and cut once, a shingle of every document costs a bucket a few bytes per task,
 and a document whose shingles are too often unique is known to have no partner before anything is compared.
@@ -58,15 +61,18 @@ def near_duplicates(
     table = common.stored(_measured(docs, key, text, k, percent, place), "shingle-sets")
     lead = F.struct(F.col("id").isNull(), F.col("id"), F.col("row"))  # the smallest id comes first, no id last
     classes = table.filter("code IS NOT NULL").groupBy("code").agg(F.min("row").alias("row"), F.min(lead).alias("lead"))
-    sets = common.stored(
-        table.filter("prefix IS NOT NULL").join(classes.select("row"), "row", "left_semi").select("row", "size", "shared", "prefix", "body"), "sets"
-    )
-    posted = sets.select("row", "size", "shared", F.posexplode("prefix").alias("place", "h"))
+    sets = table.filter("prefix IS NOT NULL").select("row", "size", "shared", "prefix", "body")  # bodies stay in the one table
+    posted = sets.join(classes.select("row"), "row", "left_semi").select("row", "size", "shared", F.posexplode("prefix").alias("place", "h"))
     near = common.stored(_with_pivots(posted, percent), "lists")
     compared = common.stored(_overlaps(near.filter("near").select(F.col("pivot").alias("a"), F.col("row").alias("b")).distinct(), sets), "overlaps")
     links = compared.filter(_similar(percent)).select("a", "b")
-    rest = _overlaps(_unexplained(near, compared, components(links), percent), sets).filter(_similar(percent)).select("a", "b")
-    grouped = components(links.unionByName(rest)).withColumnRenamed("node", "row")
+    # One pivot of each member first: what its other pivots add is an edge between groups, and only if it joins two.
+    groups = _united(components(links.groupBy("b").agg(F.min("a").alias("a"))), links)
+    for all_members in (False, True):
+        asked = _unexplained(near, compared, groups, percent, all_members)
+        found = common.stored(_overlaps(asked, sets).filter(_similar(percent)).select("a", "b"), "links")
+        groups = _united(groups, found)
+    grouped = groups.withColumnRenamed("node", "row")
     facts = classes.join(grouped, "row", "left").withColumn("component", F.coalesce("component", "row"))
     leads = facts.groupBy("component").agg(F.min("lead").alias("lead")).select("component", "lead.id", "lead.row")
     facts = facts.select("code", "component").join(leads, "component").select("code", F.col("id").alias("component_id"), F.col("row").alias("lead"))
@@ -337,8 +343,23 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long, size_a long, size_b long, overlap long")
 
 
-def _unexplained(near: DataFrame, compared: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of a list that are in different groups, and whose overlaps with the pivot do not exclude a link."""
+def _united(groups: DataFrame, edges: DataFrame) -> DataFrame:
+    """node and component, after edges between nodes were added: of the edges between two groups one is enough."""
+    of = {s: groups.select(F.col("node").alias(s), F.col("component").alias(f"of_{s}")) for s in ("a", "b")}
+    named = edges.join(of["a"], "a", "left").join(of["b"], "b", "left")
+    between = named.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")).filter("a <> b").distinct()
+    joined = common.stored(components(between), "united")
+    now = groups.join(joined.select(F.col("node").alias("component"), F.col("component").alias("_now")), "component", "left")
+    alone = joined.join(groups.select("node"), "node", "left_anti")
+    return common.stored(now.select("node", F.coalesce("_now", "component").alias("component")).unionByName(alone), "groups")
+
+
+def _unexplained(near: DataFrame, compared: DataFrame, groups: DataFrame, percent: int, all_members: bool) -> DataFrame:
+    """Pairs of members of a list that are in different groups, and whose overlaps with the pivot do not exclude a link.
+
+    Without `all_members` one member of a group stands for it in each list and band of sizes, the one that is most like the pivot:
+    groups that link mostly do so there, and are one before their members are paired.
+    """
     known = compared.select(F.col("a").alias("pivot"), F.col("b").alias("row"), "overlap")
     grouped = near.join(groups.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
     mixed = grouped.groupBy("h").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most").select("h")
@@ -346,6 +367,11 @@ def _unexplained(near: DataFrame, compared: DataFrame, groups: DataFrame, percen
     # Sets of one list meet within a band of sizes, or the band below.
     band = F.floor(F.log("size") / F.log(F.lit(100 / percent))).cast("long")
     slim = members.select("h", "row", "size", "shared", "place", "component", "overlap", band.alias("band"))
+    if not all_members:
+        likest = F.struct(F.coalesce("overlap", F.lit(-1)).alias("o"), "row", "size", "shared", "place", "overlap")
+        slim = slim.groupBy("h", "band", "component").agg(F.max(likest).alias("m")).select(
+            "h", "m.row", "m.size", "m.shared", "m.place", "component", "m.overlap", "band"
+        )
     x = slim.select("h", "band", *(F.col(c).alias(f"x_{c}") for c in ("row", "size", "shared", "place", "component", "overlap")))
     y = slim.select("h", F.explode(F.array(F.col("band"), F.col("band") - 1, F.col("band") - 2)).alias("band"),
                     *(F.col(c).alias(f"y_{c}") for c in ("row", "size", "shared", "place", "component", "overlap")))
