@@ -23,7 +23,7 @@ from __future__ import annotations
 import base64
 import os
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute
@@ -35,9 +35,9 @@ from tracewell.llm.registry import query
 from tracewell.llm.tokens import Generations, PartCache
 
 LONG_WORD = 48  # bytes from which a word takes all places of a pair at once
-WORDS_AT_ONCE, BYTES_AT_ONCE = 20_000, 256 << 10  # that begin a recursion; a longer part is one of its own
+WORDS_AT_ONCE, BYTES_AT_ONCE = 80_000, 1 << 20  # that begin a recursion; a longer part is one of its own
 ROWS_AT_ONCE = 2 << 20  # that a recursion over tokens keeps, all its steps together; two steps at least
-SLICE = 4 << 20
+SLICE = 12 << 20  # of text whose new words are contracted together: each recursion has a fixed price
 
 # Every step keeps the words that changed; a word's last step is its result, unfinished if it is the last allowed one.
 LEFTMOST = """
@@ -108,22 +108,35 @@ class WordEncoder:
             self.db.unregister("given")
 
     def __call__(self, parts: list[str]) -> list[tuple[str, bytes]]:
-        split = [self.find(part) for part in parts]
-        words = {w for found in split for w in found}
+        split = list(map(self.find, parts))
+        words = set().union(*split)
         new = self.words.missing(words.difference(self.known))
-        cut = {w: self._cut(w.encode()) for w in new}
+        known, young = self.known, self.words.young
+        brief, cut = {}, {}
+        for w in new:
+            raw = w.encode()
+            if len(raw) < LONG_WORD:
+                brief[w] = raw
+            else:
+                cut[w] = self._cut(raw)
+        for some in _bounded(list(brief.items())):
+            names, raws = zip(*some, strict=True)
+            young.update(zip(names, self._contract(raws, LEFTMOST, LONG_WORD), strict=True))
         made: dict[bytes, tuple[str, bytes]] = {}
-        parts_ = list({part: None for x in cut.values() for part in x})
+        pieces = list({piece: piece for x in cut.values() for piece in x}.items())
         for long, steps in ((False, LEFTMOST), (True, ALL_PLACES)):
-            for some in _bounded([x for x in parts_ if (len(x) >= LONG_WORD) == long]):
-                most = max(1, ROWS_AT_ONCE // sum(map(len, some)) - 1) if long else LONG_WORD
-                made.update(zip(some, self._contract(some, steps, most), strict=True))
+            for some in _bounded([x for x in pieces if (len(x[1]) >= LONG_WORD) == long]):
+                raws = [raw for _, raw in some]
+                most = max(1, ROWS_AT_ONCE // sum(map(len, raws)) - 1) if long else LONG_WORD
+                made.update(zip(raws, self._contract(raws, steps, most), strict=True))
         for w, x in cut.items():
-            self.words.young[w] = (" ".join([made[part][0] for part in x]), b"".join([made[part][1] for part in x]))
-        young, known = self.words.young, self.known
+            young[w] = (" ".join([made[piece][0] for piece in x]), b"".join([made[piece][1] for piece in x]))
         out = []
         for found in split:
-            values = [known[w] if w in known else young[w] for w in found]
+            if len(found) == 1:
+                out.append(known.get(found[0]) or young[found[0]])
+                continue
+            values = [known.get(w) or young[w] for w in found]
             out.append((" ".join([v[0] for v in values]), b"".join([v[1] for v in values])))
         return out
 
@@ -144,7 +157,7 @@ class WordEncoder:
             reach = max(reach, i + 1)
         return [*out, word[start:]]
 
-    def _contract(self, words: list[bytes], steps: str, most: int) -> list[tuple[str, bytes]]:
+    def _contract(self, words: Sequence[bytes], steps: str, most: int) -> list[tuple[str, bytes]]:
         import numpy as np
 
         ends = np.concatenate([[0], np.cumsum([len(r) for r in words])]).astype("i4")
@@ -160,21 +173,24 @@ class WordEncoder:
             left = now.filter(pa.compute.invert(finished)).select(["w", "x"])
         self.db.register("contracted", pa.concat_tables(done))
         out: list = [None] * len(words)
-        for w, ids, decoded in self.db.execute(DECODED).fetchall():
+        found = self.db.sql(DECODED).to_arrow_table()
+        for w, ids, decoded in zip(*(found.column(c).to_pylist() for c in ("w", "ids", "hex")), strict=True):
             out[w] = (ids, bytes.fromhex(decoded))
         self.db.unregister("contracted")
         return out
 
 
-def _bounded(words: list[bytes]) -> Iterator[list[bytes]]:
-    some: list[bytes] = []
+def _bounded(words: list[tuple[str | bytes, bytes]]) -> Iterator[list[tuple[str | bytes, bytes]]]:
+    """Words, each with its bytes, as many at a time as one recursion takes."""
+    some: list[tuple[str | bytes, bytes]] = []
     held = 0
     for word in words:
-        if some and (len(some) == WORDS_AT_ONCE or held + len(word) > BYTES_AT_ONCE):
+        size = len(word[1])
+        if some and (len(some) == WORDS_AT_ONCE or held + size > BYTES_AT_ONCE):
             yield some
             some, held = [], 0
         some.append(word)
-        held += len(word)
+        held += size
     if some:
         yield some
 
@@ -217,9 +233,9 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
                 cache.prepare(texts)
                 ids, decoded = [], []
                 for t in texts:
-                    parts = cache.of(t)
-                    ids.append(" ".join([p[0] for p in parts if p[0]]))
-                    decoded.append(b"".join([p[1] for p in parts]))
+                    of_parts, raws = zip(*cache.of(t), strict=True)
+                    ids.append(" ".join(filter(None, of_parts)))
+                    decoded.append(b"".join(raws))
                 counts = [x.count(" ") + 1 if x else 0 for x in ids]
                 columns = [batch.column("k"), pa.array(ids, pa.string()), pa.array(counts, pa.int64()), pa.array(decoded, pa.binary())]
                 yield pa.record_batch(columns, ["doc_id", "ids", "n_tokens", "decoded"])

@@ -60,7 +60,7 @@ class PartCache:
             seen.update(parts[1:])
         first, later = self.firsts.missing(heads), self.rest.missing(seen)
         # Rough parts are never remembered, so they are among the new ones.
-        rough, rough_heads = {x for x in later if _rough(x)}, {x for x in heads if _rough(x)}
+        rough, rough_heads = _rough(later), _rough(heads)
         uncut = [t for t in dict.fromkeys(texts) if self._uncut(t, rough, rough_heads)] if rough or rough_heads else []
         later = [x for x in later if x not in rough]
         values = iter(self.encode([*first, *(" " + part for part in later), *uncut]))
@@ -82,9 +82,9 @@ class PartCache:
         return [self.firsts.young[head], *map(self.rest.young.__getitem__, rest)]
 
 
-def _rough(part: str) -> bool:
-    """Whether a part between spaces is empty or begins or ends with white space."""
-    return not part or part[0].isspace() or part[-1].isspace()
+def _rough(parts: Iterable[str]) -> set[str]:
+    """The parts between spaces that are empty or begin or end with white space."""
+    return {x for x in parts if not x or x[0].isspace() or x[-1].isspace()}
 
 
 def id_bytes(ids: Iterable[int]) -> bytes:
