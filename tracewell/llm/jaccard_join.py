@@ -31,6 +31,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -87,7 +88,13 @@ def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
 
     The rows are stored with their places first: a second scan may be split otherwise, by the cores that are there then.
     """
-    placed = common.stored(docs.withColumn(PLACE, F.monotonically_increasing_id()), "placed", "zstd")
+
+    @F.pandas_udf("long")
+    def as_it_is(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        common.kept(("shingles",), lambda: True)  # workers let go of what another step kept before rows are written
+        yield from batches
+
+    placed = common.stored(docs.withColumn(PLACE, as_it_is(F.monotonically_increasing_id())), "placed", "zstd")
     first = near_duplicates(placed, key, text, k, percent, F.col(PLACE)).filter("first").select(F.col("row").alias(PLACE))
     return placed.join(first, PLACE, "left_semi").drop(PLACE)
 
