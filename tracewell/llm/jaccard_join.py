@@ -8,10 +8,10 @@ Lists are skipped by size and by place: a member whose size is too different, or
 enough others, is no candidate.  And what is known of one set is used for sets that resemble it.  Of each list one
 member, the pivot, is compared with all others.  Members that link with it are connected, whatever their similarity to
 each other; and for any two members the overlaps with the pivot bound their own overlap, because x cannot share more
-with y than the pivot does, plus what x has beyond the pivot.  Only pairs that are neither connected nor excluded so are
-compared, first one member of each group of a list and then, where groups are still apart, all of them; so a large group
-of near copies costs about one comparison per member and list, not one per pair.  Links between the same two groups
-are one edge, so the edges that are united grow with members and groups, not with pairs.
+with y than the pivot does, plus what x shares with others beyond the pivot.  Only pairs that are neither connected nor excluded so are
+compared.  A member is compared with one pivot first, and with the pivots of its other lists only while it is not in their
+groups; so a large group of near copies costs about one comparison per member, not one per pair.  Links between the same
+two groups are one edge, so the edges that are united grow with members and groups, not with pairs.
 
 Frequencies count a shingle up to 255 times in a slice of documents, which is enough to put rare ones first: any one order
 gives the same links.  A task sends each of its distinct shingles once, in six bytes and a count,
@@ -48,6 +48,7 @@ BUCKET_BYTES = 4 << 20  # of input per bucket of shingles
 MESSAGE = "target long, batch long, bucket long, body binary"
 MOST_BITS = 24  # 16 million buckets, for 100 TB
 HOME = -1
+MORE_PIVOTS = 3  # that are drawn in lists of several groups before their members are paired
 PLACE = "_place_in_input"
 
 
@@ -65,14 +66,24 @@ def near_duplicates(
     sets = table.filter("prefix IS NOT NULL").select("row", "size", "shared", "prefix", "body")  # bodies stay in the one table
     posted = sets.join(classes.select("row"), "row", "left_semi").select("row", "size", "shared", F.posexplode("prefix").alias("place", "h"))
     near = common.stored(_with_pivots(posted, percent), "lists")
-    compared = common.stored(_overlaps(near.filter("near").select(F.col("pivot").alias("a"), F.col("row").alias("b")).distinct(), sets), "overlaps")
+    met = common.stored(near.filter("near").select(F.col("pivot").alias("a"), F.col("row").alias("b")).distinct(), "pivots")
+    # A member is compared with one pivot, then with others only while they are in different groups.
+    compared = common.stored(_overlaps(met.groupBy("b").agg(F.min("a").alias("a")), sets), "overlaps")
     links = compared.filter(_similar(percent)).select("a", "b")
-    # One pivot of each member first: what its other pivots add is an edge between groups, and only if it joins two.
-    groups = _united(components(links.groupBy("b").agg(F.min("a").alias("a"))), links)
-    for all_members in (False, True):
-        asked = _unexplained(near, compared, groups, percent, all_members)
-        found = common.stored(_overlaps(asked, sets).filter(_similar(percent)).select("a", "b"), "links")
+    groups = _united(components(links), links.limit(0))
+    apart = common.stored(_overlaps(_apart(met.join(compared.select("a", "b"), ["a", "b"], "left_anti"), groups), sets), "overlaps")
+    groups = _united(groups, apart.filter(_similar(percent)).select("a", "b"))
+    compared = compared.unionByName(apart)
+    # A list's pivot may be unlike most of it: others, drawn from what is not in its group, find what those have in common.
+    for n in range(MORE_PIVOTS):
+        found = common.stored(_overlaps(_drawn(near, groups, percent, n), sets).filter(_similar(percent)).select("a", "b"), "links")
         groups = _united(groups, found)
+    # Where groups of a list are still apart, all its members need their overlap with the pivot: it excludes most pairs of them.
+    lists = _mixed(_grouped(near, groups))
+    asked = near.filter("near").join(lists, "h", "left_semi").select(F.col("pivot").alias("a"), F.col("row").alias("b")).distinct()
+    known = common.stored(_overlaps(asked.join(compared.select("a", "b"), ["a", "b"], "left_anti"), sets), "overlaps")
+    asked = _unexplained(near, compared.unionByName(known), groups, percent)
+    groups = _united(groups, _overlaps(asked, sets).filter(_similar(percent)).select("a", "b"))
     grouped = groups.withColumnRenamed("node", "row")
     facts = classes.join(grouped, "row", "left").withColumn("component", F.coalesce("component", "row"))
     leads = facts.groupBy("component").agg(F.min("lead").alias("lead")).select("component", "lead.id", "lead.row")
@@ -361,30 +372,53 @@ def _united(groups: DataFrame, edges: DataFrame) -> DataFrame:
     return common.stored(now.select("node", F.coalesce("_now", "component").alias("component")).unionByName(alone), "groups")
 
 
-def _unexplained(near: DataFrame, compared: DataFrame, groups: DataFrame, percent: int, all_members: bool) -> DataFrame:
-    """Pairs of members of a list that are in different groups, and whose overlaps with the pivot do not exclude a link.
+def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs of rows that are in different groups."""
+    of = {s: groups.select(F.col("node").alias(s), F.col("component").alias(f"of_{s}")) for s in ("a", "b")}
+    named = pairs.join(of["a"], "a", "left").join(of["b"], "b", "left")
+    return named.filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+
+
+def _grouped(near: DataFrame, groups: DataFrame) -> DataFrame:
+    return near.join(groups.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
+
 
-    Without `all_members` one member of a group stands for it in each list and band of sizes, the one that is most like the pivot:
-    groups that link mostly do so there, and are one before their members are paired.
+def _mixed(grouped: DataFrame) -> DataFrame:
+    """The lists whose members are in several groups."""
+    spread = grouped.groupBy("h").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    return spread.filter("least <> most").select("h")
+
+
+def _drawn(near: DataFrame, groups: DataFrame, percent: int, n: int) -> DataFrame:
+    """In each list of several groups one member that is not in the pivot's, with the candidates in other groups than its own.
+
+    It is drawn by hash, so that it probably comes from the largest group, and is the same one in lists of the same members.
     """
+    grouped = _grouped(near, groups)
+    members = grouped.join(_mixed(grouped), "h")
+    at_pivot = members.filter("row = pivot").select("h", F.col("component").alias("_of_pivot"))
+    others = members.join(at_pivot, "h").filter("component <> _of_pivot").select("h", "row", "size", "shared", "place", "component")
+    draw = F.min_by(F.struct("row", "size", "shared", "place", "component"), F.xxhash64("row", F.lit(n))).alias("q")
+    names = ("row", "size", "shared", "place", "component")
+    drawn = others.groupBy("h").agg(draw).select("h", *(F.col(f"q.{c}").alias(f"q_{c}") for c in names))
+    met = others.join(drawn, "h").filter((F.col("component") != F.col("q_component")) & _candidate("", "q_", percent))
+    return met.select(F.least("row", "q_row").alias("a"), F.greatest("row", "q_row").alias("b")).distinct()
+
+
+def _unexplained(near: DataFrame, compared: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of a list that are in different groups, and whose overlaps with the pivot do not exclude a link."""
     known = compared.select(F.col("a").alias("pivot"), F.col("b").alias("row"), "overlap")
-    grouped = near.join(groups.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
-    mixed = grouped.groupBy("h").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most").select("h")
-    members = grouped.join(mixed, "h").filter("row <> pivot").join(known, ["pivot", "row"], "left")
+    grouped = _grouped(near, groups)
+    members = grouped.join(_mixed(grouped), "h").filter("row <> pivot").join(known, ["pivot", "row"], "left")
     # Sets of one list meet within a band of sizes, or the band below.
     band = F.floor(F.log("size") / F.log(F.lit(100 / percent))).cast("long")
     slim = members.select("h", "row", "size", "shared", "place", "component", "overlap", band.alias("band"))
-    if not all_members:
-        likest = F.struct(F.coalesce("overlap", F.lit(-1)).alias("o"), "row", "size", "shared", "place", "overlap")
-        slim = slim.groupBy("h", "band", "component").agg(F.max(likest).alias("m")).select(
-            "h", "m.row", "m.size", "m.shared", "m.place", "component", "m.overlap", "band"
-        )
     x = slim.select("h", "band", *(F.col(c).alias(f"x_{c}") for c in ("row", "size", "shared", "place", "component", "overlap")))
     y = slim.select("h", F.explode(F.array(F.col("band"), F.col("band") - 1, F.col("band") - 2)).alias("band"),
                     *(F.col(c).alias(f"y_{c}") for c in ("row", "size", "shared", "place", "component", "overlap")))
     ordered = (F.col("x_size") < F.col("y_size")) | ((F.col("x_size") == F.col("y_size")) & (F.col("x_row") < F.col("y_row")))
     needed = _needed(F.col("x_size"), F.col("y_size"), percent)
-    beyond = lambda a, b: F.coalesce(F.col(f"{b}_overlap") + F.col(f"{a}_size") - F.col(f"{a}_overlap") >= needed, F.lit(True))
+    beyond = lambda a, b: F.coalesce(F.col(f"{b}_overlap") + F.col(f"{a}_shared") - F.col(f"{a}_overlap") >= needed, F.lit(True))
     open_ = ordered & (F.col("x_component") != F.col("y_component")) & _candidate("x_", "y_", percent) & beyond("x", "y") & beyond("y", "x")
     return x.join(y, ["h", "band"]).filter(open_).select(F.col("x_row").alias("a"), F.col("y_row").alias("b")).distinct()
 
