@@ -68,6 +68,15 @@ def test_json_sizes_of_any_text(apply, samples):
     assert apply(sizing.json_bytes, samples) == [php_size(s) for s in samples]
 
 
+def test_sizes_are_measured_in_one_replace_of_the_text(apply):
+    """What needs one byte is taken out in whole runs; a text without floats is searched for them only in what is left."""
+    values = ["a/é日😀 12 3e", "3f12e4ab", "x1.5", "1.5/2", "_2.5", "7.", ""]
+    shown = [json.dumps({"k": v, "f": [1.25, 3], "h": f"{v}2e7"}, ensure_ascii=False) for v in values]
+    assert apply(sizing.json_text_bytes, shown) == [len(json.dumps(json.loads(t)).replace("/", "\\/")) for t in shown]
+    left = apply(lambda c: F.regexp_replace(c, sizing._ONE_BYTE, ""), ["abc 12 3e", "é1", "a/b", "1.5", '{"a":12e4}'])
+    assert left == ["", "é", "/", "1", "12"]
+
+
 def test_whole_floats_print_without_fraction(spark):
     row = spark.sql("""SELECT parse_json('{"a":1000.0e0,"b":"v 1.0,","c":[2.0e0,2.5e0]}') AS v""")
     assert row.select(sizing.json_text_bytes(F.to_json("v"))).first()[0] == len('{"a":1000,"b":"v 1.0,","c":[2,2.5]}')

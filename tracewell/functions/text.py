@@ -87,7 +87,7 @@ def is_date(text: Column) -> Column:
 
 def cut_utf8(value: Column, limit: int) -> Column:
     """The longest prefix of at most `limit` UTF-8 bytes that splits no character."""
-    raw = F.encode(value, "UTF-8")
+    raw = value.cast("binary")
 
     def continues(position: int) -> Column:
         byte = F.hex(F.substring(raw, position, 1))
@@ -99,5 +99,5 @@ def cut_utf8(value: Column, limit: int) -> Column:
         .when(~continues(limit - 1), limit - 2)
         .otherwise(limit - 3)
     )
-    prefix = F.decode(F.substr(raw, F.lit(1), keep), "UTF-8")
+    prefix = F.substr(raw, F.lit(1), keep).cast("string")
     return F.when(F.octet_length(value) > limit, prefix).otherwise(value)
