@@ -77,6 +77,32 @@ def test_sizes_are_measured_in_one_replace_of_the_text(apply):
     assert left == ["", "é", "/", "1", "12"]
 
 
+def test_sizes_of_plain_texts_need_no_search_of_the_text(spark):
+    """One-byte texts without escapes are measured by their bytes, slashes and the numbers between their strings."""
+    texts = ['{"a":"%s","f":[%s, -%s]}' % (s, f, f) for s in ("", "1.50", "a/b 2.0", "[1.0,", "é/1.0", 'q\\"1.0,\\"', "3e5")
+             for f in ("1.25", "1200.0", "0.0", "0.0012", "7", "12345.5e0", "1.50", "100.0e-1", "123456789012345.5")]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+
+    def php(t):
+        made = json.loads(t)
+        shown = ",".join(printed(x) if isinstance(x, float) else str(x) for x in made["f"])
+        spaces = t.split('"f"')[1].count(" ")
+        return len(json.dumps(made["a"]).replace("/", "\\/")) + len('{"a":,"f":[]}') + len(shown) + spaces
+
+    got = [r[0] for r in rows.orderBy("i").select(sizing.json_text_bytes("t")).collect()]
+    assert got == [php(t) for t in texts]
+    assert rows.limit(1).select(sizing.json_text_bytes(F.lit(None).cast("string"))).first()[0] is None
+    hashes = spark.createDataFrame([('{"h":"' + "9e3" * 40 + '"}',)], "t string")
+    assert hashes.select(sizing.json_text_bytes("t")).first()[0] == 128
+
+
+def test_patterns_ask_for_first_letters_and_single_characters():
+    """Most places in a text begin no fragment; classes of single characters are one look each."""
+    assert redact._alternatives(("token", "api-key", "")) == r"(?=[ta])(?:token|api\-key)"
+    assert redact._alternatives(()) == ""
+    assert r"\s" not in redact.URL_SHAPE and r"\s" not in redact.QUERY_SHAPE
+
+
 def test_whole_floats_print_without_fraction(spark):
     row = spark.sql("""SELECT parse_json('{"a":1000.0e0,"b":"v 1.0,","c":[2.0e0,2.5e0]}') AS v""")
     assert row.select(sizing.json_text_bytes(F.to_json("v"))).first()[0] == len('{"a":1000,"b":"v 1.0,","c":[2,2.5]}')

@@ -17,11 +17,13 @@ from tracewell.functions.let import let
 
 # Absolute, protocol-relative or relative; no white space and none of the characters that only
 # prose, JSON and code hold; any query is a run of key=value pairs.
-_PAIR = r"[^\s\"'<>{}|\\^`=&?#]++=[^\s\"'<>{}|\\^`&#]*+"
+# White space is listed one by one: a class of single characters is one look at a table, a class with `\s` in it is a test of each.
+_WHITE = r" \t\n\x0B\f\r"
+_PAIR = rf"[^{_WHITE}\"'<>{{}}|\\^`=&?#]++=[^{_WHITE}\"'<>{{}}|\\^`&#]*+"
 _PAIRS = rf"{_PAIR}(?:&{_PAIR})*+"
 URL_SHAPE = (
-    r"^(?=[^\s]*[/?#])(?:[A-Za-z][A-Za-z0-9+.\-]*+:)?+[^\s\"'<>{}|\\^`\[\],;?#]*+"
-    rf"(?:\?(?:{_PAIRS})?+)?+(?:#[^\s\"'<>{{}}|\\^`]*+)?+\z"
+    rf"^(?=[^{_WHITE}/?#]*+[/?#])(?:[A-Za-z][A-Za-z0-9+.\-]*+:)?+[^{_WHITE}\"'<>{{}}|\\^`\[\],;?#]*+"
+    rf"(?:\?(?:{_PAIRS})?+)?+(?:#[^{_WHITE}\"'<>{{}}|\\^`]*+)?+\z"
 )
 QUERY_SHAPE = rf"^{_PAIRS}\z"
 # scheme and authority | path | query | fragment
@@ -29,7 +31,12 @@ _URL_PARTS = r"(?s)^((?:[A-Za-z][A-Za-z0-9+.\-]*://|//)[^/?#]*)?([^?#]*)(\?[^#]*
 
 
 def _alternatives(fragments) -> str:
-    return "|".join(re.escape(f) for f in fragments if f)
+    """The fragments as one piece of a pattern.  Most places in a text begin none: their first letters are asked for at once."""
+    named = [f for f in fragments if f]
+    if not named:
+        return ""
+    firsts = "".join(re.escape(c) for c in dict.fromkeys(f[0] for f in named))
+    return rf"(?=[{firsts}])(?:{'|'.join(re.escape(f) for f in named)})"
 
 
 def sensitive_key_pattern(fragments=C.SENSITIVE_FRAGMENTS) -> str:
@@ -153,8 +160,8 @@ def too_deep(text: Column, max_depth: int = C.MAX_DEPTH) -> Column:
     Few documents have that many brackets at all; of those, a match against everything that is
     nested less tells.
     """
-    openings = F.length(text) - F.length(F.translate(text, "[{", ""))
-    return (openings >= max_depth) & ~text.rlike(rf"^{_container_pattern(max_depth - 1)}\z")
+    many = text.rlike(rf"\A(?:[^\[{{]*+[\[{{]){{{max(max_depth, 0)}}}")
+    return many & ~text.rlike(rf"^{_container_pattern(max_depth - 1)}\z")
 
 
 def sanitize_depth_json(text: Column, max_depth: int = C.MAX_DEPTH) -> Column:
@@ -192,7 +199,7 @@ def _redact_json_urls(text: Column, fragments, secrets: Column | None, marker: s
     def piece(pieces: Column):
         def clean(x: Column, i: Column) -> Column:
             # Few pieces hold a parameter or a secret at all; the rest is asked of those only.
-            candidate = x.rlike(named)
+            candidate = F.contains(x, F.lit("=")) & x.rlike(named)
             if secrets is not None:
                 candidate = candidate | F.coalesce(F.exists(secrets, lambda s: F.contains(x, s)), F.lit(False))
             opened = ~F.coalesce(F.get(pieces, i - 1).rlike(r"(?<!\\)(?:\\\\)*+\\\z"), F.lit(False))
