@@ -73,3 +73,17 @@ def test_one_file_is_read_by_several_tasks(spark):
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") != "10000"
     with pytest.raises(ValueError):
         items.read_spool(spark, path, "logs", stream=True, split=True)
+
+
+def test_small_blocks_share_tasks(spark):
+    """Blocks stay as small as asked for, but a task reads many of them."""
+    lists = [[{"id": f"i{f}-{i}", "data": {"t": '}],{"' * (i % 3)}, "timestamp": i} for i in range(400)] for f in range(6)]
+    path = written(spark, [json.dumps(x) for x in lists])
+    fragments = json_list._fragments(spark, path)
+    most = 4 * spark.sparkContext.defaultParallelism
+    with json_list._same_blocks(spark, 300):
+        blocks = fragments.select("file", "block").distinct().count()
+        tasks = fragments.rdd.getNumPartitions()
+    assert blocks > 4 * most and tasks <= 2 * most
+    assert spark.conf.get("spark.sql.files.maxPartitionNum", None) is None
+    assert read(spark, path, 300) == dict(enumerate(lists))

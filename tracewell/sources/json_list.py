@@ -27,6 +27,7 @@ from tracewell.session import new_table_path
 
 ESCAPE = re.compile(rb"\\.", re.DOTALL)
 OUT_ROWS, OUT_BYTES = 10_000, 16 << 20
+SHARES = 4  # tasks for each core, at least, where blocks are small
 SUMMARY = "file string, block bigint, size bigint, odd int, bytes bigint, ends array<struct<deeper:bigint,closed:map<bigint,bigint>>>"
 PIECE = "file string, grp bigint, block bigint, begun boolean, closed boolean, text binary"
 
@@ -150,12 +151,29 @@ def _place(now: tuple[str, int], grp: int) -> tuple[str, int, int]:
     return now[0], grp, now[1]
 
 
+def _in_bytes(spark: SparkSession, setting: str) -> int:
+    """A size of the session, such as `128MB`."""
+    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(setting)))
+
+
+def _bytes(df: DataFrame) -> int:
+    """Spark's own estimate of the size of `df`: that of its files, where it is what they hold."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 @contextmanager
-def _same_blocks(spark: SparkSession, block_bytes: int | None) -> Iterator[None]:
-    """Files are cut alike in all jobs inside, though executors come and go: the cut depends on their number otherwise."""
-    wanted = {"spark.sql.files.minPartitionNum": str(spark.sparkContext.defaultParallelism)}
+def _same_blocks(spark: SparkSession, block_bytes: int | None, total: int = 0) -> Iterator[None]:
+    """Files are cut alike in all jobs inside, though executors come and go: the cut depends on their number otherwise.
+
+    Blocks of a given size are dealt to no more tasks than `total` bytes make by the session's own limit, or a few for each core:
+    a task reads many small blocks, one after another.
+    """
+    tasks = spark.sparkContext.defaultParallelism
+    wanted = {"spark.sql.files.minPartitionNum": str(tasks)}
     if block_bytes:
+        most = _in_bytes(spark, "spark.sql.files.maxPartitionBytes")
         wanted["spark.sql.files.maxPartitionBytes"] = str(block_bytes)
+        wanted["spark.sql.files.maxPartitionNum"] = str(max(SHARES * tasks, -(-total // max(most, block_bytes))))
     before = {name: spark.conf.get(name, None) for name in wanted}
     try:
         for name, value in wanted.items():
@@ -173,10 +191,11 @@ def read_json_list(spark: SparkSession, path: str, block_bytes: int | None = Non
     has at most `block_bytes`, or what the session says.
     """
     starts_path, pieces_path = (new_table_path(spark, f"json-list-{x}") for x in ("blocks", "pieces"))
-    with _same_blocks(spark, block_bytes):
-        _starts(_fragments(spark, path)).write.parquet(starts_path)
+    fragments = _fragments(spark, path)
+    with _same_blocks(spark, block_bytes, _bytes(spark.read.text(path))):
+        _starts(fragments).write.parquet(starts_path)
         starts = spark.read.parquet(starts_path)
-        met = _fragments(spark, path).select("file", "block", "n", "text").join(starts.where("well"), ["file", "block"])
+        met = fragments.select("file", "block", "n", "text").join(starts.where("well"), ["file", "block"])
         in_order = met.repartition("file", "block").sortWithinPartitions("file", "block", "n")
         in_order.select("file", "block", "inside", "depth", "before", "text").mapInArrow(_pieces, PIECE).write.parquet(pieces_path)
     pieces = spark.read.schema(PIECE).parquet(pieces_path)
