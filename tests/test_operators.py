@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tracewell import contracts as C
 from tracewell.operators import batching, budget, commerce, delivery, ordered, sessions, shape, spool, validate
+from tracewell.plans import flows
 
 
 def spool_rows(spark, n=300, types=("errors", "events"), size=lambda i: 10 + i % 7):
@@ -451,6 +452,41 @@ def test_browser_report_rules(spark):
         assert all(wanted[p.field] in p.message for p in row.p)
 
 
+ODD_REPORTS = [
+    {"message": "\u2003\u0085"}, {"message": "\u0085"}, {"message": "\n"}, {"message": " \n x"}, {"message": "\U0001f600" * 2000},
+    {"message": "\U0001f600" * 2001}, {"message": 5}, {"message": None}, {"url": None}, {"url": " "}, {"url": False}, {"line": None},
+    {"line": "0"}, {"line": "00"}, {"line": " 7 "}, {"line": "9" * 18}, {"line": "9" * 30}, {"line": 7.0}, {"column": 1e20},
+    {"column": "\u0663"}, {"breadcrumbs": None}, {"breadcrumbs": []}, {"breadcrumbs": {}}, {"breadcrumbs": {"a": {"timestamp": "t"}}},
+    {"breadcrumbs": [None, {"timestamp": "t", "category": "c", "message": "m", "data": []}]},
+    {"breadcrumbs": [{"timestamp": "t", "category": "c", "message": "m", "data": None, "more": 1}]},
+    {"context": []}, {"context": None}, {"context": {}}, {"browser_info": None}, {"browser_info": []}, {"browser_info": {}},
+    {"browser_info": {"connection_type": " ", "device_memory": "1.5", "screen_width": None, "viewport_width": True}},
+]
+
+
+@pytest.mark.parametrize("referer", [None, " ", "https://r.test/", "r" * 2001])
+def test_parts_let_through_have_no_problem_field_by_field(spark, referer):
+    import json
+
+    reports = [json.dumps(report(**changed)) for changed in [*ODD_REPORTS, *[c for c, _ in REPORTS]]]
+    reports += ["5", "null", "[]", "{}", '"x"', None]
+    rows = spark.createDataFrame([(i, j) for i, j in enumerate(reports)], "i int, j string").withColumn("v", F.parse_json("j"))
+    given = F.lit(referer).cast("string")
+    judged = F.struct(validate._members(F.col("v")).alias("m"), given.alias("r"))
+    each = [part(judged) for part in (validate._top_problems, validate._crumb_problems, validate._info_problems)]
+    found = rows.select("j", validate.report_problems(F.col("v"), given).alias("p"), F.array_compact(F.concat(*each)).alias("q"))
+    for row in found.collect():
+        assert row.p == row.q, row.j
+
+
+def test_rejected_reports_are_judged_once(spark):
+    raw = spark.sql("""SELECT 1 AS report_id, true AS enabled, true AS feature_enabled,
+        map('HTTP_HOST', 'a.test', 'HTTP_ORIGIN', 'https://a.test') AS request, parse_json('{"line":"x"}') AS payload FROM range(3)""")
+    rejected = flows.rejected_reports(raw)
+    assert [p.field for p in rejected.first().problems] == ["message", "line", "url"]
+    assert rejected._jdf.queryExecution().optimizedPlan().toString().count("breadcrumbs.,") == 1
+
+
 def test_blank_url_takes_the_referer(spark):
     rows = spark.sql("""SELECT parse_json('{"message":"m","url":" "}') AS payload, map('HTTP_REFERER', 'https://r.test/') AS request""")
     assert validate.validate_browser_report(rows).select(F.size("problems")).first()[0] == 0

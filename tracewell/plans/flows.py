@@ -32,8 +32,7 @@ def received_reports(raw: DataFrame, allowed=(), rate: float = 1.0) -> DataFrame
 
 def rejected_reports(raw: DataFrame, allowed=()) -> DataFrame:
     """Reports that fail validation, with their problems."""
-    classified = validate.classify_reports(raw, allowed)
-    return validate.validate_browser_report(classified.where("disposition = 'invalid'"))
+    return validate.rejected_reports(raw, allowed)
 
 
 def js_error_items(raw: DataFrame, salt: str, keep=("report_id",), allowed=(), rate: float = 1.0, secrets=None) -> DataFrame:
