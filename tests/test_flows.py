@@ -69,6 +69,49 @@ def test_stream_trails_last_across_micro_batches(spark):
     assert {r.seq: r.breadcrumbs for r in got} == {1: ["a"], 4: ["b", "c"]}
 
 
+def test_stream_rows_cross_whole(spark):
+    crumbs = [("s", 0, False, "a|b"), ("s", 1, False, ""), ("s", 2, None, None), ("s", 3, False, "+|"), (None, None, True, "x"), ("s", 4, True, "|")]
+    schema = "session_id string, seq bigint, error boolean, crumb string"
+    got = collect(spark, stateful.breadcrumb_stream(micro_batches(spark, [crumbs], schema), "session_id", "seq", "error", "crumb", idle=None))
+    assert {r.seq: r.breadcrumbs for r in got} == {None: [], 4: ["a|b", "", None, "+|"]}
+    reports = [("s", -1, "a|b"), ("s", 0, "a"), ("s", 1, None), ("s", 2, None), ("s", None, "a"), ("s", None, "|")]
+    stream = micro_batches(spark, [reports], "session_id string, seq bigint, message string")
+    sent = collect(spark, stateful.dedupe_reports_stream(stream, F.col("message"), "session_id", "seq", idle=None))
+    assert sorted(((r.seq, r.message) for r in sent), key=repr) == [(-1, "a|b"), (0, "a"), (1, None), (None, "|")]
+
+
+class OneValue:
+    """A state variable that counts what is read and written."""
+
+    def __init__(self):
+        self.value, self.calls = None, 0
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.value, self.calls = value, self.calls + 1
+
+
+def test_stream_state_of_a_session_is_one_value():
+    class Handle:
+        def getMapState(self, *_):  # noqa: N802
+            return None
+
+        def getValueState(self, *_):  # noqa: N802
+            return OneValue()
+
+    trails, dedupe = stateful._Trails(None, 20, None, 100), stateful._Dedupe(None, 20, None, 100)
+    for each in (trails, dedupe):
+        each.init(Handle())
+    for start in (0, 30):
+        list(trails.handleInputRows(("s",), iter([("s", f"{i}|0|+c{i}") for i in range(start, start + 30)]), None))
+        list(dedupe.handleInputRows(("s",), iter([("s", f"{i}|k{i}", None) for i in range(start, start + 30)]), None))
+    assert trails.ring.value == ([f"c{i}" for i in range(40, 60)],) and dedupe.keys.value == ([f"k{i}" for i in range(40, 60)],)
+    assert trails.ring.calls == dedupe.keys.calls == 4
+
+
 REPORT = "session_id string, seq bigint, message string, big bigint"
 
 

@@ -1,8 +1,11 @@
 """Streaming forms of the stateful operators.
 
-State is kept per session in typed lists and maps of the state store.  Rows of a session come one at a time; a micro-batch
-of a session that is longer than `HELD` rows is laid down in the store and taken from there in order, so that a task
-holds a bounded number of rows and eight bytes for each of the others.
+State is kept per session in typed values and maps of the state store.  A cache or ring is one value, an array: it is
+read and written whole for each session of a micro-batch, and a list of the store would carry each member by itself.
+
+Rows of a session come one at a time; a micro-batch of a session that is longer than `HELD` rows is laid down in the
+store and taken from there in order, so that a task holds a bounded number of rows and eight bytes for each of the
+others.  A row costs its Python worker by the column, so its number and what the rule reads cross as one text (`_packed`).
 """
 
 from __future__ import annotations
@@ -33,17 +36,21 @@ def _milliseconds(idle: str | None) -> int | None:
 
 
 class _InOrder(StatefulProcessor):
-    """Takes each session's rows of a micro-batch in the order of their first field, a number."""
+    """Takes each session's rows of a micro-batch, as `opened` gives them, in the order of their first field, a number."""
 
     def __init__(self, fields: T.StructType, held: int = HELD):
         self.fields, self.held = fields, held
 
+    @staticmethod
+    def opened(row: Row) -> tuple:
+        """The fields of a row."""
+        raise NotImplementedError
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.pending = handle.getMapState("pending", "place bigint", self.fields)
 
     def in_order(self, rows: Iterator[Row]) -> Iterator[tuple]:
-        names = self.fields.names
-        slim = (tuple(r[n] for n in names) for r in rows)
+        slim = map(self.opened, rows)
         few = list(islice(slim, self.held + 1))
         if len(few) <= self.held:
             yield from sorted(few, key=lambda r: LATE if r[0] is None else r[0])
@@ -69,20 +76,25 @@ class _Dedupe(_InOrder):
         super().__init__(fields, held)
         self.cache, self.idle = cache, idle
 
+    @staticmethod
+    def opened(row: Row) -> tuple:
+        at, key = row[1].split("|", 1)
+        return int(at) if at else None, key, row[2]
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.keys = handle.getListState("keys", "key string", self.idle)
+        self.keys = handle.getValueState("keys", "keys array<string>", self.idle)
 
     def handleInitialState(self, key, initialState: Row, timerValues) -> None:  # noqa: N802, N803
-        self.keys.put([(k,) for k in initialState["keys"]])
+        self.keys.update((list(initialState["keys"]),))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        held = OrderedDict.fromkeys(k for (k,) in self.keys.get())
+        held = OrderedDict.fromkeys((self.keys.get() or ((),))[0])
         for _, report, row in self.in_order(rows):
             if _run_cache((report,), held, self.cache)[0]:
                 yield Row(_row=row)
         if held:  # also where nothing changed: the time to live counts from the last report
-            self.keys.put([(k,) for k in held])
+            self.keys.update((list(held),))
 
 
 def dedupe_reports_stream(
@@ -104,9 +116,10 @@ def dedupe_reports_stream(
     `sessions.session_caches` made of earlier reports.
     """
     row = F.struct(*(F.col(f"`{c}`") for c in reports.columns))
-    keyed = reports.select(_session(session), F.col(order).cast("bigint").alias("_at"), cache_key(key).alias("_key"), row.alias("_row"))
+    keyed = reports.select(_session(session), _packed(order, cache_key(key)), row.alias("_row"))
     out = T.StructType([keyed.schema["_row"]])
-    processor = _Dedupe(T.StructType(keyed.schema.fields[1:]), cache, _milliseconds(idle), held)
+    fields = T.StructType().add("_at", T.LongType()).add("_key", T.StringType()).add(keyed.schema["_row"])
+    processor = _Dedupe(fields, cache, _milliseconds(idle), held)
     sent = _stateful(keyed, processor, out, idle, caches)
     return sent.select("_row.*")
 
@@ -115,6 +128,11 @@ def _session(session: str) -> Column:
     return F.coalesce(F.col(session).cast("string"), F.lit("")).alias("_session")
 
 
+def _packed(order: str, *parts: Column) -> Column:
+    """The number (empty for none) and the parts of a row as one text, cut by bars; only the last part may hold bars."""
+    return F.concat_ws("|", F.coalesce(F.col(order).cast("bigint").cast("string"), F.lit("")), *parts).alias("_packed")
+
+
 def _stateful(rows: DataFrame, processor: StatefulProcessor, out: T.StructType, idle: str | None, first: DataFrame | None) -> DataFrame:
     start = None if first is None else first.withColumnRenamed("session", "_session").groupBy("_session")
     return rows.groupBy("_session").transformWithState(processor, out, "append", "ProcessingTime" if idle else "None", start)
@@ -133,22 +151,28 @@ class _Trails(_InOrder):
         super().__init__(fields, held)
         self.n, self.idle = n, idle
 
+    @staticmethod
+    def opened(row: Row) -> tuple:
+        at, error, crumb = row[1].split("|", 2)
+        return int(at) if at else None, error == "1", crumb[1:] if crumb else None
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.ring = handle.getListState("ring", "crumb string", self.idle)
+        self.ring = handle.getValueState("ring", "crumbs array<string>", self.idle)
 
     def handleInitialState(self, key, initialState: Row, timerValues) -> None:  # noqa: N802, N803
-        self.ring.put([(c,) for c in initialState["crumbs"][-self.n :]] if self.n > 0 else [])
+        if self.n > 0:
+            self.ring.update((list(initialState["crumbs"][-self.n :]),))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        ring = [c for (c,) in self.ring.get()]
+        ring = list((self.ring.get() or ((),))[0])
         for at, error, crumb in self.in_order(rows):
             if error:
                 yield Row(_session=key[0], _at=at, breadcrumbs=list(ring))
             elif self.n > 0:
                 ring = (ring + [crumb])[-self.n :]
         if ring:
-            self.ring.put([(c,) for c in ring])
+            self.ring.update((ring,))
 
 
 def breadcrumb_stream(
@@ -165,11 +189,12 @@ def breadcrumb_stream(
     """Errors with the last `n` crumbs (a string column) of their session; the state is that ring,
     forgotten like the cache of `dedupe_reports_stream`.  A stream may go on from `crumbs`, what
     `sessions.last_crumbs` made of earlier records."""
-    slim = records.select(
-        _session(session), F.col(order).cast("bigint").alias("_at"), F.col(is_error).alias("_error"), F.col(crumb).cast("string").alias("_crumb")
-    )
+    error = F.when(F.col(is_error).cast("boolean"), "1").otherwise("0")
+    text = F.coalesce(F.concat(F.lit("+"), F.col(crumb).cast("string")), F.lit(""))
+    slim = records.select(_session(session), _packed(order, error, text))
     out = T.StructType().add("_session", T.StringType()).add("_at", T.LongType()).add("breadcrumbs", T.ArrayType(T.StringType()))
-    processor = _Trails(T.StructType(slim.schema.fields[1:]), n, _milliseconds(idle), held)
+    fields = T.StructType().add("_at", T.LongType()).add("_error", T.BooleanType()).add("_crumb", T.StringType())
+    processor = _Trails(fields, n, _milliseconds(idle), held)
     trails = _stateful(slim, processor, out, idle, crumbs)
     return trails.select(F.col("_session").alias(session), F.col("_at").alias(order), "breadcrumbs")
 
